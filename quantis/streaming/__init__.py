@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analytics this library re-expresses are batch reports over landed
+forecast tables: there is no stream source, event time, watermark or
+per-key state to carry between batches.  The one incremental behaviour,
+publish-only-if-absent, is a batch sink (``quantis.sources.sinks``).
+Nothing is provided here on purpose; see README.md.
+"""
