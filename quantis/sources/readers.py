@@ -13,9 +13,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+def _cache(spark: SparkSession) -> dict:
+    """Per-session memo of lazily built plans (no data is cached).  Plans
+    are immutable, so reusing one only saves the driver-side cost of
+    listing files, reading footers and re-analysing the same plan."""
+    c = getattr(spark, "_quantis_plans", None)
+    if c is None:
+        c = {}
+        spark._quantis_plans = c
+    return c
+
+
+def memo(spark: SparkSession, key: tuple, build):
+    c = _cache(spark)
+    if key not in c:
+        c[key] = build()
+    return c[key]
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that arrives in fewer splits than the cluster has
+    cores (e.g. one large row group), so the joins and partial aggregates
+    fused into the scan stage run on every core.  A scan with enough splits
+    -- any large table on a cluster -- is returned untouched, so no extra
+    shuffle is added at scale."""
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave as is
+        return df
+    return df if splits >= cores else df.repartition(cores)
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """``<base>/<name>.parquet`` (a file or a directory of parts)."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    path = f"{base.rstrip('/')}/{name}.parquet"
+    return memo(spark, ("read", path), lambda: spark.read.parquet(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> DataFrame:
