@@ -52,9 +52,8 @@ def _assigned(spark: SparkSession, base: str) -> DataFrame:
     return G.assign_ward(B.forecasts(spark, base), _hierarchy(spark, base), B.ward_overrides(spark, base))
 
 
-def _assigned_tn(spark: SparkSession, base: str) -> DataFrame:
-    tn = B.forecasts_tn(spark, base).withColumn("county", title_case("county"))
-    return G.assign_ward(tn, _hierarchy(spark, base), B.ward_overrides(spark, base))
+def _tn_titled(spark: SparkSession, base: str) -> DataFrame:
+    return B.forecasts_tn(spark, base).withColumn("county", title_case("county"))
 
 
 def _workload_agg(spark: SparkSession, base: str) -> DataFrame:
@@ -112,13 +111,19 @@ _RAW: dict[str, Query] = {
     "resolve_county_id": lambda s, b: G.resolve_county_id(B.org_units(s, b), B.ROOT_ID),
     "flatten_hierarchy": _hierarchy,
     "assign_ward": _assigned,
-    "requirements_by_ward": lambda s, b: G.requirements_by_ward(_assigned(s, b)),
+    "requirements_by_ward": lambda s, b: G.requirements_by_ward(
+        B.forecasts(s, b), _hierarchy(s, b), B.ward_overrides(s, b)
+    ),
     "requirements_by_ward_totals": lambda s, b: G.requirements_by_ward(
-        _assigned(s, b), value="recomputed", totals=True
+        B.forecasts(s, b), _hierarchy(s, b), B.ward_overrides(s, b), value="recomputed", totals=True
+    ),
+    "requirements_by_ward_tn": lambda s, b: G.requirements_by_ward(
+        _tn_titled(s, b), _hierarchy(s, b), B.ward_overrides(s, b), value="new_price"
     ),
-    "requirements_by_ward_tn": lambda s, b: G.requirements_by_ward(_assigned_tn(s, b), value="new_price"),
     "unmatched_facilities": lambda s, b: G.unmatched_facilities(B.forecasts(s, b), B.org_units(s, b)),
-    "facilities_without_ward": lambda s, b: G.facilities_without_ward(_assigned(s, b)),
+    "facilities_without_ward": lambda s, b: G.facilities_without_ward(
+        B.forecasts(s, b), _hierarchy(s, b), B.ward_overrides(s, b)
+    ),
     "facilities_by_level": lambda s, b: G.facilities_by_level(B.forecasts(s, b), LEVEL_OVERRIDES),
     # P20 / P21
     "top_products": lambda s, b: R.top_products(B.forecasts(s, b), 5),

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from quantis.functions.values import MONEY
 
@@ -71,9 +72,6 @@ def crosstab(
     rows, by = list(rows), list(by)
     kname = "__key"
     keyed = df.withColumn(kname, F.coalesce(F.col(key).cast("string"), F.lit(na_label)))
-    if values is None:
-        values = discover_values(keyed, kname)
-    values = list(values)
     v = F.col(value).cast(MONEY) if exact else F.col(value).cast("double")
     if pre_aggregated:
         long = keyed.select(*by, *rows, kname, v.alias("__v"), F.lit(1).alias("__n"))
@@ -81,6 +79,12 @@ def crosstab(
         long = keyed.groupBy(*by, *rows, kname).agg(
             F.sum(v).alias("__v"), F.count(F.lit(1)).alias("__n")
         )
+    if values is None:
+        # Discover the columns from the aggregated long form (one row per
+        # cell) and keep it cached for the pivot, so the fact is read once.
+        long = long.persist(StorageLevel.MEMORY_AND_DISK)
+        values = discover_values(long, kname)
+    values = list(values)
 
     zero = F.lit(0).cast("decimal(38,4)" if exact else "double")
     aggs = []

@@ -22,6 +22,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 KeySpec = str | tuple[str, str]
 
@@ -73,6 +74,33 @@ def null_safe_join(
     return out.drop(*tmp.values())
 
 
+# Largest dimension (in rows) that checked_broadcast will ship to every
+# executor; a few tens of MB for the narrow dimensions joined here.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, cache: bool = True) -> DataFrame:
+    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+
+    The optimizer's static estimate of a derived dimension (one built from
+    joins) is the product of its inputs and rules broadcasting out even for
+    a few thousand rows; the fact then gets shuffled to meet it.  Here the
+    bound is checked with ``limit(max_rows + 1).count()``, a job over the
+    dimension only that stops early; beyond the bound the join is left to
+    the optimizer (sort-merge with AQE skew handling).  With ``cache`` the
+    dimension is persisted first, so the check and the broadcast build share
+    one computation of it.
+    """
+    if cache:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = df.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(df)
+    if cache:
+        df.unpersist()
+    return df
+
+
 def semi_join(left: DataFrame, right: DataFrame, on: KeySpec | Sequence[KeySpec]) -> DataFrame:
     """Rows of ``left`` with a key in ``right`` (``x %in% pull(y, k)``),
     without collecting the key list to the driver."""

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quantis.functions.text import clean_tab, detect, remove_all, strip_org_suffix, title_case
 from quantis.operators.crosstab import crosstab
-from quantis.operators.joins import anti_join, null_safe_join
+from quantis.operators.joins import anti_join, checked_broadcast, null_safe_join
 from quantis.plans.common import county_funded, recomputed_value, select_county
 from quantis.schemas import NEW_PRICE, VALUE
 
@@ -65,24 +65,41 @@ def _override_table(overrides: DataFrame | Mapping[str, str], spark) -> DataFram
 
 
 def assign_ward(
-    forecasts: DataFrame, hierarchy: DataFrame, overrides: DataFrame | Mapping[str, str] | None = None
+    forecasts: DataFrame,
+    hierarchy: DataFrame,
+    overrides: DataFrame | Mapping[str, str] | None = None,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Ward of every forecast row: left join to the hierarchy on
     (county, sub_county, facility_name), then a per-facility override wins
-    over the joined ward.  Rows with neither keep a NULL ward."""
+    over the joined ward.  Rows with neither keep a NULL ward.
+
+    Both lookups are facility-level (bounded by the facility registry, not
+    by the forecasts).  ``broadcast=None`` broadcasts them after a row-count
+    check so the fact is never shuffled to meet them; ``False`` leaves the
+    choice to the optimizer (for already-aggregated inputs)."""
     h = hierarchy.select("county", "sub_county", "facility_name", "ward")
+    if broadcast is None:
+        h = checked_broadcast(h)
     j = null_safe_join(forecasts, h, ["county", "sub_county", "facility_name"], "left")
     if overrides is None:
         return j
     o = _override_table(overrides, forecasts.sparkSession).withColumn("__o", F.lit(True))
+    if broadcast is None:
+        o = checked_broadcast(o)
     j = null_safe_join(j, o, "facility_name", "left")
     return j.withColumn("ward", F.when(F.col("__o").isNotNull(), F.col("override_ward")).otherwise(F.col("ward"))).drop(
         "override_ward", "__o"
     )
 
 
+FACILITY_KEY = ("county", "sub_county", "facility_name")
+
+
 def requirements_by_ward(
-    assigned: DataFrame,
+    forecasts: DataFrame,
+    hierarchy: DataFrame,
+    overrides: DataFrame | Mapping[str, str] | None = None,
     value: str = "stored",
     totals: bool = False,
     tabs: list[str] | None = None,
@@ -92,17 +109,30 @@ def requirements_by_ward(
     ``value``: ``stored`` uses the stored 12-month value, ``recomputed``
     quantity x price, ``new_price`` quantity x new price (divergent county).
     ``totals`` adds the total row and column.  ``tabs`` fixes the columns;
-    ``None`` discovers them (sorted)."""
-    f = county_funded(assigned)
+    ``None`` discovers them (sorted).
+
+    The ward is a function of the facility key, so the facts are first
+    aggregated per (facility, tab) -- map-side partial aggregation, one
+    small shuffle -- and only that aggregate meets the hierarchy and the
+    overrides.  Sums are the same as assigning every row (a facility that
+    appears under two wards contributes to both, as a row-level join would).
+    """
+    f = county_funded(forecasts)
     if value == "recomputed":
         f = f.withColumn(VALUE, recomputed_value())
     elif value == "new_price":
         f = f.withColumn(VALUE, recomputed_value(NEW_PRICE))
     elif value != "stored":
         raise ValueError("value must be 'stored', 'recomputed' or 'new_price'")
-    f = f.withColumn("tab", clean_tab("tab"))
+    per_facility = (
+        f.withColumn("tab", clean_tab("tab"))
+        .groupBy(*FACILITY_KEY, "tab")
+        .agg(F.sum(F.col(VALUE).cast("decimal(18,4)")).alias(VALUE))
+    )
+    assigned = assign_ward(per_facility, hierarchy, overrides, broadcast=False)
     return crosstab(
-        f, ["sub_county", "ward"], "tab", VALUE, tabs, by=["county"], fill=True, row_total=totals, col_total=totals
+        assigned, ["sub_county", "ward"], "tab", VALUE, tabs, by=["county"], fill=True,
+        row_total=totals, col_total=totals,
     )
 
 
@@ -110,12 +140,16 @@ def unmatched_facilities(forecasts: DataFrame, org_units: DataFrame) -> DataFram
     """(county, sub_county, facility_name) of forecasts whose facility
     name is not an org-unit name."""
     d = forecasts.select("county", "sub_county", "facility_name").distinct()
-    return anti_join(d, org_units.select("name"), ("facility_name", "name"))
+    return anti_join(d, org_units.select("name").distinct(), ("facility_name", "name"))
 
 
-def facilities_without_ward(assigned: DataFrame) -> DataFrame:
-    """Facilities still without a ward after join and overrides."""
-    return assigned.where(F.col("ward").isNull()).select("county", "sub_county", "facility_name").distinct()
+def facilities_without_ward(
+    forecasts: DataFrame, hierarchy: DataFrame, overrides: DataFrame | Mapping[str, str] | None = None
+) -> DataFrame:
+    """Facilities still without a ward after join and overrides.  The
+    distinct facilities are taken first, so only they meet the lookups."""
+    d = forecasts.select(*FACILITY_KEY).distinct()
+    return assign_ward(d, hierarchy, overrides, broadcast=False).where(F.col("ward").isNull()).select(*FACILITY_KEY)
 
 
 def facilities_by_level(forecasts: DataFrame, level_overrides: Mapping[str, str] | None = None) -> DataFrame:
