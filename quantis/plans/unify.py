@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quantis import schemas as S
 from quantis.functions.values import ven_or_null
+from quantis.operators.columns import clean_names
 from quantis.operators.joins import null_safe_join
 from quantis.operators.sets import union_aligned
 from quantis.operators.windows import run_id
@@ -48,9 +49,11 @@ def harmonise(forecasts: DataFrame) -> DataFrame:
 
 def all_counties(forecasts: DataFrame, forecasts_tn: DataFrame, classes: DataFrame, tn_county: str) -> DataFrame:
     """Both sources in one schema (UNION ALL, types checked against the
-    declared schema), classified on (item, tab) with a NULL-safe left join."""
+    declared schema), classified on (item, tab) with a NULL-safe left join
+    to the classification sheet after snake-casing its column names."""
     u = union_aligned([harmonise_tn(forecasts_tn, tn_county), harmonise(forecasts)], S.FORECASTS)
-    return null_safe_join(u, classes.select(S.ITEM, "tab", *CLASS_ATTRS), [S.ITEM, "tab"], "left")
+    cls = clean_names(classes).select(S.ITEM, "tab", *CLASS_ATTRS)
+    return null_safe_join(u, cls, [S.ITEM, "tab"], "left")
 
 
 def distinct_counties(master: DataFrame) -> DataFrame:

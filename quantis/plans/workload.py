@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantis.functions.values import sum_money
+from quantis.operators.columns import clean_names, drop_range
 from quantis.operators.joins import null_safe_join, semi_join
+from quantis.schemas import ANALYTICS
 
 WORKLOAD_KEYS = ("organisation_unit", "facility_ownership", "keph_level")
 
@@ -43,11 +45,15 @@ def workload_extract(
     return a
 
 
-def drop_range(df: DataFrame, first: str, last: str) -> DataFrame:
-    """``select(-c(first:last))``: drop a contiguous range of columns."""
-    cols = df.columns
-    i, j = cols.index(first), cols.index(last)
-    return df.drop(*cols[i : j + 1])
+def landed_extract(spark: SparkSession, path: str) -> DataFrame:
+    """The analytics CSV files as landed from the API.  Header names vary
+    in spelling, so they are read as text, cleaned to snake case
+    (``clean_names``) and then typed by the declared schema (a bad number
+    fails the job under ANSI casts instead of becoming NULL)."""
+    named = clean_names(spark.read.csv(path, header=True, inferSchema=False))
+    return named.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in ANALYTICS.fields if f.name in named.columns]
+    )
 
 
 def workload_aggregate(extract: DataFrame) -> DataFrame:

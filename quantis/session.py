@@ -8,10 +8,15 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quantis") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quantis", warehouse: str | None = None
+) -> SparkSession:
     """Local session with AQE on, UI off and a UTC clock."""
+    b = SparkSession.builder
+    if warehouse:
+        b = b.config("spark.sql.warehouse.dir", warehouse)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        b.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

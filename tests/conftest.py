@@ -12,7 +12,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from quantis.session import local_session
 
-    s = local_session(4, shuffle_partitions=8, app="quantis-tests")
+    import tempfile
+
+    s = local_session(4, shuffle_partitions=8, app="quantis-tests", warehouse=tempfile.mkdtemp(prefix="quantis-wh-"))
     yield s
     s.stop()
 
