@@ -55,13 +55,32 @@ def top_n(
     """
     v = F.col(f"`{value}`")
     primary = v.asc_nulls_last() if smallest else v.desc_nulls_last()
-    w = Window.partitionBy(*by).orderBy(primary, *_order(tie_break)) if by else None
-    if w is None:
-        w = Window.orderBy(primary, *_order(tie_break))
+    if not by:
+        return _global_top_n(df, v, primary, n, ties, smallest, tie_break)
+    w = Window.partitionBy(*by).orderBy(primary, *_order(tie_break))
     fn = F.rank() if ties else F.row_number()
     return df.withColumn("__r", fn.over(w)).where(F.col("__r") <= n).drop("__r")
 
 
+def _global_top_n(df, v, primary, n, ties, smallest, tie_break) -> DataFrame:
+    """Top-n over the whole frame without a single-partition window: the
+    cut comes from ``orderBy().limit(n)`` (per-partition top-k, at most
+    ``n`` rows merged), then one filter keeps every row tied with it."""
+    if not ties:
+        return df.orderBy(primary, *_order(tie_break)).limit(n)
+    head = df.select(v.alias("v")).orderBy(primary).limit(n)
+    stats = head.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("v").alias("vals"),
+        (F.max("v") if smallest else F.min("v")).alias("cut"),
+    ).first()
+    if stats["rows"] < n:  # fewer rows than n: everything ranks <= n
+        return df
+    if stats["vals"] < n:  # NULLs reach the cut: every row ranks <= n
+        return df
+    return df.where(v <= stats["cut"]) if smallest else df.where(v >= stats["cut"])
+
+
 def max_per_group(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Rows equal to their group's maximum (``filter(v == max(v))``, ties
     kept)."""

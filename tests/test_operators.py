@@ -94,6 +94,19 @@ def test_top_n_keeps_ties(spark, n, expected):
     assert top_n(df, "v", n, ["g"]).count() == expected
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 7, 9])
+@pytest.mark.parametrize("smallest", [False, True])
+def test_global_top_n_matches_rank(spark, n, smallest):
+    vals = [5.0, 5.0, 4.0, 3.0, 3.0, None, 1.0, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
+    from pyspark.sql import Window
+
+    o = F.col("v").asc_nulls_last() if smallest else F.col("v").desc_nulls_last()
+    expect = sorted(r[0] for r in df.withColumn("r", F.rank().over(Window.orderBy(o))).where(F.col("r") <= n).collect())
+    got = sorted(r[0] for r in top_n(df, "v", n, smallest=smallest).collect())
+    assert got == expect
+
+
 def test_top_n_without_ties_is_exact(spark):
     df = spark.createDataFrame([("g", 1.0, "a"), ("g", 1.0, "b"), ("g", 0.5, "c")], "g string, v double, name string")
     out = rows(top_n(df, "v", 1, ["g"], ties=False, tie_break=["name"]), "name")
