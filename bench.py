@@ -2,7 +2,7 @@
 
 Each query is run to completion through the ``noop`` sink (full execution,
 nothing collected to the driver): one warm-up run, then the median of
-$BENCH_RUNS timed runs.  Prints one JSON line.
+$BENCH_RUNS timed runs, each starting with an empty cache.  Prints one JSON line.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py [query ...]
 """
@@ -34,6 +34,9 @@ def main(argv: list[str]) -> None:
         q(spark, base).write.format("noop").mode("overwrite").save()  # warm-up
         samples = []
         for _ in range(runs):
+            # every run starts without cached data (small aggregates and
+            # checked dimensions are persisted inside a query)
+            spark.catalog.clearCache()
             t0 = time.perf_counter()
             q(spark, base).write.format("noop").mode("overwrite").save()
             samples.append(time.perf_counter() - t0)

@@ -134,13 +134,15 @@ def bottom_products(products: DataFrame, n: int = 5) -> DataFrame:
 
 
 def products_report(products: DataFrame) -> DataFrame:
-    """P21 presentation: a total row per county and thousands separators;
-    values become text here, so this is for sinks only."""
+    """P21 presentation: items by descending value within each county, a
+    total row per county last, thousands separators (whole numbers, ``,``
+    as separator).  Values become text here, so this is for sinks only."""
     tot = products.groupBy("county").agg(
         F.lit("Total").alias("tab"), F.lit("-").alias(ITEM), F.sum(F.col(VALUE).cast(MONEY)).cast("double").alias(VALUE)
     )
-    both = products.select("county", "tab", ITEM, VALUE).unionByName(tot)
-    return both.withColumn(VALUE, thousands(VALUE, 0))
+    both = products.select("county", "tab", ITEM, VALUE, F.lit(0).alias("__t")).unionByName(tot.withColumn("__t", F.lit(1)))
+    ordered = both.orderBy("county", "__t", F.col(VALUE).desc_nulls_last(), "tab", ITEM)
+    return ordered.select("county", "tab", ITEM, thousands(VALUE, 0).alias(VALUE))
 
 
 def _classified(forecasts: DataFrame, classes: DataFrame) -> DataFrame:

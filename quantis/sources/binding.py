@@ -26,6 +26,7 @@ import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from quantis import schemas as S
 from quantis.functions.text import title_case
@@ -327,13 +328,22 @@ def master(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def _utc_wall_clock(df: DataFrame, c: str) -> Column:
+    """The stored wall-clock time, whatever the session time zone: a
+    timestamp read as zone-less is used as is; one read as an instant is
+    rendered in UTC."""
+    if isinstance(df.schema[c].dataType, TimestampNTZType):
+        return F.col(c)
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
+
+
 @_memoized
 def analytics(spark: SparkSession, base: str) -> DataFrame:
     """Landed workload extract (one row per event)."""
     e = read_table(spark, base, "events").select("event_id", "ts", "user_id", "event_type", "value")
     return e.select(
         F.col("event_type").alias("data"),
-        F.year("ts").cast("string").alias("period"),
+        F.year(_utc_wall_clock(e, "ts")).cast("string").alias("period"),
         F.concat(F.lit("F"), F.col("user_id").cast("string")).alias("organisation_unit"),
         F.concat(F.lit("O"), (F.col("event_id") % 3).cast("string")).alias("facility_ownership"),
         F.concat(F.lit("K"), (F.col("event_id") % 5).cast("string")).alias("keph_level"),
