@@ -24,12 +24,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def publish_once(df: DataFrame, path: str, by: Sequence[str] = ("county",)) -> bool:
-    """Write ``df`` only if ``path`` does not exist yet; returns whether it
-    wrote.  ``mode('ignore')`` is the guard; the explicit test first lets a
-    caller skip building an expensive plan at all."""
-    if path_exists(df.sparkSession, path):
+    """Write ``df`` only if no complete copy exists at ``path``; returns
+    whether it wrote.
+
+    "Complete" means the job commit marker ``_SUCCESS`` is present: a job
+    that died mid-write (lost executors, killed driver) can leave the
+    directory behind without it, and that leftover is replaced rather than
+    mistaken for a publication.  The check runs before any data is read, so
+    a caller can skip building an expensive plan at all."""
+    spark = df.sparkSession
+    if path_exists(spark, path.rstrip("/") + "/_SUCCESS"):
         return False
-    df.write.mode("ignore").partitionBy(*by).parquet(path)
+    mode = "overwrite" if path_exists(spark, path) else "errorifexists"
+    df.write.mode(mode).partitionBy(*by).parquet(path)
     return True
 
 

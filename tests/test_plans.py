@@ -141,6 +141,15 @@ def test_publish_once_keeps_first_rows(spark):
     assert rows(spark.read.parquet(path), "county", "x") == [("A", 1)]
 
 
+def test_publish_once_replaces_an_incomplete_attempt(spark):
+    d = tempfile.mkdtemp(prefix="quantis-publish-")
+    path = os.path.join(d, "unified")
+    os.makedirs(os.path.join(path, "county=A"))  # leftover of a failed job: no _SUCCESS
+    df = spark.createDataFrame([("B", 2)], "county string, x int")
+    assert U.publish_unified(df, path) is True
+    assert rows(spark.read.parquet(path), "county", "x") == [("B", 2)]
+
+
 def test_split_by_county_partitions(spark):
     d = tempfile.mkdtemp(prefix="quantis-split-")
     df = spark.createDataFrame([("A", 1), ("B", 2), ("A", 3)], "county string, x int")
