@@ -98,6 +98,9 @@ _RAW: dict[str, Query] = {
     "resolve_ven_inner": lambda s, b: C.resolve_ven(B.forecasts(s, b), B.new_product_categorization(s, b), "inner"),
     "sanitise_ven": lambda s, b: C.sanitise_ven(B.forecasts_tn(s, b)),
     "by_ven": lambda s, b: C.by_ven(B.forecasts(s, b), B.new_product_categorization(s, b)),
+    "by_ven_inner_recomputed": lambda s, b: C.by_ven(
+        B.forecasts(s, b), B.new_product_categorization(s, b), how="inner", value="recomputed"
+    ),
     "by_ven_tn": lambda s, b: C.by_ven_tn(B.forecasts_tn(s, b), B.new_product_categorization(s, b)),
     "ven_totals": lambda s, b: R.ven_totals(B.forecasts(s, b)),
     "ven_totals_resolved": lambda s, b: R.ven_totals(

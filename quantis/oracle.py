@@ -367,6 +367,13 @@ def _sql() -> dict[str, str]:
     s["by_ven"] = with_(RESOLVED_LEFT, ven_b) + "SELECT * FROM " + crosstab(
         "b", ["county"], ["tab"], "k", ["V", "E", "N", "NA"], row_total=True, col_total=True
     )
+    ven_bi = f"""b AS (
+  SELECT county, {clean('tab')} AS tab, coalesce(ven, 'NA') AS k, {mul(QTY, 'price_kes')} AS v
+  FROM resolved_inner WHERE funding = 'County'
+)"""
+    s["by_ven_inner_recomputed"] = with_(RESOLVED_INNER, ven_bi) + "SELECT * FROM " + crosstab(
+        "b", ["county"], ["tab"], "k", ["V", "E", "N", "NA"], row_total=True, col_total=True
+    )
     ven_tn = f"""stn AS (SELECT * REPLACE (CASE WHEN ven IN ('V', 'E', 'N') THEN ven END AS ven) FROM forecasts_tn),
 rtn AS (
   SELECT f.county, f.tab, f.funding, CASE WHEN n.hit THEN n.new_ven ELSE f.ven END AS ven,

@@ -11,7 +11,7 @@ from quantis.functions.values import VEN_CODES, ven_or_null
 from quantis.operators.crosstab import crosstab
 from quantis.operators.joins import null_safe_join, semi_join
 from quantis.operators.ranking import keep_first
-from quantis.plans.common import county_funded, keys, select_county, tn_value
+from quantis.plans.common import county_funded, keys, recomputed_value, select_county, tn_value
 from quantis.schemas import BUFFER, BUFFER_PACKS, ITEM, NEW_PRICE, PROCURE, PROCURE_PACKS, VALUE
 
 # product/equipment defaults for unclassified rows, by tab.
@@ -113,9 +113,18 @@ def resolve_ven(forecasts: DataFrame, new_cat: DataFrame, how: str = "left") ->
     )
 
 
-def by_ven(forecasts: DataFrame, new_cat: DataFrame, county: str | None = None, how: str = "left") -> DataFrame:
-    """Tab x VEN County-funded value after VEN resolution, totals."""
-    r = county_funded(resolve_ven(select_county(forecasts, county), new_cat, how)).withColumn("tab", clean_tab("tab"))
+def by_ven(
+    forecasts: DataFrame, new_cat: DataFrame, county: str | None = None, how: str = "left", value: str = "stored"
+) -> DataFrame:
+    """Tab x VEN County-funded value after VEN resolution (``how``
+    'left' or 'inner'), totals.  ``value='recomputed'`` uses quantity x
+    price instead of the stored 12-month value (the notebook variant)."""
+    r = county_funded(resolve_ven(select_county(forecasts, county), new_cat, how))
+    if value == "recomputed":
+        r = r.withColumn(VALUE, recomputed_value())
+    elif value != "stored":
+        raise ValueError("value must be 'stored' or 'recomputed'")
+    r = r.withColumn("tab", clean_tab("tab"))
     return crosstab(r, ["tab"], "ven", VALUE, VEN_VALUES, by=["county"], row_total=True, col_total=True)
 
 
