@@ -23,13 +23,17 @@ from quantis.functions.values import MONEY
 def discover_values(df: DataFrame, key: str | Column, na_label: str = "NA") -> list[str]:
     """Distinct pivot keys, sorted (NULL -> ``na_label``).
 
-    This runs one aggregate job and brings back only the distinct key set
-    (Spark's own ``pivot`` without values does the same).  Pass explicit
-    values whenever the domain is known, for a stable schema.
+    This runs one aggregate job and brings back only the distinct key set,
+    at most ``spark.sql.pivotMaxValues`` of them (Spark's own ``pivot``
+    without values does the same).  Pass explicit values whenever the
+    domain is known, for a stable schema.
     """
     k = F.col(key) if isinstance(key, str) else key
-    rows = df.select(F.coalesce(k.cast("string"), F.lit(na_label)).alias("k")).distinct().collect()
-    return sorted(r.k for r in rows)
+    cap = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+    keys = df.select(F.coalesce(k.cast("string"), F.lit(na_label)).alias("k")).distinct().limit(cap + 1).collect()
+    if len(keys) > cap:
+        raise ValueError(f"more than {cap} distinct pivot values; pass values explicitly")
+    return sorted(r.k for r in keys)
 
 
 def crosstab(

@@ -49,10 +49,16 @@ def publish_table_once(df: DataFrame, table: str) -> bool:
     return True
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Small report output (a crosstab); CSV opens in a spreadsheet.  Reports
-    are already aggregated, so a single file is written."""
-    w = df.coalesce(1).write.mode("overwrite")
+def write_report(df: DataFrame, path: str, fmt: str = "csv", per_county: bool = False) -> None:
+    """Small report output (a crosstab); CSV opens in a spreadsheet.
+
+    Reports are already aggregated, so a single file is written; with
+    ``per_county`` each county gets its own directory and file
+    (``county=<name>/part-*.csv``), one task per county."""
+    if per_county:
+        w = df.repartition("county").write.mode("overwrite").partitionBy("county")
+    else:
+        w = df.coalesce(1).write.mode("overwrite")
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:

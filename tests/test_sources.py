@@ -61,6 +61,29 @@ def test_write_report_csv(spark):
     assert rows(back) == [("Total", 1.0)]
 
 
+def test_write_report_per_county(spark):
+    d = os.path.join(tempfile.mkdtemp(prefix="quantis-rep-"), "report")
+    df = spark.createDataFrame([("A", "t", 1.0), ("B", "t", 2.0), ("A", "Total", 1.0)], "county string, tab string, v double")
+    write_report(df, d, per_county=True)
+    parts = sorted(x for x in os.listdir(d) if x.startswith("county="))
+    assert parts == ["county=A", "county=B"]
+    assert all(len([f for f in os.listdir(os.path.join(d, p)) if f.endswith(".csv")]) == 1 for p in parts)
+
+
+def test_pivot_discovery_is_capped(spark):
+    import pytest
+
+    from quantis.operators import crosstab
+
+    spark.conf.set("spark.sql.pivotMaxValues", "3")
+    try:
+        df = spark.createDataFrame([("r", str(i), 1.0) for i in range(5)], "r string, k string, v double")
+        with pytest.raises(ValueError):
+            crosstab(df, ["r"], "k", "v")
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+
+
 def test_publish_table_once(spark):
     first = spark.createDataFrame([("A", 1)], "county string, x int")
     second = spark.createDataFrame([("B", 2)], "county string, x int")
