@@ -60,7 +60,9 @@ def crosstab(
     * ``by`` -- outer keys; every report is computed per ``by`` group in
       one pass (e.g. all counties at once) and totals are per group.
     * ``values`` -- pivot columns in output order; a NULL key is reported
-      under ``na_label``; ``None`` discovers them (one extra small job).
+      under ``na_label``.  ``None`` discovers them: the aggregated long form
+      is persisted, its distinct keys are read (sorted), and the pivot then
+      reads the cached aggregate, so the input is still scanned once.
     * ``fill`` -- absent cells are 0 (``values_fill = 0``); otherwise NULL.
       A cell whose group exists but sums only missing values is 0 either
       way, as with ``sum(na.rm = TRUE)``.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quantis.functions.text import county_key
 from quantis.functions.values import money
 from quantis.schemas import ITEM, NEW_PRICE, QTY, VALUE
 
@@ -17,7 +18,7 @@ def select_county(df: DataFrame, county: str | None) -> DataFrame:
     the predicate prunes partitions."""
     if county is None:
         return df
-    return df.where(F.lower(F.col("county")) == county.strip().lower())
+    return df.where(county_key("county") == county.strip().lower())
 
 
 def county_funded(df: DataFrame) -> DataFrame:

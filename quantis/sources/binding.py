@@ -273,7 +273,8 @@ def rmnch_products(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def _ward_id(c: DataFrame | None = None) -> Column:
+def _ward_id() -> Column:
+    """Ward id: one ward per (nation, market segment)."""
     return F.concat(F.lit("W"), F.col("c_nationkey").cast("string"), F.lit("-"), F.col("c_mktsegment"))
 
 
@@ -321,10 +322,10 @@ def master(spark: SparkSession, base: str) -> DataFrame:
     """Data-collection master list: one row per facility, all counties."""
     f = _facilities(spark, base)
     return f.select(
-        title_case("r_name").alias("county"),
+        F.col("r_title").alias("county"),
         F.col("n_name").alias("sub_county"),
         F.col("c_name").alias("facility_name"),
-        F.concat(F.lit("KEPH Level "), (F.col("c_custkey") % 5 + 2).cast("string")).alias("keph_level"),
+        "keph_level",
     )
 
 
@@ -364,7 +365,7 @@ def organisation_units(spark: SparkSession, base: str) -> DataFrame:
         F.col("c_name").alias("facility_name"),
         title_case("c_mktsegment").alias("ward_name"),
         F.col("n_name").alias("sub_county_name"),
-        title_case("r_name").alias("county_name"),
+        F.col("r_title").alias("county_name"),
         (F.col("c_custkey") + 100000).cast("string").alias("mfl_code"),
     )
 

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from quantis.functions import (
     clean_tab,
+    detect,
+    ends_with,
     pct_label,
     remove_first,
     round_half_even,
@@ -69,3 +71,17 @@ def test_round_half_even(spark):
 def test_pct_label(spark):
     df = spark.createDataFrame([(0.5,), (0.33333,), (0.665,), (None,)], "r double")
     assert [r[0] for r in rows(df.select(pct_label("r")))] == ["50%", "33.33%", "66.5%", None]
+
+
+def test_regex_predicates_are_case_sensitive(spark):
+    df = spark.createDataFrame([("lurambi_kakamega",), ("Kakamega",), ("Merti Sub County Hospital",)], "x string")
+    assert [r[0] for r in rows(df.select(ends_with("x", "kakamega")))] == [True, False, False]
+    assert [r[0] for r in rows(df.select(detect("x", "Merti Sub")))] == [False, False, True]
+
+
+def test_select_county_is_case_insensitive(spark):
+    from quantis.plans.common import select_county
+
+    df = spark.createDataFrame([("Middle East",), ("Asia",)], "county string")
+    assert rows(select_county(df, " middle EAST ")) == [("Middle East",)]
+    assert select_county(df, None).count() == 2

@@ -62,3 +62,15 @@ def test_fact_is_never_broadcast(spark, name):
 def test_keep_first_is_an_aggregate_not_a_window(spark):
     p = plan(QUERIES["ven_gaps"](spark, SF_SMALL))
     assert "min_by" in p and "Window" not in p
+
+
+def test_county_selection_prunes_partitions_of_a_published_table(spark, tmp_path):
+    from quantis.plans.common import select_county
+    from quantis.plans.unify import publish_unified
+
+    path = str(tmp_path / "unified")
+    assert publish_unified(QUERIES["all_counties"](spark, SF_SMALL), path)
+    one = select_county(spark.read.parquet(path), "Asia")
+    scan = [ln for ln in plan(one).splitlines() if "FileScan parquet" in ln][0]
+    assert "PartitionFilters: [" in scan and "county" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert one.count() == QUERIES["county_forecasts"](spark, SF_SMALL).count()
