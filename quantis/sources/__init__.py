@@ -2,12 +2,13 @@
 test tables to the forecast domain."""
 
 from quantis.sources import binding
-from quantis.sources.readers import catalog_union, read_csv, read_jdbc, read_table
+from quantis.sources.readers import catalog_union, clear_plans, read_csv, read_jdbc, read_table
 from quantis.sources.sinks import publish_once, publish_table_once, write_partitioned, write_report
 
 __all__ = [
     "binding",
     "catalog_union",
+    "clear_plans",
     "publish_once",
     "publish_table_once",
     "read_csv",

@@ -24,6 +24,12 @@ def _cache(spark: SparkSession) -> dict:
     return c
 
 
+def clear_plans(spark: SparkSession) -> None:
+    """Forget memoised plans, e.g. after new files landed under a path that
+    was already read in this session."""
+    _cache(spark).clear()
+
+
 def memo(spark: SparkSession, key: tuple, build):
     c = _cache(spark)
     if key not in c:
@@ -46,7 +52,10 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """``<base>/<name>.parquet`` (a file or a directory of parts)."""
+    """``<base>/<name>.parquet`` (a file or a directory of parts).
+
+    The relation is memoised per session, so its file listing is the one
+    taken at first use; call :func:`clear_plans` after new files land."""
     path = f"{base.rstrip('/')}/{name}.parquet"
     return memo(spark, ("read", path), lambda: spark.read.parquet(path))
 
