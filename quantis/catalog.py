@@ -155,11 +155,11 @@ _RAW: dict[str, Query] = {
     "workload_report": lambda s, b: W.workload_report(_workload_enriched(s, b)),
     # P30 - P37
     "ven_gaps": lambda s, b: C.ven_gaps(B.forecasts(s, b)),
-    "classification_coverage_county": lambda s, b: C.classification_coverage(
-        B.forecasts(s, b), B.product_classifications(s, b), county_only=True
+    "classification_coverage_items": lambda s, b: C.classification_coverage(
+        B.forecasts(s, b), B.product_classifications(s, b)
     ),
     "classification_coverage_first": lambda s, b: C.classification_coverage(
-        B.forecasts(s, b), B.product_classifications(s, b), county_only=False
+        B.forecasts(s, b), B.product_classifications(s, b), first_row=True
     ),
     "rmnch_catalogue": lambda s, b: C.rmnch_catalogue(B.product_classifications(s, b), B.rmnch_products(s, b)),
     "facility_counts_hierarchy": lambda s, b: G.facility_counts(_hierarchy(s, b)),

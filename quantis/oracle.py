@@ -523,9 +523,9 @@ w AS {crosstab('b', ['county'], ['product_classification'], 'k', ['V', 'E', 'N',
         "SELECT keph_level, sub_county, facility_name, total_workload AS workload, mfl_code, facility_ownership FROM we"
     )
     s["ven_gaps"] = with_(ITEM_FIRST) + "SELECT * FROM ifirst WHERE ven IS NULL"
-    s["classification_coverage_county"] = with_() + (
-        f"SELECT l.{IT}, {CLASS_COLS} FROM (SELECT DISTINCT {IT} FROM forecasts WHERE funding = 'County') l "
-        f"JOIN classes c ON {nse('l.' + IT, 'c.' + IT)}"
+    s["classification_coverage_items"] = with_() + (
+        f"SELECT l.{IT}, c.tab, c.product_or_equipment, c.product_classification, c.rmnch_product, c.moh_647_name "
+        f"FROM (SELECT DISTINCT {IT} FROM forecasts) l JOIN classes c ON {nse('l.' + IT, 'c.' + IT)}"
     )
     s["classification_coverage_first"] = with_(ITEM_FIRST) + (
         f"SELECT l.{IT}, l.tab, l.ven, {CLASS_COLS} FROM ifirst l JOIN classes c ON {nse('l.' + IT, 'c.' + IT)}"

@@ -168,15 +168,20 @@ def ven_gaps(forecasts: DataFrame) -> DataFrame:
     return item_ven_first(forecasts).where(F.col("ven").isNull())
 
 
-def classification_coverage(forecasts: DataFrame, classes: DataFrame, county_only: bool = True) -> DataFrame:
-    """Items present in the classification, joined on item only (one
-    output row per matching classification row).  ``county_only``: distinct
-    items of County-funded rows; otherwise the keep-first row per item."""
-    if county_only:
-        left = county_funded(forecasts).select(ITEM).distinct()
-    else:
-        left = item_ven_first(forecasts)
-    return null_safe_join(left, classes.withColumnRenamed("tab", "class_tab"), ITEM, "inner")
+def classification_coverage(
+    forecasts: DataFrame, classes: DataFrame, first_row: bool = False, county: str | None = None
+) -> DataFrame:
+    """Forecast items that appear in the classification, joined on the
+    item only (one output row per matching classification row).
+
+    ``first_row=False``: the distinct items of the forecasts (all funding),
+    with the classification's columns.  ``first_row=True``: the keep-first
+    (item, tab, ven) row per item, with the classification's tab renamed
+    ``class_tab``."""
+    f = select_county(forecasts, county)
+    if first_row:
+        return null_safe_join(item_ven_first(f), classes.withColumnRenamed("tab", "class_tab"), ITEM, "inner")
+    return null_safe_join(f.select(ITEM).distinct(), classes, ITEM, "inner")
 
 
 def rmnch_catalogue(classes: DataFrame, rmnch_products: DataFrame) -> DataFrame:
