@@ -13,6 +13,16 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
+# Fixed values (must equal the reference for identical results):
+# - the category-label cleaner removes, in this order, the first ".", the
+#   first digit, then the first "0", "1" and "2";
+# - org-unit display names lose the first " County" or " Sub County";
+# - hierarchy levels lose every " Ward" and every " Sub County".
+LABEL_CLEANER_SEQUENCE = (".", "[0-9]", "0", "1", "2")
+ORG_SUFFIX_PATTERN = " County| Sub County"
+WARD_SUFFIX = " Ward"
+SUB_COUNTY_SUFFIX = " Sub County"
+
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -56,8 +66,9 @@ def clean_tab(c: ColumnOrName = "tab", strict: bool = False) -> Column:
     x = _col(c)
     if strict:
         return F.regexp_replace(x, r"^[0-9]+\.", "")
-    x = remove_first_literal(x, ".")
-    for ch in ("[0-9]", "0", "1", "2"):
+    first, *rest = LABEL_CLEANER_SEQUENCE
+    x = remove_first_literal(x, first)
+    for ch in rest:
         # ``^([^d]*)d`` is the first occurrence of d; linear time, no
         # backtracking blow-up on long labels.
         neg = "[^0-9]" if ch == "[0-9]" else "[^" + ch + "]"
@@ -82,7 +93,7 @@ def county_key(c: ColumnOrName) -> Column:
 def strip_org_suffix(c: ColumnOrName) -> Column:
     """Org-unit display name -> plain name: drop the first `` County`` or
     `` Sub County`` (first match only) and trim."""
-    return F.trim(remove_first(c, " County| Sub County"))
+    return F.trim(remove_first(c, ORG_SUFFIX_PATTERN))
 
 
 def ends_with(c: ColumnOrName, pattern: str) -> Column:

@@ -19,8 +19,15 @@ from pyspark.storagelevel import StorageLevel
 
 from quantis.functions.values import MONEY
 
+# Report labels of the tidyverse reports -- a missing pivot
+# key is the column "NA"; a total row is "Total" in its first key column and
+# "-" in the other text columns; the total column is "Total".
+NA_LABEL = "NA"
+TOTAL_LABEL = "Total"
+OTHER_LABEL = "-"
 
-def discover_values(df: DataFrame, key: str | Column, na_label: str = "NA") -> list[str]:
+
+def discover_values(df: DataFrame, key: str | Column, na_label: str = NA_LABEL) -> list[str]:
     """Distinct pivot keys, sorted (NULL -> ``na_label``).
 
     This runs one aggregate job and brings back only the distinct key set,
@@ -45,12 +52,12 @@ def crosstab(
     *,
     by: Sequence[str] = (),
     fill: bool = True,
-    na_label: str = "NA",
+    na_label: str = NA_LABEL,
     row_total: bool = False,
     col_total: bool = False,
-    total_label: str = "Total",
-    other_label: str = "-",
-    total_col: str = "Total",
+    total_label: str = TOTAL_LABEL,
+    other_label: str = OTHER_LABEL,
+    total_col: str = TOTAL_LABEL,
     exact: bool = True,
     pre_aggregated: bool = False,
     total_flag: str | None = None,

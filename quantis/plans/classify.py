@@ -23,6 +23,7 @@ PRODUCT_DEFAULTS = (
     ("6.Radiology", "Product"),
 )
 
+# Report columns (the "NA" column collects rows whose key is missing).
 POE_VALUES = ("Product", "Equipment", "NA")
 VEN_VALUES = ("V", "E", "N", "NA")
 

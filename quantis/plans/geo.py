@@ -14,7 +14,15 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantis.functions.text import clean_tab, detect, remove_all, strip_org_suffix, title_case
+from quantis.functions.text import (
+    SUB_COUNTY_SUFFIX,
+    WARD_SUFFIX,
+    clean_tab,
+    detect,
+    remove_all,
+    strip_org_suffix,
+    title_case,
+)
 from quantis.operators.crosstab import crosstab
 from quantis.operators.joins import anti_join, checked_broadcast, null_safe_join
 from quantis.plans.common import county_funded, recomputed_value, select_county
@@ -49,8 +57,8 @@ def flatten_hierarchy(org_units: DataFrame, counties: DataFrame) -> DataFrame:
     facs = ou.join(wards, ou.parent_id == wards.ward_id)
     return facs.select(
         "county",
-        remove_all("sub_name", " Sub County").alias("sub_county"),
-        remove_all("ward_name", " Ward").alias("ward"),
+        remove_all("sub_name", SUB_COUNTY_SUFFIX).alias("sub_county"),
+        remove_all("ward_name", WARD_SUFFIX).alias("ward"),
         F.col("name").alias("facility_name"),
     ).distinct()
 

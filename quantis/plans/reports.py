@@ -13,6 +13,10 @@ from quantis.plans.classify import VEN_VALUES, classify, resolve_ven
 from quantis.plans.common import county_funded, recomputed_value, select_county, tn_value
 from quantis.schemas import ITEM, VALUE
 
+# RMNCH flags, and the flag given to unclassified products.
+RMNCH_FLAGS = ("Yes", "No")
+RMNCH_DEFAULT = "No"
+
 
 def county_summary(unified: DataFrame) -> DataFrame:
     """County-funded value per county."""
@@ -43,7 +47,7 @@ def rmnch_long(forecasts: DataFrame, classes: DataFrame, county: str | None = No
     ``No``.  Exact decimal sums."""
     f = county_funded(select_county(forecasts, county))
     j = classify(f, classes, ("rmnch_product",))
-    j = j.withColumn("rmnch_product", F.coalesce(F.col("rmnch_product"), F.lit("No"))).withColumn(
+    j = j.withColumn("rmnch_product", F.coalesce(F.col("rmnch_product"), F.lit(RMNCH_DEFAULT))).withColumn(
         "tab", clean_tab("tab")
     )
     return j.groupBy("county", "tab", "rmnch_product").agg(F.sum(F.col(VALUE).cast(MONEY)).alias("metric"))
@@ -58,7 +62,7 @@ def rmnch_share(forecasts: DataFrame, classes: DataFrame, county: str | None = N
     share = round_half_even(safe_share("metric", F.sum("metric").over(Window.partitionBy("county", "tab"))), 2)
     long = long.withColumn("share", share.cast("decimal(12,2)"))
     wide = crosstab(
-        long, ["tab"], "rmnch_product", "share", ("Yes", "No"), by=["county"], pre_aggregated=True,
+        long, ["tab"], "rmnch_product", "share", RMNCH_FLAGS, by=["county"], pre_aggregated=True,
         row_total=True, col_total=True, total_flag="__t",
     )
     pct = F.when(F.col("__t"), F.lit("-")).otherwise(pct_label(safe_share("Yes", F.col("Yes") + F.col("No"))))
@@ -71,7 +75,7 @@ def rmnch_value_pct(forecasts: DataFrame, classes: DataFrame, county: str | None
     percentage cells are ``-``)."""
     long = rmnch_long(forecasts, classes, county)
     wide = crosstab(
-        long, ["tab"], "rmnch_product", "metric", ("Yes", "No"), by=["county"], pre_aggregated=True,
+        long, ["tab"], "rmnch_product", "metric", RMNCH_FLAGS, by=["county"], pre_aggregated=True,
         row_total=True, col_total=True, total_flag="__t",
     )
     grand = F.max(F.when(F.col("__t"), F.col("Total"))).over(Window.partitionBy("county"))
