@@ -74,3 +74,16 @@ def test_county_selection_prunes_partitions_of_a_published_table(spark, tmp_path
     scan = [ln for ln in plan(one).splitlines() if "FileScan parquet" in ln][0]
     assert "PartitionFilters: [" in scan and "county" in scan.split("PartitionFilters: [")[1].split("]")[0]
     assert one.count() == QUERIES["county_forecasts"](spark, SF_SMALL).count()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_single_partition_stage_over_fact_rows(spark, name):
+    lines = plan(QUERIES[name](spark, SF_SMALL)).splitlines()
+    singles = [i for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
+    if name != "item_run_ids":
+        assert not singles, name
+        return
+    # run ids: the only global stage orders the per-range summary
+    for i in singles:
+        below = lines[i + 1 : i + 4]
+        assert any("Aggregate" in ln and "__b" in ln for ln in below), below
