@@ -7,12 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
+def rebalanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Cluster rows by ``by`` for a partitioned write with the ``REBALANCE``
+    hint: AQE hash-partitions by the key, then splits partitions above
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (a county holding a
+    third of the rows is written by many tasks) and merges small ones, so
+    each task writes few, evenly sized files."""
+    return df.hint("rebalance", *by)
+
+
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("county",), mode: str = "overwrite") -> None:
     """One directory per key value (``group_split`` + one file per group),
-    written by the executors in parallel; readers prune by key.  Rows are
-    clustered by the key within each task so each task opens few files,
-    without a shuffle that would put a hot key into one task."""
-    df.sortWithinPartitions(*by).write.mode(mode).partitionBy(*by).parquet(path)
+    written by the executors in parallel; readers prune by key."""
+    rebalanced(df, by).write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -36,7 +43,7 @@ def publish_once(df: DataFrame, path: str, by: Sequence[str] = ("county",)) -> b
     if path_exists(spark, path.rstrip("/") + "/_SUCCESS"):
         return False
     mode = "overwrite" if path_exists(spark, path) else "errorifexists"
-    df.write.mode(mode).partitionBy(*by).parquet(path)
+    rebalanced(df, by).write.mode(mode).partitionBy(*by).parquet(path)
     return True
 
 

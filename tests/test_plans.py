@@ -158,6 +158,25 @@ def test_split_by_county_partitions(spark):
     assert spark.read.parquet(d).where(F.col("county") == "A").count() == 2
 
 
+def test_partitioned_write_splits_a_hot_county(spark):
+    from quantis.sources.sinks import rebalanced
+
+    d = tempfile.mkdtemp(prefix="quantis-skew-")
+    hot = spark.range(30000).select(F.lit("Hot").alias("county"), F.col("id").alias("x"))
+    cold = spark.range(100).select(F.concat(F.lit("C"), (F.col("id") % 5).cast("string")).alias("county"), F.col("id").alias("x"))
+    df = hot.unionByName(cold)
+    assert "RebalancePartitions" in rebalanced(df, ["county"])._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        U.split_by_county(df, d)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot_files = [f for f in os.listdir(os.path.join(d, "county=Hot")) if f.endswith(".parquet")]
+    assert len(hot_files) > 1  # the hot county was written by several tasks
+    back = spark.read.parquet(d)
+    assert back.count() == 30100 and back.where(F.col("county") == "Hot").count() == 30000
+
+
 def test_facilities_by_level_override(spark):
     f = forecasts(spark, [("c", "s", "Merti Sub County Hospital", "1.T", "V", "County", "i", 1.0, 1.0, 1.0)])
     f = f.withColumn("keph_level", F.lit("KEPH Level 3"))
