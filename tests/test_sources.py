@@ -90,3 +90,13 @@ def test_publish_table_once(spark):
     assert publish_table_once(first, "all_counties_forecast_data") is True
     assert publish_table_once(second, "all_counties_forecast_data") is False
     assert rows(spark.table("all_counties_forecast_data")) == [("A", 1)]
+
+
+def test_command_line_report(spark):
+    from quantis.__main__ import main
+
+    out = os.path.join(tempfile.mkdtemp(prefix="quantis-cli-"), "rep")
+    assert main(["by_product_or_equipment", "/root/testdata/sf0.001", out, "--county", "asia"]) == 0
+    assert sorted(x for x in os.listdir(out) if x.startswith("county=")) == ["county=Asia"]
+    back = spark.read.csv(out, header=True)
+    assert back.where(F.col("tab") == "Total").count() == 1
