@@ -74,9 +74,11 @@ def null_safe_join(
     return out.drop(*tmp.values())
 
 
-# Largest dimension (in rows) that checked_broadcast will ship to every
-# executor; a few tens of MB for the narrow dimensions joined here.
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest dimension (in rows) that checked_broadcast ships to every executor:
+# about 100 MB for the narrow facility-level lookups joined here, a size a
+# 1000-executor cluster broadcasts cheaply.  A country's facility registry
+# is far smaller; a larger input falls back to a shuffled join.
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, cache: bool = True) -> DataFrame:

@@ -1,8 +1,9 @@
 """Facility workload: landed analytics extract -> aggregate -> enrich.
 
-The reference downloads the extract over HTTP; here the extract is a
-landed table (``sources.read_csv`` with a declared schema), and the request
-parameters become predicates that reach the scan.
+The reference downloads the extract over HTTP; here it is landed CSV
+files (``landed_extract``: header names snake-cased, then typed by the
+declared schema) or any table of that schema, and the request parameters
+become predicates that reach the scan.
 """
 
 from __future__ import annotations
