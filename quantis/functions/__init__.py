@@ -13,6 +13,8 @@ from quantis.functions.text import (
 )
 from quantis.functions.values import (
     MONEY,
+    MONEY_SUM,
+    money_total,
     VEN_CODES,
     money,
     nan_to_null,
@@ -28,6 +30,8 @@ from quantis.functions.values import (
 
 __all__ = [
     "MONEY",
+    "MONEY_SUM",
+    "money_total",
     "VEN_CODES",
     "clean_tab",
     "county_key",

@@ -10,9 +10,11 @@ ColumnOrName = Column | str
 # The three valid VEN codes (vital, essential, non-essential).
 VEN_CODES = ("V", "E", "N")
 
-# Exact money type used inside sums so that totals do not depend on the
-# order in which partial aggregates are combined.
+# Exact money types: values are decimal(18,4); sums accumulate in
+# decimal(38,4), so totals are exact, independent of the order partial
+# aggregates are combined in, and cannot overflow when sums are re-summed.
 MONEY = "decimal(18,4)"
+MONEY_SUM = "decimal(38,4)"
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -30,9 +32,15 @@ def sum0(c: ColumnOrName) -> Column:
     return F.coalesce(F.sum(nan_to_null(_col(c).cast("double"))), F.lit(0.0))
 
 
+def money_total(c: ColumnOrName) -> Column:
+    """Exact sum of a money column (value or already a partial sum), as
+    ``decimal(38,4)``; NULL for an all-missing group."""
+    return F.sum(_col(c).cast(MONEY_SUM))
+
+
 def sum_money(c: ColumnOrName) -> Column:
     """Exact sum of a money column, 0 for an empty group, as double."""
-    return F.coalesce(F.sum(money(c)), F.lit(0).cast(MONEY)).cast("double")
+    return F.coalesce(money_total(c), F.lit(0).cast(MONEY_SUM)).cast("double")
 
 
 def nan_to_null(c: ColumnOrName) -> Column:

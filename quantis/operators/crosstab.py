@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from quantis.functions.values import MONEY
 
 # Report labels of the tidyverse reports -- a missing pivot
 # key is the column "NA"; a total row is "Total" in its first key column and
@@ -77,7 +76,7 @@ def crosstab(
       ``total_label``, later row keys ``other_label``; cells sum the cells.
     * ``col_total`` -- a ``total_col`` column summing the cells of the row,
       missing cells ignored.
-    * ``exact`` -- sum in ``decimal(18,4)`` and return double, so results
+    * ``exact`` -- sum in ``decimal(38,4)`` and return double, so results
       do not depend on partial-aggregate order.
     * ``pre_aggregated`` -- ``df`` already has one row per (by, rows, key).
     * ``total_flag`` -- name of a boolean output column marking total rows.
@@ -85,7 +84,8 @@ def crosstab(
     rows, by = list(rows), list(by)
     kname = "__key"
     keyed = df.withColumn(kname, F.coalesce(F.col(key).cast("string"), F.lit(na_label)))
-    v = F.col(value).cast(MONEY) if exact else F.col(value).cast("double")
+    # exact: wide decimal, so pre-aggregated sums cannot overflow the cast
+    v = F.col(value).cast("decimal(38,4)") if exact else F.col(value).cast("double")
     if pre_aggregated:
         long = keyed.select(*by, *rows, kname, v.alias("__v"), F.lit(1).alias("__n"))
     else:

@@ -11,7 +11,7 @@ from quantis.functions.values import VEN_CODES, ven_or_null
 from quantis.operators.crosstab import crosstab
 from quantis.operators.joins import null_safe_join, semi_join
 from quantis.operators.ranking import keep_first
-from quantis.plans.common import county_funded, keys, recomputed_value, select_county, tn_value
+from quantis.plans.common import county_funded, keys, recomputed_value, select_county, sum_by, tn_value
 from quantis.schemas import BUFFER, BUFFER_PACKS, ITEM, NEW_PRICE, PROCURE, PROCURE_PACKS, VALUE
 
 # product/equipment defaults for unclassified rows, by tab.
@@ -57,7 +57,7 @@ def by_product_or_equipment(
 ) -> DataFrame:
     """P5: tab x {Product, Equipment, NA} County-funded value, with a total
     row and a total column, per county."""
-    f = county_funded(select_county(forecasts, county))
+    f = sum_by(county_funded(select_county(forecasts, county)), ["county", "tab", ITEM])
     j = with_product_defaults(classify(f, classes)).withColumn("tab", clean_tab("tab"))
     return crosstab(
         j, ["tab"], "product_or_equipment", VALUE, POE_VALUES, by=["county"],
@@ -80,9 +80,8 @@ def tn_measures(df: DataFrame) -> DataFrame:
 def by_product_or_equipment_tn(forecasts_tn: DataFrame, classes: DataFrame) -> DataFrame:
     """Divergent-schema variant: every missing class defaults to
     Product, values recomputed from the new price, no totals."""
-    f = sanitise_ven(forecasts_tn)
-    j = with_product_defaults(classify(f, classes), default="Product")
-    j = county_funded(tn_measures(j)).withColumn("tab", clean_tab("tab"))
+    f = sum_by(county_funded(tn_measures(forecasts_tn)), ["county", "tab", ITEM])
+    j = with_product_defaults(classify(f, classes), default="Product").withColumn("tab", clean_tab("tab"))
     return crosstab(j, ["tab"], "product_or_equipment", VALUE, ("Product", "Equipment"), by=["county"])
 
 
@@ -120,20 +119,20 @@ def by_ven(
     """Tab x VEN County-funded value after VEN resolution (``how``
     'left' or 'inner'), totals.  ``value='recomputed'`` uses quantity x
     price instead of the stored 12-month value (the notebook variant)."""
-    r = county_funded(resolve_ven(select_county(forecasts, county), new_cat, how))
+    f = county_funded(select_county(forecasts, county))
     if value == "recomputed":
-        r = r.withColumn(VALUE, recomputed_value())
+        f = f.withColumn(VALUE, recomputed_value())
     elif value != "stored":
         raise ValueError("value must be 'stored' or 'recomputed'")
-    r = r.withColumn("tab", clean_tab("tab"))
+    r = resolve_ven(sum_by(f, ["county", "tab", ITEM, "ven"]), new_cat, how).withColumn("tab", clean_tab("tab"))
     return crosstab(r, ["tab"], "ven", VALUE, VEN_VALUES, by=["county"], row_total=True, col_total=True)
 
 
 def by_ven_tn(forecasts_tn: DataFrame, new_cat: DataFrame) -> DataFrame:
     """P9 (divergent county): sanitise, resolve (left), recompute value,
     drop rows still without VEN, no totals."""
-    r = resolve_ven(sanitise_ven(forecasts_tn), new_cat, "left")
-    r = county_funded(tn_measures(r)).where(F.col("ven").isNotNull()).withColumn("tab", clean_tab("tab"))
+    f = sum_by(county_funded(tn_measures(sanitise_ven(forecasts_tn))), ["county", "tab", ITEM, "ven"])
+    r = resolve_ven(f, new_cat, "left").where(F.col("ven").isNotNull()).withColumn("tab", clean_tab("tab"))
     return crosstab(r, ["tab"], "ven", VALUE, VEN_CODES, by=["county"])
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantis.functions.text import county_key
-from quantis.functions.values import money
+from quantis.functions.values import money, money_total
 from quantis.schemas import ITEM, NEW_PRICE, QTY, VALUE
 
 COUNTY_FUNDING = "County"
@@ -35,9 +35,29 @@ def tn_value() -> Column:
     return recomputed_value(NEW_PRICE)
 
 
+def sum_by(df: DataFrame, keys: list[str], value: str = VALUE) -> DataFrame:
+    """Pre-aggregate facts to the grain the later joins and pivots need.
+
+    The dimension joins of a report then meet one row per (county, tab,
+    item, ...) instead of every fact row: partial aggregation map-side, one
+    small shuffle, and no fact-sized join at any scale.  Exact decimal
+    sums; a group whose values are all missing sums to NULL, which the
+    pivot turns into 0 like ``sum(na.rm = TRUE)``."""
+    return df.groupBy(*keys).agg(money_total(value).alias(value))
+
+
 def keys() -> list[str]:
     """Join keys of the product dimensions."""
     return [ITEM, "tab"]
 
 
-__all__ = ["COUNTY_FUNDING", "VALUE", "county_funded", "keys", "recomputed_value", "select_county", "tn_value"]
+__all__ = [
+    "COUNTY_FUNDING",
+    "VALUE",
+    "county_funded",
+    "keys",
+    "recomputed_value",
+    "select_county",
+    "sum_by",
+    "tn_value",
+]

@@ -23,6 +23,7 @@ from quantis.functions.text import (
     strip_org_suffix,
     title_case,
 )
+from quantis.functions.values import money_total
 from quantis.operators.crosstab import crosstab
 from quantis.operators.joins import anti_join, checked_broadcast, null_safe_join
 from quantis.plans.common import county_funded, recomputed_value, select_county
@@ -135,7 +136,7 @@ def requirements_by_ward(
     per_facility = (
         f.withColumn("tab", clean_tab("tab"))
         .groupBy(*FACILITY_KEY, "tab")
-        .agg(F.sum(F.col(VALUE).cast("decimal(18,4)")).alias(VALUE))
+        .agg(money_total(VALUE).alias(VALUE))
     )
     assigned = assign_ward(per_facility, hierarchy, overrides, broadcast=False)
     return crosstab(

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantis.functions.text import clean_tab
-from quantis.functions.values import MONEY, pct_label, round_half_even, safe_share, sum_money, thousands
+from quantis.functions.values import money_total, pct_label, round_half_even, safe_share, sum_money, thousands
 from quantis.operators.crosstab import crosstab
 from quantis.operators.ranking import first_n_per_group, max_per_group, top_n
 from quantis.plans.classify import VEN_VALUES, classify, resolve_ven
-from quantis.plans.common import county_funded, recomputed_value, select_county, tn_value
+from quantis.plans.common import county_funded, recomputed_value, select_county, sum_by, tn_value
 from quantis.schemas import ITEM, VALUE
 
 # RMNCH flags, and the flag given to unclassified products.
@@ -33,7 +33,7 @@ def county_grand_total(forecasts: DataFrame, county: str | None = None) -> DataF
 def ven_totals(df: DataFrame) -> DataFrame:
     """P10: County value per VEN (long form) with a ``Total`` row per
     county; a NULL VEN stays its own row, apart from the total."""
-    long = county_funded(df).groupBy("county", "ven").agg(F.sum(F.col(VALUE).cast(MONEY)).alias("__v"))
+    long = county_funded(df).groupBy("county", "ven").agg(money_total(VALUE).alias("__v"))
     g = long.groupingSets([["county", "ven"], ["county"]], "county", "ven").agg(
         F.coalesce(F.sum("__v"), F.lit(0).cast("decimal(38,4)")).alias("__v"), F.grouping("ven").alias("__g")
     )
@@ -45,12 +45,12 @@ def ven_totals(df: DataFrame) -> DataFrame:
 def rmnch_long(forecasts: DataFrame, classes: DataFrame, county: str | None = None) -> DataFrame:
     """County value per (county, clean tab, RMNCH flag); a missing flag is
     ``No``.  Exact decimal sums."""
-    f = county_funded(select_county(forecasts, county))
+    f = sum_by(county_funded(select_county(forecasts, county)), ["county", "tab", ITEM])
     j = classify(f, classes, ("rmnch_product",))
     j = j.withColumn("rmnch_product", F.coalesce(F.col("rmnch_product"), F.lit(RMNCH_DEFAULT))).withColumn(
         "tab", clean_tab("tab")
     )
-    return j.groupBy("county", "tab", "rmnch_product").agg(F.sum(F.col(VALUE).cast(MONEY)).alias("metric"))
+    return j.groupBy("county", "tab", "rmnch_product").agg(money_total(VALUE).alias("metric"))
 
 
 def rmnch_share(forecasts: DataFrame, classes: DataFrame, county: str | None = None) -> DataFrame:
@@ -142,15 +142,18 @@ def products_report(products: DataFrame) -> DataFrame:
     total row per county last, thousands separators (whole numbers, ``,``
     as separator).  Values become text here, so this is for sinks only."""
     tot = products.groupBy("county").agg(
-        F.lit("Total").alias("tab"), F.lit("-").alias(ITEM), F.sum(F.col(VALUE).cast(MONEY)).cast("double").alias(VALUE)
+        F.lit("Total").alias("tab"), F.lit("-").alias(ITEM), money_total(VALUE).cast("double").alias(VALUE)
     )
     both = products.select("county", "tab", ITEM, VALUE, F.lit(0).alias("__t")).unionByName(tot.withColumn("__t", F.lit(1)))
     ordered = both.orderBy("county", "__t", F.col(VALUE).desc_nulls_last(), "tab", ITEM)
     return ordered.select("county", "tab", ITEM, thousands(VALUE, 0).alias(VALUE))
 
 
-def _classified(forecasts: DataFrame, classes: DataFrame) -> DataFrame:
-    return classify(county_funded(forecasts), classes, ("product_classification",))
+def _classified(forecasts: DataFrame, classes: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """County value per (county, tab, item, *extra), pre-aggregated, then
+    the product classification joined on (item, tab)."""
+    f = sum_by(county_funded(forecasts), ["county", "tab", ITEM, *extra])
+    return classify(f, classes, ("product_classification",))
 
 
 def top_categories(forecasts: DataFrame, classes: DataFrame, n: int = 10, county: str | None = None) -> DataFrame:
@@ -171,7 +174,8 @@ def top_categories_by_level(
 ) -> DataFrame:
     """Classification x KEPH level (absent cells stay NULL), Total
     column, top ``n`` by Total per county."""
-    j = _classified(select_county(forecasts, county), classes).where(F.col("product_classification").isNotNull())
+    j = _classified(select_county(forecasts, county), classes, ("keph_level",))
+    j = j.where(F.col("product_classification").isNotNull())
     wide = crosstab(j, ["product_classification"], "keph_level", VALUE, levels, by=["county"], fill=False, col_total=True)
     order = [F.col("Total").desc_nulls_last(), F.col("product_classification").asc_nulls_last()]
     return first_n_per_group(wide, n, ["county"], order)
@@ -182,8 +186,9 @@ def top_categories_by_ven(
 ) -> DataFrame:
     """VEN resolved (left), classification x VEN (0-filled, V first),
     Total column, top ``n`` by Total per county."""
-    r = resolve_ven(select_county(forecasts, county), new_cat, "left")
-    j = _classified(r, classes).where(F.col("product_classification").isNotNull())
+    f = sum_by(county_funded(select_county(forecasts, county)), ["county", "tab", ITEM, "ven"])
+    r = resolve_ven(f, new_cat, "left")
+    j = classify(r, classes, ("product_classification",)).where(F.col("product_classification").isNotNull())
     wide = crosstab(j, ["product_classification"], "ven", VALUE, VEN_VALUES, by=["county"], fill=True, col_total=True)
     order = [F.col("Total").desc_nulls_last(), F.col("product_classification").asc_nulls_last()]
     return first_n_per_group(wide, n, ["county"], order)
