@@ -103,9 +103,7 @@ _RAW: dict[str, Query] = {
     ),
     "by_ven_tn": lambda s, b: C.by_ven_tn(B.forecasts_tn(s, b), B.new_product_categorization(s, b)),
     "ven_totals": lambda s, b: R.ven_totals(B.forecasts(s, b)),
-    "ven_totals_resolved": lambda s, b: R.ven_totals(
-        C.resolve_ven(B.forecasts(s, b), B.new_product_categorization(s, b), "inner")
-    ),
+    "ven_totals_resolved": lambda s, b: R.ven_totals_resolved(B.forecasts(s, b), B.new_product_categorization(s, b)),
     # P11 / P12 / P13
     "rmnch_share": lambda s, b: R.rmnch_share(B.forecasts(s, b), B.product_classifications(s, b)),
     "rmnch_value_pct": lambda s, b: R.rmnch_value_pct(B.forecasts(s, b), B.product_classifications(s, b)),

@@ -42,6 +42,13 @@ def ven_totals(df: DataFrame) -> DataFrame:
     return g.select("county", label.alias("ven"), v.alias(VALUE), v.alias("Total"))
 
 
+def ven_totals_resolved(forecasts: DataFrame, new_cat: DataFrame, how: str = "inner") -> DataFrame:
+    """P10 after VEN resolution (P7): the facts are summed per (county, tab,
+    item, VEN) first, so only that aggregate meets the new categorisation."""
+    f = sum_by(county_funded(forecasts), ["county", "tab", ITEM, "ven", "funding"])
+    return ven_totals(resolve_ven(f, new_cat, how))
+
+
 def rmnch_long(forecasts: DataFrame, classes: DataFrame, county: str | None = None) -> DataFrame:
     """County value per (county, clean tab, RMNCH flag); a missing flag is
     ``No``.  Exact decimal sums."""
