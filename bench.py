@@ -24,14 +24,14 @@ def main(argv: list[str]) -> None:
     base = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    from quantis.catalog import QUERIES
+    from quantis.catalog import QUERIES, WARMUP
     from quantis.session import local_session
 
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="quantis-bench")
     names = argv[1:] or list(QUERIES)
     # warm the JVM (class loading, JIT, codegen cache) once, on query shapes
     # that cover the operators, before any timing
-    for name in ("by_product_or_equipment", "requirements_by_ward", "top_products", "item_run_ids"):
+    for name in WARMUP:
         QUERIES[name](spark, base).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for name in names:

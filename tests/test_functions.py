@@ -1,7 +1,5 @@
 """Column builders against hand-checked values (FIXTURES.md section 2)."""
 
-from pyspark.sql import functions as F
-
 from quantis.functions import (
     clean_tab,
     detect,

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from quantis.catalog import QUERIES
 from quantis.operators import anti_join, crosstab, keep_first, semi_join, top_n
 from quantis.plans import classify as C
-from quantis.plans import reports as R
 from quantis.schemas import ITEM, VALUE
 from quantis.sources import binding as B
 from tests.conftest import SF_SMALL, rows
