@@ -1,9 +1,8 @@
 """Benchmark: registered queries on $BENCH_SF_DIR with local[$BENCH_CPUS].
 
 Each query is run to completion through the ``noop`` sink (full execution,
-nothing collected to the driver): after one JVM warm-up on a few query
-shapes, the median of $BENCH_RUNS timed runs per query, each starting with an
-empty cache.  Prints one JSON line.
+nothing collected to the driver): one warm-up run, then the median of
+$BENCH_RUNS timed runs, each starting with an empty cache.  Prints one JSON line.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py [query ...]
 """
@@ -24,18 +23,15 @@ def main(argv: list[str]) -> None:
     base = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    from quantis.catalog import QUERIES, WARMUP
+    from quantis.catalog import QUERIES
     from quantis.session import local_session
 
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="quantis-bench")
     names = argv[1:] or list(QUERIES)
-    # warm the JVM (class loading, JIT, codegen cache) once, on query shapes
-    # that cover the operators, before any timing
-    for name in WARMUP:
-        QUERIES[name](spark, base).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for name in names:
         q = QUERIES[name]
+        q(spark, base).write.format("noop").mode("overwrite").save()  # warm-up: JIT, codegen cache
         samples = []
         for _ in range(runs):
             # every run starts without cached data (small aggregates and

@@ -182,7 +182,3 @@ def _wrap(fn: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {k: _wrap(v) for k, v in _RAW.items()}
-
-# Query shapes that together cover the operators; bench.py warms the JVM
-# on them before timing.
-WARMUP = ("by_product_or_equipment", "requirements_by_ward", "top_products", "item_run_ids")
