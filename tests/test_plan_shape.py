@@ -87,3 +87,44 @@ def test_no_single_partition_stage_over_fact_rows(spark, name):
     for i in singles:
         below = lines[i + 1 : i + 4]
         assert any("Aggregate" in ln and "__b" in ln for ln in below), below
+
+
+def test_hot_key_join_is_split_by_aqe(spark):
+    """One key holds a third of the fact rows and the dimension is too large
+    to broadcast: the NULL-safe join stays a sort-merge join whose skewed
+    partition AQE splits across tasks, and the result is complete."""
+    from pyspark.sql import functions as F
+
+    from quantis.operators.joins import null_safe_join
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30000
+        fact = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string"))).alias("k"),
+            F.col("id").alias("x"),
+        )
+        dim = spark.range(997).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), F.col("id").alias("attr"))
+        dim = dim.unionByName(spark.createDataFrame([("hot", -1)], "k string, attr long"))
+        out = null_safe_join(fact, dim, "k", "left")
+        assert out.count() == n
+        assert out.where(F.col("k") == "hot").where(F.col("attr") == -1).count() == 10000
+        out._jdf.queryExecution().toRdd().count()  # run this plan so AQE finalises it
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in final and "skew=true" in final, final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
