@@ -26,6 +26,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("out", nargs="?", help="output directory")
     ap.add_argument("--county", help="only this county (case-insensitive)")
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    ap.add_argument("--order", default="", help="comma-separated columns to sort each file by")
     a = ap.parse_args(argv)
     if a.report == "list":
         print("\n".join(sorted(QUERIES)))
@@ -44,7 +45,8 @@ def main(argv: list[str] | None = None) -> int:
         if "county" not in df.columns:
             ap.error(f"{a.report} has no county column")
         df = select_county(df, a.county)
-    write_report(df, a.out, fmt=a.format, per_county="county" in df.columns)
+    order = [c for c in a.order.split(",") if c]
+    write_report(df, a.out, fmt=a.format, per_county="county" in df.columns, order_by=order)
     return 0
 
 
