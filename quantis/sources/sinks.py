@@ -67,6 +67,9 @@ def write_report(
     sorts the rows inside each file (no global sort job is needed)."""
     if per_county:
         out = df.repartition("county")
+        # lead with the partition column: the partitioned writer needs rows
+        # grouped by it and would otherwise re-sort, dropping this order
+        order_by = ["county", *[c for c in order_by if c != "county"]] if order_by else []
     else:
         out = df.coalesce(1)
     if order_by:
