@@ -80,6 +80,10 @@ def crosstab(
       do not depend on partial-aggregate order.
     * ``pre_aggregated`` -- ``df`` already has one row per (by, rows, key).
     * ``total_flag`` -- name of a boolean output column marking total rows.
+
+    Built for report-width pivots (tens to a few hundred columns): each
+    pivot value adds two conditional sums to one aggregate over the small
+    long form.
     """
     rows, by = list(rows), list(by)
     kname = "__key"

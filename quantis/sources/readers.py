@@ -37,18 +37,28 @@ def memo(spark: SparkSession, key: tuple, build):
     return c[key]
 
 
+# A scan is spread only when it arrives in fewer splits than this (and than
+# the cores): at most a few row groups, so the extra shuffle stays small.
+SPREAD_MAX_SPLITS = 16
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that arrives in fewer splits than the cluster has
-    cores (e.g. one large row group), so the joins and partial aggregates
-    fused into the scan stage run on every core.  A scan with enough splits
-    -- any large table on a cluster -- is returned untouched, so no extra
-    shuffle is added at scale."""
+    """Round-robin a scan that arrives in only a handful of splits (e.g. one
+    large row group per file), so the joins and partial aggregates fused
+    into the scan stage run on every core instead of one.
+
+    Only scans with fewer than ``SPREAD_MAX_SPLITS`` splits qualify, so the
+    added shuffle is bounded by a few row groups.  A large table on a
+    cluster has thousands of splits -- even if that is fewer than the
+    cores -- and is returned untouched: no fact-sized shuffle is added."""
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # no RDD access (e.g. a remote session): leave as is
         return df
-    return df if splits >= cores else df.repartition(cores)
+    if splits >= min(cores, SPREAD_MAX_SPLITS):
+        return df
+    return df.repartition(cores)
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:

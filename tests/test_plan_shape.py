@@ -128,3 +128,12 @@ def test_hot_key_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_spread_only_touches_scans_with_a_handful_of_splits(spark):
+    from quantis.sources.readers import SPREAD_MAX_SPLITS, spread
+
+    few = spark.range(0, 1000, numPartitions=1)
+    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, numPartitions=SPREAD_MAX_SPLITS)
+    assert spread(many) is many
