@@ -167,7 +167,7 @@ _RAW: dict[str, Query] = {
     "distinct_org_units": lambda s, b: G.distinct_org_units(B.forecasts(s, b)),
     "unclassified_rows": lambda s, b: C.unclassified_rows(B.forecasts(s, b), B.product_classifications(s, b)),
     # run ids
-    "item_run_ids": lambda s, b: U.item_run_ids(B.forecasts_tn(s, b), width=1 << 16).select(
+    "item_run_ids": lambda s, b: U.item_run_ids(B.forecasts_tn(s, b)).select(
         "sub_county", "source_row", "item_description_name_form_strength", "id"
     ),
 }

@@ -16,6 +16,22 @@ def share_within(value: str, by: Sequence[str]) -> Column:
     return safe_share(F.col(value), F.sum(F.col(value)).over(Window.partitionBy(*by)))
 
 
+# Target rows per range for run_id when the width is derived from the data.
+RUN_ID_RANGE_ROWS = 4_000_000
+
+
+def range_width(df: DataFrame, bucket: str, max_rows: int = RUN_ID_RANGE_ROWS) -> int:
+    """Width of ``bucket`` ranges so that a range holds about ``max_rows``
+    rows (at least 4 ranges per core): one narrow aggregate over the
+    column, assuming roughly uniform density."""
+    r = df.agg(F.min(bucket).alias("lo"), F.max(bucket).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    if r["n"] == 0 or r["lo"] is None:
+        return 1
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    ranges = max(4 * cores, -(-r["n"] // max_rows))
+    return max(1, -(-(int(r["hi"]) - int(r["lo"]) + 1) // ranges))
+
+
 def run_id(
     df: DataFrame,
     value: str,
@@ -23,7 +39,7 @@ def run_id(
     by: Sequence[str] = (),
     *,
     bucket: str | None = None,
-    width: int = 1 << 20,
+    width: int | None = None,
     out: str = "run_id",
 ) -> DataFrame:
     """``consecutive_id(value)``: 1-based id that increases whenever
@@ -35,7 +51,8 @@ def run_id(
     A plain ``lag`` window would need every row of a ``by`` group in one
     task.  Instead rows are cut into ranges of ``bucket`` (numeric,
     non-decreasing along ``order``; default the first order column),
-    ``width`` bucket values per range:
+    ``width`` bucket values per range (``None``: derived from the data by
+    :func:`range_width`, about 4M rows per range):
 
     1. inside each range: change flags from ``lag`` and their running sum;
     2. per range: first value, last value, number of inner changes -- a
@@ -49,6 +66,8 @@ def run_id(
     by = list(by)
     order = [order] if isinstance(order, str) else list(order)
     bucket = bucket or order[0]
+    if width is None:
+        width = range_width(df, bucket)
     ocols = [F.col(f"`{o}`") for o in order]
     okey = F.struct(*ocols)
     d = df.withColumn("__b", F.floor(F.col(f"`{bucket}`") / F.lit(width)))

@@ -71,7 +71,7 @@ def publish_unified(unified: DataFrame, path: str) -> bool:
     return publish_once(unified, path, ("county",))
 
 
-def item_run_ids(forecasts_tn: DataFrame, width: int = 1 << 20) -> DataFrame:
+def item_run_ids(forecasts_tn: DataFrame, width: int | None = None) -> DataFrame:
     """``consecutive_id(item)`` over the divergent county's rows in source
     order: one sequence over the concatenated sub-county tables."""
     return run_id(forecasts_tn, S.ITEM, ["source_row", S.ITEM], bucket="source_row", width=width, out="id")

@@ -175,3 +175,13 @@ def test_checked_broadcast_respects_bound(spark):
     assert "broadcast" not in plan.lower()
     joined2 = spark.range(5).join(checked_broadcast(small, 100), "id")
     assert "broadcast" in joined2._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_run_id_derives_its_range_width(spark):
+    from quantis.operators.windows import range_width
+
+    df = spark.createDataFrame([(i, "ab"[i // 7 % 2]) for i in range(200)], "o long, v string")
+    w = range_width(df, "o")
+    assert 1 <= w <= 200 // (4 * spark.sparkContext.defaultParallelism) + 1
+    got = [r[0] for r in rows(run_id(df, "v", "o").orderBy("o"), "run_id")]
+    assert got == [i // 7 + 1 for i in range(200)]
