@@ -12,8 +12,9 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 KEY_QUERIES = {
-    "by_product_or_equipment": "flagship crosstab: fact streamed through broadcast dimensions, "
-    "one fact-sized aggregate, totals by GROUPING SETS over the small result",
+    "by_product_or_equipment": "flagship crosstab: the fact stream is summed per (county, tab, item) "
+    "map-side; only that aggregate meets the classification; cells and the total row come from "
+    "conditional sums and GROUPING SETS over the small result",
     "requirements_by_ward": "facts aggregated per (facility, tab) before the hierarchy join",
     "assign_ward": "row-level ward assignment: hierarchy and overrides broadcast after a row-count check",
     "top_products": "top-5 with ties: WindowGroupLimit before and after the shuffle",
