@@ -199,3 +199,31 @@ def top_categories_by_ven(
     wide = crosstab(j, ["product_classification"], "ven", VALUE, VEN_VALUES, by=["county"], fill=True, col_total=True)
     order = [F.col("Total").desc_nulls_last(), F.col("product_classification").asc_nulls_last()]
     return first_n_per_group(wide, n, ["county"], order)
+
+
+def product_report_pack(
+    forecasts: DataFrame, classes: DataFrame, new_cat: DataFrame, county: str | None = None, materialize: bool = True
+) -> dict[str, DataFrame]:
+    """Every product report of a county pack from one pass over the facts.
+
+    The forecasts are summed once into the shared report cube
+    (``plans.unify.report_cube``; checkpointed to the cluster's checkpoint
+    directory when ``materialize``), and each report is computed from the
+    cube, with results identical to running it on the forecasts."""
+    from quantis.plans.classify import by_product_or_equipment, by_ven
+    from quantis.plans.unify import report_cube
+
+    cube = report_cube(select_county(forecasts, county), materialize=materialize)
+    return {
+        "by_product_or_equipment": by_product_or_equipment(cube, classes),
+        "by_ven": by_ven(cube, new_cat),
+        "ven_totals": ven_totals(cube),
+        "ven_totals_resolved": ven_totals_resolved(cube, new_cat),
+        "rmnch_share": rmnch_share(cube, classes),
+        "rmnch_value_pct": rmnch_value_pct(cube, classes),
+        "rmnch_summary": rmnch_summary(cube, classes),
+        "top_products": top_products(cube, 5),
+        "top_categories": top_categories(cube, classes),
+        "top_categories_by_level": top_categories_by_level(cube, classes),
+        "top_categories_by_ven": top_categories_by_ven(cube, classes, new_cat),
+    }

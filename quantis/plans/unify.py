@@ -6,17 +6,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantis import schemas as S
-from quantis.functions.values import ven_or_null
+from quantis.functions.values import money_total, ven_or_null
 from quantis.operators.columns import clean_names
 from quantis.operators.joins import null_safe_join
 from quantis.operators.sets import union_aligned
 from quantis.operators.windows import run_id
 from quantis.plans.common import recomputed_value, select_county
+from quantis.session import ensure_checkpoint_dir
 from quantis.sources.sinks import publish_once, write_partitioned
 
 CLASS_ATTRS = ("product_or_equipment", "product_classification", "rmnch_product", "moh_647_name")
 
 
+# Grain of the shared report cube: every product report groups by a subset
+# of these keys.
+CUBE_KEYS = ("county", "tab", S.ITEM, "ven", "funding", "keph_level")
+
+
+def report_cube(forecasts: DataFrame, materialize: bool = True) -> DataFrame:
+    """One pass over the forecasts for a whole pack of product reports.
+
+    Value is summed per (county, tab, item, VEN, funding, level): map-side
+    partial aggregation, one small shuffle.  Every product report (P5, P9,
+    P10, P11-P13, P20, P22-P24) accepts the cube in place of the forecasts
+    and gives the same result, since the reports only re-sum the value and
+    exact decimal sums of sums are the sums.  ``materialize`` writes it
+    with ``checkpoint()`` to the cluster's ``spark.checkpoint.dir`` (shared
+    storage), cutting the lineage so the reports neither rescan the fact nor
+    recompute it after an executor loss."""
+    cube = forecasts.groupBy(*CUBE_KEYS).agg(money_total(S.VALUE).alias(S.VALUE))
+    if materialize:
+        ensure_checkpoint_dir(forecasts.sparkSession)
+        cube = cube.checkpoint(eager=True)
+    return cube
+
+
 def county_forecasts(forecasts: DataFrame, county: str) -> DataFrame:
     """Every forecast row of one county (all its sub-county tables)."""
     return select_county(forecasts, county)

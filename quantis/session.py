@@ -33,10 +33,13 @@ def local_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared ``spark.checkpoint.dir`` if it is set; only when
-    it is unset (local tests) a fresh scratch directory is used."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="quantis-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    """The checkpoint directory in use: the one already set on the context,
+    else the cluster's shared ``spark.checkpoint.dir``; only when neither is
+    set (local tests) a fresh scratch directory is created."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quantis-ckpt-")
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d

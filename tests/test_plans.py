@@ -198,3 +198,20 @@ def test_rmnch_share_fixture(spark):
     assert out["Total"] == (0.33, 0.67, "-", 1.0)
     summary = rows(R.rmnch_summary(f, classes))
     assert summary == [("c", 1.0, 2.0, 3.0)]
+
+
+def test_report_pack_from_one_shared_cube_equals_fact_reports(spark):
+    from quantis.catalog import QUERIES
+    from quantis.sources import binding as B
+
+    base = "/root/testdata/sf0.001"
+    f = B.forecasts(spark, base)
+    assert U.report_cube(f, materialize=False).count() < f.count()
+    pack = R.product_report_pack(f, B.product_classifications(spark, base), B.new_product_categorization(spark, base))
+    assert len(pack) == 11
+    for name, df in pack.items():
+        expect = QUERIES[name](spark, base)
+        got = df.select(*[F.col(f"`{c}`").cast("double").alias(c) if t.startswith("decimal") else F.col(f"`{c}`")
+                          for c, t in df.dtypes])
+        assert got.columns == expect.columns, name
+        assert sorted(rows(got), key=str) == sorted(rows(expect), key=str), name
