@@ -140,6 +140,14 @@ _RAW: dict[str, Query] = {
     "top_categories_by_ven": lambda s, b: R.top_categories_by_ven(
         B.forecasts(s, b), B.product_classifications(s, b), B.new_product_categorization(s, b), 10
     ),
+    "top_categories_by_level_table": lambda s, b: R.category_table(
+        R.top_categories_by_level(B.forecasts(s, b), B.product_classifications(s, b), 10)
+    ),
+    "top_categories_by_ven_table": lambda s, b: R.category_table(
+        R.top_categories_by_ven(
+            B.forecasts(s, b), B.product_classifications(s, b), B.new_product_categorization(s, b), 10
+        )
+    ),
     # P25
     "clean_categorisation": lambda s, b: C.clean_categorisation(
         B.old_product_categorization(s, b), B.new_product_categorization(s, b)

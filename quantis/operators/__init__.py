@@ -1,6 +1,6 @@
 """Composite DataFrame operators built from public DataFrame API only."""
 
-from quantis.operators.columns import clean_names, drop_range, relocate, snake_case
+from quantis.operators.columns import clean_names, drop_range, format_numbers, relocate, snake_case
 from quantis.operators.crosstab import crosstab, discover_values
 from quantis.operators.joins import anti_join, checked_broadcast, duplicate_keys, null_safe_join, semi_join
 from quantis.operators.ranking import first_n, first_n_per_group, keep_first, max_per_group, top_n
@@ -12,6 +12,7 @@ __all__ = [
     "checked_broadcast",
     "clean_names",
     "drop_range",
+    "format_numbers",
     "relocate",
     "snake_case",
     "conform",

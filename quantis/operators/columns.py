@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 def snake_case(name: str) -> str:
@@ -59,3 +60,16 @@ def relocate(df: DataFrame, cols: Sequence[str], before: str | None = None, afte
         k = 0
     order = rest[:k] + move + rest[k:]
     return df.select(*[F.col(f"`{c}`") for c in order])
+
+
+def format_numbers(df: DataFrame, decimals: int = 0, skip: Sequence[str] = ()) -> DataFrame:
+    """Every numeric column (except ``skip``) as thousands-separated text
+    with ``decimals`` places (``fmt_number(columns = 2:last_col())`` /
+    ``mutate_if(is.numeric, format)``).  For presentation sinks only."""
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, NumericType) and f.name not in skip:
+            c = F.format_number(c, decimals).alias(f.name)
+        cols.append(c)
+    return df.select(*cols)

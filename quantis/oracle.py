@@ -511,6 +511,17 @@ w AS {crosstab('b', ['county'], ['product_classification'], 'k', ['V', 'E', 'N',
     s["top_categories_by_ven"] = with_(RESOLVED_LEFT, tv) + _top(
         "w", "county", '"Total" DESC NULLS LAST, product_classification ASC NULLS LAST', 10
     )
+    def table(sql_top: str, cols: list[str]) -> str:
+        fmt = ", ".join(f"format('{{:,.0f}}', {q(c)}) AS {q(c)}" for c in cols)
+        return f"SELECT county, product_classification AS \"Product Category\", {fmt} FROM ({sql_top})"
+
+    s["top_categories_by_level_table"] = with_(lvl) + table(
+        _top("w", "county", '"Total" DESC NULLS LAST, product_classification ASC NULLS LAST', 10), [*KEPH, "Total"]
+    )
+    s["top_categories_by_ven_table"] = with_(RESOLVED_LEFT, tv) + table(
+        _top("w", "county", '"Total" DESC NULLS LAST, product_classification ASC NULLS LAST', 10),
+        ["V", "E", "N", "NA", "Total"],
+    )
     s["clean_categorisation"] = with_() + (
         f"SELECT n.item_name AS {IT}, n.product_category AS tab, n.product_or_equipment FROM new_cat n "
         f"WHERE n.item_name IN (SELECT {IT} FROM classes WHERE product_or_equipment IS NULL) "

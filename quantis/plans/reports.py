@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quantis.functions.text import clean_tab
 from quantis.functions.values import money_total, pct_label, round_half_even, safe_share, sum_money, thousands
+from quantis.operators.columns import format_numbers
 from quantis.operators.crosstab import crosstab
 from quantis.operators.ranking import first_n_per_group, max_per_group, top_n
 from quantis.plans.classify import VEN_VALUES, classify, resolve_ven
@@ -201,6 +202,17 @@ def top_categories_by_ven(
     return first_n_per_group(wide, n, ["county"], order)
 
 
+# Header of the class column in the published top-10 tables.
+CATEGORY_HEADER = "Product Category"
+
+
+def category_table(top: DataFrame) -> DataFrame:
+    """P23/P24 as published: the class column headed ``Product Category``
+    and every value as a whole number with thousands separators."""
+    named = top.withColumnRenamed("product_classification", CATEGORY_HEADER)
+    return format_numbers(named, 0)
+
+
 def product_report_pack(
     forecasts: DataFrame, classes: DataFrame, new_cat: DataFrame, county: str | None = None, materialize: bool = True
 ) -> dict[str, DataFrame]:

@@ -32,6 +32,14 @@ def test_drop_range_and_relocate(spark):
     assert relocate(df, ["a"], after="c").columns == ["b", "c", "a", "d"]
 
 
+def test_format_numbers(spark):
+    from quantis.operators import format_numbers
+
+    df = spark.createDataFrame([("c", 1234567.5, 2.5, None, 7)], "k string, a double, b double, c double, n long")
+    assert rows(format_numbers(df, 0)) == [("c", "1,234,568", "2", None, "7")]
+    assert rows(format_numbers(df, 1, skip=["n"]), "a", "n") == [("1,234,567.5", 7)]
+
+
 def test_catalog_union_of_sub_county_tables(spark):
     a = spark.createDataFrame([("i", "t")], "item_description_name_form_strength string, tab string")
     b = spark.createDataFrame([("j", "u", "Equipment")], "item_description_name_form_strength string, tab string, product_or_equipment string")
