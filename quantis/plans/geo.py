@@ -133,10 +133,10 @@ def requirements_by_ward(
         f = f.withColumn(VALUE, recomputed_value(NEW_PRICE))
     elif value != "stored":
         raise ValueError("value must be 'stored', 'recomputed' or 'new_price'")
+    # labels are cleaned on the aggregate (once per facility and tab, not
+    # per fact row); the pivot sums tabs that clean to the same label
     per_facility = (
-        f.withColumn("tab", clean_tab("tab"))
-        .groupBy(*FACILITY_KEY, "tab")
-        .agg(money_total(VALUE).alias(VALUE))
+        f.groupBy(*FACILITY_KEY, "tab").agg(money_total(VALUE).alias(VALUE)).withColumn("tab", clean_tab("tab"))
     )
     assigned = assign_ward(per_facility, hierarchy, overrides, broadcast=False)
     return crosstab(
