@@ -122,3 +122,29 @@ def test_keep_first_matches_brute_force(spark, data):
     for i, (g, k, _) in enumerate(data):
         first.setdefault(g, (g, i, k))
     assert got == sorted(first.values(), key=str)
+
+
+def test_one_county_reports_equal_the_all_county_reports(spark):
+    from quantis.plans import classify as C
+    from quantis.plans import geo as G
+    from quantis.plans import reports as R2
+
+    f = B.forecasts(spark, SF_SMALL)
+    cls = B.product_classifications(spark, SF_SMALL)
+    nc = B.new_product_categorization(spark, SF_SMALL)
+    cases = {
+        "by_product_or_equipment": lambda c: C.by_product_or_equipment(f, cls, county=c),
+        "by_ven": lambda c: C.by_ven(f, nc, county=c),
+        "rmnch_share": lambda c: R2.rmnch_share(f, cls, county=c),
+        "rmnch_summary": lambda c: R2.rmnch_summary(f, cls, county=c),
+        "top_products": lambda c: R2.top_products(f, 5, county=c),
+        "top_categories": lambda c: R2.top_categories(f, cls, 10, county=c),
+        "top_categories_by_ven": lambda c: R2.top_categories_by_ven(f, cls, nc, 10, county=c),
+        "county_grand_total": lambda c: R2.county_grand_total(f, county=c),
+        "distinct_org_units": lambda c: G.distinct_org_units(f, county=c),
+    }
+    for name, rep in cases.items():
+        one = sorted(rows(rep(" middle EAST ")), key=str)
+        assert one, name
+        allc = sorted(rows(rep(None).where(F.col("county") == "Middle East")), key=str)
+        assert one == allc, name
