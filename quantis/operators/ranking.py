@@ -8,7 +8,8 @@ Scale notes (checked with ``explain``):
 * ``top_n`` uses ``rank()/row_number() <= n`` over a window; Spark inserts
   a ``WindowGroupLimit`` before the shuffle, so each map task forwards at
   most ``n`` (plus ties) rows per group and a hot group never lands whole
-  in one task.
+  in one task.  Without groups the cut value comes from
+  ``orderBy().limit(n)`` and one filter, never a single-partition window.
 * ``first_n`` is ``orderBy().limit()`` -> ``TakeOrderedAndProject``:
   per-partition top-k, then a merge of ``n`` rows per partition.
 * ``keep_first`` is an aggregate (``min_by`` over a struct), which is
