@@ -13,6 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from quantis.functions.text import (
     SUB_COUNTY_SUFFIX,
@@ -48,7 +49,9 @@ def flatten_hierarchy(org_units: DataFrame, counties: DataFrame) -> DataFrame:
     three levels below the given counties (``counties`` from
     :func:`resolve_county_id`); every `` Ward`` / `` Sub County`` is removed
     from the names; distinct rows."""
-    ou = org_units.select("id", "name", "parent_id")
+    # the tree is read at every level: cache it (a registry-sized
+    # dimension) so one query evaluates it once, not four times
+    ou = org_units.select("id", "name", "parent_id").persist(StorageLevel.MEMORY_AND_DISK)
     subs = ou.join(counties, ou.parent_id == counties.county_id).select(
         F.col("id").alias("sub_id"), F.col("name").alias("sub_name"), "county"
     )
