@@ -3,7 +3,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from quantis.operators.columns import clean_names, drop_range, relocate, snake_case
 from quantis.plans import workload as W
