@@ -32,4 +32,21 @@ SELECT s.doc_id, s.size, p.source_size, p.target,
 FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_mix_sources": OP4}
+OP1 = r"""
+WITH worded AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT r, unnest(range(1, len(words) - 33)) AS s, words FROM worded WHERE len(words) >= 35),
+named AS (SELECT r, s, md5(array_to_string(words[s:s + 34], ' ')) AS w FROM windows),
+repeated AS (SELECT r, s FROM named QUALIFY count(*) OVER (PARTITION BY w) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(s, s + 35)) AS p FROM repeated),
+placed AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM worded),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+  FROM placed ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM worded LEFT JOIN kept USING (r)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1, "op4_mix_sources": OP4}

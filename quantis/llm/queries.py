@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quantis.llm import mixing
+from quantis.llm import mixing, substring
 from quantis.llm.oracles import ORACLE_SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op4_mix_sources": op4_mix_sources,
 }
