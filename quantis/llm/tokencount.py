@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantis.llm.wordbatch import texts
+from quantis.llm.wordbatch import texts, utf8
 
 # The pre-split of byte-level BPE tokenizers.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -150,7 +150,7 @@ def _count(path: str):
             column = texts(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("id"), pa.array(np.diff(np.frombuffer(column.buffers()[1], np.int64)[: len(column) + 1]), pa.int64()),
+                    batch.column("id"), pa.array(np.diff(utf8(column)[1]), pa.int64()),
                     pa.array([count(t.as_py()) for t in column], pa.int64()),
                 ],
                 names=["id", "n_bytes", "n_tokens"],
