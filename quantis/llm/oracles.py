@@ -49,4 +49,25 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
 FROM worded LEFT JOIN kept USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": OP1, "op4_mix_sources": OP4}
+OP2 = r"""
+WITH RECURSIVE worded AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+shingles AS (
+  SELECT r, md5(array_to_string(words[s:s + 3], ' ')) AS w
+  FROM (SELECT r, words, unnest(range(1, greatest(len(words) - 2, 2))) AS s FROM worded WHERE len(words) > 0) GROUP BY ALL),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.w = b.w AND a.r < b.r GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT r, r AS other FROM worded UNION SELECT reach.r, b FROM reach JOIN both_ways ON a = other),
+named AS (SELECT reach.r, min(o.doc_id) AS component_id FROM reach JOIN worded o ON o.r = other GROUP BY reach.r)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, coalesce(doc_id = component_id, false) AS kept
+FROM worded JOIN named USING (r) LEFT JOIN sizes USING (r)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_minhash_near_dedup": OP2, "op1_substring_dedup": OP1, "op4_mix_sources": OP4}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantis.llm import bpe, mixing, rules, substring, tokencount
+from quantis.llm import bpe, mixing, neardup, rules, substring, tokencount
 from quantis.llm.oracles import ORACLE_SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = neardup.classes(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -46,6 +52,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_quality_rules": op9_quality_rules,
