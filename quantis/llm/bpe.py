@@ -25,7 +25,6 @@ empty result.  Extra columns are not read.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import os
 from collections.abc import Iterator
@@ -33,14 +32,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quantis.llm.units import Unit, units
 from quantis.llm.vocabulary import take_spans
-from quantis.llm.wordbatch import U64, Words, split_words, word_hash
 
-UNIT_BYTES = 16 << 20
 #: Buckets of distinct words: fewest, and texts for each further one.
 LEAST_BUCKETS, TEXTS_A_BUCKET = 64, 4_000
 
@@ -78,74 +75,40 @@ def pieces(path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(body), np.uint8), np.concatenate([[0], np.cumsum([len(b) for b in body])])
 
 
-class Unit:
-    """Texts of one task, about ``UNIT_BYTES`` long, with their distinct words
-    numbered by bucket and hash."""
-
-    def __init__(self, name: bytes, slices: list[tuple[pa.RecordBatch, Words]], buckets: int):
-        self.slices = slices
-        h = np.concatenate([word_hash(w) for _, w in slices])
-        self.name = name + hashlib.md5(h.tobytes()).digest()
-        u, first, where = np.unique(h, return_index=True, return_inverse=True)
-        bucket = (u % U64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        self.bucket, self.first = bucket[order], first[order]
-        number = np.empty(len(u), np.int64)
-        number[order] = np.arange(len(u))
-        self.word = number[where]
-
-    def words(self) -> Iterator[tuple[int, int, bytes]]:
-        """For each bucket: bucket, number of its first word, joined words."""
-        shift = np.concatenate([[0], np.cumsum([len(w.data) + 1 for _, w in self.slices])])
-        data = np.concatenate([np.append(w.data, np.uint8(0x20)) for _, w in self.slices])
-        start = np.concatenate([w.start + s for (_, w), s in zip(self.slices, shift[:-1], strict=True)])[self.first]
-        end = np.concatenate([w.end + s for (_, w), s in zip(self.slices, shift[:-1], strict=True)])[self.first]
-        body, off = take_spans(data, start, end + 1)
-        body[off[1:] - 1] = 0x20
-        cut = np.flatnonzero(np.concatenate([[True], self.bucket[1:] != self.bucket[:-1], [True]])) if len(self.bucket) else []
-        for a, b in zip(cut[:-1], cut[1:], strict=True):
-            yield int(self.bucket[a]), int(a), body[off[a] : off[b] - 1].tobytes()
-
-    def texts(self) -> Iterator[pa.RecordBatch]:
-        """One row for each text: its id and its words' numbers, in planes of
-        one byte (three, or four beyond 2**24 words)."""
-        planes = 3 if len(self.first) < 1 << 24 else 4
-        at = 0
-        for batch, w in self.slices:
-            raw = self.word[at : at + len(w.start)].astype("<u4").view(np.uint8).reshape(-1, 4)[:, :planes]
-            at += len(w.start)
-            rows = [np.ascontiguousarray(raw[a:b].T).tobytes() for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([self.name] * w.n_docs, pa.binary()), batch.column("id").slice(w.row, w.n_docs),
-                    pa.array([planes] * w.n_docs, pa.int32()), pa.array(rows, pa.binary()),
-                ],
-                names=["unit", "id", "planes", "numbers"],
-            )
-
-
-def units(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[Unit]:
-    context = TaskContext.get()
-    held, size, n = [], 0, 0
-
-    def unit() -> Unit:
-        return Unit(f"{context.partitionId() if context else 0}-{n}-".encode(), held, buckets)
-
-    for batch in batches:
-        for w in split_words(batch.column("text")):
-            held.append((batch, w))
-            size += len(w.data)
-            if size >= UNIT_BYTES:
-                yield unit()
-                held, size, n = [], 0, n + 1
-    if held:
-        yield unit()
+def unit_words(u: Unit) -> Iterator[tuple[int, int, bytes]]:
+    """For each bucket: bucket, number of its first word, joined words."""
+    shift = np.concatenate([[0], np.cumsum([len(w.data) + 1 for _, w in u.slices])])[:-1]
+    data = np.concatenate([np.append(w.data, np.uint8(0x20)) for _, w in u.slices])
+    start = np.concatenate([w.start + s for (_, w), s in zip(u.slices, shift, strict=True)])[u.first]
+    end = np.concatenate([w.end + s for (_, w), s in zip(u.slices, shift, strict=True)])[u.first]
+    body, off = take_spans(data, start, end + 1)
+    body[off[1:] - 1] = 0x20
+    for bucket, a, b in u.by_bucket():
+        yield bucket, a, body[off[a] : off[b] - 1].tobytes()
+
+
+def unit_texts(u: Unit) -> Iterator[pa.RecordBatch]:
+    """One row for each text: its id and its words' numbers, in planes of one
+    byte (three, or four beyond 2**24 words)."""
+    planes = 3 if len(u.first) < 1 << 24 else 4
+    at = 0
+    for batch, w in u.slices:
+        raw = u.word[at : at + len(w.start)].astype("<u4").view(np.uint8).reshape(-1, 4)[:, :planes]
+        at += len(w.start)
+        rows = [np.ascontiguousarray(raw[a:b].T).tobytes() for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([u.name] * w.n_docs, pa.binary()), batch.column("id").slice(w.row, w.n_docs),
+                pa.array([planes] * w.n_docs, pa.int32()), pa.array(rows, pa.binary()),
+            ],
+            names=["unit", "id", "planes", "numbers"],
+        )
 
 
 def _distinct(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for u in units(batches, buckets):
-            rows = list(u.words())
+            rows = list(unit_words(u))
             yield pa.RecordBatch.from_pydict(
                 {
                     "bucket": pa.array([r[0] for r in rows], pa.int32()), "unit": pa.array([u.name] * len(rows), pa.binary()),
@@ -159,7 +122,7 @@ def _distinct(buckets: int):
 def _positions(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for u in units(batches, buckets):
-            yield from u.texts()
+            yield from unit_texts(u)
 
     return run
 

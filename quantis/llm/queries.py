@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantis.llm import bpe, mixing, neardup, rules, substring, tokencount
+from quantis.llm import bpe, mixing, neardup, rules, substring, suffixtree, tokencount
 from quantis.llm.oracles import ORACLE_SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
+def op3_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtree.score(table(spark, sf_dir, "documents"), folds=10)
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_suffix_tree_score": op3_suffix_tree_score,
     "op4_mix_sources": op4_mix_sources,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_quality_rules": op9_quality_rules,
