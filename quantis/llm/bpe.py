@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import json
 import os
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,9 +36,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quantis.llm.substring import binary_rows
 from quantis.llm.units import Unit, units
 from quantis.llm.vocabulary import take_spans
 
+#: Bytes of decoded text in an Arrow batch, about.
+TEXT_BYTES = 16 << 20
 #: Buckets of distinct words: fewest, and texts for each further one.
 LEAST_BUCKETS, TEXTS_A_BUCKET = 64, 4_000
 
@@ -84,24 +88,26 @@ def unit_words(u: Unit) -> Iterator[tuple[int, int, bytes]]:
     body, off = take_spans(data, start, end + 1)
     body[off[1:] - 1] = 0x20
     for bucket, a, b in u.by_bucket():
-        yield bucket, a, body[off[a] : off[b] - 1].tobytes()
+        yield bucket, a, zlib.compress(body[off[a] : off[b] - 1].tobytes(), 1)
 
 
 def unit_texts(u: Unit) -> Iterator[pa.RecordBatch]:
-    """One row for each text: its id and its words' numbers, in planes of one
-    byte (three, or four beyond 2**24 words)."""
+    """One row for each slice of texts: their ids, their numbers of words, and
+    the words' numbers as compressed planes of one byte (three, or four beyond
+    2**24 words)."""
     planes = 3 if len(u.first) < 1 << 24 else 4
     at = 0
     for batch, w in u.slices:
         raw = u.word[at : at + len(w.start)].astype("<u4").view(np.uint8).reshape(-1, 4)[:, :planes]
         at += len(w.start)
-        rows = [np.ascontiguousarray(raw[a:b].T).tobytes() for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
+        ids = batch.column("id").slice(w.row, w.n_docs)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([u.name] * w.n_docs, pa.binary()), batch.column("id").slice(w.row, w.n_docs),
-                pa.array([planes] * w.n_docs, pa.int32()), pa.array(rows, pa.binary()),
+                pa.array([u.name], pa.binary()), pa.ListArray.from_arrays(pa.array([0, w.n_docs], pa.int32()), ids),
+                pa.array([np.diff(w.first).astype("<u4").tobytes()], pa.binary()), pa.array([planes], pa.int32()),
+                pa.array([zlib.compress(np.ascontiguousarray(raw.T).tobytes(), 1)], pa.binary()),
             ],
-            names=["unit", "id", "planes", "numbers"],
+            names=["unit", "ids", "sizes", "planes", "numbers"],
         )
 
 
@@ -131,20 +137,20 @@ def _encode_words(path: str):
     """Encodes each distinct word of a bucket once; answers every unit."""
 
     def run(table: pa.Table) -> pa.Table:
-        lists = [b.decode().split(" ") for b in table["words"].to_pylist()]
+        lists = [zlib.decompress(b).decode().split(" ") for b in table["words"].to_pylist()]
         distinct = list(dict.fromkeys(word for words in lists for word in words))
         ids: dict[str, bytes] = {}
         for a in range(0, len(distinct), 50_000):
             part = distinct[a : a + 50_000]
             for word, e in zip(part, tokenizer(path).encode_batch_fast(part, add_special_tokens=False), strict=True):
                 ids[word] = np.array(e.ids, "<u4").tobytes()
-        found = [[ids[word] for word in words] for words in lists]
+        sizes, bodies = [], []
+        for words in lists:
+            found = [ids[word] for word in words]
+            sizes.append(zlib.compress(np.array([len(x) // 4 for x in found], "<u4").tobytes(), 1))
+            bodies.append(zlib.compress(b"".join(found), 1))
         return pa.table(
-            {
-                "unit": table["unit"], "first": table["first"],
-                "sizes": pa.array([np.array([len(x) // 4 for x in f], "<u4").tobytes() for f in found], pa.binary()),
-                "ids": pa.array([b"".join(f) for f in found], pa.binary()),
-            }
+            {"unit": table["unit"], "first": table["first"], "sizes": pa.array(sizes, pa.binary()), "ids": pa.array(bodies, pa.binary())}
         )
 
     return run
@@ -153,19 +159,22 @@ def _encode_words(path: str):
 def _replace(texts: pa.Table, words: pa.Table) -> pa.Table:
     """Ids of a unit's texts: word numbers replaced by their words' ids."""
     words = words.sort_by("first")
-    sizes = [np.frombuffer(b, "<u4") for b in words["sizes"].to_pylist()]
+    sizes = [np.frombuffer(zlib.decompress(b), "<u4") for b in words["sizes"].to_pylist()]
     expected = np.cumsum([0] + [len(s) for s in sizes])[:-1]
     size = np.concatenate([np.zeros(0, "<u4"), *sizes]).astype(np.int64)
-    ids = np.frombuffer(b"".join(words["ids"].to_pylist()), "<u4")
+    ids = np.frombuffer(b"".join(map(zlib.decompress, words["ids"].to_pylist())), "<u4")
     off = np.concatenate([[0], np.cumsum(size)])
     out = []
-    for planes, raw in zip(texts["planes"].to_pylist(), texts["numbers"].to_pylist(), strict=True):
-        part = np.frombuffer(raw, np.uint8).reshape(planes, -1)
-        number = sum(part[k].astype(np.int64) << (8 * k) for k in range(planes))
+    for row in range(len(texts)):
+        planes = texts["planes"][row].as_py()
+        raw = np.frombuffer(zlib.decompress(texts["numbers"][row].as_py()), np.uint8).reshape(planes, -1)
+        number = sum(raw[k].astype(np.int64) << (8 * k) for k in range(planes))
         if not np.array_equal(expected, words["first"].to_numpy()) or (len(number) and number.max() >= len(size)):
             raise RuntimeError("the texts were not the same when read again; write them to a table before encoding")
-        out.append(take_spans(ids, off[number], off[number + 1])[0].tobytes())
-    return pa.table({"id": texts["id"], "ids": pa.array(out, pa.binary())})
+        body, place = take_spans(ids, off[number], off[number + 1])
+        ends = np.cumsum(np.frombuffer(texts["sizes"][row].as_py(), "<u4"), dtype=np.int64)
+        out.append(pa.table({"id": texts["ids"][row].values, "ids": binary_rows(body, place[np.concatenate([[0], ends])])}))
+    return pa.concat_tables(out)
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", packed: bool = False) -> DataFrame:
@@ -177,7 +186,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     buckets = max(LEAST_BUCKETS, narrow.count() // TEXTS_A_BUCKET)
     asked = narrow.mapInArrow(_distinct(buckets), "bucket int, unit binary, first int, words binary")
     answers = asked.groupBy("bucket").applyInArrow(_encode_words(path), "unit binary, first int, sizes binary, ids binary")
-    places = narrow.mapInArrow(_positions(buckets), f"unit binary, id {kind}, planes int, numbers binary")
+    places = narrow.mapInArrow(_positions(buckets), f"unit binary, ids array<{kind}>, sizes binary, planes int, numbers binary")
     found = places.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(_replace, f"id {kind}, ids binary")
     if not packed:
         found = found.mapInArrow(_unpack, f"id {kind}, ids array<int>")
@@ -193,13 +202,15 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, off = pieces(path)
-        for batch in batches:
-            out = []
-            for x in batch.column("ids"):
-                raw = x.as_py()
-                ids = np.frombuffer(raw, "<u4") if isinstance(raw, bytes) else np.array(raw or [], np.int64)
-                out.append(take_spans(data, off[ids], off[ids + 1])[0][:-1].tobytes().decode())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "decoded"])
+        for whole in batches:
+            step = max(1, len(whole) * TEXT_BYTES // (1 + 4 * whole.column("ids").nbytes))
+            for a in range(0, len(whole), step):  # decoded texts are several times as long
+                batch, out = whole.slice(a, step), []
+                for x in batch.column("ids"):
+                    raw = x.as_py()
+                    ids = np.frombuffer(raw, "<u4") if isinstance(raw, bytes) else np.array(raw or [], np.int64)
+                    out.append(take_spans(data, off[ids], off[ids + 1])[0][:-1].tobytes().decode())
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return run
 

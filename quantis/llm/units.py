@@ -16,7 +16,7 @@ from pyspark import TaskContext
 
 from quantis.llm.wordbatch import U64, Words, split_words, word_hash
 
-UNIT_BYTES = 16 << 20
+UNIT_BYTES = 8 << 20
 
 
 class Unit:
@@ -31,8 +31,8 @@ class Unit:
         bucket = (u % U64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         self.hash, self.bucket, self.first = u[order], bucket[order], first[order]
-        number = np.empty(len(u), np.int64)
-        number[order] = np.arange(len(u))
+        number = np.empty(len(u), np.int32)
+        number[order] = np.arange(len(u), dtype=np.int32)
         self.word = number[where]
 
     def by_bucket(self) -> Iterator[tuple[int, int, int]]:
