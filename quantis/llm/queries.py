@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantis.llm import bpe, mixing, neardup, rules, substring, suffixtree, tokencount
+from quantis.llm import bpe, mixing, neardup, quality, rules, substring, suffixtree, tokencount
 from quantis.llm.oracles import ORACLE_SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,15 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model, keep=["doc_id"]).select(
+        "row.doc_id", quality.held_out(F.col("row.doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), tokenizer, packed=True), tokenizer)
@@ -59,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_suffix_tree_score": op3_suffix_tree_score,
     "op4_mix_sources": op4_mix_sources,
+    "op5_quality_classifier": op5_quality_classifier,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
