@@ -70,4 +70,19 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, coale
 FROM worded JOIN named USING (r) LEFT JOIN sizes USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_minhash_near_dedup": OP2, "op1_substring_dedup": OP1, "op4_mix_sources": OP4}
+OP6 = r"""
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id != c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score
+FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_mtree_top_k": OP6, "op2_minhash_near_dedup": OP2, "op1_substring_dedup": OP1, "op4_mix_sources": OP4}
