@@ -325,7 +325,8 @@ def classes(
     between = cut(part_links(clusters, components(near, "a", "b"), found, shingle, percent))
     labels = components(near.union(between), "a", "b")
     labelled = signed.drop("sign").join(labels, "node", "left").withColumn("class", F.coalesce("label", "node"))
-    names = labelled.filter("class is not null").groupBy("class").agg(F.min("id").alias("name"))
+    # written, so that the join reads it through an exchange of its own and a hot class can be split
+    names = cut(labelled.filter("class is not null").groupBy("class").agg(F.min("id").alias("name")))
     out = labelled.join(names, "class", "left")
     return out.select(
         F.col("id").alias(id_col), "n_shingles",
