@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantis.llm import bpe, mixing, mtree, neardup, quality, rules, substring, suffixtree, tokencount
+from quantis.llm import bpe, mixing, mtree, neardup, pii, quality, rules, substring, suffixtree, tokencount
 from quantis.llm.oracles import ORACLE_SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,11 @@ def op6_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(rows, rows.filter("vec_id % 50 = 0"), k=5, scale=256)
 
 
+def op7_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.extract(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), tokenizer, packed=True), tokenizer)
@@ -75,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op4_mix_sources": op4_mix_sources,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_mtree_top_k": op6_mtree_top_k,
+    "op7_pii_bootstrap": op7_pii_bootstrap,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
