@@ -2,26 +2,56 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each result as Parquet in the shared checkpoint folder and rereads it as the
-next stage's documents.
+next stage's documents.  All stages but the last return the columns of
+documents, and whatever further columns the documents have pass through them.
 """
 
 from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quantis.llm import mixing
+from quantis.llm import bpe, mixing, neardup, pii, quality
 from quantis.llm.work import checkpoint_dir
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts (operator 5)."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (operator 2): word
+    5-grams, similarity of 0.8 or more."""
+    return neardup.one_of_each(docs, shingle=5, percent=80)
+
+
+def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind (operator 7)."""
+    clean = pii.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them (operator 4)."""
     return mixing.mix(docs)
 
 
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, token ids, their number, and the text they decode to
+    (operator 8)."""
+    return bpe.encoded_rows(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
+    ("quality_classifier", good),
+    ("minhash_near_dedup", distinct),
+    ("pii", without_pii),
     ("mixing_sources", mixed),
+    ("bpe", encoded),
 ]
 
 #: The learned stages cannot be expressed in SQL: see tests/llm/test_pipeline.py.

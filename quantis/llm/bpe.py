@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantis.llm.substring import binary_rows
+from quantis.llm.substring import binary_rows, binary_values
 from quantis.llm.units import Unit, units
 from quantis.llm.vocabulary import take_spans
 
@@ -195,8 +195,9 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [np.frombuffer(b, "<u4").astype(np.int32) for b in batch.column("ids").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(rows, pa.list_(pa.int32()))], names=["id", "ids"])
+        values, n = binary_values(batch.column("ids"), "<u4")
+        ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(values.astype(np.int32)))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:1], ids, *batch.columns[2:]], names=batch.schema.names)
 
 
 def _decode(path: str):
@@ -220,3 +221,13 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     (these tokenizers have no decoder of their own)."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(_decode(path), f"{schema}, decoded string")
+
+
+def encoded_rows(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, source, ``ids`` (array of int), ``n_tokens`` and ``decoded`` of
+    each document."""
+    named = docs.select(F.struct("doc_id", "source").alias("row"), F.col("text").alias("text"))
+    out = decode(encode(named, path, "row", "text", packed=True), path)
+    kind = out.schema["row"].dataType.simpleString()
+    opened = out.mapInArrow(_unpack, f"row {kind}, ids array<int>, decoded string")
+    return opened.select("row.doc_id", "row.source", "ids", F.size("ids").cast("long").alias("n_tokens"), "decoded")

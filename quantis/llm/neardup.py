@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quantis.llm.components import components
 from quantis.llm.wordbatch import U64, Words, mix, run_hash, span_hash, split_words, word_hash
@@ -177,6 +178,19 @@ def _node_texts(shingle: int):
     return run
 
 
+def _node_rows(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for w in split_words(batch.column("text"), lower=True):
+                node = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets(w, shingle)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row").slice(w.row, w.n_docs), batch.column("id").slice(w.row, w.n_docs), pa.array(node, pa.binary())],
+                    names=["row", "id", "node"],
+                )
+
+    return run
+
+
 def candidate_texts(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """One text for each wanted node, with its signature.
 
@@ -332,3 +346,35 @@ def classes(
         F.col("id").alias(id_col), "n_shingles",
         F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("name")).alias("component_id"), "node", "class",
     )
+
+
+def one_of_each(
+    docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One document of each class, with its columns: the one with the least id
+    (an id before none; of equal rows with that id, one).
+
+    A document with an empty set is alone in its class and stays; equal rows
+    of such documents all stay."""
+    found = classes(docs, shingle, percent, id_col, text_col)
+    members = found.filter(F.col("class").isNotNull())
+    first = cut(members.groupBy("class").agg(F.min(id_col).alias("chosen")))
+    # the class's first id with its set; a class of null ids alone is represented by its least set
+    named = members.join(first, "class").filter(F.col(id_col).eqNullSafe(F.col("chosen")))
+    winners = cut(named.groupBy("class").agg(F.min(F.struct("node")).alias("w"), F.first("chosen").alias("chosen")))
+    return _rows_of(docs, winners.select("chosen", F.col("w.node").alias("node")), shingle, id_col, text_col)
+
+
+def _rows_of(docs: DataFrame, winners: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """One row of ``docs`` for each (id, set) of ``winners``, and all rows
+    with an empty set."""
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
+    )
+    schema = StructType().add(packed.schema["row"]).add(packed.schema["id"]).add("node", "binary")
+    named = packed.mapInArrow(_node_rows(shingle), schema)
+    empty = named.filter("node is null").select("row")
+    chosen = winners.select(F.col("chosen"), F.col("node").alias("set"))
+    same = named.filter("node is not null").join(chosen, (F.col("node") == F.col("set")) & F.col("id").eqNullSafe(F.col("chosen")))
+    single = same.groupBy("node").agg(F.first("row").alias("row")).select("row")
+    return single.union(empty).select("row.*")
