@@ -40,7 +40,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from quantis.llm.substring import joined
 from quantis.llm.units import units
@@ -136,40 +135,41 @@ def _runs(symbol: np.ndarray):
     return run
 
 
-def states(texts: DataFrame, symbol: np.ndarray) -> DataFrame:
-    """Next-symbol counts of the retained contexts: depth, context, next, n."""
+def frequent(texts: DataFrame, symbol: np.ndarray) -> list[DataFrame]:
+    """For each context length: run, n, context and its total, of the contexts
+    that make up at least ``RARE`` of all places (at most 1 / RARE contexts,
+    so the totals may be broadcast)."""
     runs = texts.mapInArrow(_runs(symbol), "run long, n long")
     level = cut(runs.groupBy("run").agg(F.sum("n").alias("n")))
-    levels = {}
+    places = level.agg(F.sum("n")).first()[0] or 0
+    found: list[DataFrame] = []
     for k in range(DEPTH, -1, -1):
         if k < DEPTH:
-            level = cut(level.groupBy(F.col("run").bitwiseAND((1 << (BITS * (k + 1))) - 1).alias("run")).agg(F.sum("n").alias("n")))
-        levels[k] = level
-    places = levels[0].agg(F.sum("n")).first()[0] or 0
-    shares = {}
-    for k, table in levels.items():
-        with_total = table.withColumn("context", F.shiftrightunsigned("run", BITS)).withColumn(
-            "total", F.sum("n").over(W.partitionBy("context"))
-        )
-        shares[k] = with_total.filter(F.col("total") >= RARE * places)
+            shorter = F.col("run").bitwiseAND((1 << (BITS * (k + 1))) - 1)
+            level = cut(level.groupBy(shorter.alias("run")).agg(F.sum("n").alias("n")))
+        context = F.shiftrightunsigned("run", BITS)
+        totals = level.groupBy(context.alias("context")).agg(F.sum("n").alias("total")).filter(F.col("total") >= RARE * places)
+        found.insert(0, cut(level.withColumn("context", context).join(F.broadcast(totals), "context").select("run", "n", "context", "total")))
+    return found
+
+
+def states(texts: DataFrame, symbol: np.ndarray) -> DataFrame:
+    """Next-symbol counts of the retained contexts: depth, context, next, n."""
+    shares = frequent(texts, symbol)
     kept = []
     for k in range(1, DEPTH + 1):
-        shorter = shares[k - 1].select(F.col("run").alias("short"), (F.col("n") / F.col("total")).alias("expected"))
-        mask = (1 << (BITS * k)) - 1
-        both = shares[k].withColumn("short", F.col("run").bitwiseAND(mask)).join(shorter, "short")
+        expected = shares[k - 1].select(F.col("run").alias("short"), (F.col("n") / F.col("total")).alias("expected"))
+        both = shares[k].withColumn("short", F.col("run").bitwiseAND((1 << (BITS * k)) - 1)).join(expected, "short")
         gain = both.groupBy("context").agg(
             F.sum(F.col("n") * F.log2(F.col("n") / F.col("total") / F.col("expected"))).alias("gain"),
             F.count(F.lit(1)).alias("m"), F.first("total").alias("total"),
         )
-        far = gain.filter(F.col("gain") > (F.col("m") - 1) / 2 * F.log2("total") + 1)
+        far = cut(gain.filter(F.col("gain") > (F.col("m") - 1) / 2 * F.log2("total") + 1).select("context"))
         for j in range(1, k + 1):  # a state and its shorter contexts
             kept.append(far.select(F.lit(j).alias("depth"), F.col("context").bitwiseAND((1 << (BITS * j)) - 1).alias("context")))
     retained = reduce(DataFrame.union, kept).distinct()
-    counts = reduce(
-        DataFrame.union, [t.select(F.lit(k).alias("depth"), "context", "run", "n") for k, t in shares.items()]
-    )
-    root = counts.filter("depth = 0")
-    chosen = counts.join(retained, ["depth", "context"], "left_semi").union(root)
+    counts = reduce(DataFrame.union, [t.select(F.lit(k).alias("depth"), "context", "run", "n") for k, t in enumerate(shares)])
+    chosen = counts.filter("depth > 0").join(retained, ["depth", "context"], "left_semi").union(counts.filter("depth = 0"))
     return chosen.select("depth", "context", F.col("run").bitwiseAND(SYMBOLS - 1).alias("next"), "n")
 
 
