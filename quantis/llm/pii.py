@@ -210,7 +210,9 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             _listed(F.col("first")).alias("base_spans"), _listed(F.col("all")).alias("spans"),
         )
     )
-    named = docs.select(F.col(id_col), F.when(F.col(text_col).rlike(NEEDED), row_key(id_col, text_col)).alias("key"))
+    # rows without a candidate find nothing; a key of their own spreads them over the tasks of the join
+    apart = F.concat(F.lit("none "), F.xxhash64(F.col(id_col), F.col(text_col)).cast("string"))
+    named = docs.select(F.col(id_col), F.when(F.col(text_col).rlike(NEEDED), row_key(id_col, text_col)).otherwise(apart).alias("key"))
     out = named.join(listed, "key", "left")
     return out.select(
         id_col, *[F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS],
