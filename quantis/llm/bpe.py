@@ -71,7 +71,6 @@ def check_kind(path: str) -> None:
         raise ValueError(f"texts of this tokenizer cannot be encoded word by word: {path}")
 
 
-@lru_cache(maxsize=4)
 def pieces(path: str) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 of every id's piece with a space after it, and where each begins."""
     found = tokenizer(path)
@@ -200,9 +199,9 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:1], ids, *batch.columns[2:]], names=batch.schema.names)
 
 
-def _decode(path: str):
+def _decode(table, unpack: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, off = pieces(path)
+        data, off = table.value
         for whole in batches:
             step = max(1, len(whole) * TEXT_BYTES // (1 + 4 * whole.column("ids").nbytes))
             for a in range(0, len(whole), step):  # decoded texts are several times as long
@@ -211,23 +210,29 @@ def _decode(path: str):
                     raw = x.as_py()
                     ids = np.frombuffer(raw, "<u4") if isinstance(raw, bytes) else np.array(raw or [], np.int64)
                     out.append(take_spans(data, off[ids], off[ids + 1])[0][:-1].tobytes().decode())
+                if unpack:
+                    batch = next(_unpack(iter([batch])))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "decoded"])
 
     return run
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
+def decode(encoded: DataFrame, path: str, unpack: bool = False) -> DataFrame:
     """Adds ``decoded``, the pieces of the column ``ids`` joined by a space
-    (these tokenizers have no decoder of their own)."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.mapInArrow(_decode(path), f"{schema}, decoded string")
+    (these tokenizers have no decoder of their own); ``unpack`` turns packed
+    ids into arrays of int.  The vocabulary's pieces (about a megabyte) are
+    broadcast; workers need no tokenizer."""
+    table = encoded.sparkSession.sparkContext.broadcast(pieces(path))
+    kinds = {f.name: f.dataType.simpleString() for f in encoded.schema.fields}
+    if unpack:
+        kinds["ids"] = "array<int>"
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in kinds.items())
+    return encoded.mapInArrow(_decode(table, unpack), f"{schema}, decoded string")
 
 
 def encoded_rows(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, source, ``ids`` (array of int), ``n_tokens`` and ``decoded`` of
     each document."""
     named = docs.select(F.struct("doc_id", "source").alias("row"), F.col("text").alias("text"))
-    out = decode(encode(named, path, "row", "text", packed=True), path)
-    kind = out.schema["row"].dataType.simpleString()
-    opened = out.mapInArrow(_unpack, f"row {kind}, ids array<int>, decoded string")
-    return opened.select("row.doc_id", "row.source", "ids", F.size("ids").cast("long").alias("n_tokens"), "decoded")
+    out = decode(encode(named, path, "row", "text", packed=True), path, unpack=True)
+    return out.select("row.doc_id", "row.source", "ids", F.size("ids").cast("long").alias("n_tokens"), "decoded")

@@ -178,14 +178,13 @@ def _node_texts(shingle: int):
     return run
 
 
-def _node_rows(shingle: int):
+def _node_rows(shingle: int, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for w in split_words(batch.column("text"), lower=True):
+            for w in split_words(batch.column("row").field(text_col), lower=True):
                 node = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets(w, shingle)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").slice(w.row, w.n_docs), batch.column("id").slice(w.row, w.n_docs), pa.array(node, pa.binary())],
-                    names=["row", "id", "node"],
+                    [batch.column("row").slice(w.row, w.n_docs), pa.array(node, pa.binary())], names=["row", "node"]
                 )
 
     return run
@@ -368,13 +367,11 @@ def one_of_each(
 def _rows_of(docs: DataFrame, winners: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
     """One row of ``docs`` for each (id, set) of ``winners``, and all rows
     with an empty set."""
-    packed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
-    )
-    schema = StructType().add(packed.schema["row"]).add(packed.schema["id"]).add("node", "binary")
-    named = packed.mapInArrow(_node_rows(shingle), schema)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    schema = StructType().add(packed.schema["row"]).add("node", "binary")
+    named = packed.mapInArrow(_node_rows(shingle, text_col), schema)
     empty = named.filter("node is null").select("row")
     chosen = winners.select(F.col("chosen"), F.col("node").alias("set"))
-    same = named.filter("node is not null").join(chosen, (F.col("node") == F.col("set")) & F.col("id").eqNullSafe(F.col("chosen")))
+    same = named.filter("node is not null").join(chosen, (F.col("node") == F.col("set")) & F.col("row")[id_col].eqNullSafe(F.col("chosen")))
     single = same.groupBy("node").agg(F.first("row").alias("row")).select("row")
     return single.union(empty).select("row.*")

@@ -196,10 +196,11 @@ def learn(
     return fit(x[positive], x[~positive])
 
 
-def _score(model):
+def _score(model, text_col: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.value.score(features(w)) for w in split_words(batch.column("text"))]
+            text = batch.column("text") if text_col is None else batch.column("row").field(text_col)
+            found = [model.value.score(features(w)) for w in split_words(text)]
             score = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(score)], names=["row", "score"])
 
@@ -210,10 +211,13 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str
     """``row`` (a struct of the columns ``keep``, all by default) and
     ``score`` of every document."""
     columns = docs.columns if keep is None else keep
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(text_col).alias("text"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    inside = text_col in columns  # then the text travels once
+    if inside:
+        packed = packed.drop("text")
     held = docs.sparkSession.sparkContext.broadcast(model)
     schema = StructType().add(packed.schema["row"]).add("score", "double")
-    return packed.mapInArrow(_score(held), schema)
+    return packed.mapInArrow(_score(held, text_col if inside else None), schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
