@@ -4,7 +4,8 @@
     python -m quantis by_product_or_equipment /root/testdata/sf0.01 /tmp/out [--county asia] [--format csv]
 
 The master and its settings come from the usual ``spark-submit`` / session
-configuration; run without one, a local session is started.
+configuration (a master that was submitted is kept); run without one, Spark
+starts its own local session.
 """
 
 from __future__ import annotations
@@ -33,20 +34,14 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if a.report not in QUERIES or not a.tables or not a.out:
         ap.error("need a known report, the tables directory and an output directory")
-    active = SparkSession.getActiveSession()
-    if active is None:
-        from quantis.session import local_session
-
-        spark = local_session()
-    else:
-        spark = active
+    spark = SparkSession.builder.appName("quantis").getOrCreate()
     df = QUERIES[a.report](spark, a.tables)
     if a.county:
         if "county" not in df.columns:
             ap.error(f"{a.report} has no county column")
         df = select_county(df, a.county)
     order = [c for c in a.order.split(",") if c]
-    write_report(df, a.out, fmt=a.format, per_county="county" in df.columns, order_by=order)
+    write_report(df, a.out, fmt=a.format, per_county="county" in df.columns and len(df.columns) > 1, order_by=order)
     return 0
 
 

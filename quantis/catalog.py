@@ -19,7 +19,9 @@ from quantis.plans import geo as G
 from quantis.plans import reports as R
 from quantis.plans import unify as U
 from quantis.plans import workload as W
+from quantis.plans.common import select_county
 from quantis.sources import binding as B
+from quantis.sources.readers import clear_plans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +31,14 @@ WORKLOAD_PERIOD = "2024"
 WORKLOAD_ELEMENTS = ("signup", "view", "click", "purchase")
 WORKLOAD_OWNERSHIPS = ("O0", "O1", "O2")
 WORKLOAD_LEVELS = ("K0", "K1", "K2", "K3", "K4")
+SOME_OWNERSHIPS = ("O0", "O2")
+SOME_LEVELS = ("K1", "K2", "K4")
+KEPH_LEVELS = tuple(f"KEPH Level {i}" for i in range(2, 7))
+# clean labels of the forecast tabs, in column order of the ward reports
+WARD_TABS = (
+    "3Oncology", "4Immunisation", "Dental", "Laboratory", "Maternity", "Non-Pharmaceuticals", "Nutrition", "Ophthalmology",
+    "Orthopaedics", "Pharmaceuticals", "Physiotherapy", "Radiology", "Renal", "Theatre",
+)
 LEVEL_OVERRIDES = {"77$": "KEPH Level 4"}
 SEARCH_PATTERN = "#0+1[0-9]$"
 SEARCH_SUB_COUNTY = "NATION_3"
@@ -79,12 +89,8 @@ def _products_tn(spark: SparkSession, base: str) -> DataFrame:
 _RAW: dict[str, Query] = {
     # P1 / P2 / P3 / P4
     "county_forecasts": lambda s, b: U.county_forecasts(B.forecasts(s, b), ONE_COUNTY),
-    "all_counties": lambda s, b: U.all_counties(
-        B.forecasts(s, b), B.forecasts_tn(s, b), B.product_classifications(s, b), B.DIVERGENT_COUNTY
-    ),
-    "county_summary": lambda s, b: R.county_summary(
-        U.all_counties(B.forecasts(s, b), B.forecasts_tn(s, b), B.product_classifications(s, b), B.DIVERGENT_COUNTY)
-    ),
+    "all_counties": lambda s, b: U.classified(B.harmonised(s, b), B.product_classifications(s, b)),
+    "county_summary": lambda s, b: R.county_summary(B.harmonised(s, b)),
     "distinct_counties": lambda s, b: U.distinct_counties(B.master(s, b)),
     # P5 / P6
     "by_product_or_equipment": lambda s, b: C.by_product_or_equipment(
@@ -93,6 +99,9 @@ _RAW: dict[str, Query] = {
     "by_product_or_equipment_tn": lambda s, b: C.by_product_or_equipment_tn(
         B.forecasts_tn(s, b), B.product_classifications(s, b)
     ),
+    "by_product_or_equipment_tn_measures": lambda s, b: C.by_product_or_equipment_tn_measures(
+        B.forecasts_tn(s, b), B.product_classifications(s, b)
+    ),
     # P7 / P8 / P9 / P10
     "resolve_ven_left": lambda s, b: C.resolve_ven(B.forecasts(s, b), B.new_product_categorization(s, b), "left"),
     "resolve_ven_inner": lambda s, b: C.resolve_ven(B.forecasts(s, b), B.new_product_categorization(s, b), "inner"),
@@ -110,16 +119,17 @@ _RAW: dict[str, Query] = {
     "rmnch_summary": lambda s, b: R.rmnch_summary(B.forecasts(s, b), B.product_classifications(s, b)),
     # P14 - P19
     "resolve_county_id": lambda s, b: G.resolve_county_id(B.org_units(s, b), B.ROOT_ID),
+    "resolve_one_county_id": lambda s, b: G.resolve_county_id(B.org_units(s, b), B.ROOT_ID, ONE_COUNTY),
     "flatten_hierarchy": _hierarchy,
     "assign_ward": _assigned,
     "requirements_by_ward": lambda s, b: G.requirements_by_ward(
-        B.forecasts(s, b), _hierarchy(s, b), B.ward_overrides(s, b)
+        B.forecasts(s, b), _hierarchy(s, b), B.ward_overrides(s, b), tabs=WARD_TABS
     ),
     "requirements_by_ward_totals": lambda s, b: G.requirements_by_ward(
-        B.forecasts(s, b), _hierarchy(s, b), B.ward_overrides(s, b), value="recomputed", totals=True
+        B.forecasts(s, b), _hierarchy(s, b), B.ward_overrides(s, b), value="recomputed", totals=True, tabs=WARD_TABS
     ),
     "requirements_by_ward_tn": lambda s, b: G.requirements_by_ward(
-        _tn_titled(s, b), _hierarchy(s, b), B.ward_overrides(s, b), value="new_price"
+        _tn_titled(s, b), _hierarchy(s, b), B.ward_overrides(s, b), value="new_price", tabs=WARD_TABS
     ),
     "unmatched_facilities": lambda s, b: G.unmatched_facilities(B.forecasts(s, b), B.org_units(s, b)),
     "facilities_without_ward": lambda s, b: G.facilities_without_ward(
@@ -135,13 +145,13 @@ _RAW: dict[str, Query] = {
     # P22 - P24
     "top_categories": lambda s, b: R.top_categories(B.forecasts(s, b), B.product_classifications(s, b), 10),
     "top_categories_by_level": lambda s, b: R.top_categories_by_level(
-        B.forecasts(s, b), B.product_classifications(s, b), 10
+        B.forecasts(s, b), B.product_classifications(s, b), 10, levels=KEPH_LEVELS
     ),
     "top_categories_by_ven": lambda s, b: R.top_categories_by_ven(
         B.forecasts(s, b), B.product_classifications(s, b), B.new_product_categorization(s, b), 10
     ),
     "top_categories_by_level_table": lambda s, b: R.category_table(
-        R.top_categories_by_level(B.forecasts(s, b), B.product_classifications(s, b), 10)
+        R.top_categories_by_level(B.forecasts(s, b), B.product_classifications(s, b), 10, levels=KEPH_LEVELS)
     ),
     "top_categories_by_ven_table": lambda s, b: R.category_table(
         R.top_categories_by_ven(
@@ -156,6 +166,10 @@ _RAW: dict[str, Query] = {
     "workload_extract": lambda s, b: W.workload_extract(
         B.analytics(s, b), WORKLOAD_PERIOD, WORKLOAD_ELEMENTS, WORKLOAD_OWNERSHIPS, WORKLOAD_LEVELS
     ),
+    "workload_extract_one_county": lambda s, b: W.workload_extract(
+        B.analytics(s, b), WORKLOAD_PERIOD, WORKLOAD_ELEMENTS, SOME_OWNERSHIPS, SOME_LEVELS,
+        facilities=select_county(B.organisation_units(s, b).withColumnRenamed("county_name", "county"), ONE_COUNTY),
+    ),
     "workload_aggregate": _workload_agg,
     "workload_enrich": _workload_enriched,
     "workload_report": lambda s, b: W.workload_report(_workload_enriched(s, b)),
@@ -167,6 +181,9 @@ _RAW: dict[str, Query] = {
     "classification_coverage_first": lambda s, b: C.classification_coverage(
         B.forecasts(s, b), B.product_classifications(s, b), first_row=True
     ),
+    "classification_coverage_one_county": lambda s, b: C.classification_coverage(
+        B.forecasts(s, b), B.product_classifications(s, b), first_row=True, county=ONE_COUNTY
+    ),
     "rmnch_catalogue": lambda s, b: C.rmnch_catalogue(B.product_classifications(s, b), B.rmnch_products(s, b)),
     "facility_counts_hierarchy": lambda s, b: G.facility_counts(_hierarchy(s, b)),
     "facility_counts_forecasts": lambda s, b: G.facility_counts(B.forecasts(s, b)),
@@ -183,6 +200,7 @@ _RAW: dict[str, Query] = {
 
 def _wrap(fn: Query) -> Query:
     def run(spark: SparkSession, base: str) -> DataFrame:
+        clear_plans(spark)
         return edge(fn(spark, base))
 
     run.__doc__ = fn.__doc__

@@ -4,7 +4,6 @@ from quantis.functions.text import (
     clean_tab,
     county_key,
     detect,
-    ends_with,
     remove_all,
     remove_first,
     remove_first_literal,
@@ -17,12 +16,10 @@ from quantis.functions.values import (
     money_total,
     VEN_CODES,
     money,
-    nan_to_null,
     number_label,
     pct_label,
     round_half_even,
     safe_share,
-    sum0,
     sum_money,
     thousands,
     ven_or_null,
@@ -36,9 +33,7 @@ __all__ = [
     "clean_tab",
     "county_key",
     "detect",
-    "ends_with",
     "money",
-    "nan_to_null",
     "number_label",
     "pct_label",
     "remove_all",
@@ -47,7 +42,6 @@ __all__ = [
     "round_half_even",
     "safe_share",
     "strip_org_suffix",
-    "sum0",
     "sum_money",
     "thousands",
     "title_case",

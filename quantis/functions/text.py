@@ -96,11 +96,6 @@ def strip_org_suffix(c: ColumnOrName) -> Column:
     return F.trim(remove_first(c, ORG_SUFFIX_PATTERN))
 
 
-def ends_with(c: ColumnOrName, pattern: str) -> Column:
-    """Regex suffix test (``str_ends`` takes a regex, case-sensitive)."""
-    return _col(c).rlike("(?:" + pattern + ")$")
-
-
 def detect(c: ColumnOrName, pattern: str) -> Column:
     """Regex containment test, case-sensitive (``str_detect``)."""
     return _col(c).rlike(pattern)

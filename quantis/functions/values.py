@@ -25,13 +25,6 @@ def money(c: ColumnOrName) -> Column:
     return _col(c).cast(MONEY)
 
 
-def sum0(c: ColumnOrName) -> Column:
-    """``sum(x, na.rm = TRUE)`` for a double column: NaN and NULL are
-    skipped and an all-missing group sums to 0 (Spark's ``sum`` would give
-    NULL, or NaN if any NaN is present)."""
-    return F.coalesce(F.sum(nan_to_null(_col(c).cast("double"))), F.lit(0.0))
-
-
 def money_total(c: ColumnOrName) -> Column:
     """Exact sum of a money column (value or already a partial sum), as
     ``decimal(38,4)``; NULL for an all-missing group."""
@@ -43,11 +36,6 @@ def sum_money(c: ColumnOrName) -> Column:
     return F.coalesce(money_total(c), F.lit(0).cast(MONEY_SUM)).cast("double")
 
 
-def nan_to_null(c: ColumnOrName) -> Column:
-    """NaN -> NULL for double columns (R's ``na.rm`` also drops NaN)."""
-    return F.nanvl(_col(c), F.lit(None).cast("double"))
-
-
 def ven_or_null(c: ColumnOrName = "ven") -> Column:
     """Any VEN outside {V, E, N} (including NULL and lower case) -> NULL."""
     x = _col(c)

@@ -1,32 +1,27 @@
 """Composite DataFrame operators built from public DataFrame API only."""
 
-from quantis.operators.columns import clean_names, drop_range, format_numbers, relocate, snake_case
+from quantis.operators.columns import clean_names, drop_range, format_numbers, snake_case
 from quantis.operators.crosstab import crosstab, discover_values
-from quantis.operators.joins import anti_join, checked_broadcast, duplicate_keys, null_safe_join, semi_join
-from quantis.operators.ranking import first_n, first_n_per_group, keep_first, max_per_group, top_n
+from quantis.operators.joins import anti_join, null_safe_join, semi_join
+from quantis.operators.ranking import first_n_per_group, keep_first, max_per_group, top_n
 from quantis.operators.sets import conform, union_aligned
-from quantis.operators.windows import run_id, share_within
+from quantis.operators.windows import run_id
 
 __all__ = [
     "anti_join",
-    "checked_broadcast",
     "clean_names",
     "drop_range",
     "format_numbers",
-    "relocate",
     "snake_case",
     "conform",
     "crosstab",
     "discover_values",
-    "duplicate_keys",
-    "first_n",
     "first_n_per_group",
     "keep_first",
     "max_per_group",
     "null_safe_join",
     "run_id",
     "semi_join",
-    "share_within",
     "top_n",
     "union_aligned",
 ]

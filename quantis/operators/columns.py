@@ -48,20 +48,6 @@ def drop_range(df: DataFrame, first: str, last: str) -> DataFrame:
     return df.drop(*cols[i : j + 1])
 
 
-def relocate(df: DataFrame, cols: Sequence[str], before: str | None = None, after: str | None = None) -> DataFrame:
-    """``relocate(cols, .before = x)`` / ``.after = x``; default: to the front."""
-    move = list(cols)
-    rest = [c for c in df.columns if c not in move]
-    if before is not None:
-        k = rest.index(before)
-    elif after is not None:
-        k = rest.index(after) + 1
-    else:
-        k = 0
-    order = rest[:k] + move + rest[k:]
-    return df.select(*[F.col(f"`{c}`") for c in order])
-
-
 def format_numbers(df: DataFrame, decimals: int = 0, skip: Sequence[str] = ()) -> DataFrame:
     """Every numeric column (except ``skip``) as thousands-separated text
     with ``decimals`` places (``fmt_number(columns = 2:last_col())`` /

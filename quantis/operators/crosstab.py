@@ -15,7 +15,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 
 # Report labels of the tidyverse reports -- a missing pivot
@@ -25,6 +24,10 @@ NA_LABEL = "NA"
 TOTAL_LABEL = "Total"
 OTHER_LABEL = "-"
 
+# Report column of the values outside a declared list: they are shown and
+# counted, never dropped.
+OTHER_VALUES = "Other"
+
 
 def discover_values(df: DataFrame, key: str | Column, na_label: str = NA_LABEL) -> list[str]:
     """Distinct pivot keys, sorted (NULL -> ``na_label``).
@@ -60,22 +63,24 @@ def crosstab(
     exact: bool = True,
     pre_aggregated: bool = False,
     total_flag: str | None = None,
+    other_col: str = OTHER_VALUES,
 ) -> DataFrame:
     """Wide ``rows`` x ``key`` table of ``sum(value)``.
 
     * ``by`` -- outer keys; every report is computed per ``by`` group in
       one pass (e.g. all counties at once) and totals are per group.
     * ``values`` -- pivot columns in output order; a NULL key is reported
-      under ``na_label``.  ``None`` discovers them: the aggregated long form
-      is persisted, its distinct keys are read (sorted), and the pivot then
-      reads the cached aggregate, so the input is still scanned once.
+      under ``na_label``.  Every other value is summed into ``other_col``,
+      the last column before the total, so no value is ever left out.
+      ``None`` discovers the values with a job while the plan is built (and
+      has no ``other_col``): declare them where the domain is known.
     * ``fill`` -- absent cells are 0 (``values_fill = 0``); otherwise NULL.
       A cell whose group exists but sums only missing values is 0 either
       way, as with ``sum(na.rm = TRUE)``.
     * ``row_total`` -- a total row per ``by`` group: the first row key is
       ``total_label``, later row keys ``other_label``; cells sum the cells.
-    * ``col_total`` -- a ``total_col`` column summing the cells of the row,
-      missing cells ignored.
+    * ``col_total`` -- a ``total_col`` column summing every value of the row,
+      listed or not, missing cells ignored.
     * ``exact`` -- sum in ``decimal(38,4)`` and return double, so results
       do not depend on partial-aggregate order.
     * ``pre_aggregated`` -- ``df`` already has one row per (by, rows, key).
@@ -96,22 +101,21 @@ def crosstab(
         long = keyed.groupBy(*by, *rows, kname).agg(
             F.sum(v).alias("__v"), F.count(F.lit(1)).alias("__n")
         )
-    if values is None:
-        # Discover the columns from the aggregated long form (one row per
-        # cell) and keep it cached for the pivot, so the fact is read once.
-        long = long.persist(StorageLevel.MEMORY_AND_DISK)
-        values = discover_values(long, kname)
-    values = list(values)
+    declared = values is not None
+    values = list(values) if declared else discover_values(long, kname)
+    if declared and other_col in values:
+        raise ValueError(f"{other_col!r} is a declared value; name the column of other values differently")
 
     zero = F.lit(0).cast("decimal(38,4)" if exact else "double")
     aggs = []
-    for i, val in enumerate(values):
-        hit = F.col(kname) == F.lit(val)
+    hits = [F.col(kname) == F.lit(val) for val in values]
+    if declared:
+        hits.append(~F.col(kname).isin(*values))
+    for i, hit in enumerate(hits):
         aggs.append(F.coalesce(F.sum(F.when(hit, F.col("__v"))), zero).alias(f"__s{i}"))
         aggs.append(F.coalesce(F.sum(F.when(hit, F.col("__n"))), F.lit(0)).alias(f"__c{i}"))
     if col_total:
-        in_list = F.col(kname).isin(*values)
-        aggs.append(F.coalesce(F.sum(F.when(in_list, F.col("__v"))), zero).alias("__tot"))
+        aggs.append(F.coalesce(F.sum("__v"), zero).alias("__tot"))
 
     if row_total:
         sets = [[*by, *rows], list(by)]
@@ -132,7 +136,8 @@ def crosstab(
         # an absent cell is NULL without fill; a total row sums with na.rm
         return s if fill else F.when(is_total | (F.col(f"__c{i}") > 0), s)
 
-    out = [cell(i).cast("double").alias(val) for i, val in enumerate(values)]
+    names = [*values, other_col] if declared else values
+    out = [cell(i).cast("double").alias(val) for i, val in enumerate(names)]
     if col_total:
         out.append(F.col("__tot").cast("double").alias(total_col))
     if total_flag:

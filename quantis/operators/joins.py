@@ -6,13 +6,11 @@ extracts such keys as equi-join keys (``coalesce(k, default), isnull(k)``),
 so the join stays eligible for broadcast-hash and sort-merge strategies and
 for AQE's skew-split of the large side.
 
-Broadcast policy: nothing here forces a broadcast of a derived table.
-``broadcast=True`` is meant only for lookup tables whose row count is fixed
-by construction (a literal code list); everything else is left to the
-optimizer, which broadcasts a side only after measuring it (static stats
-against ``spark.sql.autoBroadcastJoinThreshold``, and at run time through
-AQE's ``spark.sql.adaptive.autoBroadcastJoinThreshold``) and otherwise
-plans a shuffled join.
+Broadcast policy: nothing here forces a broadcast.  The optimizer broadcasts
+a side only after measuring it in bytes (static statistics against
+``spark.sql.autoBroadcastJoinThreshold``, and at run time through AQE's
+``spark.sql.adaptive.autoBroadcastJoinThreshold``) and otherwise plans a
+shuffled join.
 """
 
 from __future__ import annotations
@@ -22,7 +20,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 KeySpec = str | tuple[str, str]
 
@@ -38,7 +35,6 @@ def null_safe_join(
     right: DataFrame,
     on: KeySpec | Sequence[KeySpec],
     how: str = "left",
-    broadcast: bool = False,
     extra: Column | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right`` matching NULL keys to each other.
@@ -60,8 +56,6 @@ def null_safe_join(
             raise ValueError(f"non-key columns on both sides: {clash}; rename first")
     tmp = {r: f"__rk{i}" for i, (_, r) in enumerate(pairs)}
     r = right.select([F.col(f"`{k}`").alias(v) for k, v in tmp.items()] + [F.col(f"`{c}`") for c in rest])
-    if broadcast:
-        r = F.broadcast(r)
     cond = reduce(
         lambda a, b: a & b,
         [left[f"`{lk}`"].eqNullSafe(r[tmp[rk]]) for lk, rk in pairs],
@@ -74,35 +68,6 @@ def null_safe_join(
     return out.drop(*tmp.values())
 
 
-# Largest dimension (in rows) that checked_broadcast ships to every executor:
-# about 100 MB for the narrow facility-level lookups joined here, a size a
-# 1000-executor cluster broadcasts cheaply.  A country's facility registry
-# is far smaller; a larger input falls back to a shuffled join.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, cache: bool = True) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    The optimizer's static estimate of a derived dimension (one built from
-    joins) is the product of its inputs and rules broadcasting out even for
-    a few thousand rows; the fact then gets shuffled to meet it.  Here the
-    bound is checked with ``limit(max_rows + 1).count()``, a job over the
-    dimension only that stops early; beyond the bound the join is left to
-    the optimizer (sort-merge with AQE skew handling).  With ``cache`` the
-    dimension is persisted first, so the check and the broadcast build share
-    one computation of it.
-    """
-    if cache:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df)
-    if cache:
-        df.unpersist()
-    return df
-
-
 def semi_join(left: DataFrame, right: DataFrame, on: KeySpec | Sequence[KeySpec]) -> DataFrame:
     """Rows of ``left`` with a key in ``right`` (``x %in% pull(y, k)``),
     without collecting the key list to the driver."""
@@ -113,9 +78,3 @@ def anti_join(left: DataFrame, right: DataFrame, on: KeySpec | Sequence[KeySpec]
     """Rows of ``left`` whose key is absent from ``right`` (NULL matches
     NULL, as in dplyr)."""
     return null_safe_join(left, right, on, "left_anti")
-
-
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once: the rows that would make a join
-    fan out.  One partial-aggregated shuffle, never a collect."""
-    return df.groupBy(*keys).count().where(F.col("count") > 1)

@@ -10,8 +10,6 @@ Scale notes (checked with ``explain``):
   most ``n`` (plus ties) rows per group and a hot group never lands whole
   in one task.  Without groups the cut value comes from
   ``orderBy().limit(n)`` and one filter, never a single-partition window.
-* ``first_n`` is ``orderBy().limit()`` -> ``TakeOrderedAndProject``:
-  per-partition top-k, then a merge of ``n`` rows per partition.
 * ``keep_first`` is an aggregate (``min_by`` over a struct), which is
   partially aggregated map-side; unlike ``row_number() == 1`` it does not
   need all rows of a key in one task.
@@ -88,12 +86,6 @@ def max_per_group(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     return top_n(df, value, 1, by, ties=True)
 
 
-def first_n(df: DataFrame, n: int, order: Sequence[OrderSpec], descending: bool = False) -> DataFrame:
-    """``arrange(...) %>% slice_head(n)``: exactly ``n`` rows; ``order``
-    should end in a unique key."""
-    return df.orderBy(*_order(order, descending)).limit(n)
-
-
 def first_n_per_group(
     df: DataFrame, n: int, by: Sequence[str], order: Sequence[OrderSpec]
 ) -> DataFrame:

@@ -1,35 +1,15 @@
-"""Window operators: in-group share and run ids."""
+"""Window operators: run ids."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantis.functions.values import safe_share
-
-
-def share_within(value: str, by: Sequence[str]) -> Column:
-    """``x / sum(x)`` within ``by`` (``mutate(.by = tab)``).  Meant for
-    already-aggregated inputs; ``0/0`` is NULL, not an error."""
-    return safe_share(F.col(value), F.sum(F.col(value)).over(Window.partitionBy(*by)))
-
-
-# Target rows per range for run_id when the width is derived from the data.
-RUN_ID_RANGE_ROWS = 4_000_000
-
-
-def range_width(df: DataFrame, bucket: str, max_rows: int = RUN_ID_RANGE_ROWS) -> int:
-    """Width of ``bucket`` ranges so that a range holds about ``max_rows``
-    rows (at least 4 ranges per core): one narrow aggregate over the
-    column, assuming roughly uniform density."""
-    r = df.agg(F.min(bucket).alias("lo"), F.max(bucket).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    if r["n"] == 0 or r["lo"] is None:
-        return 1
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    ranges = max(4 * cores, -(-r["n"] // max_rows))
-    return max(1, -(-(int(r["hi"]) - int(r["lo"]) + 1) // ranges))
+# Width of the ranges of run_id.  An order column that numbers rows has at
+# most this many rows in a range, wherever its values lie.
+RUN_ID_RANGE = 1 << 20
 
 
 def run_id(
@@ -39,7 +19,7 @@ def run_id(
     by: Sequence[str] = (),
     *,
     bucket: str | None = None,
-    width: int | None = None,
+    width: int = RUN_ID_RANGE,
     out: str = "run_id",
 ) -> DataFrame:
     """``consecutive_id(value)``: 1-based id that increases whenever
@@ -51,8 +31,9 @@ def run_id(
     A plain ``lag`` window would need every row of a ``by`` group in one
     task.  Instead rows are cut into ranges of ``bucket`` (numeric,
     non-decreasing along ``order``; default the first order column),
-    ``width`` bucket values per range (``None``: derived from the data by
-    :func:`range_width`, about 4M rows per range):
+    ``width`` bucket values per range.  The width is fixed rather than
+    derived from the extent of the data, so one outlying value cannot draw
+    all other rows into one range, and no job runs before the query:
 
     1. inside each range: change flags from ``lag`` and their running sum;
     2. per range: first value, last value, number of inner changes -- a
@@ -61,13 +42,13 @@ def run_id(
        id of its first row (running sum);
     4. join the summary back and add the local running count.
 
-    No task ever holds more than one range of rows, whatever the skew.
+    A task holds the rows of ``width`` bucket values at most.  Where the
+    bucket numbers rows that is ``width`` rows; a bucket value that many rows
+    share is not split, so number the rows first in that case.
     """
     by = list(by)
     order = [order] if isinstance(order, str) else list(order)
     bucket = bucket or order[0]
-    if width is None:
-        width = range_width(df, bucket)
     ocols = [F.col(f"`{o}`") for o in order]
     okey = F.struct(*ocols)
     d = df.withColumn("__b", F.floor(F.col(f"`{bucket}`") / F.lit(width)))

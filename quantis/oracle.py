@@ -93,7 +93,8 @@ forecasts AS (
   SELECT {title('r_name')} AS county, n_name AS sub_county, c_mktsegment AS facility_type,
     c_name AS facility_name, p_type AS sub_category,
     'KEPH Level ' || CAST(c_custkey % 5 + 2 AS VARCHAR) AS keph_level, {TAB} AS tab,
-    CASE l_returnflag WHEN 'R' THEN 'V' WHEN 'A' THEN 'E' END AS ven,
+    CASE WHEN l_returnflag = 'R' THEN 'V' WHEN l_returnflag = 'A' AND l_linenumber = 1 THEN 'e'
+      WHEN l_returnflag = 'A' THEN 'E' END AS ven,
     CASE WHEN l_linestatus = 'F' THEN 'County' ELSE 'Partner' END AS funding,
     p_name AS {IT}, CAST(p_size AS VARCHAR) AS pack_size, p_retailprice AS price_kes, l_quantity AS {QTY},
     {mul('l_quantity', 'p_retailprice')} AS {VAL},
@@ -123,18 +124,19 @@ pk AS (
   FROM part GROUP BY 1, 2
 ),
 classes AS (
-  SELECT item AS {IT}, tab,
-    CASE k % 3 WHEN 0 THEN 'Product' WHEN 1 THEN 'Equipment' END AS product_or_equipment,
+  SELECT CASE WHEN k % 7 = 0 THEN item || '.' ELSE item END AS {IT}, tab,
+    CASE WHEN k % 3 = 0 THEN 'Product' WHEN k % 3 = 1 THEN 'Equipment' WHEN k % 9 = 2 THEN 'Consumable' END
+      AS product_or_equipment,
     CASE WHEN k % 11 <> 0 THEN brand END AS product_classification,
-    CASE k % 4 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' END AS rmnch_product,
+    CASE WHEN k % 4 = 0 THEN 'Yes' WHEN k % 4 = 1 THEN 'No' WHEN k % 8 = 2 THEN 'Unknown' END AS rmnch_product,
     ptype AS moh_647_name
-  FROM pk WHERE k % 7 <> 0
+  FROM pk
 ),
 new_cat AS (
-  SELECT item AS item_name, tab AS product_category,
-    CASE k % 3 WHEN 0 THEN 'V' WHEN 1 THEN 'E' ELSE 'N' END AS ven,
+  SELECT CASE WHEN k % 4 = 0 THEN item || '.' ELSE item END AS item_name, tab AS product_category,
+    CASE WHEN k % 3 = 0 THEN 'V' WHEN k % 3 = 1 THEN 'E' WHEN k % 6 = 2 THEN 'X' ELSE 'N' END AS ven,
     CASE WHEN k % 5 = 0 THEN 'Equipment' ELSE 'Product' END AS product_or_equipment
-  FROM pk WHERE k % 4 <> 0
+  FROM pk
 ),
 nc AS (SELECT item_name, product_category, ven AS new_ven, TRUE AS hit FROM new_cat),
 rmnch AS (SELECT DISTINCT p_name AS product FROM part WHERE p_name LIKE 'small %' OR p_name LIKE 'red %'),
@@ -145,8 +147,8 @@ org_units AS (
     FROM nation
   UNION ALL SELECT DISTINCT 'W' || CAST(c_nationkey AS VARCHAR) || '-' || c_mktsegment,
     {title('c_mktsegment')} || ' Ward', 'N' || CAST(c_nationkey AS VARCHAR) FROM customer
-  UNION ALL SELECT 'F' || CAST(c_custkey AS VARCHAR), c_name,
-    'W' || CAST(c_nationkey AS VARCHAR) || '-' || c_mktsegment FROM customer WHERE c_custkey % 13 <> 0
+  UNION ALL SELECT 'F' || CAST(c_custkey AS VARCHAR), CASE WHEN c_custkey % 13 = 0 THEN c_name || '.' ELSE c_name END,
+    'W' || CAST(c_nationkey AS VARCHAR) || '-' || c_mktsegment FROM customer
 ),
 counties AS (
   SELECT id AS county_id, trim(regexp_replace(name, ' County| Sub County', '')) AS county
@@ -174,14 +176,15 @@ analytics AS (
   FROM events
 ),
 organisation_units AS (
-  SELECT 'F' || CAST(c_custkey AS VARCHAR) AS facility_id, c_name AS facility_name,
+  SELECT 'F' || CAST(c_custkey AS VARCHAR) || CASE WHEN c_custkey % 13 = 0 THEN '.' ELSE '' END AS facility_id,
+    c_name AS facility_name,
     {title('c_mktsegment')} AS ward_name, n_name AS sub_county_name, {title('r_name')} AS county_name,
     CAST(c_custkey + 100000 AS VARCHAR) AS mfl_code
-  FROM fac WHERE c_custkey % 13 <> 0
+  FROM fac
 ),
 keph_levels AS (
   SELECT * FROM (VALUES ('K0', 'KEPH Level 2'), ('K1', 'KEPH Level 3'), ('K2', 'KEPH Level 4'),
-    ('K3', 'KEPH Level 5')) t(keph_level_id, keph_level_name)
+    ('K3', 'KEPH Level 5'), ('K04', 'KEPH Level 6')) t(keph_level_id, keph_level_name)
 ),
 ownerships AS (
   SELECT * FROM (VALUES ('O0', 'Ministry of Health (Government)', 'Ministry of Health'),
@@ -197,7 +200,8 @@ def with_(*ctes: str) -> str:
 
 def crosstab(src: str, by: list[str], rows: list[str], key: str, vals, fill=True, row_total=False,
              col_total=False, flag: str | None = None) -> str:
-    """SQL crosstab of ``v`` over ``src`` (columns by, rows, key, v)."""
+    """SQL crosstab of ``v`` over ``src`` (columns by, rows, key, v); values
+    outside ``vals`` are the column ``Other``, and ``Total`` is the plain sum."""
     g = ", ".join(by + rows)
     cells = []
     for i, v in enumerate(vals):
@@ -205,7 +209,10 @@ def crosstab(src: str, by: list[str], rows: list[str], key: str, vals, fill=True
         c = f"count(*) FILTER (WHERE {key} = '{v}')"
         cells.append(f"{s} AS s{i}, {c} AS c{i}")
     inlist = ", ".join(f"'{v}'" for v in vals)
-    tot = f"coalesce(sum(v) FILTER (WHERE {key} IN ({inlist})), 0) AS tot"
+    other = f"FILTER (WHERE {key} NOT IN ({inlist}))"
+    cells.append(f"coalesce(sum(v) {other}, 0) AS s{len(vals)}, count(*) {other} AS c{len(vals)}")
+    vals = [*vals, "Other"]
+    tot = "coalesce(sum(v), 0) AS tot"
     body = f"SELECT {g}, {', '.join(cells)}, {tot} FROM {src} GROUP BY {g}"
 
     def proj(total: bool) -> str:
@@ -301,7 +308,7 @@ WORK_EXTRACT = """wx AS (
 )"""
 WORK_AGG = f"""wa AS (
   SELECT organisation_unit, facility_ownership, keph_level,
-    {dbl(f'coalesce(sum(CAST(value AS {M})), 0)')} AS value
+    {dbl('coalesce(sum(CAST(value AS DECIMAL(28,10))), 0)')} AS value
   FROM wx GROUP BY 1, 2, 3
 )"""
 WORK_ENRICH = """we AS (
@@ -353,6 +360,19 @@ def _sql() -> dict[str, str]:
     s["by_product_or_equipment_tn"] = with_(poe_tn) + "SELECT * FROM " + crosstab(
         "b", ["county"], ["tab"], "k", ["Product", "Equipment"]
     )
+    tn_m = {"v": VAL, "b": BUF, "p": PRO}
+    poe_m = f"""f AS (
+  SELECT *, {mul(QTY, 'new_price_kes')} AS m_v, {mul('quantity_required_buffer_packs', 'new_price_kes')} AS m_b,
+    {mul('quantity_required_to_procure_packs', 'new_price_kes')} AS m_p
+  FROM forecasts_tn WHERE funding = 'County'
+),
+b AS (""" + " UNION ALL ".join(
+        f"SELECT f.county, {clean('f.tab')} AS tab, '{name}' AS measure, coalesce(c.product_or_equipment, 'Product') AS k, "
+        f"f.m_{m} AS v FROM f LEFT JOIN classes c ON {join_cls()}" for m, name in tn_m.items()
+    ) + ")"
+    s["by_product_or_equipment_tn_measures"] = with_(poe_m) + "SELECT * FROM " + crosstab(
+        "b", ["county"], ["tab", "measure"], "k", ["Product", "Equipment"]
+    )
     s["resolve_ven_left"] = with_(RESOLVED_LEFT) + f"SELECT {out_cols(FC_COLS)} FROM resolved_left"
     s["resolve_ven_inner"] = with_(RESOLVED_INNER) + f"SELECT {out_cols(FC_COLS)} FROM resolved_inner"
     tn_cols = ", ".join(
@@ -398,32 +418,36 @@ UNION ALL SELECT county, 'Total', {dbl('sum(v)')}, {dbl('sum(v)')} FROM l GROUP
 ),
 w AS {crosstab('sh', ['county'], ['tab'], 'k', ['Yes', 'No'], row_total=True, col_total=True, flag='is_t')}"""
     s["rmnch_share"] = with_(RMNCH_LONG, share) + (
-        "SELECT county, tab, \"Yes\", \"No\", CASE WHEN is_t THEN '-' ELSE "
+        "SELECT county, tab, \"Yes\", \"No\", \"Other\", CASE WHEN is_t THEN '-' ELSE "
         + pct('"Yes" / ("Yes" + "No")')
         + " END AS \"% of RMNCH\", \"Total\" FROM w"
     )
     vp = f"""cells AS (
   SELECT county, tab, coalesce(sum(metric) FILTER (WHERE r = 'Yes'), 0) AS y,
-    coalesce(sum(metric) FILTER (WHERE r = 'No'), 0) AS n
+    coalesce(sum(metric) FILTER (WHERE r = 'No'), 0) AS n,
+    coalesce(sum(metric) FILTER (WHERE r NOT IN ('Yes', 'No')), 0) AS o, coalesce(sum(metric), 0) AS a
   FROM rl GROUP BY county, tab
 ),
-g AS (SELECT county, sum(y + n) AS grand FROM cells GROUP BY county)"""
+g AS (SELECT county, sum(a) AS grand FROM cells GROUP BY county)"""
     s["rmnch_value_pct"] = with_(RMNCH_LONG, vp) + (
-        f"SELECT c.county, c.tab, {dbl('y')} AS \"RMNCH_Yes\", {dbl('n')} AS \"RMNCH_No\", {dbl('y + n')} AS \"Total\", "
+        f"SELECT c.county, c.tab, {dbl('y')} AS \"RMNCH_Yes\", {dbl('n')} AS \"RMNCH_No\", {dbl('o')} AS \"RMNCH_Other\", {dbl('a')} AS \"Total\", "
         f"{pct(dbl('y') + ' / (' + dbl('y') + ' + ' + dbl('n') + ')')} AS \"% of RMNCH_Yes\", "
         f"{pct(dbl('y') + ' / ' + dbl('g.grand'))} AS \"% of RMNCH_Yes_total\" "
         f"FROM cells c JOIN g ON c.county = g.county "
-        f"UNION ALL SELECT county, 'Total', {dbl('sum(y)')}, {dbl('sum(n)')}, {dbl('sum(y + n)')}, '-', '-' "
+        f"UNION ALL SELECT county, 'Total', {dbl('sum(y)')}, {dbl('sum(n)')}, {dbl('sum(o)')}, {dbl('sum(a)')}, '-', '-' "
         f"FROM cells GROUP BY county"
     )
     ys = "coalesce(sum(metric) FILTER (WHERE r = 'Yes'), 0)"
     ns = "coalesce(sum(metric) FILTER (WHERE r = 'No'), 0)"
+    os = "coalesce(sum(metric) FILTER (WHERE r NOT IN ('Yes', 'No')), 0)"
     s["rmnch_summary"] = with_(RMNCH_LONG) + (
-        f"SELECT county, {dbl(ys)} AS metric_yes, {dbl(ns)} AS metric_no, {dbl(ys + ' + ' + ns)} AS total "
+        f"SELECT county, {dbl(ys)} AS metric_yes, {dbl(ns)} AS metric_no, {dbl(os)} AS metric_other, "
+        f"{dbl('coalesce(sum(metric), 0)')} AS total "
         "FROM rl GROUP BY county"
     )
 
     s["resolve_county_id"] = with_() + "SELECT county_id, county FROM counties"
+    s["resolve_one_county_id"] = with_() + "SELECT county_id, county FROM counties WHERE county = 'Asia'"
     s["flatten_hierarchy"] = with_() + "SELECT county, sub_county, ward, facility_name FROM hierarchy"
     s["assign_ward"] = with_(ASSIGNED) + f"SELECT {out_cols(FC_COLS + ['ward'])} FROM assigned"
     wb = f"b AS (SELECT county, sub_county, ward, {clean('tab')} AS k, {VAL} AS v FROM assigned WHERE funding = 'County')"
@@ -516,11 +540,11 @@ w AS {crosstab('b', ['county'], ['product_classification'], 'k', ['V', 'E', 'N',
         return f"SELECT county, product_classification AS \"Product Category\", {fmt} FROM ({sql_top})"
 
     s["top_categories_by_level_table"] = with_(lvl) + table(
-        _top("w", "county", '"Total" DESC NULLS LAST, product_classification ASC NULLS LAST', 10), [*KEPH, "Total"]
+        _top("w", "county", '"Total" DESC NULLS LAST, product_classification ASC NULLS LAST', 10), [*KEPH, "Other", "Total"]
     )
     s["top_categories_by_ven_table"] = with_(RESOLVED_LEFT, tv) + table(
         _top("w", "county", '"Total" DESC NULLS LAST, product_classification ASC NULLS LAST', 10),
-        ["V", "E", "N", "NA", "Total"],
+        ["V", "E", "N", "NA", "Other", "Total"],
     )
     s["clean_categorisation"] = with_() + (
         f"SELECT n.item_name AS {IT}, n.product_category AS tab, n.product_or_equipment FROM new_cat n "
@@ -528,6 +552,11 @@ w AS {crosstab('b', ['county'], ['product_classification'], 'k', ['V', 'E', 'N',
         f"UNION ALL SELECT {IT}, tab, product_or_equipment FROM classes WHERE product_or_equipment IS NOT NULL"
     )
     s["workload_extract"] = with_(WORK_EXTRACT) + "SELECT * FROM wx"
+    s["workload_extract_one_county"] = with_() + (
+        "SELECT a.* FROM analytics a WHERE period = '2024' AND data IN ('signup', 'view', 'click', 'purchase') "
+        "AND facility_ownership IN ('O0', 'O2') AND keph_level IN ('K1', 'K2', 'K4') AND organisation_unit IN "
+        "(SELECT facility_id FROM organisation_units WHERE lower(county_name) = 'asia')"
+    )
     s["workload_aggregate"] = with_(WORK_EXTRACT, WORK_AGG) + "SELECT * FROM wa"
     s["workload_enrich"] = with_(WORK_EXTRACT, WORK_AGG, WORK_ENRICH) + "SELECT * FROM we"
     s["workload_report"] = with_(WORK_EXTRACT, WORK_AGG, WORK_ENRICH) + (
@@ -541,6 +570,10 @@ w AS {crosstab('b', ['county'], ['product_classification'], 'k', ['V', 'E', 'N',
     s["classification_coverage_first"] = with_(ITEM_FIRST) + (
         f"SELECT l.{IT}, l.tab, l.ven, {CLASS_COLS} FROM ifirst l JOIN classes c ON {nse('l.' + IT, 'c.' + IT)}"
     )
+    one = ITEM_FIRST.replace("ifirst AS", "ione AS").replace("FROM forecasts)", "FROM forecasts WHERE lower(county) = 'asia')")
+    s["classification_coverage_one_county"] = with_(one) + (
+        f"SELECT l.{IT}, l.tab, l.ven, {CLASS_COLS} FROM ione l JOIN classes c ON {nse('l.' + IT, 'c.' + IT)}"
+    )
     s["rmnch_catalogue"] = with_() + f"SELECT * FROM classes WHERE {IT} IN (SELECT product FROM rmnch)"
     s["facility_counts_hierarchy"] = with_() + "SELECT county, facility_name, count(*) AS n FROM hierarchy GROUP BY 1, 2"
     s["facility_counts_forecasts"] = with_() + "SELECT county, facility_name, count(*) AS n FROM forecasts GROUP BY 1, 2"

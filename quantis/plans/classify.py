@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantis.functions.text import clean_tab
-from quantis.functions.values import VEN_CODES, ven_or_null
+from quantis.functions.values import VEN_CODES, money_total, ven_or_null
 from quantis.operators.crosstab import crosstab
 from quantis.operators.joins import null_safe_join, semi_join
 from quantis.operators.ranking import keep_first
@@ -80,11 +80,25 @@ def tn_measures(df: DataFrame) -> DataFrame:
 def by_product_or_equipment_tn(forecasts_tn: DataFrame, classes: DataFrame) -> DataFrame:
     """Divergent-schema variant: every missing class defaults to
     Product, values recomputed from the new price, no totals."""
-    f = sum_by(county_funded(tn_measures(forecasts_tn)), ["county", "tab", ITEM])
+    f = sum_by(county_funded(forecasts_tn.withColumn(VALUE, tn_value())), ["county", "tab", ITEM])
     j = with_product_defaults(classify(f, classes), default="Product").withColumn("tab", clean_tab("tab"))
     return crosstab(j, ["tab"], "product_or_equipment", VALUE, ("Product", "Equipment"), by=["county"])
 
 
+# The three measures of the divergent county, in report order.
+TN_MEASURES = (VALUE, BUFFER, PROCURE)
+
+
+def by_product_or_equipment_tn_measures(forecasts_tn: DataFrame, classes: DataFrame) -> DataFrame:
+    """P6 with all three recomputed values: one row per tab and measure."""
+    f = county_funded(tn_measures(forecasts_tn)).groupBy("county", "tab", ITEM).agg(
+        *[money_total(m).alias(m) for m in TN_MEASURES]
+    )
+    j = with_product_defaults(classify(f, classes), default="Product").withColumn("tab", clean_tab("tab"))
+    long = j.unpivot(["county", "tab", "product_or_equipment"], list(TN_MEASURES), "measure", "amount")
+    return crosstab(long, ["tab", "measure"], "product_or_equipment", "amount", ("Product", "Equipment"), by=["county"])
+
+
 def new_categorization_keys(new_cat: DataFrame) -> DataFrame:
     """New categorisation renamed to the forecast key names."""
     return new_cat.select(
@@ -131,7 +145,7 @@ def by_ven(
 def by_ven_tn(forecasts_tn: DataFrame, new_cat: DataFrame) -> DataFrame:
     """P9 (divergent county): sanitise, resolve (left), recompute value,
     drop rows still without VEN, no totals."""
-    f = sum_by(county_funded(tn_measures(sanitise_ven(forecasts_tn))), ["county", "tab", ITEM, "ven"])
+    f = sum_by(county_funded(sanitise_ven(forecasts_tn).withColumn(VALUE, tn_value())), ["county", "tab", ITEM, "ven"])
     r = resolve_ven(f, new_cat, "left").where(F.col("ven").isNotNull()).withColumn("tab", clean_tab("tab"))
     return crosstab(r, ["tab"], "ven", VALUE, VEN_CODES, by=["county"])
 

@@ -9,11 +9,10 @@ inner joins).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from quantis.functions.text import (
     SUB_COUNTY_SUFFIX,
@@ -26,7 +25,7 @@ from quantis.functions.text import (
 )
 from quantis.functions.values import money_total
 from quantis.operators.crosstab import crosstab
-from quantis.operators.joins import anti_join, checked_broadcast, null_safe_join
+from quantis.operators.joins import anti_join, null_safe_join
 from quantis.plans.common import county_funded, recomputed_value, select_county
 from quantis.schemas import NEW_PRICE, VALUE
 
@@ -49,9 +48,7 @@ def flatten_hierarchy(org_units: DataFrame, counties: DataFrame) -> DataFrame:
     three levels below the given counties (``counties`` from
     :func:`resolve_county_id`); every `` Ward`` / `` Sub County`` is removed
     from the names; distinct rows."""
-    # the tree is read at every level: cache it (a registry-sized
-    # dimension) so one query evaluates it once, not four times
-    ou = org_units.select("id", "name", "parent_id").persist(StorageLevel.MEMORY_AND_DISK)
+    ou = org_units.select("id", "name", "parent_id")
     subs = ou.join(counties, ou.parent_id == counties.county_id).select(
         F.col("id").alias("sub_id"), F.col("name").alias("sub_name"), "county"
     )
@@ -68,37 +65,33 @@ def flatten_hierarchy(org_units: DataFrame, counties: DataFrame) -> DataFrame:
 
 
 def _override_table(overrides: DataFrame | Mapping[str, str], spark) -> DataFrame:
+    """One ward per facility name.  A table has no first row, so a name with
+    two different wards is an error of the list and fails the query."""
     if isinstance(overrides, DataFrame):
         o = overrides
     else:
         o = spark.createDataFrame(list(overrides.items()), "facility_name string, ward string")
-    # one ward per facility name: a repeated name would fan the facts out
-    return o.groupBy("facility_name").agg(F.min("ward").alias("override_ward"))
+    ward = F.min("ward")
+    two = F.raise_error(F.concat(F.lit("two override wards for "), F.first("facility_name")))
+    return o.groupBy("facility_name").agg(F.when(ward == F.max("ward"), ward).when(F.max("ward").isNotNull(), two).alias("override_ward"))
 
 
 def assign_ward(
     forecasts: DataFrame,
     hierarchy: DataFrame,
     overrides: DataFrame | Mapping[str, str] | None = None,
-    broadcast: bool | None = None,
 ) -> DataFrame:
     """Ward of every forecast row: left join to the hierarchy on
     (county, sub_county, facility_name), then a per-facility override wins
     over the joined ward.  Rows with neither keep a NULL ward.
 
     Both lookups are facility-level (bounded by the facility registry, not
-    by the forecasts).  ``broadcast=None`` broadcasts them after a row-count
-    check so the fact is never shuffled to meet them; ``False`` leaves the
-    choice to the optimizer (for already-aggregated inputs)."""
+    by the forecasts); AQE broadcasts them if their bytes allow."""
     h = hierarchy.select("county", "sub_county", "facility_name", "ward")
-    if broadcast is None:
-        h = checked_broadcast(h)
     j = null_safe_join(forecasts, h, ["county", "sub_county", "facility_name"], "left")
     if overrides is None:
         return j
     o = _override_table(overrides, forecasts.sparkSession).withColumn("__o", F.lit(True))
-    if broadcast is None:
-        o = checked_broadcast(o)
     j = null_safe_join(j, o, "facility_name", "left")
     return j.withColumn("ward", F.when(F.col("__o").isNotNull(), F.col("override_ward")).otherwise(F.col("ward"))).drop(
         "override_ward", "__o"
@@ -114,14 +107,15 @@ def requirements_by_ward(
     overrides: DataFrame | Mapping[str, str] | None = None,
     value: str = "stored",
     totals: bool = False,
-    tabs: list[str] | None = None,
+    tabs: Sequence[str] | None = None,
 ) -> DataFrame:
     """(sub_county, ward) x clean tab County value, 0-filled, per county.
 
     ``value``: ``stored`` uses the stored 12-month value, ``recomputed``
     quantity x price, ``new_price`` quantity x new price (divergent county).
-    ``totals`` adds the total row and column.  ``tabs`` fixes the columns;
-    ``None`` discovers them (sorted).
+    ``totals`` adds the total row and column.  ``tabs`` are the clean tab
+    labels in column order (others are summed into ``Other``); ``None``
+    discovers them with a job.
 
     The ward is a function of the facility key, so the facts are first
     aggregated per (facility, tab) -- map-side partial aggregation, one
@@ -141,7 +135,7 @@ def requirements_by_ward(
     per_facility = (
         f.groupBy(*FACILITY_KEY, "tab").agg(money_total(VALUE).alias(VALUE)).withColumn("tab", clean_tab("tab"))
     )
-    assigned = assign_ward(per_facility, hierarchy, overrides, broadcast=False)
+    assigned = assign_ward(per_facility, hierarchy, overrides)
     return crosstab(
         assigned, ["sub_county", "ward"], "tab", VALUE, tabs, by=["county"], fill=True,
         row_total=totals, col_total=totals,
@@ -161,7 +155,7 @@ def facilities_without_ward(
     """Facilities still without a ward after join and overrides.  The
     distinct facilities are taken first, so only they meet the lookups."""
     d = forecasts.select(*FACILITY_KEY).distinct()
-    return assign_ward(d, hierarchy, overrides, broadcast=False).where(F.col("ward").isNull()).select(*FACILITY_KEY)
+    return assign_ward(d, hierarchy, overrides).where(F.col("ward").isNull()).select(*FACILITY_KEY)
 
 
 def facilities_by_level(forecasts: DataFrame, level_overrides: Mapping[str, str] | None = None) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantis.functions.text import clean_tab
 from quantis.functions.values import money_total, pct_label, round_half_even, safe_share, sum_money, thousands
 from quantis.operators.columns import format_numbers
-from quantis.operators.crosstab import crosstab
+from quantis.operators.crosstab import OTHER_VALUES, crosstab
 from quantis.operators.ranking import first_n_per_group, max_per_group, top_n
 from quantis.plans.classify import VEN_VALUES, classify, resolve_ven
 from quantis.plans.common import county_funded, recomputed_value, select_county, sum_by, tn_value
@@ -20,7 +22,8 @@ RMNCH_DEFAULT = "No"
 
 
 def county_summary(unified: DataFrame) -> DataFrame:
-    """County-funded value per county."""
+    """County-funded value per county of the harmonised forecasts; no
+    classification is needed (``plans.unify.harmonised``)."""
     return county_funded(unified).groupBy("county").agg(sum_money(VALUE).alias(VALUE))
 
 
@@ -74,7 +77,7 @@ def rmnch_share(forecasts: DataFrame, classes: DataFrame, county: str | None = N
         row_total=True, col_total=True, total_flag="__t",
     )
     pct = F.when(F.col("__t"), F.lit("-")).otherwise(pct_label(safe_share("Yes", F.col("Yes") + F.col("No"))))
-    return wide.select("county", "tab", "Yes", "No", pct.alias("% of RMNCH"), "Total")
+    return wide.select("county", "tab", "Yes", "No", OTHER_VALUES, pct.alias("% of RMNCH"), "Total")
 
 
 def rmnch_value_pct(forecasts: DataFrame, classes: DataFrame, county: str | None = None) -> DataFrame:
@@ -94,6 +97,7 @@ def rmnch_value_pct(forecasts: DataFrame, classes: DataFrame, county: str | None
         "tab",
         F.col("Yes").alias("RMNCH_Yes"),
         F.col("No").alias("RMNCH_No"),
+        F.col(OTHER_VALUES).alias("RMNCH_Other"),
         "Total",
         pct_row.alias("% of RMNCH_Yes"),
         pct_tot.alias("% of RMNCH_Yes_total"),
@@ -101,16 +105,20 @@ def rmnch_value_pct(forecasts: DataFrame, classes: DataFrame, county: str | None
 
 
 def rmnch_summary(forecasts: DataFrame, classes: DataFrame, county: str | None = None) -> DataFrame:
-    """One row per county: RMNCH Yes value, No value, total."""
+    """One row per county: RMNCH Yes value, No value, the value under
+    any other flag, total."""
     long = rmnch_long(forecasts, classes, county)
     zero = F.lit(0).cast("decimal(38,4)")
     yes = F.coalesce(F.sum(F.when(F.col("rmnch_product") == "Yes", F.col("metric"))), zero)
     no = F.coalesce(F.sum(F.when(F.col("rmnch_product") == "No", F.col("metric"))), zero)
-    return long.groupBy("county").agg(yes.alias("y"), no.alias("n")).select(
+    rest = F.coalesce(F.sum(F.when(~F.col("rmnch_product").isin(*RMNCH_FLAGS), F.col("metric"))), zero)
+    total = F.coalesce(F.sum("metric"), zero)
+    return long.groupBy("county").agg(yes.alias("y"), no.alias("n"), rest.alias("o"), total.alias("t")).select(
         "county",
         F.col("y").cast("double").alias("metric_yes"),
         F.col("n").cast("double").alias("metric_no"),
-        (F.col("y") + F.col("n")).cast("double").alias("total"),
+        F.col("o").cast("double").alias("metric_other"),
+        F.col("t").cast("double").alias("total"),
     )
 
 
@@ -178,7 +186,7 @@ def top_categories(forecasts: DataFrame, classes: DataFrame, n: int = 10, county
 
 
 def top_categories_by_level(
-    forecasts: DataFrame, classes: DataFrame, n: int = 10, county: str | None = None, levels: list[str] | None = None
+    forecasts: DataFrame, classes: DataFrame, n: int = 10, county: str | None = None, levels: Sequence[str] | None = None
 ) -> DataFrame:
     """Classification x KEPH level (absent cells stay NULL), Total
     column, top ``n`` by Total per county."""
@@ -214,7 +222,8 @@ def category_table(top: DataFrame) -> DataFrame:
 
 
 def product_report_pack(
-    forecasts: DataFrame, classes: DataFrame, new_cat: DataFrame, county: str | None = None, materialize: bool = True
+    forecasts: DataFrame, classes: DataFrame, new_cat: DataFrame, county: str | None = None, materialize: bool = True,
+    levels: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Every product report of a county pack from one pass over the facts.
 
@@ -236,6 +245,6 @@ def product_report_pack(
         "rmnch_summary": rmnch_summary(cube, classes),
         "top_products": top_products(cube, 5),
         "top_categories": top_categories(cube, classes),
-        "top_categories_by_level": top_categories_by_level(cube, classes),
+        "top_categories_by_level": top_categories_by_level(cube, classes, levels=levels),
         "top_categories_by_ven": top_categories_by_ven(cube, classes, new_cat),
     }

@@ -10,7 +10,7 @@ from quantis.functions.values import money_total, ven_or_null
 from quantis.operators.columns import clean_names
 from quantis.operators.joins import null_safe_join
 from quantis.operators.sets import union_aligned
-from quantis.operators.windows import run_id
+from quantis.operators.windows import RUN_ID_RANGE, run_id
 from quantis.plans.common import recomputed_value, select_county
 from quantis.session import ensure_checkpoint_dir
 from quantis.sources.sinks import publish_once, write_partitioned
@@ -37,7 +37,7 @@ def report_cube(forecasts: DataFrame, materialize: bool = True) -> DataFrame:
     cube = forecasts.groupBy(*CUBE_KEYS).agg(money_total(S.VALUE).alias(S.VALUE))
     if materialize:
         ensure_checkpoint_dir(forecasts.sparkSession)
-        cube = cube.checkpoint(eager=True)
+        cube = cube.checkpoint(eager=False)  # written by the first report that runs
     return cube
 
 
@@ -71,13 +71,22 @@ def harmonise(forecasts: DataFrame) -> DataFrame:
     return forecasts.withColumn(S.VALUE, recomputed_value())
 
 
-def all_counties(forecasts: DataFrame, forecasts_tn: DataFrame, classes: DataFrame, tn_county: str) -> DataFrame:
-    """Both sources in one schema (UNION ALL, types checked against the
-    declared schema), classified on (item, tab) with a NULL-safe left join
-    to the classification sheet after snake-casing its column names."""
-    u = union_aligned([harmonise_tn(forecasts_tn, tn_county), harmonise(forecasts)], S.FORECASTS)
+def union_harmonised(forecasts: DataFrame, forecasts_tn: DataFrame, tn_county: str) -> DataFrame:
+    """Both sources in one schema (UNION ALL, types checked against the
+    declared schema)."""
+    return union_aligned([harmonise_tn(forecasts_tn, tn_county), harmonise(forecasts)], S.FORECASTS)
+
+
+def classified(harmonised: DataFrame, classes: DataFrame) -> DataFrame:
+    """Harmonised forecasts classified on (item, tab) with a NULL-safe left
+    join to the classification sheet after snake-casing its column names."""
     cls = clean_names(classes).select(S.ITEM, "tab", *CLASS_ATTRS)
-    return null_safe_join(u, cls, [S.ITEM, "tab"], "left")
+    return null_safe_join(harmonised, cls, [S.ITEM, "tab"], "left")
+
+
+def all_counties(forecasts: DataFrame, forecasts_tn: DataFrame, classes: DataFrame, tn_county: str) -> DataFrame:
+    """Both sources in one schema, classified."""
+    return classified(union_harmonised(forecasts, forecasts_tn, tn_county), classes)
 
 
 def distinct_counties(master: DataFrame) -> DataFrame:
@@ -95,7 +104,9 @@ def publish_unified(unified: DataFrame, path: str) -> bool:
     return publish_once(unified, path, ("county",))
 
 
-def item_run_ids(forecasts_tn: DataFrame, width: int | None = None) -> DataFrame:
+def item_run_ids(forecasts_tn: DataFrame, width: int = RUN_ID_RANGE) -> DataFrame:
     """``consecutive_id(item)`` over the divergent county's rows in source
-    order: one sequence over the concatenated sub-county tables."""
-    return run_id(forecasts_tn, S.ITEM, ["source_row", S.ITEM], bucket="source_row", width=width, out="id")
+    order: one sequence over the concatenated sub-county tables.  Only the
+    columns of the result are read."""
+    rows = forecasts_tn.select("sub_county", "source_row", S.ITEM)
+    return run_id(rows, S.ITEM, ["source_row", S.ITEM], bucket="source_row", width=width, out="id")

@@ -10,16 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType
 
-from quantis.functions.values import sum_money
 from quantis.operators.columns import clean_names, drop_range
 from quantis.operators.joins import null_safe_join, semi_join
 from quantis.schemas import ANALYTICS
 
 WORKLOAD_KEYS = ("organisation_unit", "facility_ownership", "keph_level")
 
+WORKLOAD_SUM = "decimal(28,10)"
+
 # The ownership whose rows the report keeps.
 KEPT_OWNERSHIP = "Ministry of Health"
 
@@ -49,19 +51,40 @@ def workload_extract(
 def landed_extract(spark: SparkSession, path: str) -> DataFrame:
     """The analytics CSV files as landed from the API.  Header names vary
     in spelling, so they are read as text, cleaned to snake case
-    (``clean_names``) and then typed by the declared schema (a bad number
-    fails the job under ANSI casts instead of becoming NULL)."""
-    named = clean_names(spark.read.csv(path, header=True, inferSchema=False))
-    return named.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in ANALYTICS.fields if f.name in named.columns]
+    (``clean_names``) and then typed by the declared schema.
+
+    Nothing is lost silently: a row with too few or too many fields fails
+    the read (``FAILFAST``), a text that is no number fails its cast, and an
+    absent declared column raises here."""
+    header = spark.read.csv(path, header=True, inferSchema=False)
+    # with the schema given again, every row is checked against its width
+    landed = spark.read.option("columnPruning", False).csv(
+        path, header=True, schema=header.schema, mode="FAILFAST", enforceSchema=False
     )
+    named = clean_names(landed)
+    absent = [f.name for f in ANALYTICS.fields if f.name not in named.columns]
+    if absent:
+        raise ValueError(f"{path}: no column {', '.join(absent)}")
+
+    def typed(name: str, kind: DataType) -> Column:
+        text = F.col(name)
+        if kind == StringType():
+            return text
+        number = text.try_cast(kind)
+        bad = text.isNotNull() & (F.trim(text) != "") & number.isNull()
+        return F.when(bad, F.raise_error(F.concat(F.lit(f"{name} is no number: "), text)).cast(kind)).otherwise(number)
+
+    return named.select(*[typed(f.name, f.dataType).alias(f.name) for f in ANALYTICS.fields])
 
 
 def workload_aggregate(extract: DataFrame) -> DataFrame:
     """Drop numerator..divisor, sum value per (org unit, ownership,
-    level); exact sums, 0 for an all-missing group."""
+    level), 0 for an all-missing group.  Workload values are no money: they
+    are summed with ten decimals, so that small ones count, and the order of
+    partial sums does not show."""
     d = drop_range(extract, "numerator", "divisor")
-    return d.groupBy(*WORKLOAD_KEYS).agg(sum_money("value").alias("value"))
+    total = F.sum(F.col("value").cast(WORKLOAD_SUM))
+    return d.groupBy(*WORKLOAD_KEYS).agg(F.coalesce(total, F.lit(0).cast(WORKLOAD_SUM)).cast("double").alias("value"))
 
 
 def workload_enrich(
@@ -69,16 +92,15 @@ def workload_enrich(
 ) -> DataFrame:
     """Every aggregated row keeps its place (left join from the fact
     side to the org units -- the reference's right join), unknown levels and
-    ownerships drop out (inner joins to the two code lists, which are
-    broadcast: their size is fixed by the code system), then the report
+    ownerships drop out (inner joins to the two code lists), then the report
     projection and the Ministry-of-Health filter."""
     o = organisation_units.select(
         "facility_id", "facility_name", "ward_name", "sub_county_name", "county_name", "mfl_code"
     )
     j = null_safe_join(agg, o.withColumnRenamed("facility_id", "__fid"), ("organisation_unit", "__fid"), "left")
-    j = null_safe_join(j, keph_levels, ("keph_level", "keph_level_id"), "inner", broadcast=True)
+    j = null_safe_join(j, keph_levels, ("keph_level", "keph_level_id"), "inner")
     own = ownerships.select("facility_ownership_id", "facility_ownership_short")
-    j = null_safe_join(j, own, ("facility_ownership", "facility_ownership_id"), "inner", broadcast=True)
+    j = null_safe_join(j, own, ("facility_ownership", "facility_ownership_id"), "inner")
     out = j.select(
         F.col("keph_level_name").alias("keph_level"),
         F.col("county_name").alias("county"),

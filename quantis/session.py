@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,12 +35,17 @@ def local_session(
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint directory in use: the one already set on the context,
-    else the cluster's shared ``spark.checkpoint.dir``; only when neither is
-    set (local tests) a fresh scratch directory is created."""
+    else the cluster's shared ``spark.checkpoint.dir``.  Only under a local
+    master (tests) a scratch directory takes their place; on a cluster its
+    executors could not share one, so that raises."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quantis-ckpt-")
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if d is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="quantis-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

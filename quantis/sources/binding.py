@@ -9,9 +9,9 @@ SQL by the DuckDB oracle).  The fact is
 
 and the dimensions are derived from ``part``, ``customer`` and ``events``.
 The test tables hold no NULLs, so the binding *derives* the missing VENs,
-unclassified items, unmatched facilities and unknown lookup codes that the
-reports must handle.  Modulo rules below shape the derived dimensions
-(which keys exist); the fact table itself is never sampled or cut.
+unclassified items, unmatched facilities and unknown codes that the reports
+must handle.  Every source row is kept: a key that must not match is
+misspelled, as in the data that the override lists repair, never left out.
 
 Scale: the fact joins are written dimension-first (customer -> nation ->
 region collapses to one facility table before it meets orders), nation and
@@ -30,7 +30,8 @@ from pyspark.sql.types import TimestampNTZType
 
 from quantis import schemas as S
 from quantis.functions.text import title_case
-from quantis.sources.readers import memo, read_table, spread
+from quantis.functions.values import ven_or_null
+from quantis.sources.readers import memo, read_table
 
 # The 14 forecast category tabs, numbered 1-14 in this order.
 # Tabs 2, 4, 6, 7 and 10 carry the names the product/equipment defaults key
@@ -65,6 +66,7 @@ KEPH_LEVEL_ROWS = (
     ("K1", "KEPH Level 3"),
     ("K2", "KEPH Level 4"),
     ("K3", "KEPH Level 5"),
+    ("K04", "KEPH Level 6"),  # misspelled: the events say K4
 )
 OWNERSHIP_ROWS = (
     ("O0", "Ministry of Health (Government)", "Ministry of Health"),
@@ -74,7 +76,7 @@ OWNERSHIP_ROWS = (
 
 
 def _memoized(fn):
-    """Build each bound table's plan once per session and base directory."""
+    """Build each bound table's plan once for a query and base directory."""
 
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, base: str | None = None) -> DataFrame:
@@ -83,6 +85,11 @@ def _memoized(fn):
     return wrapper
 
 
+def misspelt(name: Column, when: Column) -> Column:
+    """The name, misspelled for the rows that must not match."""
+    return F.when(when, F.concat(name, F.lit("."))).otherwise(name)
+
+
 def tab_expr(p_size: Column) -> Column:
     n = p_size % 14 + 1
     names = F.array(*[F.lit(x) for x in CATEGORY_NAMES])
@@ -130,8 +137,9 @@ def _parts(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def _fact(spark: SparkSession, base: str, divergent: bool) -> DataFrame:
-    """Fact-first star join: lineitem meets each dimension in turn.
+def _fact(spark: SparkSession, base: str, divergent: bool | None) -> DataFrame:
+    """Fact-first star join: lineitem meets each dimension in turn;
+    ``divergent`` selects the counties of one schema, None keeps all.
 
     Written this way every join compares the fact with one dimension, so
     the optimizer's size check sees the dimension's own size (a pre-joined
@@ -140,16 +148,16 @@ def _fact(spark: SparkSession, base: str, divergent: bool) -> DataFrame:
     streams; at 100 TB orders / customer / part exceed the threshold and are
     sort-merge joined, while nation x region (25 rows) is always broadcast.
     """
-    li = spread(
-        read_table(spark, base, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-            "l_discount", "l_returnflag", "l_linestatus",
-        )
+    li = read_table(spark, base, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount", "l_returnflag", "l_linestatus",
     )
     o = read_table(spark, base, "orders").select("o_orderkey", "o_custkey")
     c = _customers(spark, base)
     in_tn = F.col("r_name") == F.lit(DIVERGENT_REGION)
-    geo = _geo(spark, base).where(in_tn if divergent else ~in_tn)
+    geo = _geo(spark, base)
+    if divergent is not None:
+        geo = geo.where(in_tn if divergent else ~in_tn)
     p = _parts(spark, base)
     f = li.join(o, li.l_orderkey == o.o_orderkey)
     f = f.join(c, f.o_custkey == c.c_custkey)
@@ -175,15 +183,14 @@ def _m(c: str) -> Column:
     return F.col(c).cast(S.M)
 
 
-@_memoized
-def forecasts(spark: SparkSession, base: str) -> DataFrame:
-    """Forecast rows of every county except the divergent one."""
-    f = _fact(spark, base, divergent=False)
+def _fc_columns(f: DataFrame) -> dict[str, Column]:
     cols = _common(f)
     cols.update(
         {
             "county": F.col("r_title"),
-            "ven": F.when(F.col("l_returnflag") == "R", "V").when(F.col("l_returnflag") == "A", "E"),
+            "ven": F.when(F.col("l_returnflag") == "R", "V").when(
+                F.col("l_returnflag") == "A", F.when(F.col("l_linenumber") == 1, "e").otherwise("E")
+            ),
             "pack_size": F.col("p_size").cast("string"),
             "price_kes": F.col("p_retailprice"),
             S.QTY: F.col("l_quantity"),
@@ -192,15 +199,18 @@ def forecasts(spark: SparkSession, base: str) -> DataFrame:
             S.PROCURE: (_m("l_extendedprice") * (F.lit(1).cast(S.M) - _m("l_discount"))).cast(S.M),
         }
     )
-    return f.select(*[cols[c.name].cast(c.dataType).alias(c.name) for c in S.FORECASTS.fields])
+    return cols
 
 
 @_memoized
-def forecasts_tn(spark: SparkSession, base: str) -> DataFrame:
-    """The divergent-schema county: raw upper-case county name, unsanitised
-    VEN codes (lower-case ``e`` is junk), ``pack_size.x``, a new price and a
-    stale stored value that the harmonisation must recompute."""
-    f = _fact(spark, base, divergent=True)
+def forecasts(spark: SparkSession, base: str) -> DataFrame:
+    """Forecast rows of every county except the divergent one."""
+    f = _fact(spark, base, divergent=False)
+    cols = _fc_columns(f)
+    return f.select(*[cols[c.name].cast(c.dataType).alias(c.name) for c in S.FORECASTS.fields])
+
+
+def _tn_columns(f: DataFrame) -> dict[str, Column]:
     cols = _common(f)
     cols.update(
         {
@@ -220,9 +230,40 @@ def forecasts_tn(spark: SparkSession, base: str) -> DataFrame:
             "source_row": F.col("l_orderkey") * 8 + F.col("l_linenumber"),
         }
     )
+    return cols
+
+
+@_memoized
+def forecasts_tn(spark: SparkSession, base: str) -> DataFrame:
+    """The divergent-schema county: raw upper-case county name, unsanitised
+    VEN codes (lower-case ``e`` is junk), ``pack_size.x``, a new price and a
+    stale stored value that the harmonisation must recompute."""
+    f = _fact(spark, base, divergent=True)
+    cols = _tn_columns(f)
     return f.select(*[cols[c.name].cast(c.dataType).alias(c.name) for c in S.FORECASTS_TN.fields])
 
 
+@_memoized
+def harmonised(spark: SparkSession, base: str) -> DataFrame:
+    """Every county in the common schema from one star join: what
+    ``plans.unify.union_harmonised`` makes of the two sources, which in these
+    tables are rows of one fact table."""
+    f = _fact(spark, base, divergent=None)
+    fc, tn = _fc_columns(f), _tn_columns(f)
+    here = F.col("r_name") == DIVERGENT_REGION
+    fc[S.VALUE] = (fc[S.QTY].cast(S.M) * fc["price_kes"].cast(S.M)).cast(S.M)
+    tn |= {
+        "county": F.lit(DIVERGENT_COUNTY),
+        "ven": ven_or_null(tn["ven"]),
+        "pack_size": tn[S.PACK_X],
+        "price_kes": tn[S.NEW_PRICE],
+        S.VALUE: (tn[S.QTY].cast(S.M) * tn[S.NEW_PRICE].cast(S.M)).cast(S.M),
+    }
+    return f.select(
+        *[F.when(here, tn[c.name].cast(c.dataType)).otherwise(fc[c.name].cast(c.dataType)).alias(c.name) for c in S.FORECASTS.fields]
+    )
+
+
 @_memoized
 def _part_keys(spark: SparkSession, base: str) -> DataFrame:
     """One row per (item, tab) key of ``part`` with its smallest part key."""
@@ -234,26 +275,39 @@ def _part_keys(spark: SparkSession, base: str) -> DataFrame:
 
 @_memoized
 def product_classifications(spark: SparkSession, base: str) -> DataFrame:
-    """Classification dimension, unique on (item, tab); keys whose smallest
-    part key is a multiple of 7 are absent so some facts do not match."""
-    k = _part_keys(spark, base).where(F.col("k") % 7 != 0)
+    """Classification dimension, unique on (item, tab); items whose smallest
+    part key is a multiple of 7 are misspelled, so some facts do not match.
+    One class and one flag are outside the report lists."""
+    k = _part_keys(spark, base)
     return k.select(
-        S.ITEM,
+        misspelt(F.col(S.ITEM), F.col("k") % 7 == 0).alias(S.ITEM),
         "tab",
-        F.when(F.col("k") % 3 == 0, "Product").when(F.col("k") % 3 == 1, "Equipment").alias("product_or_equipment"),
+        F.when(F.col("k") % 3 == 0, "Product")
+        .when(F.col("k") % 3 == 1, "Equipment")
+        .when(F.col("k") % 9 == 2, "Consumable")
+        .alias("product_or_equipment"),
         F.when(F.col("k") % 11 != 0, F.col("brand")).alias("product_classification"),
-        F.when(F.col("k") % 4 == 0, "Yes").when(F.col("k") % 4 == 1, "No").alias("rmnch_product"),
+        F.when(F.col("k") % 4 == 0, "Yes")
+        .when(F.col("k") % 4 == 1, "No")
+        .when(F.col("k") % 8 == 2, "Unknown")
+        .alias("rmnch_product"),
         F.col("ptype").alias("moh_647_name"),
     )
 
 
 @_memoized
 def new_product_categorization(spark: SparkSession, base: str) -> DataFrame:
-    k = _part_keys(spark, base).where(F.col("k") % 4 != 0)
+    """New categorisation; items whose smallest part key is a multiple of 4
+    are misspelled, and one VEN code is unknown."""
+    k = _part_keys(spark, base)
     return k.select(
-        F.col(S.ITEM).alias("item_name"),
+        misspelt(F.col(S.ITEM), F.col("k") % 4 == 0).alias("item_name"),
         F.col("tab").alias("product_category"),
-        F.when(F.col("k") % 3 == 0, "V").when(F.col("k") % 3 == 1, "E").otherwise("N").alias("ven"),
+        F.when(F.col("k") % 3 == 0, "V")
+        .when(F.col("k") % 3 == 1, "E")
+        .when(F.col("k") % 6 == 2, "X")
+        .otherwise("N")
+        .alias("ven"),
         F.when(F.col("k") % 5 == 0, "Equipment").otherwise("Product").alias("product_or_equipment"),
     )
 
@@ -281,7 +335,7 @@ def _ward_id() -> Column:
 @_memoized
 def org_units(spark: SparkSession, base: str) -> DataFrame:
     """Adjacency list root -> county -> sub-county -> ward -> facility.
-    Facilities whose customer key is a multiple of 13 are absent."""
+    Facilities whose customer key is a multiple of 13 are misspelled."""
     r = read_table(spark, base, "region")
     n = read_table(spark, base, "nation")
     c = read_table(spark, base, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
@@ -301,9 +355,9 @@ def org_units(spark: SparkSession, base: str) -> DataFrame:
         F.concat(title_case("c_mktsegment"), F.lit(" Ward")).alias("name"),
         F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("parent_id"),
     ).distinct()
-    facs = c.where(F.col("c_custkey") % 13 != 0).select(
+    facs = c.select(
         F.concat(F.lit("F"), F.col("c_custkey").cast("string")).alias("id"),
-        F.col("c_name").alias("name"),
+        misspelt(F.col("c_name"), F.col("c_custkey") % 13 == 0).alias("name"),
         _ward_id().alias("parent_id"),
     )
     return root.unionByName(counties).unionByName(subs).unionByName(wards).unionByName(facs)
@@ -359,9 +413,11 @@ def analytics(spark: SparkSession, base: str) -> DataFrame:
 
 @_memoized
 def organisation_units(spark: SparkSession, base: str) -> DataFrame:
-    f = _facilities(spark, base).where(F.col("c_custkey") % 13 != 0)
+    """Facility registry; ids whose customer key is a multiple of 13 are
+    misspelled, so some workload rows find no facility."""
+    f = _facilities(spark, base)
     return f.select(
-        F.concat(F.lit("F"), F.col("c_custkey").cast("string")).alias("facility_id"),
+        misspelt(F.concat(F.lit("F"), F.col("c_custkey").cast("string")), F.col("c_custkey") % 13 == 0).alias("facility_id"),
         F.col("c_name").alias("facility_name"),
         title_case("c_mktsegment").alias("ward_name"),
         F.col("n_name").alias("sub_county_name"),

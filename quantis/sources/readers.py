@@ -7,16 +7,16 @@ the Parquet scan (``ReadSchema`` / ``PushedFilters``) through Catalyst.
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
 def _cache(spark: SparkSession) -> dict:
-    """Per-session memo of lazily built plans (no data is cached).  Plans
-    are immutable, so reusing one only saves the driver-side cost of
-    listing files, reading footers and re-analysing the same plan."""
+    """Memo of lazily built plans (no data is cached) while one query is
+    being built: the catalog forgets it before every query, so each one lists
+    its files afresh."""
     c = getattr(spark, "_quantis_plans", None)
     if c is None:
         c = {}
@@ -25,8 +25,7 @@ def _cache(spark: SparkSession) -> dict:
 
 
 def clear_plans(spark: SparkSession) -> None:
-    """Forget memoised plans, e.g. after new files landed under a path that
-    was already read in this session."""
+    """Forget memoised plans; done before each registered query is built."""
     _cache(spark).clear()
 
 
@@ -37,35 +36,10 @@ def memo(spark: SparkSession, key: tuple, build):
     return c[key]
 
 
-# A scan is spread only when it arrives in fewer splits than this (and than
-# the cores): at most a few row groups, so the extra shuffle stays small.
-SPREAD_MAX_SPLITS = 16
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that arrives in only a handful of splits (e.g. one
-    large row group per file), so the joins and partial aggregates fused
-    into the scan stage run on every core instead of one.
-
-    Only scans with fewer than ``SPREAD_MAX_SPLITS`` splits qualify, so the
-    added shuffle is bounded by a few row groups.  A large table on a
-    cluster has thousands of splits -- even if that is fewer than the
-    cores -- and is returned untouched: no fact-sized shuffle is added."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a remote session): leave as is
-        return df
-    if splits >= min(cores, SPREAD_MAX_SPLITS):
-        return df
-    return df.repartition(cores)
-
-
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """``<base>/<name>.parquet`` (a file or a directory of parts).
 
-    The relation is memoised per session, so its file listing is the one
-    taken at first use; call :func:`clear_plans` after new files land."""
+    The relation is memoised until :func:`clear_plans`."""
     path = f"{base.rstrip('/')}/{name}.parquet"
     return memo(spark, ("read", path), lambda: spark.read.parquet(path))
 
@@ -92,15 +66,13 @@ def read_jdbc(spark: SparkSession, table: str, prefix: str = "spark.quantis.jdbc
 
 
 def catalog_union(spark: SparkSession, pattern: str, schema: StructType | None = None) -> DataFrame:
-    """Union of every catalog table whose name matches ``pattern`` (e.g.
-    ``'*kakamega'`` for one table per sub-county).  Only table names reach
-    the driver; rows are read by executors."""
+    """Union of every catalog table whose whole name matches the regular
+    expression ``pattern`` (e.g. ``'.*kakamega'`` for one table per
+    sub-county).  Only table names reach the driver; rows are read by
+    executors.  Columns of one name must have one type."""
     from quantis.operators.sets import union_aligned
 
-    names = [t.name for t in spark.catalog.listTables(pattern=pattern)]
+    names = sorted(t.name for t in spark.catalog.listTables() if re.fullmatch(pattern, t.name))
     if not names:
         raise ValueError(f"no table matches {pattern!r}")
-    frames = [spark.table(n) for n in sorted(names)]
-    if schema is None:
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return union_aligned(frames, schema)
+    return union_aligned([spark.table(n) for n in names], schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,23 +31,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def publish_once(df: DataFrame, path: str, by: Sequence[str] = ("county",)) -> bool:
-    """Write ``df`` only if no complete copy exists at ``path``; returns
-    whether it wrote.
+def publish_once(df: DataFrame, path: str, by: Sequence[str] = ("county",), replace_unmarked: bool = False) -> bool:
+    """Write ``df`` only if nothing is at ``path``; returns whether it wrote.
 
-    "Complete" means the job commit marker ``_SUCCESS`` is present: a job
-    that died mid-write (lost executors, killed driver) can leave the
-    directory behind without it, and that leftover is replaced rather than
-    mistaken for a publication.  The check runs before any data is read, so
-    a caller can skip building an expensive plan at all."""
+    Nothing is ever overwritten.  A directory with the commit marker
+    ``_SUCCESS`` is a publication: it stays and the result is False.  One
+    without the marker may be a complete table whose writer makes none, a
+    write in progress, or what a dead job left: that is for a person to
+    decide, so it raises.  ``replace_unmarked`` states that decision; the old
+    directory is then moved aside to ``<path>.replaced-<time>``, not deleted.
+    The check runs before any data is read."""
     spark = df.sparkSession
-    if path_exists(spark, path.rstrip("/") + "/_SUCCESS"):
+    path = path.rstrip("/")
+    if path_exists(spark, path + "/_SUCCESS"):
         return False
-    mode = "overwrite" if path_exists(spark, path) else "errorifexists"
-    rebalanced(df, by).write.mode(mode).partitionBy(*by).parquet(path)
+    if path_exists(spark, path):
+        if not replace_unmarked:
+            raise FileExistsError(f"{path} exists without a commit marker; it is not overwritten")
+        _move(spark, path, f"{path}.replaced-{time.time_ns()}")
+    rebalanced(df, by).write.mode("errorifexists").partitionBy(*by).parquet(path)
     return True
 
 
+def _move(spark: SparkSession, path: str, to: str) -> None:
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = new(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(new(path), new(to)):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 def publish_table_once(df: DataFrame, table: str) -> bool:
     """Catalog-table variant of :func:`publish_once`."""
     spark = df.sparkSession
@@ -59,25 +72,25 @@ def publish_table_once(df: DataFrame, table: str) -> bool:
 def write_report(
     df: DataFrame, path: str, fmt: str = "csv", per_county: bool = False, order_by: Sequence[str] = ()
 ) -> None:
-    """Small report output (a crosstab); CSV opens in a spreadsheet.
+    """Report output; CSV opens in a spreadsheet.
 
-    Reports are already aggregated, so a single file is written; with
-    ``per_county`` each county gets its own directory and file
-    (``county=<name>/part-*.csv``), one task per county.  ``order_by``
-    sorts the rows inside each file (no global sort job is needed)."""
+    Rows are dealt with the ``REBALANCE`` hint: a crosstab becomes one file
+    (with ``per_county`` one for each county, ``county=<name>/part-*.csv``),
+    while rows of a fact-sized result or of a hot county are split over as
+    many tasks as their bytes need.  ``order_by`` sorts the rows inside each
+    file (no global sort job is needed)."""
     if per_county:
-        out = df.repartition("county")
+        out = rebalanced(df, ["county"])
         # lead with the partition column: the partitioned writer needs rows
         # grouped by it and would otherwise re-sort, dropping this order
         order_by = ["county", *[c for c in order_by if c != "county"]] if order_by else []
     else:
-        out = df.coalesce(1)
+        out = df.hint("rebalance")
     if order_by:
         out = out.sortWithinPartitions(*order_by)
+    w = out.write.mode("overwrite")
     if per_county:
-        w = out.write.mode("overwrite").partitionBy("county")
-    else:
-        w = out.write.mode("overwrite")
+        w = w.partitionBy("county")
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:

@@ -130,10 +130,46 @@ def test_hot_key_join_is_split_by_aqe(spark):
                 spark.conf.set(k, v)
 
 
-def test_spread_only_touches_scans_with_a_handful_of_splits(spark):
-    from quantis.sources.readers import SPREAD_MAX_SPLITS, spread
+def test_building_queries_runs_no_job_and_keeps_nothing(spark):
+    """Builders return lazy frames; the only jobs allowed while they run read
+    Parquet footers, which the same reads by hand also do."""
+    from quantis.sources.readers import clear_plans, read_table
+
+    sc = spark.sparkContext
+    spark.catalog.clearCache()
+    before = sc._jsc.getPersistentRDDs().size()
+    tables = ("lineitem", "orders", "customer", "nation", "region", "part", "events")
+    for name, build in QUERIES.items():
+        group = f"build-{name}"
+        sc.setJobGroup(group, name)
+        build(spark, SF_SMALL)
+        built = sc.statusTracker().getJobIdsForGroup(group)
+        clear_plans(spark)
+        sc.setJobGroup(group + "-footers", name)
+        for t in tables:
+            read_table(spark, SF_SMALL, t)
+        footers = len(sc.statusTracker().getJobIdsForGroup(group + "-footers"))
+        assert len(built) <= footers, (name, len(built), footers)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sc._jsc.getPersistentRDDs().size() == before
+
+
+def test_plans_do_not_depend_on_cores(spark):
+    """No round-robin exchange is put over a scan for the sake of local cores."""
+    assert "RoundRobinPartitioning" not in plan(QUERIES["by_ven"](spark, SF_SMALL))
+
+
+@pytest.mark.parametrize("name", ["all_counties", "county_summary"])
+def test_both_schemas_come_from_one_scan(spark, name):
+    p = plan(QUERIES[name](spark, SF_SMALL))
+    assert len([ln for ln in p.splitlines() if "FileScan parquet" in ln and "l_orderkey" in ln]) == 1
+
+
+def test_county_summary_joins_no_classification(spark):
+    p = plan(QUERIES["county_summary"](spark, SF_SMALL))
+    assert "LeftOuter" not in p and "p_brand" not in p
+
 
-    few = spark.range(0, 1000, numPartitions=1)
-    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=SPREAD_MAX_SPLITS)
-    assert spread(many) is many
+def test_run_ids_read_the_fact_twice_at_most(spark):
+    p = plan(QUERIES["item_run_ids"](spark, SF_SMALL))
+    assert len([ln for ln in p.splitlines() if "FileScan parquet" in ln and "l_orderkey" in ln]) <= 2

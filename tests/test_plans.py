@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from quantis import schemas as S
@@ -23,7 +24,8 @@ def forecasts(spark, data):
     qty, price, value); other columns NULL."""
     cols = "county string, sub_county string, facility_name string, tab string, ven string, funding string, " \
            f"{IT} string, {S.QTY} double, price_kes double, {VAL} double"
-    return conform(spark.createDataFrame(data, cols), S.FORECASTS)
+    made = spark.createDataFrame(data, cols).withColumn(VAL, F.col(VAL).cast(S.FORECASTS[VAL].dataType))
+    return conform(made, S.FORECASTS)
 
 
 def test_product_defaults_fixture(spark):
@@ -35,10 +37,10 @@ def test_product_defaults_fixture(spark):
     ])
     classes = conform(spark.createDataFrame([], f"{IT} string, tab string"), S.CLASSIFICATIONS)
     out = {r[1]: r[2:] for r in rows(C.by_product_or_equipment(f, classes))}
-    assert out["Physiotherapy"] == (0.0, 1.0, 0.0, 1.0)
-    assert out["Laboratory"] == (2.0, 0.0, 0.0, 2.0)
-    assert out["Other"] == (0.0, 0.0, 4.0, 4.0)
-    assert out["Total"] == (2.0, 1.0, 4.0, 7.0)
+    assert out["Physiotherapy"] == (0.0, 1.0, 0.0, 0.0, 1.0)
+    assert out["Laboratory"] == (2.0, 0.0, 0.0, 0.0, 2.0)
+    assert out["Other"] == (0.0, 0.0, 4.0, 0.0, 4.0)
+    assert out["Total"] == (2.0, 1.0, 4.0, 0.0, 7.0)
 
 
 def test_resolve_ven_left_and_inner(spark):
@@ -141,13 +143,52 @@ def test_publish_once_keeps_first_rows(spark):
     assert rows(spark.read.parquet(path), "county", "x") == [("A", 1)]
 
 
-def test_publish_once_replaces_an_incomplete_attempt(spark):
-    d = tempfile.mkdtemp(prefix="quantis-publish-")
-    path = os.path.join(d, "unified")
-    os.makedirs(os.path.join(path, "county=A"))  # leftover of a failed job: no _SUCCESS
+def test_publish_once_leaves_an_unmarked_table_alone(spark):
+    """A table whose writer makes no commit marker is not overwritten."""
+    from quantis.sources.sinks import publish_once
+
+    path = os.path.join(tempfile.mkdtemp(prefix="quantis-publish-"), "unified")
+    first = spark.createDataFrame([("A", 1)], "county string, x int")
+    first.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy("county").parquet(path)
+    assert not os.path.exists(os.path.join(path, "_SUCCESS"))
     df = spark.createDataFrame([("B", 2)], "county string, x int")
-    assert U.publish_unified(df, path) is True
+    with pytest.raises(FileExistsError):
+        U.publish_unified(df, path)
+    assert rows(spark.read.parquet(path), "county", "x") == [("A", 1)]
+    # replacing it is a caller's explicit decision, and moves the old one aside
+    assert publish_once(df, path, replace_unmarked=True) is True
     assert rows(spark.read.parquet(path), "county", "x") == [("B", 2)]
+    moved = [x for x in os.listdir(os.path.dirname(path)) if x.startswith("unified.replaced-")]
+    assert rows(spark.read.parquet(os.path.join(os.path.dirname(path), moved[0])), "county", "x") == [("A", 1)]
+
+
+def test_two_sources_harmonise_to_the_one_scan_binding(spark):
+    from quantis.sources import binding as B
+
+    base = "/root/testdata/sf0.001"
+    two = U.union_harmonised(B.forecasts(spark, base), B.forecasts_tn(spark, base), B.DIVERGENT_COUNTY)
+    one = B.harmonised(spark, base)
+    assert two.columns == one.columns
+    assert sorted(map(str, two.collect())) == sorted(map(str, one.collect()))
+
+
+def test_crosstab_totals_reconcile_with_the_grand_total(spark):
+    """No report loses money: its total cell is the county's grand total."""
+    from quantis.catalog import QUERIES
+
+    base = "/root/testdata/sf0.001"
+    grand = {r[0]: round(r[1], 2) for r in QUERIES["county_grand_total"](spark, base).collect()}
+    for name in ("by_product_or_equipment", "by_ven", "rmnch_value_pct"):
+        got = {r["county"]: round(r["Total"], 2) for r in QUERIES[name](spark, base).where("tab = 'Total'").collect()}
+        assert got == grand, name
+
+
+def test_override_with_two_wards_fails(spark):
+    f = forecasts(spark, [("Alpha", "S", "F", "1.T", "V", "County", "i", 1.0, 1.0, 1.0)])
+    h = spark.createDataFrame([("Alpha", "S", "F", "W")], "county string, sub_county string, facility_name string, ward string")
+    twice = spark.createDataFrame([("F", "X"), ("F", "Y")], "facility_name string, ward string")
+    with pytest.raises(Exception, match="two override wards"):
+        G.assign_ward(f, h, twice).collect()
 
 
 def test_split_by_county_partitions(spark):
@@ -193,21 +234,23 @@ def test_rmnch_share_fixture(spark):
     classes = conform(spark.createDataFrame([("y", "1.T", "Yes"), ("y", "2.U", "Yes")],
                                             f"{IT} string, tab string, rmnch_product string"), S.CLASSIFICATIONS)
     out = {r[1]: r[2:] for r in rows(R.rmnch_share(f, classes))}
-    assert out["T"] == (0.33, 0.67, "33%", 1.0)
-    assert out["U"] == (0.0, 0.0, None, 0.0)  # 0/0: NULL share (documented deviation from NaN)
-    assert out["Total"] == (0.33, 0.67, "-", 1.0)
+    assert out["T"] == (0.33, 0.67, 0.0, "33%", 1.0)
+    assert out["U"] == (0.0, 0.0, 0.0, None, 0.0)  # 0/0: NULL share (documented deviation from NaN)
+    assert out["Total"] == (0.33, 0.67, 0.0, "-", 1.0)
     summary = rows(R.rmnch_summary(f, classes))
-    assert summary == [("c", 1.0, 2.0, 3.0)]
+    assert summary == [("c", 1.0, 2.0, 0.0, 3.0)]
 
 
 def test_report_pack_from_one_shared_cube_equals_fact_reports(spark):
-    from quantis.catalog import QUERIES
+    from quantis.catalog import KEPH_LEVELS, QUERIES
     from quantis.sources import binding as B
 
     base = "/root/testdata/sf0.001"
     f = B.forecasts(spark, base)
     assert U.report_cube(f, materialize=False).count() < f.count()
-    pack = R.product_report_pack(f, B.product_classifications(spark, base), B.new_product_categorization(spark, base))
+    pack = R.product_report_pack(
+        f, B.product_classifications(spark, base), B.new_product_categorization(spark, base), levels=KEPH_LEVELS
+    )
     assert len(pack) == 11
     for name, df in pack.items():
         expect = QUERIES[name](spark, base)
