@@ -54,7 +54,7 @@ OTHER = SYMBOLS - 1  # 0 is the end, and what stands before a text
 #: Bytes that can occur in normalised texts: all but five white-space ones.
 BYTES = 256 - 5
 #: Distinct runs that a task gathers before it hands them on.
-FLUSH = 4_000_000
+FLUSH = 2_000_000
 LEAST_BUCKETS, TEXTS_A_BUCKET = 64, 4_000
 
 
@@ -204,7 +204,8 @@ def grown(table: pa.Table, symbol: np.ndarray) -> Tree:
         child[parent, oldest] = i
         chance[i] = (counts[i] + kinds[i] * chance[parent]) / (total[i] + kinds[i])
     others = max(1, BYTES - int((symbol != OTHER).sum()))
-    return Tree(symbol, child, np.log10(chance), -math.log10(others))
+    del counts, where
+    return Tree(symbol, child, np.log10(chance, out=chance).astype(np.float32), -math.log10(others))
 
 
 def scores(w: Words, tree: Tree) -> np.ndarray:
@@ -217,7 +218,7 @@ def scores(w: Words, tree: Tree) -> np.ndarray:
         active = active[step >= 0]
         state[active] = step[step >= 0]
     after = s[at]
-    value = tree.score[state, after] + np.where(after == OTHER, tree.other, 0.0)
+    value = tree.score[state, after].astype(np.float64) + np.where(after == OTHER, tree.other, 0.0)
     return np.add.reduceat(value, first[:-1]) if len(value) else np.zeros(0)
 
 
