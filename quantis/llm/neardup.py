@@ -42,7 +42,7 @@ from pyspark.sql.types import StructType
 from quantis.llm.components import components
 from quantis.llm.wordbatch import U64, Words, mix, run_hash, span_hash, split_words, word_hash
 from quantis.llm.wordbatch import _WORDS
-from quantis.llm.work import cut
+from quantis.llm.work import bounded_batches, cut
 
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
@@ -324,6 +324,7 @@ def classes(
 ) -> DataFrame:
     """For each document: ``id_col``, ``n_shingles``, ``component_id`` (the
     least id of its class) and ``node`` (a digest of its set, null if empty)."""
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     signed = cut(texts.mapInArrow(_sign(shingle), f"id {kind}, node binary, n_shingles long, sign binary"))
@@ -360,18 +361,25 @@ def one_of_each(
     first = cut(members.groupBy("class").agg(F.min(id_col).alias("chosen")))
     # the class's first id with its set; a class of null ids alone is represented by its least set
     named = members.join(first, "class").filter(F.col(id_col).eqNullSafe(F.col("chosen")))
-    winners = cut(named.groupBy("class").agg(F.min(F.struct("node")).alias("w"), F.first("chosen").alias("chosen")))
-    return _rows_of(docs, winners.select("chosen", F.col("w.node").alias("node")), shingle, id_col, text_col)
+    sized = named.groupBy("class", "node").agg(F.count(F.lit(1)).alias("rows"), F.first("chosen").alias("chosen"))
+    winners = cut(sized.groupBy("class").agg(F.min(F.struct("node", "rows", "chosen")).alias("w")).select("w.*"))
+    return _rows_of(docs, winners, shingle, id_col, text_col)
 
 
 def _rows_of(docs: DataFrame, winners: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """One row of ``docs`` for each (id, set) of ``winners``, and all rows
-    with an empty set."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    """One row of ``docs`` for each (node, chosen) of ``winners``, and all
+    rows with an empty set.  Only winners that several equal rows stand for
+    need grouping."""
+    empty_set = ~F.coalesce(F.col(f"`{text_col}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    packed = docs.filter(~empty_set).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     schema = StructType().add(packed.schema["row"]).add("node", "binary")
     named = packed.mapInArrow(_node_rows(shingle, text_col), schema)
-    empty = named.filter("node is null").select("row")
-    chosen = winners.select(F.col("chosen"), F.col("node").alias("set"))
-    same = named.filter("node is not null").join(chosen, (F.col("node") == F.col("set")) & F.col("row")[id_col].eqNullSafe(F.col("chosen")))
-    single = same.groupBy("node").agg(F.first("row").alias("row")).select("row")
-    return single.union(empty).select("row.*")
+
+    def rows(which: str) -> DataFrame:
+        chosen = winners.filter(which).select("chosen", F.col("node").alias("set"))
+        return named.join(chosen, (F.col("node") == F.col("set")) & F.col("row")[id_col].eqNullSafe(F.col("chosen")))
+
+    found = rows("rows = 1").select("row")
+    if not winners.filter("rows > 1").isEmpty():
+        found = found.union(rows("rows > 1").groupBy("node").agg(F.first("row").alias("row")).select("row"))
+    return found.select("row.*").union(docs.filter(empty_set))

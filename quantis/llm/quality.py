@@ -39,6 +39,7 @@ from pyspark.sql.types import StructType
 
 from quantis.llm.rules import SYMBOLS, class_histogram, doubled, duplicate_lines, per_document
 from quantis.llm.wordbatch import Words, run_hash, split_words, word_hash
+from quantis.llm.work import bounded_batches
 
 #: Rows of either kind that a model is fitted on.
 SAMPLE = 20_000
@@ -210,6 +211,7 @@ def _score(model, text_col: str | None):
 def scored(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``row`` (a struct of the columns ``keep``, all by default) and
     ``score`` of every document."""
+    bounded_batches(docs.sparkSession)
     columns = docs.columns if keep is None else keep
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
     inside = text_col in columns  # then the text travels once

@@ -25,6 +25,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+#: Rows of an Arrow batch of whole texts.
+BATCH_ROWS = 2_000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches that carry whole texts to Python, so that a
+    batch, its copy in the JVM and the arrays over it stay small beside an
+    executor's heap.  A setting of the user's own is kept."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are written to the shared folder, so
     later reads neither recompute the plan nor depend on one executor."""
