@@ -16,14 +16,19 @@ KEY_QUERIES = {
     "map-side; only that aggregate meets the classification; cells and the total row come from "
     "conditional sums and GROUPING SETS over the small result",
     "requirements_by_ward": "facts aggregated per (facility, tab) before the hierarchy join",
-    "assign_ward": "row-level ward assignment: hierarchy and overrides broadcast after a row-count check",
+    "assign_ward": "row-level ward assignment: null-safe joins whose strategy AQE picks by bytes",
     "top_products": "top-5 with ties: WindowGroupLimit before and after the shuffle",
     "ven_gaps": "keep-first as a partial aggregate (min_by), not a window",
     "item_run_ids": "consecutive_id by ranges: per-range windows, a small summary, a join back",
-    "workload_enrich": "aggregate first, then left join to org units and broadcast code lists",
+    "workload_enrich": "aggregate first, then the joins to org units and code lists",
 }
 
 
+# Operators that decide a plan's cost; projections, filters and stage markers
+# are left out.
+SHOWN = r"Exchange|Join|Aggregate|Window|Limit|Expand|FileScan|Sort|AQEShuffleRead"
+
+
 def tree(df) -> str:
     plan = df._jdf.queryExecution().executedPlan().toString()
     lines = []
@@ -37,8 +42,9 @@ def tree(df) -> str:
             if len(ln) - len(ln.lstrip(" :+-")) > skip_at:
                 continue
             skip_at = None
-        ln = re.sub(r"#\d+L?", "", ln)
-        lines.append(ln if len(ln) <= 160 else ln[:157] + "...")
+        ln = re.sub(r"#\d+L?|, \[plan_id=\d+\]", "", ln)
+        if re.search(SHOWN, ln):
+            lines.append(ln if len(ln) <= 110 else ln[:107] + "...")
     return "\n".join(lines)
 
 
@@ -52,7 +58,7 @@ def main() -> None:
         "# Physical plans",
         "",
         f"Final adaptive plans (`executedPlan` after running that same plan) on `{base}`, local[8], "
-        "generated by `tools/explain.py`. Expression ids are stripped; long lines cut.",
+        "generated by `tools/explain.py`. Only the operators that decide the cost are kept; long lines are cut.",
         "",
     ]
     for name, why in KEY_QUERIES.items():
