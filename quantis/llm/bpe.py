@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from quantis.llm.substring import binary_rows, binary_values
 from quantis.llm.units import Unit, units
 from quantis.llm.vocabulary import take_spans
-from quantis.llm.work import bounded_batches
+from quantis.llm.work import bounded_batches, release
 
 #: Bytes of decoded text in an Arrow batch, about.
 TEXT_BYTES = 16 << 20
@@ -149,6 +149,8 @@ def _encode_words(path: str):
             found = [ids[word] for word in words]
             sizes.append(zlib.compress(np.array([len(x) // 4 for x in found], "<u4").tobytes(), 1))
             bodies.append(zlib.compress(b"".join(found), 1))
+        del ids, lists, distinct
+        release()
         return pa.table(
             {"unit": table["unit"], "first": table["first"], "sizes": pa.array(sizes, pa.binary()), "ids": pa.array(bodies, pa.binary())}
         )
@@ -215,6 +217,7 @@ def _decode(table, unpack: bool):
                 if unpack:
                     batch = next(_unpack(iter([batch])))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "decoded"])
+        release()
 
     return run
 

@@ -42,7 +42,7 @@ from pyspark.sql.types import StructType
 from quantis.llm.components import components
 from quantis.llm.wordbatch import U64, Words, mix, run_hash, span_hash, split_words, word_hash
 from quantis.llm.wordbatch import _WORDS
-from quantis.llm.work import bounded_batches, cut
+from quantis.llm.work import bounded_batches, cut, release
 
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
@@ -129,6 +129,7 @@ def _sign(shingle: int):
                     [batch.column("id").slice(w.row, w.n_docs), pa.array(node, pa.binary()), pa.array(size, pa.int64()), pa.array(sign, pa.binary())],
                     names=["id", "node", "n_shingles", "sign"],
                 )
+        release()
 
     return run
 

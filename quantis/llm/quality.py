@@ -39,7 +39,7 @@ from pyspark.sql.types import StructType
 
 from quantis.llm.rules import SYMBOLS, class_histogram, doubled, duplicate_lines, per_document
 from quantis.llm.wordbatch import Words, run_hash, split_words, word_hash
-from quantis.llm.work import bounded_batches
+from quantis.llm.work import bounded_batches, release
 
 #: Rows of either kind that a model is fitted on.
 SAMPLE = 20_000
@@ -204,6 +204,7 @@ def _score(model, text_col: str | None):
             found = [model.value.score(features(w)) for w in split_words(text)]
             score = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(score)], names=["row", "score"])
+        release()
 
     return run
 

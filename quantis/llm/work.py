@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -38,6 +40,16 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def release() -> None:
+    """Gives a worker's freed memory back to the system: workers are reused by
+    later tasks, and what they hold counts beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are written to the shared folder, so
     later reads neither recompute the plan nor depend on one executor."""
