@@ -15,7 +15,8 @@ their own.  Spark then scores the graph of patterns and instances in rounds:
 
 Candidates whose score reaches the limit after the last round are added as
 spans of their best kind, if they pass that kind's check (digits, Luhn sum);
-base spans always stay.  Words that stand beside
+so are occurrences of seeds that the base patterns missed, such as a number
+that runs into other digits.  Base spans always stay.  Words that stand beside
 anything, such as articles, never reach the limit, because they surround
 strings of every kind and of none.
 
@@ -162,8 +163,8 @@ def discover(
             .agg((1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999999)))))).alias("score"))
         )
         scores = cut(fixed.union(found))
-    best = (
-        scores.join(fixed.select("instance").distinct(), "instance", "left_anti").groupBy("instance")
+    best = (  # with the seeds, for occurrences that the base missed
+        scores.groupBy("instance")
         .agg(F.max(F.struct("score", "kind")).alias("top")).filter(F.col("top.score") >= limit)
         .select("instance", F.col("top.kind").alias("found"))
     )

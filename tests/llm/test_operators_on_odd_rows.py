@@ -377,6 +377,13 @@ def test_redaction(spark):
     assert out[2] == [None] and out[3] == [""] and out[201] == ["a number 0999 888 77 here"]
 
 
+def test_known_identifier_that_runs_into_other_digits(spark):
+    rows = [(1, "card 4845168114407329 ok"), (2, "pay 7536784127813051 4845168114407329 now"), (3, "id 7536784127813051 x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r[0]: r[6] for r in collected(pii.extract(df))} == {1: "card:5:21", 2: "card:21:37", 3: ""}
+    assert {i: t for i, t in collected(pii.redact(df))} == {1: "card [CARD] ok", 2: "pay 7536784127813051 [CARD] now", 3: rows[2][1]}
+
+
 # 8 and 10 tokens
 
 
