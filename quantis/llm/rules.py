@@ -1,19 +1,21 @@
 """Quality rules by distribution divergence (operator 9).
 
-References are learned from the whole corpus, one for each language that
-holds at least a thousandth of all words (so at most a thousand): the shares
-of character classes, and the shares of its ``COMMON`` most frequent words,
-all other words together being one bin.  A document's own histograms are
-compared with every reference by Jensen-Shannon divergence (base 2, from 0 to
-1); the least of each kind counts, so a wrong or missing language label does
-no harm.  A document is rejected if it fails a base rule (too few words, too
+References are learned from the whole corpus, one for each language of at
+least ``LEAST_WORDS`` words: the shares of character classes, and the shares
+of its ``COMMON`` most frequent words, all other words together being one bin.
+Those of *large* languages, which hold a thousandth of all words (so at most a
+thousand), are broadcast; those of the others are joined to their documents.
+A document's own histograms are compared with its language's reference and
+those of all large languages by Jensen-Shannon divergence (base 2, from 0 to
+1); the least of each kind counts, so a wrong label does no harm.  A document
+whose language has no reference gets divergences of 0.  A document is rejected if it fails a base rule (too few words, too
 many words in repeated windows), or if it has at least ``min_words`` words
 and one of the divergences passes its limit.  Shorter documents have too much
 noise in their histograms for a verdict and are kept.
 
 Defined cases: null and empty texts have no words and fail the base rule; a
-null language is a language of its own; without references (empty or tiny
-tables) nothing is rejected for divergence; ties among common words go to the
+null language is a language of its own; documents of languages below
+``LEAST_WORDS`` words are not rejected for divergence; ties among common words go to the
 smaller word; equal rows get equal results.  Only id, text and language are
 read.
 """
@@ -35,8 +37,10 @@ from quantis.llm.wordbatch import LOWER_AZ, _BYTES
 from quantis.llm.work import cut
 
 COMMON = 64
-#: Share of all words that a language needs for a reference.
+#: Share of all words that makes a language large, and words that any needs for a reference.
 LEAST_SHARE, LEAST_WORDS = 0.001, 2_000
+#: References (of about 1 KB) of other languages that are broadcast; more are joined with salt.
+BROADCAST, SALTS = 10_000, 16
 BUCKETS = 256
 
 # Character classes by byte.
@@ -178,11 +182,33 @@ class References:
     """Shares of the character classes (one row a reference), and the common
     words' hashes with the shares of them and of all other words."""
 
+    langs: list[str | None]
     classes: np.ndarray
     words: list[np.ndarray]
     shares: list[np.ndarray]
 
 
+def _packed(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A language's reference in one value."""
+    rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (-r["n"], r["word"] or ""))
+    hist = next(np.array(r["classes"], float) for r in rows if r["word"] is None)
+    common, total = [r for r in rows if r["word"] is not None], rows[0]["total"]
+    w = next(split_words(pa.array([" ".join(r["word"] for r in common)])))
+    n = np.array([r["n"] for r in common], float)
+    shares = np.append(n, total - n.sum()) / total
+    raw = (hist / hist.sum()).astype("<f8").tobytes() + word_hash(w).astype("<u8").tobytes() + shares.astype("<f8").tobytes()
+    yield pa.RecordBatch.from_pydict(
+        {"lang": pa.array([key[0].as_py()], pa.string()), "total": pa.array([total], pa.int64()), "own": pa.array([raw], pa.binary())}
+    )
+
+
+def unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shares of classes, hashes of common words, and their shares."""
+    at = 8 * len(CLASSES)
+    k = (len(raw) - at) // 16  # one more share than words
+    return np.frombuffer(raw[:at], "<f8"), np.frombuffer(raw[at : at + 8 * k], "<u8"), np.frombuffer(raw[at + 8 * k :], "<f8")
+
+
 def reference_table(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """One row for each common word of each language, and one (word null) with
     the language's character classes: lang, word, n, total, classes."""
@@ -199,23 +225,34 @@ def reference_table(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return ranked.filter(F.col("place") <= COMMON + 1).drop("place")
 
 
-def references(docs: DataFrame, text_col: str, lang_col: str) -> References:
-    """References of the languages that hold a thousandth of all words."""
+def references(docs: DataFrame, text_col: str, lang_col: str) -> tuple[References, DataFrame, int]:
+    """References of the large languages, and those of the others as a table
+    (lang, own) with its number of rows."""
     table = cut(reference_table(docs, text_col, lang_col))
     everything = table.filter("word is null").agg(F.sum("total")).first()[0] or 0
-    large = table.filter(F.col("total") >= max(everything * LEAST_SHARE, LEAST_WORDS))
-    rows = sorted(large.collect(), key=lambda r: (r["lang"] is None, r["lang"] or "", -r["n"], r["word"] or ""))
-    out = References(np.zeros((0, len(CLASSES))), [], [])
-    for lang in dict.fromkeys(r["lang"] for r in rows):
-        mine = [r for r in rows if r["lang"] == lang]
-        hist = next(np.array(r["classes"], float) for r in mine if r["word"] is None)
-        common = [r for r in mine if r["word"] is not None]
-        w = next(split_words(pa.array([" ".join(r["word"] for r in common)])))
-        n = np.array([r["n"] for r in common], float)
-        out.classes = np.vstack([out.classes, hist / hist.sum()])
-        out.words.append(word_hash(w))
-        out.shares.append(np.append(n, mine[0]["total"] - n.sum()) / mine[0]["total"])
-    return out
+    found = cut(
+        table.filter(F.col("total") >= LEAST_WORDS).groupBy("lang").applyInArrow(_packed, "lang string, total long, own binary")
+    )
+    is_large = F.col("total") >= everything * LEAST_SHARE
+    rows = sorted(found.filter(is_large).collect(), key=lambda r: (r["lang"] is None, r["lang"] or ""))
+    parts = [unpacked(bytes(r["own"])) for r in rows]
+    classes = np.array([p[0] for p in parts]).reshape(-1, len(CLASSES))
+    others = found.filter(~is_large).select("lang", "own")
+    return References([r["lang"] for r in rows], classes, [p[1] for p in parts], [p[2] for p in parts]), others, others.count()
+
+
+def with_own(texts: DataFrame, others: DataFrame, n: int) -> DataFrame:
+    """Adds the reference ``own`` of each row's language ``lang``, null if the
+    language is large or has none."""
+    if not n:
+        return texts.withColumn("own", F.lit(None).cast("binary"))
+    named = others.withColumnRenamed("lang", "name")
+    same = F.col("lang").eqNullSafe(F.col("name"))
+    if n <= BROADCAST:
+        return texts.join(F.broadcast(named), same, "left").drop("name")
+    salted = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = texts.withColumn("at", F.pmod(F.xxhash64("id", "text"), F.lit(SALTS)).cast("int"))
+    return spread.join(salted, same & (F.col("at") == F.col("salt")), "left").drop("name", "salt", "at")
 
 
 def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -229,34 +266,53 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (part(p) + part(np.broadcast_to(q, p.shape))) / 2
 
 
-def divergences(w: Words, hist: np.ndarray, ref: References) -> tuple[np.ndarray, np.ndarray]:
-    """Least divergence of each document from a reference: classes, words."""
+def divergences(w: Words, hist: np.ndarray, ref: References, large: np.ndarray, own: list) -> tuple[np.ndarray, np.ndarray]:
+    """Least divergence of each document from the large languages' references
+    and its language's ``own`` one: classes, words; 0 if its language is not
+    ``large`` and has none."""
     n = np.diff(w.first)
-    by_class, by_word = np.zeros(w.n_docs), np.zeros(w.n_docs)
-    some = n > 0
-    if not len(ref.classes) or not some.any():
-        return by_class, by_word
-    p = hist[some] / hist[some].sum(axis=1, keepdims=True)
-    by_class[some] = np.min([divergence(p, q) for q in ref.classes], axis=0)
-    h, doc, found = word_hash(lowered(w)), w.doc, []
-    for words, shares in zip(ref.words, ref.shares, strict=True):
-        order = np.argsort(words)
-        at = np.minimum(np.searchsorted(words[order], h), len(words) - 1)
-        bin_ = np.where(words[order][at] == h, order[at], len(words))
-        counts = np.bincount(doc * len(shares) + bin_, minlength=w.n_docs * len(shares)).reshape(w.n_docs, -1)
-        found.append(divergence(counts[some] / n[some, None], shares))
-    by_word[some] = np.min(found, axis=0)
-    return by_class, by_word
+    by_class, by_word = np.full(w.n_docs, np.inf), np.full(w.n_docs, np.inf)
+    h, doc = word_hash(lowered(w)), w.doc
+
+    def compare(some: np.ndarray, classes: np.ndarray, words: list[np.ndarray], shares: list[np.ndarray]) -> None:
+        rows = np.flatnonzero(some)
+        number = np.cumsum(some) - 1
+        mine = some[doc]
+        heard, place = h[mine], number[doc[mine]]
+        p = hist[rows] / hist[rows].sum(axis=1, keepdims=True)
+        for q, known, share in zip(classes, words, shares, strict=True):
+            by_class[rows] = np.minimum(by_class[rows], divergence(p, q))
+            order = np.argsort(known)
+            at = np.minimum(np.searchsorted(known[order], heard), len(known) - 1)
+            bin_ = np.where(known[order][at] == heard, order[at], len(known))
+            counts = np.bincount(place * len(share) + bin_, minlength=len(rows) * len(share)).reshape(len(rows), -1)
+            by_word[rows] = np.minimum(by_word[rows], divergence(counts / n[rows, None], share))
+
+    has_own = np.array([raw is not None for raw in own], bool)
+    some = (n > 0) & (large | has_own)
+    if some.any():
+        compare(some, ref.classes, ref.words, ref.shares)
+    groups: dict[bytes, list[int]] = {}
+    for i in np.flatnonzero(some & has_own).tolist():
+        groups.setdefault(own[i], []).append(i)
+    for raw, rows in groups.items():
+        mine = np.zeros(w.n_docs, bool)
+        mine[rows] = True
+        classes, words, shares = unpacked(raw)
+        compare(mine, classes[None], [words], [shares])
+    return np.where(some, by_class, 0.0), np.where(some, by_word, 0.0)
 
 
 def _profile(window: int, ref):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            large = np.array([x in ref.value.langs for x in batch.column("lang").to_pylist()], bool)
+            own = batch.column("own").to_pylist()
             for w in split_words(batch.column("text")):
                 h, hist = word_hash(w), class_histogram(w)
                 space = per_document(IS_SPACE[w.data], w.offsets)
                 points = per_document((w.data & 0xC0) != 0x80, w.offsets)
-                by_class, by_word = divergences(w, hist, ref.value)
+                by_class, by_word = divergences(w, hist, ref.value, large[w.row : w.row + w.n_docs], own[w.row : w.row + w.n_docs])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(w.row, w.n_docs)]
                     + [
@@ -276,13 +332,15 @@ def judge(
 ) -> DataFrame:
     """Counts, divergences and verdict (``base_failed``, ``kept``) of each
     document."""
-    ref = docs.sparkSession.sparkContext.broadcast(references(docs, text_col, lang_col))
+    large, others, n = references(docs, text_col, lang_col)
+    ref = docs.sparkSession.sparkContext.broadcast(large)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = (
         f"id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "class_jsd double, word_jsd double"
     )
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_profile(window, ref), schema)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    out = with_own(texts, others, n).mapInArrow(_profile(window, ref), schema)
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     far = (F.col("n_words") >= min_words) & ((F.col("class_jsd") > class_limit) | (F.col("word_jsd") > word_limit))
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & ~far).withColumnRenamed("id", id_col)

@@ -465,6 +465,21 @@ def test_divergence_rejects_odd_distributions_only(spark):
     assert rejected[1] == 0 and rejected[0] > 0.7
 
 
+@pytest.mark.parametrize("broadcast", [10_000, 0])
+def test_rare_languages_are_judged_by_their_own_reference_or_not(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(rules, "BROADCAST", broadcast)
+    monkeypatch.setattr(rules, "LEAST_SHARE", 0.2)
+    rng = np.random.default_rng(3)
+
+    def text(letters, n=60):
+        return " ".join("".join(rng.choice(list(letters), 5)) for _ in range(n))
+
+    rows = [(i, text("abcdefgh"), "la") for i in range(300)] + [(1000 + i, text("бвгдежзи"), "ru") for i in range(50)]
+    rows += [(2000, text("αβγδεζηθ"), "el"), (2001, text("αβγδεζηθ"), None), (3000, text("#$%&|<>*"), "ru"), (3001, text("#$%&|<>*"), "la")]
+    out = rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(r[0] for r in out.filter("NOT kept").select("doc_id").collect()) == [3000, 3001]
+
+
 def test_divergence_by_hand():
     p = np.array([[0.5, 0.5, 0.0], [1.0, 0.0, 0.0]])
     q = np.array([0.0, 0.0, 1.0])
