@@ -7,8 +7,8 @@ of their own, the rest share one (with equal chances inside it).
 * Counting: every task counts the runs of ``DEPTH`` context symbols and the
   next one over all training texts; Spark sums them, and the counts of shorter
   contexts follow from those of longer ones.
-* Retention: a context stays a candidate if it makes up at least ``RARE`` of
-  all places, which bounds the tree (at most 1 / RARE contexts of a length).
+* Retention: a context stays a candidate if it occurs at least ``LEAST``
+  times, whatever the size of the corpus, so the tree grows with the input.
   It becomes a state if its next-symbol distribution diverges from that of
   the context without the oldest symbol by more code length, summed over its
   occurrences, than describing it takes: n * KL > (m - 1) / 2 * log2(n) for m
@@ -16,7 +16,10 @@ of their own, the rest share one (with equal chances inside it).
 * Smoothing: a state's distribution is mixed with its shorter context's by
   Witten-Bell weights, down to the root, which is mixed with equal chances.
 * Scoring: the longest state that is a suffix of what was written gives the
-  next symbol's chance.
+  next symbol's chance.  The states stay a table: those of up to ``NEAR - 1``
+  symbols (a few thousand at most) are broadcast, longer ones are dealt over
+  buckets by their newest ``NEAR`` symbols.  A unit of texts sends its distinct
+  runs to their buckets, gets a chance for each, and adds them up by text.
 
 The unigram base needs every word's count, which no task could hold.  Texts
 are taken in units; a unit sends each distinct word, with its training count
@@ -38,15 +41,17 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from quantis.llm.substring import joined
-from quantis.llm.units import units
+from quantis.llm.units import digest, named, units
 from quantis.llm.wordbatch import Words, split_words
-from quantis.llm.work import cut
+from quantis.llm.work import bounded_batches, cut, release
 
-DEPTH, RARE = 6, 5e-6
+DEPTH, LEAST, NEAR = 6, 10, 3
 BITS = 6
 SHIFT = 56  # of the depth above a context of at most 9 symbols
 SYMBOLS = 1 << BITS
@@ -118,8 +123,7 @@ def _runs(symbol: np.ndarray):
 
         for batch in batches:
             for w in split_words(chosen_texts(batch), lower=True):
-                s, at, _ = written(w, symbol)
-                u, n = np.unique(sum(s[at - k] << (BITS * k) for k in range(DEPTH + 1)), return_counts=True)
+                u, n = np.unique(runs_of(w, symbol)[0], return_counts=True)
                 codes.append(u)
                 counts.append(n)
                 held += len(u)
@@ -131,25 +135,26 @@ def _runs(symbol: np.ndarray):
                         codes, counts, held = [], [], 0
         if codes:
             yield from rows(*summed())
+        codes, counts = [], []
+        release()
 
     return run
 
 
 def frequent(texts: DataFrame, symbol: np.ndarray) -> list[DataFrame]:
     """For each context length: run, n, context and its total, of the contexts
-    that make up at least ``RARE`` of all places (at most 1 / RARE contexts,
-    so the totals may be broadcast)."""
+    that occur at least ``LEAST`` times."""
     runs = texts.mapInArrow(_runs(symbol), "run long, n long")
     level = cut(runs.groupBy("run").agg(F.sum("n").alias("n")))
-    places = level.agg(F.sum("n")).first()[0] or 0
     found: list[DataFrame] = []
     for k in range(DEPTH, -1, -1):
         if k < DEPTH:
             shorter = F.col("run").bitwiseAND((1 << (BITS * (k + 1))) - 1)
             level = cut(level.groupBy(shorter.alias("run")).agg(F.sum("n").alias("n")))
         context = F.shiftrightunsigned("run", BITS)
-        totals = level.groupBy(context.alias("context")).agg(F.sum("n").alias("total")).filter(F.col("total") >= RARE * places)
-        found.insert(0, cut(level.withColumn("context", context).join(F.broadcast(totals), "context").select("run", "n", "context", "total")))
+        total = F.sum("n").over(W.partitionBy("context"))  # one row for each next symbol
+        named = level.withColumn("context", context).withColumn("total", total)
+        found.insert(0, cut(named.filter(F.col("total") >= (LEAST if k else 0)).select("run", "n", "context", "total")))
     return found
 
 
@@ -185,7 +190,7 @@ class Tree:
 
 
 def grown(table: pa.Table, symbol: np.ndarray) -> Tree:
-    """Tree of the retained contexts (bounded by RARE), longest last."""
+    """Tree of retained contexts with their shorter ones, longest last."""
     depth, context, after, n = (table[c].to_numpy().astype(np.int64) for c in ("depth", "context", "next", "n"))
     key = (depth << SHIFT) + context
     names, where = np.unique(key, return_inverse=True)
@@ -197,44 +202,144 @@ def grown(table: pa.Table, symbol: np.ndarray) -> Tree:
     chance = np.empty((len(names), SYMBOLS))
     chance[0] = (counts[0] + 0.5) / (counts[0].sum() + 0.5 * SYMBOLS)
     total, kinds = counts.sum(axis=1), (counts > 0).sum(axis=1)
-    for i in range(1, len(names)):
-        d, c = int(names[i] >> SHIFT), int(names[i] & ((1 << SHIFT) - 1))
+    lengths = names >> SHIFT
+    for d in range(1, DEPTH + 1):
+        i = np.flatnonzero(lengths == d)
+        c = names[i] & ((1 << SHIFT) - 1)
         oldest, rest = c >> (BITS * (d - 1)), c & ((1 << (BITS * (d - 1))) - 1)
-        parent = int(np.searchsorted(names, ((d - 1) << SHIFT) + rest))
+        parent = np.searchsorted(names, ((d - 1) << SHIFT) + rest)
         child[parent, oldest] = i
-        chance[i] = (counts[i] + kinds[i] * chance[parent]) / (total[i] + kinds[i])
+        chance[i] = (counts[i] + kinds[i, None] * chance[parent]) / (total[i] + kinds[i])[:, None]
     others = max(1, BYTES - int((symbol != OTHER).sum()))
     del counts, where
     return Tree(symbol, child, np.log10(chance, out=chance).astype(np.float32), -math.log10(others))
 
 
-def scores(w: Words, tree: Tree) -> np.ndarray:
-    """Log10 chance of each text of a slice."""
-    s, at, first = written(w, tree.symbol)
-    state = np.zeros(len(at), np.int32)
-    active = np.arange(len(at))
+def chances(runs: np.ndarray, tree: Tree) -> np.ndarray:
+    """Log10 chance of the last symbol of each run."""
+    state = np.zeros(len(runs), np.int32)
+    active = np.arange(len(runs))
     for k in range(1, DEPTH + 1):
-        step = tree.child[state[active], s[at[active] - k]]
+        step = tree.child[state[active], (runs[active] >> (BITS * k)) & (SYMBOLS - 1)]
         active = active[step >= 0]
         state[active] = step[step >= 0]
-    after = s[at]
-    value = tree.score[state, after].astype(np.float64) + np.where(after == OTHER, tree.other, 0.0)
-    return np.add.reduceat(value, first[:-1]) if len(value) else np.zeros(0)
+    after = runs & (SYMBOLS - 1)
+    return tree.score[state, after] + np.where(after == OTHER, np.float32(tree.other), np.float32(0))
 
 
-def _score(buckets: int, tree):
+#: Mixes the newest symbols of a context; products stay below 2 ** 52.
+MIX = 2_654_435_761
+
+
+def bucket_of(context: np.ndarray, buckets: int) -> np.ndarray:
+    return (((context & ((1 << (BITS * NEAR)) - 1)) * MIX) >> 9) % buckets
+
+
+def bucket_column(context: Column, buckets: int) -> Column:
+    return F.pmod(F.shiftright(context.bitwiseAND((1 << (BITS * NEAR)) - 1) * F.lit(MIX), 9), F.lit(buckets)).cast("int")
+
+
+def runs_of(w: Words, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The run of each place, and the range of these for each text."""
+    s, at, first = written(w, symbol)
+    return sum(s[at - k] << (BITS * k) for k in range(DEPTH + 1)), first
+
+
+def _asked_runs(buckets: int, symbol: np.ndarray):
+    """The distinct runs of each unit, by bucket."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for u in units(batches, buckets, lower=True):
-            place = 0
-            for batch, w in u.slices:
+        for place, slices in named(batches, lower=True):
+            name = place + digest(slices)
+            runs = np.unique(np.concatenate([np.unique(runs_of(w, symbol)[0]) for _, w in slices]))
+            b = bucket_of(runs >> BITS, buckets)
+            order = np.argsort(b, kind="stable")
+            at = np.flatnonzero(np.concatenate([[True], np.diff(b[order]) != 0, [True]])) if len(b) else np.zeros(1, int)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "bucket": pa.array(b[order][at[:-1]], pa.int32()), "unit": pa.array([name] * (len(at) - 1), pa.binary()),
+                    "runs": pa.array([runs[order[x:y]].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+                }
+            )
+            release()
+
+    return run
+
+
+def _answered(symbol: np.ndarray, shallow):
+    """Chances of a bucket's runs, by its states and the short ones."""
+    schema = pa.schema([("unit", pa.binary()), ("bucket", pa.int32()), ("values", pa.binary())])
+
+    def run(asked: pa.Table, deep: pa.Table) -> pa.Table:
+        if not asked.num_rows:
+            return schema.empty_table()
+        parts = [t.select(["depth", "context", "next", "n"]).cast(STATE) for t in (shallow.value, deep) if t.num_rows]
+        tree = grown(pa.concat_tables(parts) if parts else STATE.empty_table(), symbol)
+        values = [chances(np.frombuffer(r, "<i8"), tree).astype("<f4").tobytes() for r in asked["runs"].to_pylist()]
+        del tree, parts
+        release()
+        return pa.table([asked["unit"], asked["bucket"], pa.array(values, pa.binary())], schema=schema)
+
+    return run
+
+
+STATE = pa.schema([("depth", pa.int32()), ("context", pa.int64()), ("next", pa.int64()), ("n", pa.int64())])
+
+
+def _laid_out(symbol: np.ndarray):
+    """Symbols of each text with the name of its unit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for begin, slices in named(batches, lower=True):
+            name, place = begin + digest(slices), 0
+            for batch, w in slices:
+                data, off = joined(w, np.ones(len(w.start), bool))
+                body = symbol[data].astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([u.name] * w.n_docs, pa.binary()), pa.array(np.arange(place, place + w.n_docs), pa.int32()),
-                        batch.column("id").slice(w.row, w.n_docs), pa.array(np.diff(w.first), pa.int64()), pa.array(scores(w, tree.value)),
+                        pa.array([name] * w.n_docs, pa.binary()), pa.array(np.arange(place, place + w.n_docs), pa.int32()),
+                        batch.column("id").slice(w.row, w.n_docs), pa.array(np.diff(w.first), pa.int64()),
+                        pa.array([body[a:b].tobytes() for a, b in zip(off[:-1], off[1:], strict=True)], pa.binary()),
                     ],
-                    names=["unit", "place", "id", "words", "score"],
+                    names=["unit", "place", "id", "words", "body"],
                 )
                 place += w.n_docs
+            release()
+
+    return run
+
+
+def _summed(buckets: int):
+    """Log10 chance of each text of a unit, from those of its runs."""
+
+    def run(laid: pa.Table, answers: pa.Table) -> pa.Table:
+        size = np.diff(np.concatenate([[0], np.cumsum(pc.binary_length(laid["body"]).to_numpy())])) + 1
+        ends = np.cumsum(size)
+        cuts = np.unique(np.concatenate([[0], np.searchsorted(ends, np.arange(1 << 20, int(ends[-1]) if len(ends) else 0, 1 << 20)), [len(size)]]))
+        held = []
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            pad, end = bytes(DEPTH), b"\0"
+            s = np.frombuffer(b"".join(pad + x + end for x in laid["body"].slice(a, b - a).to_pylist()), np.uint8).astype(np.int64)
+            n = size[a:b]
+            at = np.arange(int(n.sum())) + np.repeat(DEPTH * np.arange(1, b - a + 1), n)
+            held.append((np.unique(sum(s[at - k] << (BITS * k) for k in range(DEPTH + 1)), return_inverse=True), n))
+        runs = np.unique(np.concatenate([u for (u, _), _ in held])) if held else np.zeros(0, np.int64)
+        order = np.argsort(bucket_of(runs >> BITS, buckets), kind="stable")
+        answers = answers.sort_by("bucket")
+        found = np.frombuffer(b"".join(answers["values"].to_pylist()), "<f4")
+        if held and len(found) != len(runs):
+            raise ValueError("the texts changed between two reads")
+        value = np.empty(len(runs))
+        if held:
+            value[order] = found
+        parts = []
+        for (u, where), n in held:
+            mine = value[np.searchsorted(runs, u)][where]
+            parts.append(np.add.reduceat(mine, np.concatenate([[0], np.cumsum(n)[:-1]])))
+        del held
+        release()
+        score = pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+        return laid.select(["unit", "place", "id", "words"]).append_column("score", score)
 
     return run
 
@@ -320,13 +425,21 @@ def score(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: st
     """For each document: ``id_col``, ``held_out``, ``n_tokens``, ``n_known``,
     ``train_tokens``, ``base_score`` and ``score``, the last two log10."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (~held_out(F.col(id_col), folds)).alias("train"))
     n, trained = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("train").cast("long")), F.lit(0))).first()
     buckets = max(LEAST_BUCKETS, n // TEXTS_A_BUCKET)
     read = texts.select("text", "train")
     symbol = alphabet(read)
-    tree = spark.sparkContext.broadcast(grown(states(read, symbol).toArrow(), symbol))
+    found = cut(states(read, symbol))
+    shallow = spark.sparkContext.broadcast(found.filter(F.col("depth") < NEAR).toArrow())
+    deep = found.filter(F.col("depth") >= NEAR).withColumn("bucket", bucket_column(F.col("context"), buckets))
+    runs = read.select("text").mapInArrow(_asked_runs(buckets, symbol), "bucket int, unit binary, runs binary")
+    chance = (
+        runs.groupBy("bucket").cogroup(deep.groupBy("bucket"))
+        .applyInArrow(_answered(symbol, shallow), "unit binary, bucket int, values binary")
+    )
     asked = read.mapInArrow(
         _occurrences(buckets), "bucket int, unit binary, texts int, words binary, learned binary, times binary, docs binary"
     )
@@ -339,10 +452,14 @@ def score(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: st
         answers.filter("unit is not null").select("unit", "places", "base", "known").groupBy("unit")
         .applyInArrow(_added, "unit binary, place int, base double, known long")
     )
-    scored = texts.select("id", "text").mapInArrow(_score(buckets, tree), f"unit binary, place int, id {kind}, words long, score double")
+    laid = texts.select("id", "text").mapInArrow(_laid_out(symbol), f"unit binary, place int, id {kind}, words long, body binary")
+    scored = (
+        laid.groupBy("unit").cogroup(chance.groupBy("unit"))
+        .applyInArrow(_summed(buckets), f"unit binary, place int, id {kind}, words long, score double")
+    )
     both = scored.join(per_text, ["unit", "place"], "left")
     # a text with words must have found its sums again
-    found = F.when((F.col("words") > 0) & F.col("base").isNull(), F.raise_error(F.lit("the texts changed between two reads"))).otherwise(
+    base = F.when((F.col("words") > 0) & F.col("base").isNull(), F.raise_error(F.lit("the texts changed between two reads"))).otherwise(
         F.coalesce("base", F.lit(0.0))
     )
     n_tokens = F.col("words") + 1
@@ -350,5 +467,5 @@ def score(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: st
         F.col("id").alias(id_col), held_out(F.col("id"), folds).alias("held_out"), n_tokens.alias("n_tokens"),
         (F.coalesce("known", F.lit(0)) + int(trained > 0)).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (found + math.log10(trained + 0.1) - n_tokens * math.log10(tokens + 0.1 * (kinds + 1))).alias("base_score"), "score",
+        (base + math.log10(trained + 0.1) - n_tokens * math.log10(tokens + 0.1 * (kinds + 1))).alias("base_score"), "score",
     )

@@ -43,20 +43,30 @@ class Unit:
                 yield int(self.bucket[a]), a, b
 
 
-def units(batches: Iterator[pa.RecordBatch], buckets: int, lower: bool = False) -> Iterator[Unit]:
-    """Units of a task's texts (column ``text``)."""
+def named(batches: Iterator[pa.RecordBatch], lower: bool = False) -> Iterator[tuple[bytes, list[tuple[pa.RecordBatch, Words]]]]:
+    """Place in the task and texts of each unit (column ``text``)."""
     context = TaskContext.get()
     held, size, n = [], 0, 0
-
-    def unit() -> Unit:
-        return Unit(f"{context.partitionId() if context else 0}-{n}-".encode(), held, buckets)
-
     for batch in batches:
         for w in split_words(batch.column("text"), lower):
             held.append((batch, w))
             size += len(w.data)
             if size >= UNIT_BYTES:
-                yield unit()
+                yield f"{context.partitionId() if context else 0}-{n}-".encode(), held
                 held, size, n = [], 0, n + 1
     if held:
-        yield unit()
+        yield f"{context.partitionId() if context else 0}-{n}-".encode(), held
+
+
+def digest(slices: list[tuple[pa.RecordBatch, Words]]) -> bytes:
+    """Of the words of a unit, as in its name."""
+    found = hashlib.md5()
+    for _, w in slices:
+        found.update(word_hash(w).tobytes())
+    return found.digest()
+
+
+def units(batches: Iterator[pa.RecordBatch], buckets: int, lower: bool = False) -> Iterator[Unit]:
+    """Units of a task's texts (column ``text``)."""
+    for name, slices in named(batches, lower):
+        yield Unit(name, slices, buckets)

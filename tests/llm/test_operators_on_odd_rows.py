@@ -191,6 +191,29 @@ def test_language_model_is_a_distribution_and_learns(spark):
     assert -4.35 < held[0] / held[1] < -3.5
 
 
+def test_rare_contexts_stay_states_however_large_the_corpus_is(spark):
+    rare = [(i, "zq " * 2) for i in range(8)]
+    rows = [(100 + i, "ab ba " * 20000) for i in range(60)] + rare  # zq: 16 of 7.2 million places
+    read = spark.createDataFrame(rows, "doc_id long, text string").select("text", F.lit(True).alias("train"))
+    symbol = suffixtree.alphabet(read)
+    table = suffixtree.states(read, symbol).toArrow()
+    assert (1, int(symbol[ord("z")])) in set(zip(table["depth"].to_pylist(), table["context"].to_pylist(), strict=True))
+
+
+def test_bucketed_scores_are_those_of_the_whole_tree(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join("".join(rng.choice(["ka", "lo", "mi", "the"], 3)) for _ in range(50))) for i in range(60)] + [(90, ""), (91, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    read = df.select("text", (~suffixtree.held_out(F.col("doc_id"))).alias("train"))
+    symbol = suffixtree.alphabet(read)
+    tree = suffixtree.grown(suffixtree.states(read, symbol).toArrow(), symbol)
+    got = {r["doc_id"]: r["score"] for r in suffixtree.score(df).collect()}
+    for i, t in rows:
+        s = [0] * 6 + [int(symbol[c]) for c in (t or "").encode()] + [0]
+        runs = np.array([sum(s[p - k] << (suffixtree.BITS * k) for k in range(7)) for p in range(6, len(s))])
+        assert got[i] == pytest.approx(float(suffixtree.chances(runs, tree).astype(float).sum()), rel=1e-6)
+
+
 def test_language_model_beats_the_base_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     held = suffixtree.score(docs).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
