@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantis.llm import bpe, mixing, mtree, neardup, pii, quality, rules, substring, suffixtree, tokencount
+from quantis.llm import alignment, bpe, htmltext, mixing, mtree, neardup, pii, quality, rules, substring, suffixtree, tokencount
 from quantis.llm.oracles import ORACLE_SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = htmltext.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return out.select("row.page_id", "row.url", "text", "n_chars")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    out = alignment.report(table(spark, sf_dir, "documents"), a, b)
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_shared")
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -84,4 +95,6 @@ QUERIES: dict[str, Query] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
+    "op11_html_text": op11_html_text,
+    "op12_token_alignment": op12_token_alignment,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import tempfile
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,14 @@ def release() -> None:
         pass
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder: compressed, read by column,
+    and independent of the executors that made them."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are written to the shared folder, so
     later reads neither recompute the plan nor depend on one executor."""
