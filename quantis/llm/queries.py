@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantis.llm import alignment, bpe, htmltext, mixing, mtree, neardup, pii, quality, rules, substring, suffixtree, tokencount
+from quantis.llm import alignment, bpe, collocations, htmltext, mixing, mtree, neardup, pii, quality, rules, substring, suffixtree, tokencount
 from quantis.llm.oracles import ORACLE_SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_shared")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -97,4 +101,5 @@ QUERIES: dict[str, Query] = {
     "op10_token_counts": op10_token_counts,
     "op11_html_text": op11_html_text,
     "op12_token_alignment": op12_token_alignment,
+    "op13_collocations": op13_collocations,
 }
