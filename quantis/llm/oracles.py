@@ -85,4 +85,44 @@ WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY rank <= 5
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_mtree_top_k": OP6, "op2_minhash_near_dedup": OP2, "op1_substring_dedup": OP1, "op4_mix_sources": OP4}
+OP13 = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]'), lambda x: x <> '') AS ws FROM pieces
+), totals AS (
+    SELECT lang, sum(len(ws)) AS n FROM words GROUP BY lang
+), grams AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+    FROM words, (SELECT unnest(range(1, 6)) AS k) WHERE len(ws) >= k
+), counts AS (
+    SELECT lang, k, phrase, count(*) AS n FROM grams GROUP BY ALL HAVING count(*) >= 100
+), parts AS (
+    SELECT *, string_split(phrase, ' ') AS ws FROM counts
+), covered AS (
+    SELECT lang, array_to_string(ws[1:k - 1], ' ') AS phrase, n FROM parts WHERE k > 2
+    UNION ALL SELECT lang, array_to_string(ws[2:k], ' '), n FROM parts WHERE k > 2
+), most AS (
+    SELECT lang, phrase, max(n) AS n FROM covered GROUP BY ALL
+), cuts AS (
+    SELECT p.lang, p.phrase, p.n AS a, c.j, l.n AS l, r.n AS r, t.n AS n,
+           (1000::HUGEINT * p.n * t.n) // (l.n::HUGEINT * r.n) AS score
+    FROM parts p, (SELECT unnest(range(1, 5)) AS j) c, counts l, counts r, totals t
+    WHERE c.j < p.k AND l.lang = p.lang AND l.phrase = array_to_string(p.ws[1:c.j], ' ')
+      AND r.lang = p.lang AND r.phrase = array_to_string(p.ws[c.j + 1:p.k], ' ') AND t.lang = p.lang
+), best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), ranked AS (
+    SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.phrase) AS rank
+    FROM best b LEFT JOIN most m ON m.lang = b.lang AND m.phrase = b.phrase
+    WHERE m.n IS NULL OR m.n < b.a
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op6_mtree_top_k": OP6, "op2_minhash_near_dedup": OP2, "op1_substring_dedup": OP1, "op4_mix_sources": OP4, "op13_collocations": OP13,
+}
