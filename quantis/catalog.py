@@ -7,6 +7,8 @@ money as double (exact decimal sums converted at the edge).
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,14 +16,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from quantis.functions.text import title_case
+from quantis.operators.columns import snake_case
 from quantis.plans import classify as C
 from quantis.plans import geo as G
 from quantis.plans import reports as R
 from quantis.plans import unify as U
 from quantis.plans import workload as W
 from quantis.plans.common import select_county
+from quantis.session import ensure_checkpoint_dir
 from quantis.sources import binding as B
-from quantis.sources.readers import clear_plans
+from quantis.sources.readers import catalog_union, clear_plans
+from quantis.sources.sinks import partition_values, write_partitioned
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +78,46 @@ def _workload_agg(spark: SparkSession, base: str) -> DataFrame:
     return W.workload_aggregate(ext)
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _discovered(spark: SparkSession, base: str, county: str) -> DataFrame:
+    """One table for each sub-county of every county, named as the source
+    database names them, of which a county's are found by their suffix."""
+    path, mark = _scratch(spark, "tables"), f"t{uuid.uuid4().hex}"
+    forecasts = B.forecasts(spark, base)
+    write_partitioned(forecasts.withColumn("of", F.concat_ws("_", "sub_county", F.lower("county"))), path, ("of",))
+    tables = {f"{mark}_{snake_case(of)}": of for of in partition_values(spark, path, "of")}
+    for name, of in tables.items():
+        spark.read.schema(forecasts.schema).parquet(f"{path}/of={of}").createOrReplaceTempView(name)
+    found = catalog_union(spark, f"{mark}_.*_{county}", forecasts.schema)
+    for name in tables:
+        spark.catalog.dropTempView(name)
+    return found
+
+
+def _landed(spark: SparkSession, base: str) -> str:
+    """The workload extract landed as CSV files whose columns come in two
+    orders and spellings, as two versions of the API would write them."""
+    path = _scratch(spark, "landed")
+    extract = B.analytics(spark, base)
+    old = F.pmod(F.xxhash64("organisation_unit"), F.lit(2)) == 0
+    titled = [F.col(c).alias(c.replace("_", " ").capitalize()) for c in extract.columns]
+    camel = [F.col(c).alias(re.sub("_(.)", lambda m: m[1].upper(), c)) for c in reversed(extract.columns)]
+    extract.where(old).select(*titled).write.option("header", True).csv(f"{path}/old")
+    extract.where(~old).select(*camel).write.option("header", True).option("compression", "gzip").csv(f"{path}/new")
+    return path
+
+
+def _workload_landed(spark: SparkSession, base: str) -> DataFrame:
+    ext = W.workload_extract(
+        W.landed_extract(spark, _landed(spark, base)), WORKLOAD_PERIOD, WORKLOAD_ELEMENTS, WORKLOAD_OWNERSHIPS, WORKLOAD_LEVELS
+    )
+    return W.workload_aggregate(ext)
+
+
 def _workload_enriched(spark: SparkSession, base: str) -> DataFrame:
     return W.workload_enrich(
         _workload_agg(spark, base),
@@ -89,8 +134,16 @@ def _products_tn(spark: SparkSession, base: str) -> DataFrame:
 _RAW: dict[str, Query] = {
     # P1 / P2 / P3 / P4
     "county_forecasts": lambda s, b: U.county_forecasts(B.forecasts(s, b), ONE_COUNTY),
+    "county_forecasts_discovered": lambda s, b: _discovered(s, b, ONE_COUNTY),
     "all_counties": lambda s, b: U.classified(B.harmonised(s, b), B.product_classifications(s, b)),
     "county_summary": lambda s, b: R.county_summary(B.harmonised(s, b)),
+    "all_counties_two_sources": lambda s, b: U.all_counties(
+        B.forecasts(s, b), B.forecasts_tn(s, b), B.product_classifications(s, b), B.DIVERGENT_COUNTY
+    ),
+    "county_summary_two_sources": lambda s, b: R.county_summary_of(
+        [U.harmonise_tn(B.forecasts_tn(s, b), B.DIVERGENT_COUNTY), U.harmonise(B.forecasts(s, b))]
+    ),
+    "county_split_summary": lambda s, b: U.county_split_summary(B.forecasts(s, b), _scratch(s, "split")),
     "distinct_counties": lambda s, b: U.distinct_counties(B.master(s, b)),
     # P5 / P6
     "by_product_or_equipment": lambda s, b: C.by_product_or_equipment(
@@ -107,6 +160,9 @@ _RAW: dict[str, Query] = {
     "resolve_ven_inner": lambda s, b: C.resolve_ven(B.forecasts(s, b), B.new_product_categorization(s, b), "inner"),
     "sanitise_ven": lambda s, b: C.sanitise_ven(B.forecasts_tn(s, b)),
     "by_ven": lambda s, b: C.by_ven(B.forecasts(s, b), B.new_product_categorization(s, b)),
+    "by_ven_map": lambda s, b: C.by_ven_map(B.forecasts(s, b), B.new_product_categorization(s, b)).select(
+        "county", "tab", F.explode("cells").alias("ven", "value"), "Total"
+    ),
     "by_ven_inner_recomputed": lambda s, b: C.by_ven(
         B.forecasts(s, b), B.new_product_categorization(s, b), how="inner", value="recomputed"
     ),
@@ -121,6 +177,7 @@ _RAW: dict[str, Query] = {
     "resolve_county_id": lambda s, b: G.resolve_county_id(B.org_units(s, b), B.ROOT_ID),
     "resolve_one_county_id": lambda s, b: G.resolve_county_id(B.org_units(s, b), B.ROOT_ID, ONE_COUNTY),
     "flatten_hierarchy": _hierarchy,
+    "org_unit_paths": lambda s, b: G.org_unit_paths(B.org_units(s, b)),
     "assign_ward": _assigned,
     "requirements_by_ward": lambda s, b: G.requirements_by_ward(
         B.forecasts(s, b), _hierarchy(s, b), B.ward_overrides(s, b), tabs=WARD_TABS
@@ -136,6 +193,7 @@ _RAW: dict[str, Query] = {
         B.forecasts(s, b), _hierarchy(s, b), B.ward_overrides(s, b)
     ),
     "facilities_by_level": lambda s, b: G.facilities_by_level(B.forecasts(s, b), LEVEL_OVERRIDES),
+    "facilities_by_level_ordered": lambda s, b: G.facilities_by_level_ordered(B.forecasts(s, b), LEVEL_OVERRIDES),
     # P20 / P21
     "top_products": lambda s, b: R.top_products(B.forecasts(s, b), 5),
     "products_by_category_tn": _products_tn,
@@ -171,6 +229,7 @@ _RAW: dict[str, Query] = {
         facilities=select_county(B.organisation_units(s, b).withColumnRenamed("county_name", "county"), ONE_COUNTY),
     ),
     "workload_aggregate": _workload_agg,
+    "workload_aggregate_landed": _workload_landed,
     "workload_enrich": _workload_enriched,
     "workload_report": lambda s, b: W.workload_report(_workload_enriched(s, b)),
     # P30 - P37
@@ -191,7 +250,8 @@ _RAW: dict[str, Query] = {
     "county_grand_total": lambda s, b: R.county_grand_total(B.forecasts(s, b)),
     "distinct_org_units": lambda s, b: G.distinct_org_units(B.forecasts(s, b)),
     "unclassified_rows": lambda s, b: C.unclassified_rows(B.forecasts(s, b), B.product_classifications(s, b)),
-    # run ids
+    # source order
+    "source_ordered_items": lambda s, b: U.source_ordered_items(B.forecasts_tn(s, b)),
     "item_run_ids": lambda s, b: U.item_run_ids(B.forecasts_tn(s, b)).select(
         "sub_county", "source_row", "item_description_name_form_strength", "id"
     ),

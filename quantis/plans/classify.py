@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quantis.functions.text import clean_tab
 from quantis.functions.values import VEN_CODES, money_total, ven_or_null
-from quantis.operators.crosstab import crosstab
+from quantis.operators.crosstab import crosstab, crosstab_map
 from quantis.operators.joins import null_safe_join, semi_join
 from quantis.operators.ranking import keep_first
 from quantis.plans.common import county_funded, keys, recomputed_value, select_county, sum_by, tn_value
@@ -109,15 +109,24 @@ def new_categorization_keys(new_cat: DataFrame) -> DataFrame:
 def resolve_ven(forecasts: DataFrame, new_cat: DataFrame, how: str = "left") -> DataFrame:
     """Fill a missing VEN from the new categorisation on (item, tab).
 
-    One pass instead of split / join / union: rows that already have a VEN
-    cannot match (the join condition requires ``ven IS NULL``), so they pass
-    through unchanged; rows without one take ``new_ven`` (NULL if no match).
+    One pass instead of split / join / union.  Rows that already have a VEN
+    pass through unchanged: where the list is too long for a broadcast, they
+    are dealt by a hash of their own instead of by (item, tab), so neither
+    they nor a frequent item load one task, and a hot key among the rows
+    without a VEN is split by AQE.  Rows without one take ``new_ven`` (NULL if
+    no match).
     ``how='left'`` keeps unresolved rows, ``how='inner'`` drops rows that
     had no VEN and found no match.  As with the reference, a key repeated in
     ``new_cat`` repeats the rows that join it.
     """
-    nc = new_categorization_keys(new_cat).withColumn("__hit", F.lit(True))
-    j = null_safe_join(forecasts, nc, keys(), "left", extra=F.col("ven").isNull())
+    nc = new_categorization_keys(new_cat).withColumns({"__hit": F.lit(True), "__spread": F.lit(0).cast("long")})
+    # rows with a VEN match nothing: their key is their own hash, which is never 0
+    own = F.xxhash64(*[F.col(f"`{c}`") for c in forecasts.columns]).bitwiseOR(F.lit(1))
+    spread = forecasts.withColumn("__spread", F.when(F.col("ven").isNull(), F.lit(0).cast("long")).otherwise(own))
+    open_ = {k: F.when(F.col("ven").isNull(), F.col(k)) for k in keys()}
+    asked = spread.withColumns({f"__open{i}": v for i, v in enumerate(open_.values())})
+    on = [(f"__open{i}", k) for i, k in enumerate(keys())] + ["__spread"]
+    j = null_safe_join(asked, nc, on, "left").drop("__spread", *[f"__open{i}" for i in range(len(open_))])
     if how == "inner":
         j = j.where(F.col("ven").isNotNull() | F.col("__hit").isNotNull())
     elif how != "left":
@@ -142,6 +151,14 @@ def by_ven(
     return crosstab(r, ["tab"], "ven", VALUE, VEN_VALUES, by=["county"], row_total=True, col_total=True)
 
 
+def by_ven_map(forecasts: DataFrame, new_cat: DataFrame, county: str | None = None, how: str = "left") -> DataFrame:
+    """P9 with whatever codes occur: one map from VEN to value per tab, and a
+    total row per county (``pivot_wider`` without declared names)."""
+    f = county_funded(select_county(forecasts, county))
+    r = resolve_ven(sum_by(f, ["county", "tab", ITEM, "ven"]), new_cat, how).withColumn("tab", clean_tab("tab"))
+    return crosstab_map(r, ["tab"], "ven", VALUE, by=["county"], row_total=True, total_col="Total")
+
+
 def by_ven_tn(forecasts_tn: DataFrame, new_cat: DataFrame) -> DataFrame:
     """P9 (divergent county): sanitise, resolve (left), recompute value,
     drop rows still without VEN, no totals."""

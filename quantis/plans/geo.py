@@ -26,6 +26,8 @@ from quantis.functions.text import (
 from quantis.functions.values import money_total
 from quantis.operators.crosstab import crosstab
 from quantis.operators.joins import anti_join, null_safe_join
+from quantis.operators.numbering import number_rows
+from quantis.operators.trees import descend
 from quantis.plans.common import county_funded, recomputed_value, select_county
 from quantis.schemas import NEW_PRICE, VALUE
 
@@ -43,6 +45,16 @@ def resolve_county_id(org_units: DataFrame, root_id: str, county: str | None = N
     return o
 
 
+def org_unit_paths(org_units: DataFrame) -> DataFrame:
+    """Every org unit with its ``depth`` below its root and the ``/``-joined
+    ids (``path``) and plain names (``names``) from the root down to it, for
+    trees of any depth.  Units whose parent is not in the list are roots, as
+    those without a parent; units in or below a cycle raise."""
+    o = org_units.select("id", "parent_id", strip_org_suffix("name").alias("name"))
+    tree = descend(o, "id", "parent_id", {"path": "id", "names": "name"})
+    return tree.select("id", "name", "depth", F.array_join("path", "/").alias("path"), F.array_join("names", "/", "").alias("names"))
+
+
 def flatten_hierarchy(org_units: DataFrame, counties: DataFrame) -> DataFrame:
     """``(county, sub_county, ward, facility_name)`` for every facility
     three levels below the given counties (``counties`` from
@@ -158,19 +170,33 @@ def facilities_without_ward(
     return assign_ward(d, hierarchy, overrides).where(F.col("ward").isNull()).select(*FACILITY_KEY)
 
 
+def with_level_overrides(df: DataFrame, level_overrides: Mapping[str, str] | None) -> DataFrame:
+    """Facilities whose name matches a pattern get that pattern's level."""
+    if not level_overrides:
+        return df
+    expr = None
+    for pat, lvl in level_overrides.items():
+        cond = detect("facility_name", pat)
+        expr = F.when(cond, lvl) if expr is None else expr.when(cond, lvl)
+    return df.withColumn("keph_level", expr.otherwise(F.col("keph_level")))
+
+
 def facilities_by_level(forecasts: DataFrame, level_overrides: Mapping[str, str] | None = None) -> DataFrame:
     """Distinct (county, sub_county, keph_level, facility_name); a
     facility whose name matches an override pattern gets that level.  The
     override is applied after the distinct, as in the reference, so no
     second dedupe."""
     d = forecasts.select("county", "sub_county", "keph_level", "facility_name").distinct()
-    if level_overrides:
-        expr = None
-        for pat, lvl in level_overrides.items():
-            cond = detect("facility_name", pat)
-            expr = F.when(cond, lvl) if expr is None else expr.when(cond, lvl)
-        d = d.withColumn("keph_level", expr.otherwise(F.col("keph_level")))
-    return d
+    return with_level_overrides(d, level_overrides)
+
+
+def facilities_by_level_ordered(forecasts: DataFrame, level_overrides: Mapping[str, str] | None = None) -> DataFrame:
+    """P19 with each row's ``position`` in its county's sheet: the sub-county
+    tables one after the other by name, each by its stored level, facilities
+    of a level by name."""
+    d = forecasts.select("county", "sub_county", "keph_level", "facility_name").distinct()
+    numbered = number_rows(d, ["sub_county", "keph_level", "facility_name"], by=["county"], out="position")
+    return with_level_overrides(numbered, level_overrides)
 
 
 def facility_counts(df: DataFrame, by: tuple[str, ...] = ("county", "facility_name")) -> DataFrame:

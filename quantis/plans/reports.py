@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,11 +23,20 @@ RMNCH_DEFAULT = "No"
 
 
 def county_summary(unified: DataFrame) -> DataFrame:
-    """County-funded value per county of the harmonised forecasts; no
-    classification is needed (``plans.unify.harmonised``)."""
+    """County-funded value per county of the harmonised forecasts
+    (``plans.unify.union_harmonised``); no classification is needed."""
     return county_funded(unified).groupBy("county").agg(sum_money(VALUE).alias(VALUE))
 
 
+def county_summary_of(sources: Sequence[DataFrame]) -> DataFrame:
+    """P3 over several sources of their own schemas, each harmonised
+    (``plans.unify.harmonise``, ``harmonise_tn``): every source is summed to
+    one row for each of its counties before the union, so the sources meet as
+    sums and only these are shuffled again."""
+    sums = [county_funded(s).groupBy("county").agg(money_total(VALUE).alias(VALUE)) for s in sources]
+    return reduce(DataFrame.unionByName, sums).groupBy("county").agg(sum_money(VALUE).alias(VALUE))
+
+
 def county_grand_total(forecasts: DataFrame, county: str | None = None) -> DataFrame:
     """Recomputed quantity x price total of County funding, per
     county (the reconciliation figure for every crosstab's total cell)."""

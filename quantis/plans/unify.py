@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +11,12 @@ from quantis import schemas as S
 from quantis.functions.values import money_total, ven_or_null
 from quantis.operators.columns import clean_names
 from quantis.operators.joins import null_safe_join
+from quantis.operators.numbering import number_rows
 from quantis.operators.sets import union_aligned
 from quantis.operators.windows import RUN_ID_RANGE, run_id
 from quantis.plans.common import recomputed_value, select_county
 from quantis.session import ensure_checkpoint_dir
-from quantis.sources.sinks import publish_once, write_partitioned
+from quantis.sources.sinks import partition_values, publish_once, write_partitioned
 
 CLASS_ATTRS = ("product_or_equipment", "product_classification", "rmnch_product", "moh_647_name")
 
@@ -99,6 +102,30 @@ def split_by_county(df: DataFrame, path: str) -> None:
     write_partitioned(df, path, ("county",))
 
 
+def county_split_summary(forecasts: DataFrame, path: str) -> DataFrame:
+    """P4 and back: publishes the forecasts split by county at ``path``, then
+    reads every county by itself; rows and value of each county and
+    sub-county.  The counties are taken from the directory names, and each
+    county's predicate prunes its scan to one directory."""
+    spark = forecasts.sparkSession
+    split = forecasts.select("county", "sub_county", S.VALUE)
+    publish_unified(split, path)
+    table = spark.read.schema(split.schema).parquet(path)
+    parts = [
+        select_partition(table, c).groupBy("county", "sub_county").agg(
+            F.count(F.lit(1)).alias("n_rows"), money_total(S.VALUE).alias(S.VALUE)
+        )
+        for c in partition_values(spark, path, "county")
+    ]
+    none = table.limit(0).groupBy("county", "sub_county").agg(F.count(F.lit(1)).alias("n_rows"), money_total(S.VALUE).alias(S.VALUE))
+    return reduce(DataFrame.union, parts) if parts else none
+
+
+def select_partition(table: DataFrame, county: str | None) -> DataFrame:
+    """One county of a split table by its directory; None: rows without one."""
+    return table.where(F.col("county").eqNullSafe(F.lit(county)))
+
+
 def publish_unified(unified: DataFrame, path: str) -> bool:
     """Write the unified table only if it does not exist yet."""
     return publish_once(unified, path, ("county",))
@@ -107,6 +134,17 @@ def publish_unified(unified: DataFrame, path: str) -> bool:
 def item_run_ids(forecasts_tn: DataFrame, width: int = RUN_ID_RANGE) -> DataFrame:
     """``consecutive_id(item)`` over the divergent county's rows in source
     order: one sequence over the concatenated sub-county tables.  Only the
-    columns of the result are read."""
-    rows = forecasts_tn.select("sub_county", "source_row", S.ITEM)
-    return run_id(rows, S.ITEM, ["source_row", S.ITEM], bucket="source_row", width=width, out="id")
+    columns of the result are read.  The rows are numbered first, so a range
+    of the run ids holds ``width`` rows, also where many share a source row."""
+    rows = number_rows(forecasts_tn.select("sub_county", "source_row", S.ITEM), ["source_row", S.ITEM], out="__row")
+    return run_id(rows, S.ITEM, "__row", width=width, out="id").drop("__row")
+
+
+def source_ordered_items(forecasts_tn: DataFrame) -> DataFrame:
+    """The first row of each item in source order (``distinct(item,
+    .keep_all = TRUE)`` over the concatenated tables): item, tab, VEN and its
+    ``position`` among all rows."""
+    read = forecasts_tn.select("source_row", S.ITEM, "tab", "ven")
+    rows = number_rows(read, ["source_row", S.ITEM, "tab", "ven"], out="position")
+    first = rows.groupBy(S.ITEM).agg(F.min_by(F.struct("tab", "ven", "position"), "position").alias("first"))
+    return first.select(S.ITEM, "first.tab", "first.ven", "first.position")

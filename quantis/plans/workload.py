@@ -9,14 +9,16 @@ become predicates that reach the scan.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from quantis.operators.columns import clean_names, drop_range
 from quantis.operators.joins import null_safe_join, semi_join
 from quantis.schemas import ANALYTICS
+from quantis.sources.readers import csv_headers
 
 WORKLOAD_KEYS = ("organisation_unit", "facility_ownership", "keph_level")
 
@@ -49,22 +51,35 @@ def workload_extract(
 
 
 def landed_extract(spark: SparkSession, path: str) -> DataFrame:
-    """The analytics CSV files as landed from the API.  Header names vary
-    in spelling, so they are read as text, cleaned to snake case
-    (``clean_names``) and then typed by the declared schema.
-
-    Nothing is lost silently: a row with too few or too many fields fails
-    the read (``FAILFAST``), a text that is no number fails its cast, and an
-    absent declared column raises here."""
-    header = spark.read.csv(path, header=True, inferSchema=False)
-    # with the schema given again, every row is checked against its width
-    landed = spark.read.option("columnPruning", False).csv(
-        path, header=True, schema=header.schema, mode="FAILFAST", enforceSchema=False
-    )
+    """The analytics CSV files as landed from the API, whatever the order and
+    spelling of each file's columns.
+
+    Files are grouped by their header line; each group is read as text with
+    its own header, its names are cleaned to snake case (``clean_names``), and
+    the declared columns are taken by name and typed, so that the groups meet
+    in one schema.  There are as many groups as different headers.
+
+    Nothing is lost silently: a row with too few or too many fields fails the
+    read (``FAILFAST``), a text that is no number fails its cast, and a file
+    without a declared column raises here, as does one with a repeated name
+    and a folder without any header."""
+    groups = csv_headers(spark, path)
+    if not groups:
+        raise ValueError(f"{path}: no file with a header")
+    return reduce(DataFrame.unionByName, [_landed_group(spark, header, files) for header, files in sorted(groups.items())])
+
+
+def _landed_group(spark: SparkSession, header: tuple[str, ...], files: list[str]) -> DataFrame:
+    """Files of one header, typed by the declared schema."""
+    if len(set(header)) < len(header):
+        raise ValueError(f"{files[0]}: repeated column in {', '.join(header)}")
+    schema = StructType([StructField(name, StringType()) for name in header])
+    # with all columns read, every row is checked against the header's width
+    landed = spark.read.option("columnPruning", False).csv(files, header=True, schema=schema, mode="FAILFAST", enforceSchema=False)
     named = clean_names(landed)
     absent = [f.name for f in ANALYTICS.fields if f.name not in named.columns]
     if absent:
-        raise ValueError(f"{path}: no column {', '.join(absent)}")
+        raise ValueError(f"{files[0]}: no column {', '.join(absent)}")
 
     def typed(name: str, kind: DataType) -> Column:
         text = F.col(name)

@@ -2,13 +2,16 @@
 test tables to the forecast domain."""
 
 from quantis.sources import binding
-from quantis.sources.readers import catalog_union, clear_plans, read_csv, read_jdbc, read_table
-from quantis.sources.sinks import publish_once, publish_table_once, write_partitioned, write_report
+from quantis.sources.readers import catalog_union, clear_plans, csv_headers, read_csv, read_jdbc, read_table
+from quantis.sources.sinks import ClaimedError, partition_values, publish_once, publish_table_once, write_partitioned, write_report
 
 __all__ = [
+    "ClaimedError",
     "binding",
     "catalog_union",
     "clear_plans",
+    "csv_headers",
+    "partition_values",
     "publish_once",
     "publish_table_once",
     "read_csv",

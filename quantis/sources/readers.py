@@ -7,7 +7,9 @@ the Parquet scan (``ReadSchema`` / ``PushedFilters``) through Catalyst.
 
 from __future__ import annotations
 
+import csv
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -50,6 +52,36 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool =
     return spark.read.csv(path, schema=schema, header=header, mode="FAILFAST")
 
 
+def csv_headers(spark: SparkSession, path: str, threads: int = 16) -> dict[tuple[str, ...], list[str]]:
+    """CSV files below ``path`` by their header line.
+
+    Spark lists the files; of each one only the first line is read, through
+    its file system and compression codec, so nothing but one line a file
+    passes through the driver.  Empty files have no header and no rows."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def header(file: str) -> tuple[str, tuple[str, ...] | None]:
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream, codec = p.getFileSystem(conf).open(p), codecs.getCodec(p)
+        try:
+            line = jvm.java.io.BufferedReader(
+                jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec is not None else stream, "UTF-8")
+            ).readLine()
+        finally:
+            stream.close()
+        return file, tuple(next(csv.reader([line]))) if line else None
+
+    groups: dict[tuple[str, ...], list[str]] = {}
+    files = spark.read.option("recursiveFileLookup", True).text(path).inputFiles()
+    with ThreadPoolExecutor(threads) as pool:
+        for file, names in pool.map(header, sorted(files)):
+            if names is not None:
+                groups.setdefault(names, []).append(file)
+    return groups
+
+
 def read_jdbc(spark: SparkSession, table: str, prefix: str = "spark.quantis.jdbc") -> DataFrame:
     """Table from a relational database.  Connection settings come from the
     session configuration (``<prefix>.url``, ``.user``, ``.password``,

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import time
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,50 +28,142 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("county",),
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through the Hadoop filesystem of ``path``."""
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+class ClaimedError(FileExistsError):
+    """Another writer has claimed the place of a publication."""
+
+
+def _fs(spark: SparkSession, path: str):
+    """Hadoop file system of ``path``, and the path."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _claim(spark: SparkSession, path: str, token: str) -> None:
+    """Creates the claim file ``path``; raises if it exists.
+
+    The creation itself decides between two writers: ``create`` without
+    overwriting is one operation of a distributed file system's name node, and
+    on the local file system the exclusive creation of the operating system
+    is used (Hadoop's local ``create`` looks first and creates then)."""
+    fs, p = _fs(spark, path)
+    body = f"{token} {time.strftime('%Y-%m-%dT%H:%M:%SZ', time.gmtime())}\n".encode()
+    taken = ClaimedError(
+        f"{path} exists: another writer is publishing, or died while it did; remove the file once that is certain"
+    )
+    if fs.getScheme() == "file":
+        local = fs.makeQualified(p).toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            with open(local, "xb") as out:
+                out.write(body)
+        except FileExistsError:
+            raise taken from None
+        return
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if fs.exists(p):
+            raise taken from e
+        raise
+    out.write(body)
+    out.close()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def publish_once(df: DataFrame, path: str, by: Sequence[str] = ("county",), replace_unmarked: bool = False) -> bool:
     """Write ``df`` only if nothing is at ``path``; returns whether it wrote.
 
-    Nothing is ever overwritten.  A directory with the commit marker
-    ``_SUCCESS`` is a publication: it stays and the result is False.  One
-    without the marker may be a complete table whose writer makes none, a
-    write in progress, or what a dead job left: that is for a person to
-    decide, so it raises.  ``replace_unmarked`` states that decision; the old
-    directory is then moved aside to ``<path>.replaced-<time>``, not deleted.
-    The check runs before any data is read."""
+    Nothing is ever overwritten, and what appears at ``path`` is a whole
+    table: of several writers at once, one wins.
+
+    1. The claim file ``<path>.claim`` is created exclusively.  A writer that
+       finds it raises :class:`ClaimedError`: the other one may still succeed
+       or may have died, which is for a person to decide.
+    2. The table is written to ``<path>.staged-<token>`` and moved to ``path``
+       by a rename that fails if something is there.
+    3. The claim is removed; if the write fails, so are the staged files.
+
+    A directory with the commit marker ``_SUCCESS`` is a publication: it stays
+    and the result is False.  One without the marker may be a complete table
+    whose writer makes none, a write in progress, or what a dead job left: it
+    raises.  ``replace_unmarked`` states that decision; the old directory is
+    then moved aside to ``<path>.replaced-<time>``, not deleted.  All checks
+    run before any data is read."""
     spark = df.sparkSession
     path = path.rstrip("/")
     if path_exists(spark, path + "/_SUCCESS"):
         return False
-    if path_exists(spark, path):
-        if not replace_unmarked:
-            raise FileExistsError(f"{path} exists without a commit marker; it is not overwritten")
-        _move(spark, path, f"{path}.replaced-{time.time_ns()}")
-    rebalanced(df, by).write.mode("errorifexists").partitionBy(*by).parquet(path)
+    token = uuid.uuid4().hex
+    claim, staged = f"{path}.claim", f"{path}.staged-{token}"
+    _claim(spark, claim, token)
+    try:
+        if path_exists(spark, path + "/_SUCCESS"):  # published between the look and the claim
+            return False
+        if path_exists(spark, path):
+            if not replace_unmarked:
+                raise FileExistsError(f"{path} exists without a commit marker; it is not overwritten")
+            _move(spark, path, f"{path}.replaced-{time.time_ns()}")
+        try:
+            rebalanced(df, by).write.mode("errorifexists").partitionBy(*by).parquet(staged)
+            _move(spark, staged, path)
+        except BaseException:
+            _delete(spark, staged)
+            raise
+    finally:
+        _delete(spark, claim)
     return True
 
 
 def _move(spark: SparkSession, path: str, to: str) -> None:
-    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = new(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.rename(new(path), new(to)):
-        raise OSError(f"{path} could not be moved to {to}")
+    """Renames; raises if something is at ``to`` (the rename of a file system
+    object, unlike that of a file context, would move into a directory)."""
+    jvm = spark.sparkContext._jvm
+    fs, old = _fs(spark, path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(
+        old, jvm.org.apache.hadoop.fs.Path(to), spark.sparkContext._gateway.new_array(rename, 0)
+    )
 
 
 def publish_table_once(df: DataFrame, table: str) -> bool:
-    """Catalog-table variant of :func:`publish_once`."""
+    """Catalog-table variant of :func:`publish_once`: the claim file lies in
+    the folder of the table's database."""
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         return False
-    df.write.mode("ignore").saveAsTable(table)
+    *database, name = table.split(".")
+    folder = spark.catalog.getDatabase(".".join(database) or spark.catalog.currentDatabase()).locationUri
+    claim = f"{folder.rstrip('/')}/{name}.claim"
+    _claim(spark, claim, uuid.uuid4().hex)
+    try:
+        if spark.catalog.tableExists(table):
+            return False
+        df.write.mode("errorifexists").saveAsTable(table)
+    finally:
+        _delete(spark, claim)
     return True
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str | None]:
+    """Values of the first partition column of a table, from its directory
+    names alone (no data is read); the NULL partition is None and comes last."""
+    fs, p = _fs(spark, path)
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    found = [unescape(n[len(column) + 1 :]) for n in names if n.startswith(f"{column}=")]
+    return sorted((None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in found), key=lambda v: (v is None, v or ""))
+
+
 def write_report(
     df: DataFrame, path: str, fmt: str = "csv", per_county: bool = False, order_by: Sequence[str] = ()
 ) -> None:
