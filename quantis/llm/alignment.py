@@ -12,10 +12,17 @@ kept as compressed sparse rows built here by hand (``Csr``).
   a group.  Its entries can be many, so they are made row block by row block
   and only on demand; their number comes from the row sizes alone.
 
-Texts are aligned once.  A *unit* (texts of one task, about ``UNIT_BYTES``)
-numbers its distinct linked id pairs, with the number of its documents that
-hold each, and keeps a sparse document-by-pair matrix.  It is written as one
-row of a table in the shared folder.  Spark sums the pairs' document counts
+Neither tokenizer joins what stands before a space to the space and what
+follows it (checked for the files at hand; other files are taken text by
+text).  So a text falls into *chunks*, a space and what follows up to the next
+such space, and the matrices are block diagonal: every distinct chunk of a
+*unit* (texts of one task, about ``UNIT_BYTES``) is encoded and aligned once,
+and the unit's document-by-chunk matrix times its chunk-by-pair matrix, again
+by Gustavson's algorithm, is its document-by-pair matrix.
+
+A unit is written as one row of a table in the shared folder: its documents'
+figures, its distinct linked id pairs with the number of its documents that
+hold each, and the document-by-pair matrix.  Spark sums the pairs' document counts
 over the units, takes every A id's highest one (the vocabulary bounds their
 number, so they are broadcast), and joins both back to the units' pairs; a
 unit's matrix times these counts gives the sums of its documents.
@@ -29,12 +36,14 @@ table gives an empty result.  Only the id and the text are read.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +53,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from quantis.llm.tokencount import byte_symbols
 from quantis.llm.vocabulary import take_spans
+from quantis.llm.wordbatch import slices, texts, utf8
 from quantis.llm.work import release, stored
 
 UNIT_BYTES, SLICE_BYTES = 8 << 20, 1 << 20
@@ -193,20 +203,20 @@ def piece_level(path: str):
 
 
 def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """All ids one after the other, and how many each list holds."""
-    n = np.array([len(x) for x in lists], np.int64)
-    return np.fromiter((i for x in lists for i in x), np.int64, int(n.sum())), n
+    """All ids one after the other, and where each list begins."""
+    first = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(first[-1])), first
 
 
-def spells(ids: np.ndarray, n: np.ndarray, spelling: Spelling, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Whether the tokens of each document spell its bytes."""
-    doc = np.repeat(np.arange(len(n)), n)
-    good = np.bincount(doc, weights=spelling.size[ids], minlength=len(n)).astype(np.int64) == np.diff(off)
+def spells(ids: np.ndarray, first: np.ndarray, spelling: Spelling, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Whether each list of ids spells its bytes."""
+    size = np.concatenate([[0], np.cumsum(spelling.size[ids])])
+    good = np.diff(size[first]) == np.diff(off)
     some = np.flatnonzero(good)
-    made = spelling.of(ids[good[doc]])
-    there, first = take_spans(data, off[some], off[some + 1])
+    made = spelling.of(ids[np.repeat(good, np.diff(first))])
+    there, begin = take_spans(data, off[some], off[some + 1])
     wrong = np.concatenate([[0], np.cumsum(made != there)])
-    good[some] = wrong[first[1:]] == wrong[first[:-1]]
+    good[some] = wrong[begin[1:]] == wrong[begin[:-1]]
     return good
 
 
@@ -217,9 +227,9 @@ def _decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(body), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in body])])
 
 
-def group_texts(x: Aligned, a_first: np.ndarray, b_first: np.ndarray) -> list[bytes]:
-    """``a1,a2|b1;a3|b2,b3`` of each document; ``a_first`` and ``b_first`` are
-    the documents' token ranges."""
+def group_texts(x: Aligned, a_first: np.ndarray, b_first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``a1,a2|b1;a3|b2,b3;`` of each range of tokens (``a_first``,
+    ``b_first``), one after the other, and where each begins."""
     ga, gb = x.a_group, x.b_group
     # A's tokens of a group stand before B's
     a_at = np.arange(len(ga)) + np.searchsorted(gb, ga, side="left")
@@ -231,77 +241,154 @@ def group_texts(x: Aligned, a_first: np.ndarray, b_first: np.ndarray) -> list[by
     data, off = _decimals(1 << 17)
     body, first = take_spans(data, off[ids], off[ids + 1])
     body[first[1:] - 1] = after
-    ends = first[a_first + b_first]
-    return [body[p : max(p, q - 1)].tobytes() for p, q in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+    return body, first[a_first + b_first]
 
 
 DOC = [("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("n_shared", pa.int64()), ("groups_sha256", pa.string())]
 
 
-class Slice:
-    """Alignment of a run of texts (nulls as None)."""
+# Bytes that can begin a character that is no white space after
+# a space.  Left out are white space, and lead bytes under which Unicode has
+# some (it is enough that no cut is made there).
+FOLLOWS = np.zeros(256, bool)
+FOLLOWS[0x21:0x7F] = True
+FOLLOWS[0xC3:0xF5] = True
+FOLLOWS[[0xE1, 0xE2, 0xE3]] = False
 
-    def __init__(self, texts: list[str | None], path_a: str, path_b: str):
+
+@lru_cache(maxsize=4)
+def cuts_at_spaces(path_a: str, path_b: str) -> bool:
+    """Whether both tokenizers can be applied chunk by chunk: byte-level BPE
+    with the usual pre-split, which joins one space to what follows it, and
+    pieces without a space inside, over unchanged text."""
+    import sentencepiece
+
+    with open(path_a, encoding="utf-8") as f:
+        spec = json.load(f)
+    parts = spec["pre_tokenizer"] or {}
+    usual = parts.get("type") == "ByteLevel" and parts.get("use_regex", True) and not parts["add_prefix_space"]
+    found = sentencepiece.SentencePieceProcessor(model_file=path_b)
+    pieces = [found.id_to_piece(i).lstrip("▁") for i in range(found.get_piece_size())]
+    kept = [found.id_to_piece(i) for i in found.encode(" a  b c ")]
+    whole = "".join(kept) == "▁▁a▁▁b▁c▁"  # a space before the text, and every space of it
+    return usual and not spec.get("normalizer") and whole and not any("▁" in p for p in pieces)
+
+
+@dataclass
+class Chunks:
+    """Chunks of a run of texts, without the space that each begins with."""
+
+    body: pa.LargeBinaryArray  # distinct ones
+    number: np.ndarray  # of each place
+    first: np.ndarray  # range of places of each text
+
+
+def chunks(runs: list[tuple[np.ndarray, np.ndarray]], cut: bool) -> Chunks:
+    """Chunks of texts given as runs of bytes and offsets; an empty text has
+    none."""
+    bodies, counts = [], []
+    for data, off in runs:
+        start_of = np.zeros(len(data) + 1, bool)
+        if cut and len(data) > 2:
+            at = np.flatnonzero((data[1:-1] == 0x20) & (data[:-2] != 0x20) & FOLLOWS[data[2:]]) + 1
+            start_of[at + 1] = True
+            # a space that ends or begins its text cuts nothing
+            edge = np.concatenate([off[:-1], off[:-1] + 1])
+            start_of[edge[edge <= len(data)]] = False
+        start_of[off[:-1][np.diff(off) > 0]] = True
+        start = np.flatnonzero(start_of[:-1])
+        doc = np.searchsorted(off, start, side="right") - 1
+        last = np.append(doc[1:] != doc[:-1], True) if len(doc) else np.zeros(0, bool)
+        end = np.where(last, off[doc + 1], np.append(start[1:], 0) - 1)
+        body, at = take_spans(data, start, end)
+        bodies.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(body)]))
+        counts.append(np.bincount(doc, minlength=len(off) - 1))
+    found = pa.chunked_array(bodies, pa.large_binary()).dictionary_encode().combine_chunks()
+    number = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return Chunks(found.dictionary, number, np.concatenate([[0], *counts]).cumsum().astype(np.int64))
+
+
+class Unit:
+    """Tokens of the distinct chunks of a run of texts, and the texts as lists
+    of chunks.  Texts of which a chunk is not spelled by its tokens have none."""
+
+    def __init__(self, runs: list[tuple[np.ndarray, np.ndarray]], path_a: str, path_b: str):
         (encode_a, spell_a), (encode_b, spell_b) = byte_level(path_a), piece_level(path_b)
-        self.docs = np.array([i for i, t in enumerate(texts) if t], np.int64)
-        full = [texts[i] for i in self.docs]
-        (a, na), (b, nb) = flat(encode_a(full)), flat(encode_b(full))
-        raw = [b" " + t.encode() for t in full]
+        c = chunks(runs, cuts_at_spaces(path_a, path_b))
+        raw = c.body.to_pylist()
+        spelled = [x.decode() for x in raw]
+        (a, a_first), (b, b_first) = flat(encode_a(spelled)), flat(encode_b(spelled))
+        raw = [b" " + x for x in raw]
         data, off = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-        good = spells(a, na, spell_a, data, off) & spells(b, nb, spell_b, data, off)
-        a, b = a[np.repeat(good, na)], b[np.repeat(good, nb)]
-        self.docs, self.n_a, self.n_b = self.docs[good], na[good], nb[good]
-        self.a_first = np.concatenate([[0], np.cumsum(self.n_a)])
-        self.b_first = np.concatenate([[0], np.cumsum(self.n_b)])
-        self.tokens = aligned(a, b, spell_a.size[a], spell_b.size[b])
-
-    def links(self) -> Iterator[tuple[np.ndarray, ...]]:
-        """Document (place in the slice), positions in it and shared bytes of each link."""
-        for i, j, n in self.tokens.links():
-            doc = np.searchsorted(self.a_first, i, side="right") - 1
-            yield self.docs[doc], i - self.a_first[doc], j - self.b_first[doc], n
-
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Document (index in ``docs``), id pair and how often it is linked there."""
-        x, found = self.tokens, []
-        for i, j, _ in x.links():
-            found.append(np.stack([np.searchsorted(self.a_first, i, side="right") - 1, (x.a[i] << 32) + x.b[j]]))
-        doc, pair = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        names, where = np.unique(pair, return_inverse=True)
-        cell, times = np.unique(doc * max(1, len(names)) + where, return_counts=True)
-        return cell // max(1, len(names)), names[cell % max(1, len(names))], times
-
-    def figures(self, n_docs: int, n_links: np.ndarray) -> dict[str, np.ndarray | list[str]]:
-        """Columns of ``DOC`` for all texts of the slice."""
-        x = self.tokens
-        per = {
-            "n_a": self.n_a, "n_b": self.n_b, "n_links": n_links,
-            "n_groups": np.diff(np.concatenate([[0], np.searchsorted(x.common, x.a_end[self.a_first[1:] - 1], side="right")]))
-            if len(self.docs) else self.n_a,
-        }
+        good = spells(a, a_first, spell_a, data, off) & spells(b, b_first, spell_b, data, off)
+        fine = np.diff(np.concatenate([[0], np.cumsum(good[c.number])])[c.first]) == np.diff(c.first)
+        self.number = c.number[np.repeat(fine, np.diff(c.first))]
+        self.first = np.concatenate([[0], np.cumsum(np.where(fine, np.diff(c.first), 0))])
+        # chunks that are not spelled stand in no text that is left
+        a, b = a[np.repeat(good, np.diff(a_first))], b[np.repeat(good, np.diff(b_first))]
+        self.n_a, self.n_b = np.where(good, np.diff(a_first), 0), np.where(good, np.diff(b_first), 0)
+        self.a_first, self.b_first = np.concatenate([[0], np.cumsum(self.n_a)]), np.concatenate([[0], np.cumsum(self.n_b)])
+        self.a_size, self.b_size = spell_a.size[a], spell_b.size[b]
+        self.chunk = aligned(a, b, self.a_size, self.b_size)
+
+    @property
+    def n_docs(self) -> int:
+        return len(self.first) - 1
+
+    def total(self, per_chunk: np.ndarray) -> np.ndarray:
+        """Sum of a figure of chunks for each text."""
+        return np.diff(np.concatenate([[0], np.cumsum(per_chunk[self.number])])[self.first])
+
+    def whole(self) -> tuple[Aligned, np.ndarray, np.ndarray]:
+        """Alignment of the whole texts, and their token ranges."""
+        a_at, a_first = take_spans(np.arange(len(self.chunk.a)), self.a_first[self.number], self.a_first[self.number + 1])
+        b_at, b_first = take_spans(np.arange(len(self.chunk.b)), self.b_first[self.number], self.b_first[self.number + 1])
+        x = aligned(self.chunk.a[a_at], self.chunk.b[b_at], self.a_size[a_at], self.b_size[b_at])
+        return x, a_first[self.first], b_first[self.first]
+
+    def chunk_pairs(self) -> tuple[np.ndarray, Csr, np.ndarray]:
+        """Distinct id pairs, the chunk-by-pair matrix of their numbers of
+        links, and the number of links of each chunk."""
+        x = self.chunk
+        found = [(i, j) for i, j, _ in x.links()]
+        i, j = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+        chunk = np.searchsorted(self.a_first, i, side="right") - 1
+        names, column = np.unique((x.a[i] << 32) + x.b[j], return_inverse=True)
+        n = np.bincount(chunk, minlength=len(self.n_a))
+        return names, Csr(np.concatenate([[0], np.cumsum(n)]), column, np.ones(len(column), np.int64), len(names)), n
+
+    def figures(self, n_links: np.ndarray) -> dict[str, np.ndarray | list[str]]:
+        """Columns of ``DOC`` for all texts."""
+        x = self.chunk
+        ends = np.concatenate([[0], x.a_end])[self.a_first]
+        n_groups = np.diff(np.searchsorted(x.common, ends, side="right"))
         left, right = x.shared()
-        made = np.concatenate([[0], np.cumsum(left.product_sizes(right))])
-        per["n_shared"] = np.diff(made[self.a_first])
-        out: dict[str, np.ndarray | list[str]] = {}
-        for name, values in per.items():
-            out[name] = np.zeros(n_docs, np.int64)
-            out[name][self.docs] = values
-        digest = [""] * n_docs
-        for i, body in zip(self.docs.tolist(), group_texts(x, self.a_first, self.b_first), strict=True):
-            digest[i] = hashlib.sha256(body).hexdigest()
+        shared = np.diff(np.concatenate([[0], np.cumsum(left.product_sizes(right))])[self.a_first])
+        per = {"n_a": self.n_a, "n_b": self.n_b, "n_groups": n_groups, "n_links": n_links, "n_shared": shared}
+        out: dict[str, np.ndarray | list[str]] = {c: self.total(v) for c, v in per.items()}
+        data, off = group_texts(x, self.a_first, self.b_first)
+        digest = []
+        for p, q in zip(self.first[:-1].tolist(), self.first[1:].tolist(), strict=True):
+            of = self.number[p:q]
+            body = take_spans(data, off[of], off[of + 1])[0]
+            digest.append(hashlib.sha256(body[:-1]).hexdigest() if q > p else "")
         return out | {"groups_sha256": digest}
 
 
-def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str | None], int]]:
-    """Ids and texts in runs of about ``SLICE_BYTES``, and their size."""
+def runs_of(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.Array, list[tuple[np.ndarray, np.ndarray]]]]:
+    """Ids and UTF-8 of texts in runs of about ``limit`` bytes."""
+    ids, held, size = [], [], 0
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        a = held = 0
-        for i, t in enumerate(texts):
-            held += len(t) if t else 0
-            if held >= SLICE_BYTES or i + 1 == len(texts):
-                yield batch.column("id").slice(a, i + 1 - a), texts[a : i + 1], held
-                a, held = i + 1, 0
+        data, off = utf8(texts(batch.column("text")))
+        for a, b in slices(off, SLICE_BYTES):
+            ids.append(batch.column("id").slice(a, b - a))
+            held.append((data[off[a] : off[b]], off[a : b + 1] - off[a]))
+            size += int(off[b] - off[a])
+            if size >= limit:
+                yield pa.concat_arrays(ids), held
+                ids, held, size = [], [], 0
+    if ids:
+        yield pa.concat_arrays(ids), held
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -318,44 +405,26 @@ def _units(path_a: str, path_b: str):
     """One row for each unit: its documents' figures, its id pairs with their
     document counts, and its document-by-pair matrix."""
 
-    def row(parts: list) -> pa.RecordBatch:
-        names = np.unique(np.concatenate([pair for _, _, _, pair, _ in parts]))
-        held = np.zeros(len(names), np.int64)
-        first, where, times = [], [], []
-        for _, _, cells, pair, n in parts:
-            at = np.searchsorted(names, pair)
-            held += np.bincount(at, minlength=len(names))
-            first.append(cells)
-            where.append(at)
-            times.append(n)
-        ids = pa.concat_arrays([p[0] for p in parts])
-        columns = [pa.concat_arrays([pa.array(p[1][c], t) for p in parts]) for c, t in DOC]
-        docs = pa.StructArray.from_arrays([ids, *columns], fields=[pa.field("id", ids.type), *(pa.field(c, t) for c, t in DOC)])
-        whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([uuid.uuid4().hex]), whole(docs), whole(pa.array(names, pa.int64())), whole(pa.array(held, pa.int32())),
-                pa.array([planes(np.concatenate(first))], pa.binary()), pa.array([planes(np.concatenate(where))], pa.binary()),
-                pa.array([planes(np.concatenate(times))], pa.binary()),
-            ],
-            names=["unit", "docs", "pairs", "held", "cells", "columns", "times"],
-        )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
-        for ids, texts, n in sliced(batches):
-            s = Slice(texts, path_a, path_b)
-            doc, pair, times = s.pairs()
-            n_links = np.bincount(doc, weights=times, minlength=len(s.docs)).astype(np.int64)
-            cells = np.zeros(len(texts), np.int64)
-            cells[s.docs] = np.bincount(doc, minlength=len(s.docs))
-            parts.append((ids, s.figures(len(texts), n_links), cells, pair, times))
-            size += n
-            if size >= UNIT_BYTES:
-                yield row(parts)
-                parts, size = [], 0
-        if parts:
-            yield row(parts)
+        for ids, held in runs_of(batches, UNIT_BYTES):
+            u = Unit(held, path_a, path_b)
+            names, chunk_pairs, n_links = u.chunk_pairs()
+            docs = Csr(u.first, u.number, np.ones(len(u.number), np.int64), len(n_links))
+            found = list(docs.product(chunk_pairs))
+            doc, pair, times = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(3))
+            figures = u.figures(n_links)
+            columns = [pa.array(figures[c], t) for c, t in DOC]
+            struct = pa.StructArray.from_arrays([ids, *columns], fields=[pa.field("id", ids.type), *(pa.field(c, t) for c, t in DOC)])
+            whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([uuid.uuid4().hex]), whole(struct), whole(pa.array(names, pa.int64())),
+                    whole(pa.array(np.bincount(pair, minlength=len(names)), pa.int32())),
+                    pa.array([planes(np.bincount(doc, minlength=u.n_docs))], pa.binary()), pa.array([planes(pair)], pa.binary()),
+                    pa.array([planes(times)], pa.binary()),
+                ],
+                names=["unit", "docs", "pairs", "held", "cells", "columns", "times"],
+            )
         release()
 
     return run
@@ -387,11 +456,11 @@ def report(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
     """For each document: ``id_col``, ``n_a``, ``n_b``, ``n_groups``,
     ``n_links``, ``n_shared`` (pairs of tokens in one group), ``groups_sha256``,
     ``n_best`` and ``count_sum``.  The files must be readable everywhere."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     struct = f"id:{kind}," + ",".join(f"{c}:{'string' if t == pa.string() else 'bigint'}" for c, t in DOC)
     units = stored(
-        texts.mapInArrow(
+        rows.mapInArrow(
             _units(path_a, path_b),
             f"unit string, docs array<struct<{struct}>>, pairs array<bigint>, held array<int>, cells binary, columns binary, times binary",
         )
@@ -417,14 +486,13 @@ def report(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
 
 def _links(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts, _ in sliced(batches):
-            s = Slice(texts, path_a, path_b)
-            x = s.tokens
+        for ids, held in runs_of(batches, SLICE_BYTES):
+            x, a_first, b_first = Unit(held, path_a, path_b).whole()
             for i, j, n in x.links():
-                doc = np.searchsorted(s.a_first, i, side="right") - 1
+                doc = np.searchsorted(a_first, i, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.take(pa.array(s.docs[doc])), pa.array(i - s.a_first[doc], pa.int32()), pa.array(j - s.b_first[doc], pa.int32()),
+                        ids.take(pa.array(doc)), pa.array(i - a_first[doc], pa.int32()), pa.array(j - b_first[doc], pa.int32()),
                         pa.array(x.a[i], pa.int32()), pa.array(x.b[j], pa.int32()), pa.array(n, pa.int32()),
                     ],
                     names=["id", "a_place", "b_place", "a", "b", "bytes"],
@@ -436,21 +504,21 @@ def _links(path_a: str, path_b: str):
 def links(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every overlap link: ``id_col``, places of both tokens in the document,
     their ids, and the ``bytes`` that they share."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, a_place int, b_place int, a int, b int, bytes int"
-    return texts.mapInArrow(_links(path_a, path_b), schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(_links(path_a, path_b), schema).withColumnRenamed("id", id_col)
 
 
 def _shared(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts, _ in sliced(batches):
-            s = Slice(texts, path_a, path_b)
-            left, right = s.tokens.shared()
+        for ids, held in runs_of(batches, SLICE_BYTES):
+            x, a_first, b_first = Unit(held, path_a, path_b).whole()
+            left, right = x.shared()
             for i, j, _ in left.product(right):
-                doc = np.searchsorted(s.a_first, i, side="right") - 1
+                doc = np.searchsorted(a_first, i, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(s.docs[doc])), pa.array(i - s.a_first[doc], pa.int32()), pa.array(j - s.b_first[doc], pa.int32())],
+                    [ids.take(pa.array(doc)), pa.array(i - a_first[doc], pa.int32()), pa.array(j - b_first[doc], pa.int32())],
                     names=["id", "a_place", "b_place"],
                 )
 
@@ -459,6 +527,6 @@ def _shared(path_a: str, path_b: str):
 
 def shared_links(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every pair of tokens in one group: ``id_col`` and both places."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return texts.mapInArrow(_shared(path_a, path_b), f"id {kind}, a_place int, b_place int").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(_shared(path_a, path_b), f"id {kind}, a_place int, b_place int").withColumnRenamed("id", id_col)

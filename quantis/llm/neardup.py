@@ -40,8 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quantis.llm.components import components
-from quantis.llm.wordbatch import U64, Words, mix, run_hash, span_hash, split_words, word_hash
-from quantis.llm.wordbatch import _WORDS
+from quantis.llm.wordbatch import U64, Words, mix, run_hash, sequence_hash, split_words, word_hash
 from quantis.llm.work import bounded_batches, cut, release
 
 BANDS, ROWS = 32, 5
@@ -67,7 +66,7 @@ def sets(w: Words, shingle: int) -> Iterator[np.ndarray]:
         if b - a >= shingle:
             yield np.unique(runs[a : b - shingle + 1])
         elif b > a:
-            yield span_hash(mix(h), np.array([a]), np.array([b]), _WORDS)
+            yield sequence_hash(h[a:b])
         else:
             yield runs[:0]
 

@@ -32,8 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quantis.llm.vocabulary import Vocabulary, summed
-from quantis.llm.wordbatch import IS_SPACE, U64, Words, inside, mix, run_hash, span_hash, split_words, word_hash
-from quantis.llm.wordbatch import LOWER_AZ, _BYTES
+from quantis.llm.wordbatch import IS_SPACE, LOWER_AZ, U64, Words, bytes_hash, inside, mix, run_hash, same_bytes, split_words, word_hash
 from quantis.llm.work import cut
 
 COMMON = 64
@@ -104,8 +103,16 @@ def duplicate_lines(w: Words) -> np.ndarray:
     words = np.searchsorted(w.start, end) - np.searchsorted(w.start, start)
     keep = words > 0
     start, end, doc = start[keep], end[keep], doc[keep]
-    _, later = doubled(doc, span_hash(w.data + U64(1), start, end, _BYTES))
-    return np.bincount(doc[later], minlength=w.n_docs)
+    h = bytes_hash(w.data, start, end)
+    _, first, group = np.unique(mix(h ^ mix(doc.astype(U64) + U64(1))), return_index=True, return_inverse=True)
+    later = np.flatnonzero(first[group] != np.arange(len(group)))
+    lead = first[group[later]]
+    equal = (doc[later] == doc[lead]) & same_bytes(w.data, (start[later], end[later]), (start[lead], end[lead]))
+    found = np.bincount(doc[later[equal]], minlength=w.n_docs)
+    for d in np.unique(doc[later[~equal]]).tolist():  # lines that share a hash without being equal
+        lines = [w.data[a:b].tobytes() for a, b in zip(start[doc == d], end[doc == d], strict=True)]
+        found[d] = len(lines) - len(set(lines))
+    return found
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 
+from quantis.llm.vocabulary import take_spans
 from quantis.llm.wordbatch import U64, Words, split_words, word_hash
 
 UNIT_BYTES = 8 << 20
@@ -27,9 +28,12 @@ class Unit:
         self.slices = slices
         h = np.concatenate([word_hash(w) for _, w in slices])
         self.name = name + hashlib.md5(h.tobytes()).digest()
-        u, first, where = np.unique(h, return_index=True, return_inverse=True)
+        where = numbered(slices)
+        first = np.empty(int(where.max()) + 1 if len(where) else 0, np.int64)
+        first[where[::-1]] = np.arange(len(where))[::-1]
+        u = h[first]
         bucket = (u % U64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
+        order = np.lexsort((u, bucket))
         self.hash, self.bucket, self.first = u[order], bucket[order], first[order]
         number = np.empty(len(u), np.int32)
         number[order] = np.arange(len(u), dtype=np.int32)
@@ -43,6 +47,16 @@ class Unit:
                 yield int(self.bucket[a]), a, b
 
 
+def numbered(slices: list[tuple[pa.RecordBatch, Words]]) -> np.ndarray:
+    """Number of each word among the distinct ones, told apart by their bytes."""
+    parts = []
+    for _, w in slices:
+        body, at = take_spans(w.data, w.start, w.end)
+        parts.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(w.start), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(body)]))
+    words = pa.chunked_array(parts, pa.large_binary()).dictionary_encode().combine_chunks()
+    return words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def named(batches: Iterator[pa.RecordBatch], lower: bool = False) -> Iterator[tuple[bytes, list[tuple[pa.RecordBatch, Words]]]]:
     """Place in the task and texts of each unit (column ``text``)."""
     context = TaskContext.get()

@@ -20,9 +20,11 @@ import pyarrow.compute as pc
 SLICE_BYTES = 1 << 20
 U64 = np.uint64
 
-# Odd multipliers of the polynomial hashes.
-BYTE_BASE = 0x9E3779B97F4A7C15
-WORD_BASE = 0xD1342543DE82EF95
+# Odd multipliers of the hashes.
+PLACE = 0x9E3779B97F4A7C15
+SIZE = 0xD1342543DE82EF95
+LEFT = 0x9FB21C651E98DF25
+RIGHT = 0xC2B2AE3D27D4EB4F
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -106,46 +108,73 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-class _Powers:
-    """base**i and base**-i modulo 2**64, grown as far as asked for."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, dtype=U64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = 1 << max(12, int(n - 1).bit_length())
-            self.up, self.down = (
-                np.concatenate([np.ones(1, U64), np.full(size - 1, b, dtype=U64)]).cumprod(dtype=U64)
-                for b in (self.base, self.inverse)
-            )
-        return self.up, self.down
-
-
-_BYTES, _WORDS = _Powers(BYTE_BASE), _Powers(WORD_BASE)
-
-
-def span_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, powers: _Powers) -> np.ndarray:
-    """Polynomial hash of ``values[start:end]`` for each span."""
-    up, down = powers.upto(len(values) + 1)
-    acc = np.zeros(len(values) + 1, dtype=U64)
-    np.cumsum(values.astype(U64) * up[: len(values)], out=acc[1:])
-    return mix((acc[end] - acc[start]) * down[start] + (end - start).astype(U64))
+def bytes_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of bytes.
+
+    A span is read in lanes of eight bytes; every lane is mixed with its place
+    before the lanes are added up, so no two spans share a hash by the algebra
+    of a polynomial, however regular they are."""
+    if not len(start):
+        return np.zeros(0, U64)
+    size = end - start
+    lanes = np.maximum(1, (size + 7) >> 3)
+    first = np.cumsum(lanes) - lanes
+    rank = np.arange(int(lanes.sum())) - np.repeat(first, lanes)
+    at = np.repeat(start, lanes) + 8 * rank
+    left = np.minimum(np.repeat(size, lanes) - 8 * rank, 8)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    lane = np.lib.stride_tricks.sliding_window_view(padded, 8)[at].view("<u8").ravel()
+    kept = np.array([(1 << (8 * n)) - 1 for n in range(9)], U64)[left]
+    mixed = mix((lane & kept) ^ (rank.astype(U64) + U64(1)) * U64(PLACE))
+    return mix(np.add.reduceat(mixed, first) + size.astype(U64) * U64(SIZE))
+
+
+def same_bytes(data: np.ndarray, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Whether the spans of ``a`` (starts, ends) equal those of ``b``."""
+    size = a[1] - a[0]
+    equal = size == b[1] - b[0]
+    some = np.flatnonzero(equal & (size > 0))
+    if len(some):
+        n = size[some]
+        first = np.cumsum(n) - n
+        step = np.arange(int(n.sum())) - np.repeat(first, n)
+        differs = data[np.repeat(a[0][some], n) + step] != data[np.repeat(b[0][some], n) + step]
+        equal[some] = ~np.logical_or.reduceat(differs, first)
+    return equal
 
 
 def word_hash(w: Words) -> np.ndarray:
     """64-bit hash of each word's bytes."""
-    return span_hash(w.data + U64(1), w.start, w.end, _BYTES)
+    return bytes_hash(w.data, w.start, w.end)
+
+
+def _pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a * U64(LEFT)
+    x ^= x >> U64(32)
+    x += b
+    x *= U64(RIGHT)
+    x ^= x >> U64(29)
+    return x
 
 
 def run_hash(h: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
     """Hash of each run of ``n`` consecutive word hashes (also of runs that
-    cross documents: see ``inside``)."""
+    cross documents: see ``inside``), from the hashes of its two halves, which
+    overlap where ``n`` is no power of two."""
     if len(h) < n:
         return np.zeros(0, dtype=U64)
-    s = np.arange(len(h) - n + 1)
-    return span_hash(mix(h + U64(salt)), s, s + n, _WORDS)
+    x, size = mix(h + U64(salt)), 1
+    while size < n:
+        step = min(size, n - size)
+        x = _pair_hash(x[: len(x) - step], x[step:])
+        size += step
+    return mix(x + U64(n))
+
+
+def sequence_hash(h: np.ndarray) -> np.ndarray:
+    """Hash of one whole sequence of word hashes, of any length."""
+    place = np.arange(1, len(h) + 1, dtype=U64) * U64(PLACE)
+    return mix(np.array([mix(h ^ place).sum(dtype=U64)]) + U64(len(h)) * U64(SIZE))
 
 
 def inside(first: np.ndarray, n: int, total: int) -> np.ndarray:
