@@ -4,10 +4,11 @@ Counting goes by length.  Words are numbered within *units* (texts of one
 task, about ``UNIT_BYTES``); a unit's distinct words of each language are
 summed over all units by Spark, and the frequent ones get ids, which go back
 to the units.  A phrase of k + 1 words can only be frequent if both its parts
-of k words are, so the units count pairs of neighbouring frequent parts, Spark
-sums these, and so on.  No place is counted that cannot matter, and none is
-left out.  Phrases are told apart by their words and by pairs of ids, never by
-hashes of texts.
+of k words are, so the units count pairs of neighbouring frequent parts and
+send them, sorted and compressed, to buckets, which sum them, name the
+frequent ones and answer; and so on.  No place is counted that cannot matter,
+and none is left out.  Phrases are told apart by their words and by pairs of
+ids, never by hashes of texts.
 
 The counts of all lengths then form one stream, laid out twice:
 
@@ -42,8 +43,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quantis.llm.vocabulary import take_spans
-from quantis.llm.wordbatch import LOWER_AZ, slices, texts, utf8
+from quantis.llm.vocabulary import runs, take_spans
+from quantis.llm.wordbatch import LOWER_AZ, PLACE, U64, mix, slices, texts, utf8
 from quantis.llm.work import cut, release, stored
 
 UNIT_BYTES = 8 << 20
@@ -55,17 +56,22 @@ GAPS = BREAKS.copy()
 GAPS[[0x20, 0x09]] = True
 
 LEVEL = "unit string, lang string, place int, words array<string>, held array<int>, at binary, numbers binary"
-STEP = "unit string, lefts array<bigint>, rights array<bigint>, held array<int>, at binary, numbers binary"
+#: A unit's places (bucket null), and its pairs for each bucket.
+STEP = "unit string, bucket int, first int, lefts binary, rights binary, held binary, at binary, numbers binary"
+#: Frequent pairs of a bucket (unit null), and its answer to each unit.
+SUMS = "left long, right long, n long, id long, unit string, places binary, ids binary"
+#: Distinct pairs of a unit for each bucket's sum, and fewest buckets.
+PAIRS_A_BUCKET, LEAST_BUCKETS = 2_000_000, 64
 
 
 def packed(values: np.ndarray) -> bytes:
-    """32-bit numbers as compressed planes of one byte."""
-    raw = values.astype("<u4").view(np.uint8).reshape(-1, 4)
+    """Unsigned numbers of up to 64 bits as compressed planes of one byte."""
+    raw = values.astype("<u8").view(np.uint8).reshape(-1, 8)
     return zlib.compress(np.ascontiguousarray(raw.T).tobytes(), 1)
 
 
 def unpacked(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(8, -1).T).view("<i8").ravel()
 
 
 def piece_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -142,36 +148,96 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     release()
 
 
-def _longer(unit: pa.Table, answers: pa.Table) -> pa.Table:
+def answered_rows(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Places in a unit's list, ascending, and the ids that they got."""
+    if "ids" in answers.column_names:
+        place = [unpacked(x) for x in answers["places"].to_pylist()]
+        ids = [unpacked(x) for x in answers["ids"].to_pylist()]
+        place, ids = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (place, ids))
+    else:
+        place, ids = answers["place"].to_numpy().astype(np.int64), answers["id"].to_numpy()
+    order = np.argsort(place)
+    return place[order], ids[order]
+
+
+def _longer(buckets: int):
     """Pairs of neighbouring frequent phrases of a unit: phrases one word
     longer, with their places."""
     schema = pa.schema(
-        [("unit", pa.string()), ("lefts", pa.list_(pa.int64())), ("rights", pa.list_(pa.int64())), ("held", pa.list_(pa.int32())),
-         ("at", pa.binary()), ("numbers", pa.binary())]
+        [("unit", pa.string()), ("bucket", pa.int32()), ("first", pa.int32()), ("lefts", pa.binary()), ("rights", pa.binary()),
+         ("held", pa.binary()), ("at", pa.binary()), ("numbers", pa.binary())]
     )
-    if not len(unit) or not len(answers):
-        return schema.empty_table()
-    at, number = np.cumsum(unpacked(unit["at"][0].as_py())), unpacked(unit["numbers"][0].as_py())
-    order = np.argsort(answers["place"].to_numpy())
-    place, ids = answers["place"].to_numpy()[order].astype(np.int64), answers["id"].to_numpy()[order]
-    known = np.full(int(max(number.max(initial=0), place.max())) + 1, -1, np.int64)
-    known[place] = np.arange(len(place))
-    rank = known[number]
-    alive = rank >= 0
-    at, rank = at[alive], rank[alive]
-    beside = np.flatnonzero(np.diff(at) == 1)
-    key, where, held = np.unique(rank[beside] * len(ids) + rank[beside + 1], return_inverse=True, return_counts=True)
-    if not len(key):
-        return schema.empty_table()
-    whole = lambda x, t: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, t))
-    return pa.table(
-        [
-            pa.array([unit["unit"][0].as_py()]), whole(ids[key // len(ids)], pa.int64()), whole(ids[key % len(ids)], pa.int64()),
-            whole(held, pa.int32()), pa.array([packed(np.diff(at[beside], prepend=0))], pa.binary()), pa.array([packed(where)], pa.binary()),
-        ],
-        schema=schema,
+
+    def run(unit: pa.Table, answers: pa.Table) -> pa.Table:
+        if not len(unit) or not len(answers):
+            return schema.empty_table()
+        at, number = np.cumsum(unpacked(unit["at"][0].as_py())), unpacked(unit["numbers"][0].as_py())
+        place, ids = answered_rows(answers)
+        known = np.full(int(max(number.max(initial=0), place.max(initial=0))) + 1, -1, np.int64)
+        known[place] = np.arange(len(place))
+        rank = known[number]
+        alive = rank >= 0
+        at, rank = at[alive], rank[alive]
+        beside = np.flatnonzero(np.diff(at) == 1)
+        key, where, held = np.unique(rank[beside] * len(ids) + rank[beside + 1], return_inverse=True, return_counts=True)
+        if not len(key):
+            return schema.empty_table()
+        left, right = ids[key // len(ids)], ids[key % len(ids)]
+        bucket = (mix(left.astype(U64) * U64(PLACE) + right.astype(U64)) % U64(buckets)).astype(np.int64)
+        order = np.lexsort((right, left, bucket))
+        left, right, held, bucket = left[order], right[order], held[order], bucket[order]
+        moved = np.empty(len(order), np.int64)
+        moved[order] = np.arange(len(order))
+        name, none = unit["unit"][0].as_py(), None
+        rows = [(name, none, none, none, none, none, packed(np.diff(at[beside], prepend=0)), packed(moved[where]))]
+        for a, b in runs(bucket):
+            rows.append(
+                (name, int(bucket[a]), a, packed(np.diff(left[a:b], prepend=0)), packed(right[a:b]), packed(held[a:b]), none, none)
+            )
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    return run
+
+
+def _bucket_sums(least: int):
+    """Frequent pairs of a bucket with their counts and ids, and for each unit
+    the places of its frequent pairs with their ids."""
+    schema = pa.schema(
+        [("left", pa.int64()), ("right", pa.int64()), ("n", pa.int64()), ("id", pa.int64()), ("unit", pa.string()),
+         ("places", pa.binary()), ("ids", pa.binary())]
     )
 
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        left = [np.cumsum(unpacked(x)) for x in table["lefts"].to_pylist()]
+        size = np.array([len(x) for x in left])
+        left = np.concatenate(left)
+        right, held = (np.concatenate([unpacked(x) for x in table[c].to_pylist()]) for c in ("rights", "held"))
+        order = np.lexsort((right, left))
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(left[order]) != 0) | (np.diff(right[order]) != 0)]))
+        total = np.add.reduceat(held[order], new)
+        many = np.flatnonzero(total >= least)
+        ids = (np.int64(key[0].as_py()) << 32) + np.arange(len(many))
+        id_of = np.full(len(new), -1, np.int64)
+        id_of[many] = ids
+        found = np.empty(len(order), np.int64)
+        found[order] = np.repeat(id_of, np.diff(np.append(new, len(order))))
+        at = order[new[many]]
+        n, units, first, ends = len(many), table["unit"].to_pylist(), table["first"].to_pylist(), np.cumsum(size)
+        answers = []
+        for name, begin, a, b in zip(units, first, (ends - size).tolist(), ends.tolist(), strict=True):
+            hit = np.flatnonzero(found[a:b] >= 0)
+            if len(hit):
+                answers.append((name, packed(begin + hit), packed(found[a:b][hit])))
+        whole = lambda x: pa.array(np.concatenate([x, np.zeros(len(answers), np.int64)]), pa.int64(), mask=np.arange(n + len(answers)) >= n)
+        columns = [[None] * n + [x[k] for x in answers] for k in range(3)]
+        return pa.table(
+            [whole(left[at]), whole(right[at]), whole(total[many]), whole(ids)]
+            + [pa.array(c, f.type) for c, f in zip(columns, list(schema)[4:], strict=True)],
+            schema=schema,
+        )
+
+    return run
+
 
 def frequent_phrases(docs: DataFrame, longest: int, least: int, text_col: str, lang_col: str) -> DataFrame:
     """lang, words (an array) and n of every phrase of up to ``longest`` words
@@ -189,15 +255,15 @@ def frequent_phrases(docs: DataFrame, longest: int, least: int, text_col: str, l
     found = [everything.select("lang", F.array().cast("array<string>").alias("words"), "n"), known.select("lang", "words", "n")]
     answers = asked.join(known.select("lang", F.col("words")[0].alias("word"), "id"), ["lang", "word"])
     at = units.filter("lang is null").select("unit", "at", "numbers")
+    answers = answers.select(F.col("unit").alias("of"), "place", "id")
+    # a unit has at most as many distinct pairs as words
+    words = everything.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    buckets = max(LEAST_BUCKETS, words // PAIRS_A_BUCKET)
     for _ in range(2, longest + 1):
-        answers = answers.select(F.col("unit").alias("of"), "place", "id")
-        step = stored(at.groupBy("unit").cogroup(answers.groupBy("of")).applyInArrow(_longer, STEP))
-        asked = step.select("unit", F.posexplode(F.arrays_zip("lefts", "rights", "held")).alias("place", "of")).select(
-            "unit", "place", F.col("of.lefts").alias("left"), F.col("of.rights").alias("right"), F.col("of.held").alias("held")
-        )
-        counted = asked.groupBy("left", "right").agg(F.sum("held").alias("n")).filter(F.col("n") >= least)
-        counted = stored(counted.withColumn("id", F.monotonically_increasing_id()))
-        answers = asked.join(counted.select("left", "right", "id"), ["left", "right"])
+        step = stored(at.groupBy("unit").cogroup(answers.groupBy("of")).applyInArrow(_longer(buckets), STEP))
+        asked = step.filter("bucket is not null").select("bucket", "unit", "first", "lefts", "rights", "held")
+        sums = stored(asked.groupBy("bucket").applyInArrow(_bucket_sums(least), SUMS))
+        counted = sums.filter("unit is null").select("left", "right", "n", "id")
         begin = known.select(F.col("id").alias("left"), "lang", F.col("words").alias("begin"))
         last = known.select(F.col("id").alias("right"), F.element_at("words", -1).alias("last"))
         known = stored(
@@ -205,7 +271,8 @@ def frequent_phrases(docs: DataFrame, longest: int, least: int, text_col: str, l
             .select("lang", F.concat("begin", F.array("last")).alias("words"), "n", "id")
         )
         found.append(known.select("lang", "words", "n"))
-        at = step.select("unit", "at", "numbers")
+        answers = sums.filter("unit is not null").select(F.col("unit").alias("of"), "places", "ids")
+        at = step.filter("bucket is null").select("unit", "at", "numbers")
     return reduce(DataFrame.union, found)
 
 
@@ -361,5 +428,6 @@ def phrases(
     left = scored.filter("not mark").join(F.broadcast(marks), ["lang", "words"], "left_anti")
     named = left.select("lang", F.array_join("words", " ").alias("phrase"), "a", "l", "r", "n", "score")
     order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = named.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
-    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    # the plain comparison lets Spark keep the best of every task before the shuffle
+    ranked = named.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
