@@ -54,7 +54,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from quantis.llm.tokencount import byte_symbols
 from quantis.llm.vocabulary import take_spans
 from quantis.llm.wordbatch import slices, texts, utf8
-from quantis.llm.work import release, stored
+from quantis.llm.work import kept, release, stored
 
 UNIT_BYTES, SLICE_BYTES = 8 << 20, 1 << 20
 #: Products that a block of rows makes at a time.
@@ -164,6 +164,7 @@ class Spelling:
         return take_spans(self.data, self.first[ids], self.first[ids] + self.size[ids])[0]
 
 
+@kept
 @lru_cache(maxsize=4)
 def byte_level(path: str):
     """Encoder and spelling of a byte-level vocabulary (tokenizers)."""
@@ -184,6 +185,7 @@ def byte_level(path: str):
     return encode, spelling
 
 
+@kept
 @lru_cache(maxsize=4)
 def piece_level(path: str):
     """Encoder and spelling of a vocabulary of pieces (sentencepiece)."""

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from quantis.llm.substring import binary_rows, binary_values
 from quantis.llm.units import Unit, units
 from quantis.llm.vocabulary import take_spans
-from quantis.llm.work import bounded_batches, release
+from quantis.llm.work import kept, release
 
 #: Bytes of decoded text in an Arrow batch, about.
 TEXT_BYTES = 16 << 20
@@ -47,6 +47,7 @@ TEXT_BYTES = 16 << 20
 LEAST_BUCKETS, TEXTS_A_BUCKET = 64, 4_000
 
 
+@kept
 @lru_cache(maxsize=4)
 def tokenizer(path: str):
     """The library's tokenizer, one for each worker process."""
@@ -183,7 +184,6 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """``id_col`` and ``ids`` of each document: an array of int, or if
     ``packed`` little-endian unsigned 32-bit integers as binary."""
     check_kind(path)
-    bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     buckets = max(LEAST_BUCKETS, narrow.count() // TEXTS_A_BUCKET)

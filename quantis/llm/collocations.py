@@ -33,7 +33,6 @@ gives an empty result.  Only text and language are read.
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -43,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quantis.llm.vocabulary import runs, take_spans
+from quantis.llm.vocabulary import packed, runs, take_spans, unpacked
 from quantis.llm.wordbatch import LOWER_AZ, PLACE, U64, mix, slices, texts, utf8
 from quantis.llm.work import cut, release, stored
 
@@ -64,16 +63,6 @@ SUMS = "left long, right long, n long, id long, unit string, places binary, ids
 PAIRS_A_BUCKET, LEAST_BUCKETS = 2_000_000, 64
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Unsigned numbers of up to 64 bits as compressed planes of one byte."""
-    raw = values.astype("<u8").view(np.uint8).reshape(-1, 8)
-    return zlib.compress(np.ascontiguousarray(raw.T).tobytes(), 1)
-
-
-def unpacked(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(8, -1).T).view("<i8").ravel()
-
-
 def piece_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Byte ranges of the words of a run of documents, their documents, and
     whether each begins a piece."""

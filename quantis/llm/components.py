@@ -3,8 +3,9 @@
 In a large star every node links its larger neighbours to the least node it
 knows; in a small star its smaller ones.  Both keep connectivity, and the
 edges shrink towards one star for each component.  All steps are grouped
-minima and joins, which combine before the shuffle or can be split, so that a
-node with a third of all edges does not end up in one task.
+minima and joins.  The minima combine before the shuffle; they are written
+before they are joined, so the join deals the edges through an exchange of its
+own, and AQE can split a node that holds a third of them.
 """
 
 from __future__ import annotations
@@ -17,12 +18,12 @@ from quantis.llm.work import cut
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = cut(edges.groupBy("u").agg(F.min("v").alias("m")))
     inner = edges.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return inner.union(least.select("u", F.col("m").alias("v"))).distinct()
 

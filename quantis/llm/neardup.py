@@ -35,13 +35,14 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quantis.llm.components import components
-from quantis.llm.wordbatch import U64, Words, mix, run_hash, sequence_hash, split_words, word_hash
-from quantis.llm.work import bounded_batches, cut, release
+from quantis.llm.wordbatch import U64, Words, distinct, mix, run_hash, sequence_hash, split_words, word_hash
+from quantis.llm.work import bounded_batches, cut, forget, release
 
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
@@ -64,7 +65,7 @@ def sets(w: Words, shingle: int) -> Iterator[np.ndarray]:
     runs = run_hash(h, shingle)
     for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
         if b - a >= shingle:
-            yield np.unique(runs[a : b - shingle + 1])
+            yield distinct(runs[a : b - shingle + 1])
         elif b > a:
             yield sequence_hash(h[a:b])
         else:
@@ -117,6 +118,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def _sign(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for w in split_words(batch.column("text"), lower=True):
                 node, size, sign = [], [], []
@@ -161,19 +163,24 @@ def candidates(nodes: DataFrame) -> DataFrame:
     return cut(members.join(centre, "band").filter("node != centre").select("centre", "node").distinct())
 
 
-def _filter_bit(node, id_):
-    return F.pmod(F.xxhash64(node, id_), F.lit(FILTER_BITS))
+def _filter_bit(id_):
+    return F.pmod(F.xxhash64(id_), F.lit(FILTER_BITS))
 
 
-def _node_texts(shingle: int):
+def _nodes_of(column: pa.Array, shingle: int) -> pa.Array:
+    """Node of each text of a batch."""
+    found = [hashlib.md5(x.tobytes()).digest() if len(x) else None for w in split_words(column, lower=True) for x in sets(w, shingle)]
+    return pa.array(found, pa.binary())
+
+
+def _with_that_set(shingle: int):
+    """Rows whose text has the set that is asked for: an id may stand for
+    several texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for w in split_words(batch.column("text"), lower=True):
-                node = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets(w, shingle)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(w.row, w.n_docs), pa.array(node, pa.binary()), batch.column("text").slice(w.row, w.n_docs)],
-                    names=["id", "node", "text"],
-                )
+            yield batch.filter(pc.equal(_nodes_of(batch.column("text"), shingle), batch.column("node")))
+        release()
 
     return run
 
@@ -181,11 +188,8 @@ def _node_texts(shingle: int):
 def _node_rows(shingle: int, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for w in split_words(batch.column("row").field(text_col), lower=True):
-                node = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets(w, shingle)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").slice(w.row, w.n_docs), pa.array(node, pa.binary())], names=["row", "node"]
-                )
+            node = _nodes_of(batch.column("row").field(text_col), shingle)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), node], names=["row", "node"])
 
     return run
 
@@ -193,24 +197,23 @@ def _node_rows(shingle: int, text_col: str):
 def candidate_texts(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """One text for each wanted node, with its signature.
 
-    A bitmap of fixed size tells most other texts before the shuffle; the join
-    settles the rest."""
-    chosen = cut(nodes.join(wanted, "node", "left_semi").withColumn("bit", _filter_bit("node", "id")))
+    A bitmap of fixed size tells the ids of most other texts before the
+    shuffle; the join by id settles the rest, and only the texts that are left
+    are hashed again."""
+    chosen = cut(nodes.join(wanted, "node", "left_semi").withColumn("bit", _filter_bit("id")))
     bits = chosen.groupBy(F.bitmap_bucket_number("bit").alias("page")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
     )
     # a page of 2**15 bits each: at most FILTER_BITS / 2**15 rows, broadcast as a join side of at most 8 MB
-    kind = texts.schema["id"].dataType.simpleString()
-    named = texts.mapInArrow(_node_texts(shingle), f"id {kind}, node binary, text string").withColumn("bit", _filter_bit("node", "id"))
+    marked = texts.withColumn("bit", _filter_bit("id"))
     page, place = F.bitmap_bucket_number("bit"), F.bitmap_bit_position("bit")
     byte = F.conv(F.hex(F.substring("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     hit = F.expr("shiftright(byte, cast(bitmap_bit_position(bit) % 8 as int)) & 1") == 1
-    likely = (
-        named.withColumn("page", page).join(F.broadcast(bits), "page").withColumn("byte", byte).filter(hit).select("id", "node", "text")
-    )
-    right = chosen.select(F.col("node").alias("n"), F.col("id").alias("i"), "sign")
-    found = likely.join(right, (F.col("node") == F.col("n")) & F.col("id").eqNullSafe(F.col("i")))
-    return cut(found.select("node", "sign", "text"))
+    likely = marked.withColumn("page", page).join(F.broadcast(bits), "page").withColumn("byte", byte).filter(hit).select("id", "text")
+    right = chosen.select("node", F.col("id").alias("i"), "sign")
+    found = likely.join(right, F.col("id").eqNullSafe(F.col("i"))).select("node", "sign", "text")
+    checked = found.mapInArrow(_with_that_set(shingle), "node binary, sign binary, text string")
+    return cut(checked.dropDuplicates(["node"]))
 
 
 class Group:
@@ -265,6 +268,7 @@ def _in_block(shingle: int, percent: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         g = Group(table, shingle)
         label, minor = g.table["label"].to_pylist(), np.array(g.table["minor"].to_pylist(), bool)
+        chunk, apart = g.table["chunk"].to_numpy(), key[1].as_py() != key[2].as_py()
         parent = {x: x for x in label}
 
         def root(x: bytes) -> bytes:
@@ -275,7 +279,9 @@ def _in_block(shingle: int, percent: int):
         links, done = [], np.zeros(len(label), bool)
         for i in np.flatnonzero(minor).tolist():
             done[i] = True
-            for j in g.candidates(i, np.flatnonzero(~done), percent):
+            # a chunk is compared with itself in its own block only
+            others = ~done & (chunk != chunk[i]) if apart else ~done
+            for j in g.candidates(i, np.flatnonzero(others), percent):
                 a, b = root(label[i]), root(label[j])
                 if a != b and similar(g.sets[i], g.sets[j], percent):
                     parent[a] = b
@@ -308,14 +314,14 @@ def part_links(clusters: DataFrame, labels: DataFrame, texts: DataFrame, shingle
         "cluster",
     ).withColumn("minor", F.col("label") != F.col("largest"))
     own = F.pmod(F.xxhash64("node"), F.when(F.col("minor"), F.col("minors")).otherwise(F.col("majors"))).cast("int")
-    rows = rows.withColumn("own", own)
+    rows = rows.withColumn("own", own).withColumn("chunk", F.when(F.col("minor"), own).otherwise(own + F.col("minors")))
     # block (i, j): minor chunk i with minor chunk j >= i, or with major chunk j - minors
     of_minor = F.concat(
         F.transform(F.sequence(F.lit(0), F.col("minors") + F.col("majors") - 1), lambda j: F.struct(F.least("own", j).alias("i"), F.greatest("own", j).alias("j")))
     )
     of_major = F.transform(F.sequence(F.lit(0), F.col("minors") - 1), lambda i: F.struct(i.alias("i"), (F.col("own") + F.col("minors")).alias("j")))
     dealt = rows.withColumn("block", F.explode(F.when(F.col("minor"), of_minor).otherwise(of_major)))
-    ready = dealt.select("cluster", "block.i", "block.j", "node", "label", "minor").join(texts, "node")
+    ready = dealt.select("cluster", "block.i", "block.j", "node", "label", "minor", "chunk").join(texts, "node")
     return ready.groupBy("cluster", "i", "j").applyInArrow(_in_block(shingle, percent), "a binary, b binary")
 
 
@@ -324,7 +330,11 @@ def classes(
 ) -> DataFrame:
     """For each document: ``id_col``, ``n_shingles``, ``component_id`` (the
     least id of its class) and ``node`` (a digest of its set, null if empty)."""
-    bounded_batches(docs.sparkSession)
+    with bounded_batches(docs.sparkSession):
+        return _classes(docs, shingle, percent, id_col, text_col)
+
+
+def _classes(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     signed = cut(texts.mapInArrow(_sign(shingle), f"id {kind}, node binary, n_shingles long, sign binary"))
@@ -362,24 +372,27 @@ def one_of_each(
     # the class's first id with its set; a class of null ids alone is represented by its least set
     named = members.join(first, "class").filter(F.col(id_col).eqNullSafe(F.col("chosen")))
     sized = named.groupBy("class", "node").agg(F.count(F.lit(1)).alias("rows"), F.first("chosen").alias("chosen"))
-    winners = cut(sized.groupBy("class").agg(F.min(F.struct("node", "rows", "chosen")).alias("w")).select("w.*"))
+    winners = sized.groupBy("class").agg(F.min(F.struct("node", "rows", "chosen")).alias("w")).select("w.*")
+    several = found.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col(id_col).alias("repeated"))
+    winners = cut(winners.join(several, F.col("chosen").eqNullSafe(F.col("repeated")), "left").select(
+        "node", "chosen", (F.col("repeated").isNull() & F.col("chosen").isNotNull() & (F.col("rows") == 1)).alias("alone")
+    ))
     return _rows_of(docs, winners, shingle, id_col, text_col)
 
 
 def _rows_of(docs: DataFrame, winners: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """One row of ``docs`` for each (node, chosen) of ``winners``, and all
-    rows with an empty set.  Only winners that several equal rows stand for
-    need grouping."""
+    """One row of ``docs`` for each winner (node, chosen id), and all rows with
+    an empty set.  An id that stands for one row is enough to find it; rows of
+    repeated ids are told apart by their sets."""
     empty_set = ~F.coalesce(F.col(f"`{text_col}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     packed = docs.filter(~empty_set).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    schema = StructType().add(packed.schema["row"]).add("node", "binary")
-    named = packed.mapInArrow(_node_rows(shingle, text_col), schema)
-
-    def rows(which: str) -> DataFrame:
-        chosen = winners.filter(which).select("chosen", F.col("node").alias("set"))
-        return named.join(chosen, (F.col("node") == F.col("set")) & F.col("row")[id_col].eqNullSafe(F.col("chosen")))
-
-    found = rows("rows = 1").select("row")
-    if not winners.filter("rows > 1").isEmpty():
-        found = found.union(rows("rows > 1").groupBy("node").agg(F.first("row").alias("row")).select("row"))
+    alone = winners.filter("alone").select("chosen")
+    found = packed.join(alone, F.col("row")[id_col] == F.col("chosen"), "left_semi")
+    others = winners.filter("not alone").select("chosen", F.col("node").alias("set"))
+    if not others.isEmpty():
+        schema = StructType().add(packed.schema["row"]).add("node", "binary")
+        repeated = packed.join(others.select("chosen").distinct(), F.col("row")[id_col].eqNullSafe(F.col("chosen")), "left_semi")
+        named = repeated.mapInArrow(_node_rows(shingle, text_col), schema)
+        of = (F.col("node") == F.col("set")) & F.col("row")[id_col].eqNullSafe(F.col("chosen"))
+        found = found.union(named.join(others, of).groupBy("node").agg(F.first("row").alias("row")).select("row"))
     return found.select("row.*").union(docs.filter(empty_set))

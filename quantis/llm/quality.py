@@ -15,8 +15,9 @@ way, which stops it from fitting unlabelled texts as negatives.
 
 The model is a logistic regression on piecewise linear functions of shape
 features (no vocabulary, so it costs a few kilobytes).  It is fitted on the
-driver on a bounded sample: the ``sample`` rows of either kind with the least
-hashes of their ids.  Every text is scored.
+driver on a bounded sample of either kind: ids whose hash lies below a
+threshold that lets about ``sample`` of them through, with one text each (that
+of the least hash, where rows share an id).  Every text is scored.
 
 Defined cases: null and empty texts are scored like any other (their features
 are 0); rows with a null id are never learned from; labels that are null,
@@ -35,11 +36,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from quantis.llm.rules import SYMBOLS, class_histogram, doubled, duplicate_lines, per_document
 from quantis.llm.wordbatch import Words, run_hash, split_words, word_hash
-from quantis.llm.work import bounded_batches, release
+from quantis.llm.work import forget, release
 
 #: Rows of either kind that a model is fitted on.
 SAMPLE = 20_000
@@ -169,6 +169,12 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def share_of(count: int, sample: int) -> int:
+    """Threshold (of 2**30) below which about ``sample`` of ``count`` hashes
+    lie, four standard deviations below it rather than above."""
+    return 1 << 30 if count <= sample else int((1 << 30) * max(sample / 2, sample - 4 * sample**0.5) / count)
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE
 ) -> Model:
@@ -179,13 +185,18 @@ def learn(
         F.col("id").isNotNull() & ~held_out(F.col("id"))
     )
     marked = training.select("id").distinct().join(known, "id", "left")
-
-    def least(rows: DataFrame, positive: bool) -> DataFrame:
-        return rows.select("id", F.lit(positive).alias("positive")).orderBy(F.xxhash64("id"), "id").limit(sample)
-
-    chosen = least(marked.filter("low = 1 and high = 1"), True).union(least(marked.filter("low is null"), False))
-    # at most 2 * sample ids of a few bytes each
-    rows = training.join(F.broadcast(chosen), "id").select("positive", "text").mapInArrow(_features, "positive boolean, shape binary")
+    kinds = marked.select("id", F.when(F.col("low").isNull(), False).when((F.col("low") == 1) & (F.col("high") == 1), True).alias("positive"))
+    kinds = kinds.filter("positive is not null")
+    n = {r["positive"]: r["n"] for r in kinds.groupBy("positive").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # ids below a threshold of their hash: no sorting, and the same ids whatever the order of rows
+    share = {kind: share_of(count, sample) for kind, count in n.items()}
+    drawn = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.when(F.col("positive"), share.get(True, 0)).otherwise(share.get(False, 0))
+    chosen = kinds.filter(drawn)
+    # at most 2 * sample ids of a few bytes each, and one text of each
+    rows = (
+        training.join(F.broadcast(chosen), "id").groupBy("id", "positive").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+        .select("positive", "text").mapInArrow(_features, "positive boolean, shape binary")
+    )
     table = rows.toArrow()
     x = np.frombuffer(b"".join(table["shape"].to_pylist()), np.float64).reshape(-1, len(FEATURES))
     # the order of rows must not change the fit
@@ -197,30 +208,25 @@ def learn(
     return fit(x[positive], x[~positive])
 
 
-def _score(model, text_col: str | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text = batch.column("text") if text_col is None else batch.column("row").field(text_col)
-            found = [model.value.score(features(w)) for w in split_words(text)]
-            score = np.concatenate(found) if found else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(score)], names=["row", "score"])
+def _score(model):
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        forget()
+        for column in columns:
+            found = [model.value.score(features(w)) for w in split_words(column)]
+            yield pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
         release()
 
-    return run
+    return F.arrow_udf(run, "double")
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``row`` (a struct of the columns ``keep``, all by default) and
-    ``score`` of every document."""
-    bounded_batches(docs.sparkSession)
+    ``score`` of every document.  Only texts go to Python, and only scores
+    come back."""
     columns = docs.columns if keep is None else keep
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
-    inside = text_col in columns  # then the text travels once
-    if inside:
-        packed = packed.drop("text")
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    schema = StructType().add(packed.schema["row"]).add("score", "double")
-    return packed.mapInArrow(_score(held, text_col if inside else None), schema)
+    score = _score(docs.sparkSession.sparkContext.broadcast(model))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), score(text).alias("score"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:

@@ -1,25 +1,30 @@
 """Language-model scoring by a probabilistic suffix tree (operator 3).
 
 The model writes a text symbol by symbol: the bytes of its words (A-Z in
-lower case), one space between words, and an end.  Frequent bytes are symbols
-of their own, the rest share one (with equal chances inside it).
-
-* Counting: every task counts the runs of ``DEPTH`` context symbols and the
-  next one over all training texts; Spark sums them, and the counts of shorter
-  contexts follow from those of longer ones.
-* Retention: a context stays a candidate if it occurs at least ``LEAST``
+lower case), one space between words, and an end.  Every byte is a symbol.
+
+* Counting: a *unit* (texts of one task, about 8 MB) sorts its runs of ``depth``
+  context symbols and the next one.  The symbol is written first and its
+  context newest first, so one sort orders the runs of every depth.  Each depth's
+  distinct runs, with their counts in training texts, go to buckets by a hash of
+  the context, as sorted and compressed lists, and the buckets add them up.  A
+  context's load is one entry for each of its next symbols from each unit, and
+  contexts are spread evenly however frequent their newest symbols are.
+* Retention: a context stays a candidate if it occurs at least ``least``
   times, whatever the size of the corpus, so the tree grows with the input.
   It becomes a state if its next-symbol distribution diverges from that of
   the context without the oldest symbol by more code length, summed over its
-  occurrences, than describing it takes: n * KL > (m - 1) / 2 * log2(n) for m
-  next symbols.  States bring their shorter contexts along.
+  occurrences, than describing it takes: n * KL > (m - 1) / 2 * log2(n) + 1 for
+  m next symbols.  States bring their shorter contexts along.
 * Smoothing: a state's distribution is mixed with its shorter context's by
   Witten-Bell weights, down to the root, which is mixed with equal chances.
+  Only symbols that were seen after a state have rows; others fall back to the
+  shorter context by its weight.
 * Scoring: the longest state that is a suffix of what was written gives the
-  next symbol's chance.  The states stay a table: those of up to ``NEAR - 1``
-  symbols (a few thousand at most) are broadcast, longer ones are dealt over
-  buckets by their newest ``NEAR`` symbols.  A unit of texts sends its distinct
-  runs to their buckets, gets a chance for each, and adds them up by text.
+  next symbol's chance.  The states meet the units' lists in the same buckets,
+  which answer each unit with a chance or a weight for its runs; states of up
+  to ``NEAR`` symbols (at most 257) are broadcast.  The unit's texts are added up
+  from these answers.
 
 The unigram base needs every word's count, which no task could hold.  Texts
 are taken in units; a unit sends each distinct word, with its training count
@@ -35,8 +40,8 @@ scores; an empty table gives an empty result.  Only id and text are read.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -44,22 +49,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from quantis.llm.substring import joined
 from quantis.llm.units import digest, named, units
-from quantis.llm.wordbatch import Words, split_words
-from quantis.llm.work import bounded_batches, cut, release
-
-DEPTH, LEAST, NEAR = 6, 10, 3
-BITS = 6
-SHIFT = 56  # of the depth above a context of at most 9 symbols
-SYMBOLS = 1 << BITS
-OTHER = SYMBOLS - 1  # 0 is the end, and what stands before a text
-#: Bytes that can occur in normalised texts: all but five white-space ones.
-BYTES = 256 - 5
-#: Distinct runs that a task gathers before it hands them on.
-FLUSH = 2_000_000
+from quantis.llm.vocabulary import packed, runs, unpacked
+from quantis.llm.wordbatch import PLACE, U64, Words, distinct, mix
+from quantis.llm.work import bounded_batches, cut, release, stored
+
+DEPTH, LEAST = 6, 10
+#: Longest contexts whose states every worker holds: at most 257 of them, with 256 next symbols each.
+NEAR = 1
+SYMBOLS = 256
+#: Ends a text, and stands before it: a line feed is no part of any word.
+END = 0x0A
 LEAST_BUCKETS, TEXTS_A_BUCKET = 64, 4_000
 
 
@@ -68,274 +70,292 @@ def held_out(id_: Column, folds: int = 10) -> Column:
     return F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % folds == 0
 
 
-def written(w: Words, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of all texts, each behind ``DEPTH`` zeros and with its end, the
-    places to be predicted, and the range of these for each text."""
-    data, off = joined(w, np.ones(len(w.start), bool))
+def text_runs(data: np.ndarray, off: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The run of each place of texts given as bytes and offsets, and the range
+    of places of each text (its symbols and its end).
+
+    A run is a number of ``depth + 1`` bytes: the symbol at the place in the
+    highest one, then its context, newest first.  So sorted runs are sorted
+    at every depth, and shifting bytes out shortens the context."""
     n = np.diff(off)
-    size = n + DEPTH + 1
+    size = n + depth + 1
     first = np.concatenate([[0], np.cumsum(size)])
-    out = np.zeros(first[-1], np.int64)
-    out[np.arange(len(data)) + np.repeat(first[:-1] + DEPTH - off[:-1], n)] = symbol[data]
-    places = np.ones(first[-1], bool)
-    for k in range(DEPTH):
-        places[first[:-1] + k] = False
-    return out, np.flatnonzero(places), np.concatenate([[0], np.cumsum(n + 1)])
-
+    s = np.full(first[-1], END, np.int64)
+    s[np.arange(len(data)) + np.repeat(first[:-1] + depth - off[:-1], n)] = data
+    places = np.concatenate([[0], np.cumsum(n + 1)])
+    at = np.arange(places[-1]) + np.repeat(depth * np.arange(1, len(n) + 1), n + 1)
+    run = s[at]
+    for k in range(1, depth + 1):
+        run = (run << 8) | s[at - k]
+    return run, places
 
-def chosen_texts(batch: pa.RecordBatch) -> pa.Array:
-    return batch.column("text").filter(batch.column("train"))
 
-
-def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    count = np.zeros(256, np.int64)
-    for batch in batches:
-        for w in split_words(chosen_texts(batch), lower=True):
-            count += np.bincount(joined(w, np.ones(len(w.start), bool))[0], minlength=256)
-    used = np.flatnonzero(count)
-    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(count[used], pa.int64())], names=["byte", "n"])
+def body(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Words of each text, joined by one space."""
+    return joined(w, np.ones(len(w.start), bool))
 
 
-def alphabet(texts: DataFrame) -> np.ndarray:
-    """Symbol of each byte: the most frequent ones get their own."""
-    rows = texts.mapInArrow(_histogram, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
-    top = sorted(rows, key=lambda r: (-r["n"], r["byte"]))[: SYMBOLS - 2]
-    symbol = np.full(256, OTHER, np.int64)
-    for i, r in enumerate(top):
-        symbol[r["byte"]] = i + 1
-    return symbol
+def context_of(run: np.ndarray, k: int) -> np.ndarray:
+    return run & ((1 << (8 * k)) - 1)
 
 
-def _runs(symbol: np.ndarray):
-    """Counts of the task's runs of context and next symbol, the next one in
-    the lowest bits and older ones above newer ones."""
+def bucket_of(run: np.ndarray, k: int, buckets: int) -> np.ndarray:
+    """Bucket of runs of depth ``k``: by the whole context, or by the run where
+    every worker holds the states."""
+    key = run if k <= NEAR else context_of(run, k)
+    return (mix(key.astype(U64) * U64(PLACE) + U64(k + 1)) % U64(buckets)).astype(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, counts, held = [], [], 0
 
-        def summed() -> tuple[np.ndarray, np.ndarray]:
-            u, where = np.unique(np.concatenate(codes), return_inverse=True)
-            return u, np.bincount(where, weights=np.concatenate(counts)).astype(np.int64)
+class Levels:
+    """Distinct runs of a unit at every depth, and how its messages list them:
+    by bucket, then by run."""
 
-        def rows(u: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for a in range(0, len(u), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(u[a : a + 100_000]), pa.array(n[a : a + 100_000])], names=["run", "n"])
+    def __init__(self, whole: np.ndarray, depth: int, buckets: int):
+        self.run: list[np.ndarray] = []
+        self.new: list[np.ndarray] = []  # first of the whole runs that each stands for
+        self.order: list[np.ndarray] = []
+        self.bucket: list[np.ndarray] = []
+        for k in range(depth + 1):
+            short = whole >> (8 * (depth - k))
+            new = np.flatnonzero(np.concatenate([[True], short[1:] != short[:-1]])) if len(short) else np.zeros(0, np.int64)
+            self.run.append(short[new])
+            self.new.append(new)
+            bucket = bucket_of(short[new], k, buckets)
+            order = np.argsort(bucket, kind="stable")
+            self.order.append(order)
+            self.bucket.append(bucket[order])
 
-        for batch in batches:
-            for w in split_words(chosen_texts(batch), lower=True):
-                u, n = np.unique(runs_of(w, symbol)[0], return_counts=True)
-                codes.append(u)
-                counts.append(n)
-                held += len(u)
-                if held > 2 * FLUSH:
-                    u, n = summed()
-                    codes, counts, held = [u], [n], len(u)
-                    if held > FLUSH:
-                        yield from rows(u, n)
-                        codes, counts, held = [], [], 0
-        if codes:
-            yield from rows(*summed())
-        codes, counts = [], []
-        release()
 
-    return run
+def counted(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct sorted codes with the sums of their counts."""
+    new = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    return code[new], np.add.reduceat(n, new)
 
 
-def frequent(texts: DataFrame, symbol: np.ndarray) -> list[DataFrame]:
-    """For each context length: run, n, context and its total, of the contexts
-    that occur at least ``LEAST`` times."""
-    runs = texts.mapInArrow(_runs(symbol), "run long, n long")
-    level = cut(runs.groupBy("run").agg(F.sum("n").alias("n")))
-    found: list[DataFrame] = []
-    for k in range(DEPTH, -1, -1):
-        if k < DEPTH:
-            shorter = F.col("run").bitwiseAND((1 << (BITS * (k + 1))) - 1)
-            level = cut(level.groupBy(shorter.alias("run")).agg(F.sum("n").alias("n")))
-        context = F.shiftrightunsigned("run", BITS)
-        total = F.sum("n").over(W.partitionBy("context"))  # one row for each next symbol
-        named = level.withColumn("context", context).withColumn("total", total)
-        found.insert(0, cut(named.filter(F.col("total") >= (LEAST if k else 0)).select("run", "n", "context", "total")))
-    return found
+MESSAGE = "depth int, bucket int, unit binary, runs binary, learned binary"
 
 
-def states(texts: DataFrame, symbol: np.ndarray) -> DataFrame:
-    """Next-symbol counts of the retained contexts: depth, context, next, n."""
-    shares = frequent(texts, symbol)
-    kept = []
-    for k in range(1, DEPTH + 1):
-        expected = shares[k - 1].select(F.col("run").alias("short"), (F.col("n") / F.col("total")).alias("expected"))
-        both = shares[k].withColumn("short", F.col("run").bitwiseAND((1 << (BITS * k)) - 1)).join(expected, "short")
-        gain = both.groupBy("context").agg(
-            F.sum(F.col("n") * F.log2(F.col("n") / F.col("total") / F.col("expected"))).alias("gain"),
-            F.count(F.lit(1)).alias("m"), F.first("total").alias("total"),
-        )
-        far = cut(gain.filter(F.col("gain") > (F.col("m") - 1) / 2 * F.log2("total") + 1).select("context"))
-        for j in range(1, k + 1):  # a state and its shorter contexts
-            kept.append(far.select(F.lit(j).alias("depth"), F.col("context").bitwiseAND((1 << (BITS * j)) - 1).alias("context")))
-    retained = reduce(DataFrame.union, kept).distinct()
-    counts = reduce(DataFrame.union, [t.select(F.lit(k).alias("depth"), "context", "run", "n") for k, t in enumerate(shares)])
-    chosen = counts.filter("depth > 0").join(retained, ["depth", "context"], "left_semi").union(counts.filter("depth = 0"))
-    return chosen.select("depth", "context", F.col("run").bitwiseAND(SYMBOLS - 1).alias("next"), "n")
-
-
-@dataclass
-class Tree:
-    """States as rows: ``child`` leads to the state with one older symbol (-1:
-    none), ``score`` holds the log10 chance of each next symbol."""
-
-    symbol: np.ndarray
-    child: np.ndarray
-    score: np.ndarray
-    other: float  # log10 chance of one byte among those that share a symbol
-
-
-def grown(table: pa.Table, symbol: np.ndarray) -> Tree:
-    """Tree of retained contexts with their shorter ones, longest last."""
-    depth, context, after, n = (table[c].to_numpy().astype(np.int64) for c in ("depth", "context", "next", "n"))
-    key = (depth << SHIFT) + context
-    names, where = np.unique(key, return_inverse=True)
-    if not len(names) or names[0] != 0:
-        names, where = np.concatenate([[0], names]), where + 1
-    counts = np.zeros((len(names), SYMBOLS))
-    np.add.at(counts, (where, after), n)
-    child = np.full((len(names), SYMBOLS), -1, np.int32)
-    chance = np.empty((len(names), SYMBOLS))
-    chance[0] = (counts[0] + 0.5) / (counts[0].sum() + 0.5 * SYMBOLS)
-    total, kinds = counts.sum(axis=1), (counts > 0).sum(axis=1)
-    lengths = names >> SHIFT
-    for d in range(1, DEPTH + 1):
-        i = np.flatnonzero(lengths == d)
-        c = names[i] & ((1 << SHIFT) - 1)
-        oldest, rest = c >> (BITS * (d - 1)), c & ((1 << (BITS * (d - 1))) - 1)
-        parent = np.searchsorted(names, ((d - 1) << SHIFT) + rest)
-        child[parent, oldest] = i
-        chance[i] = (counts[i] + kinds[i, None] * chance[parent]) / (total[i] + kinds[i])[:, None]
-    others = max(1, BYTES - int((symbol != OTHER).sum()))
-    del counts, where
-    return Tree(symbol, child, np.log10(chance, out=chance).astype(np.float32), -math.log10(others))
-
-
-def chances(runs: np.ndarray, tree: Tree) -> np.ndarray:
-    """Log10 chance of the last symbol of each run."""
-    state = np.zeros(len(runs), np.int32)
-    active = np.arange(len(runs))
-    for k in range(1, DEPTH + 1):
-        step = tree.child[state[active], (runs[active] >> (BITS * k)) & (SYMBOLS - 1)]
-        active = active[step >= 0]
-        state[active] = step[step >= 0]
-    after = runs & (SYMBOLS - 1)
-    return tree.score[state, after] + np.where(after == OTHER, np.float32(tree.other), np.float32(0))
-
-
-#: Mixes the newest symbols of a context; products stay below 2 ** 52.
-MIX = 2_654_435_761
-
-
-def bucket_of(context: np.ndarray, buckets: int) -> np.ndarray:
-    return (((context & ((1 << (BITS * NEAR)) - 1)) * MIX) >> 9) % buckets
-
-
-def bucket_column(context: Column, buckets: int) -> Column:
-    return F.pmod(F.shiftright(context.bitwiseAND((1 << (BITS * NEAR)) - 1) * F.lit(MIX), 9), F.lit(buckets)).cast("int")
-
-
-def runs_of(w: Words, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The run of each place, and the range of these for each text."""
-    s, at, first = written(w, symbol)
-    return sum(s[at - k] << (BITS * k) for k in range(DEPTH + 1)), first
-
-
-def _asked_runs(buckets: int, symbol: np.ndarray):
-    """The distinct runs of each unit, by bucket."""
+def _messages(depth: int, buckets: int):
+    """A unit's distinct runs of every depth with their training counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for place, slices in named(batches, lower=True):
-            name = place + digest(slices)
-            runs = np.unique(np.concatenate([np.unique(runs_of(w, symbol)[0]) for _, w in slices]))
-            b = bucket_of(runs >> BITS, buckets)
-            order = np.argsort(b, kind="stable")
-            at = np.flatnonzero(np.concatenate([[True], np.diff(b[order]) != 0, [True]])) if len(b) else np.zeros(1, int)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "bucket": pa.array(b[order][at[:-1]], pa.int32()), "unit": pa.array([name] * (len(at) - 1), pa.binary()),
-                    "runs": pa.array([runs[order[x:y]].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary()),
-                }
+        for place, held in named(batches, lower=True):
+            parts = []
+            for batch, w in held:
+                code, first = text_runs(*body(w), depth)
+                train = batch.column("train").slice(w.row, w.n_docs).to_numpy(zero_copy_only=False)
+                key = np.sort((code << 1) | np.repeat(train.astype(np.int64), np.diff(first)))
+                parts.append(counted(key >> 1, key & 1))
+            code, learned = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(code, kind="stable")
+            code, learned = counted(code[order], learned[order])
+            levels = Levels(code, depth, buckets)
+            name, rows = place + digest(held), []
+            for k in range(depth + 1):
+                count, order = np.add.reduceat(learned, levels.new[k])[levels.order[k]], levels.order[k]
+                code = levels.run[k][order]
+                for a, b in runs(levels.bucket[k]):
+                    rows.append((k, int(levels.bucket[k][a]), name, packed(np.diff(code[a:b], prepend=0)), packed(count[a:b])))
+            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
+                names=["depth", "bucket", "unit", "runs", "learned"],
             )
             release()
 
     return run
 
 
-def _answered(symbol: np.ndarray, shallow):
-    """Chances of a bucket's runs, by its states and the short ones."""
-    schema = pa.schema([("unit", pa.binary()), ("bucket", pa.int32()), ("values", pa.binary())])
+def _totals(least: int):
+    """Training counts of a bucket's runs, with those of their contexts; of
+    contexts that occur at least ``least`` times, where they are whole here."""
+    schema = pa.schema([("depth", pa.int32()), ("run", pa.int64()), ("n", pa.int64()), ("total", pa.int64())])
 
-    def run(asked: pa.Table, deep: pa.Table) -> pa.Table:
-        if not asked.num_rows:
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        k = key[0].as_py()
+        code = np.concatenate([np.cumsum(unpacked(x)) for x in table["runs"].to_pylist()])
+        n = np.concatenate([unpacked(x) for x in table["learned"].to_pylist()])
+        code, n = code[n > 0], n[n > 0]
+        if not len(code):
             return schema.empty_table()
-        parts = [t.select(["depth", "context", "next", "n"]).cast(STATE) for t in (shallow.value, deep) if t.num_rows]
-        tree = grown(pa.concat_tables(parts) if parts else STATE.empty_table(), symbol)
-        values = [chances(np.frombuffer(r, "<i8"), tree).astype("<f4").tobytes() for r in asked["runs"].to_pylist()]
-        del tree, parts
-        release()
-        return pa.table([asked["unit"], asked["bucket"], pa.array(values, pa.binary())], schema=schema)
+        order = np.argsort(code)
+        code, n = counted(code[order], n[order])
+        total = pa.nulls(len(code), pa.int64())
+        if k > NEAR:
+            _, where = np.unique(context_of(code, k), return_inverse=True)
+            sums = np.bincount(where, weights=n).astype(np.int64)[where]
+            code, n, total = code[sums >= least], n[sums >= least], pa.array(sums[sums >= least])
+        return pa.table([pa.array(np.full(len(code), k), pa.int32()), pa.array(code), pa.array(n), total], schema=schema)
 
     return run
 
 
-STATE = pa.schema([("depth", pa.int32()), ("context", pa.int64()), ("next", pa.int64()), ("n", pa.int64())])
+def context_column(k: int) -> Column:
+    return F.col("run").bitwiseAND(F.lit((1 << (8 * k)) - 1))
 
 
-def _laid_out(symbol: np.ndarray):
-    """Symbols of each text with the name of its unit."""
+def frequent(messages: DataFrame, depth: int, least: int) -> list[DataFrame]:
+    """For each context length: run, n, context and its total, of the contexts
+    that occur at least ``least`` times (the empty one always)."""
+    sums = stored(
+        messages.groupBy("depth", "bucket").applyInArrow(_totals(least), "depth int, run long, n long, total long")
+    )
+    found = []
+    for k in range(depth + 1):
+        level = sums.filter(F.col("depth") == k).withColumn("context", context_column(k)).select("run", "n", "context", "total")
+        if k <= NEAR:  # at most 256 contexts
+            totals = level.groupBy("context").agg(F.sum("n").alias("all"))
+            level = level.join(F.broadcast(totals), "context").filter(F.col("all") >= (least if k else 0))
+            level = level.select("run", "n", "context", F.col("all").alias("total"))
+        found.append(level)
+    return found
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for begin, slices in named(batches, lower=True):
-            name, place = begin + digest(slices), 0
-            for batch, w in slices:
-                data, off = joined(w, np.ones(len(w.start), bool))
-                body = symbol[data].astype(np.uint8)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([name] * w.n_docs, pa.binary()), pa.array(np.arange(place, place + w.n_docs), pa.int32()),
-                        batch.column("id").slice(w.row, w.n_docs), pa.array(np.diff(w.first), pa.int64()),
-                        pa.array([body[a:b].tobytes() for a, b in zip(off[:-1], off[1:], strict=True)], pa.binary()),
-                    ],
-                    names=["unit", "place", "id", "words", "body"],
-                )
-                place += w.n_docs
-            release()
 
-    return run
+def states(shares: list[DataFrame]) -> DataFrame:
+    """Depth and context of the retained contexts."""
+    kept = []
+    for k in range(1, len(shares)):
+        expected = shares[k - 1].select(F.col("run").alias("short"), (F.col("n") / F.col("total")).alias("expected"))
+        both = shares[k].withColumn("short", F.shiftright("run", 8)).join(expected, "short")
+        gain = both.groupBy("context").agg(
+            F.sum(F.col("n") * F.log2(F.col("n") / F.col("total") / F.col("expected"))).alias("gain"),
+            F.count(F.lit(1)).alias("m"), F.first("total").alias("total"),
+        )
+        far = gain.filter(F.col("gain") > (F.col("m") - 1) / 2 * F.log2("total") + 1).select(F.lit(k).alias("depth"), "context")
+        kept.append(far)
+    far = stored(reduce(DataFrame.union, kept))
+    # a state and its shorter contexts
+    each = F.explode(F.sequence(F.lit(0), F.col("depth") - 1)).alias("less")
+    shorter = far.select("depth", "context", each).select(
+        (F.col("depth") - F.col("less")).alias("depth"), F.expr("shiftright(context, 8 * less)").alias("context")
+    )
+    return stored(shorter.distinct())
+
+
+#: A state's next symbol: log10 chance of the run, and log10 weight of the shorter context's chances.
+MODEL = "depth int, bucket int, run long, seen double, back double"
+
+
+def model(shares: list[DataFrame], retained: DataFrame, buckets: int) -> DataFrame:
+    """Smoothed chances of the symbols seen after each state."""
+    total = F.col("total") + 0.5 * SYMBOLS
+    level = shares[0].select("run", ((F.col("n") + 0.5) / total).alias("p"))
+    parts = [level.select(F.lit(0).alias("depth"), "run", F.log10("p").alias("seen"), F.lit(0.0).alias("back"))]
+    for k in range(1, len(shares)):
+        mine = retained.filter(F.col("depth") == k).select("context")
+        rows = shares[k].join(mine, "context", "left_semi")
+        kinds = rows.groupBy("context").agg(F.count(F.lit(1)).alias("m"))
+        short = level.select(F.col("run").alias("short"), F.col("p").alias("before"))
+        whole = F.col("total") + F.col("m")
+        level = stored(
+            rows.join(kinds, "context").withColumn("short", F.shiftright("run", 8)).join(short, "short")
+            .select("run", ((F.col("n") + F.col("m") * F.col("before")) / whole).alias("p"), (F.col("m") / whole).alias("weight"))
+        )
+        parts.append(level.select(F.lit(k).alias("depth"), "run", F.log10("p").alias("seen"), F.log10("weight").alias("back")))
+    return reduce(DataFrame.union, parts)
+
+
+def coded(asked: np.ndarray, k: int, run: np.ndarray, seen: np.ndarray, back: np.ndarray) -> np.ndarray:
+    """For each asked run: its log10 chance (negative) if it was seen after a
+    state; the negated weight of the shorter context (positive) if its context
+    is a state after which it was not seen; 0 if its context is no state."""
+    if not len(run):
+        return np.zeros(len(asked))
+    order = np.argsort(run)
+    run, seen, back = run[order], seen[order], back[order]
+    context, first = np.unique(context_of(run, k), return_index=True)
+    mine = context_of(asked, k)
+    at = np.minimum(np.searchsorted(context, mine), len(context) - 1)
+    out = np.where(context[at] == mine, -back[first[at]], 0.0)
+    hit = np.minimum(np.searchsorted(run, asked), len(run) - 1)
+    return np.where(run[hit] == asked, seen[hit], out)
+
+
+ANSWER = "unit binary, depth int, bucket int, n int, values binary"
+
+
+def _answers(asked: pa.Table, table: pa.Table) -> pa.Table:
+    """Values of a bucket's runs, for the units that hold any of its states."""
+    schema = pa.schema([("unit", pa.binary()), ("depth", pa.int32()), ("bucket", pa.int32()), ("n", pa.int32()), ("values", pa.binary())])
+    if not len(asked) or not len(table):
+        return schema.empty_table()
+    k, bucket = asked["depth"][0].as_py(), asked["bucket"][0].as_py()
+    codes = [np.cumsum(unpacked(x)) for x in asked["runs"].to_pylist()]
+    ends = np.cumsum([0] + [len(c) for c in codes])
+    value = coded(np.concatenate(codes), k, *(table[c].to_numpy() for c in ("run", "seen", "back"))).astype("<f4")
+    rows = [
+        (unit, k, bucket, b - a, zlib.compress(value[a:b].tobytes(), 1))
+        for unit, a, b in zip(asked["unit"].to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True) if value[a:b].any()
+    ]
+    release()
+    return pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=schema)
+
+
+def _laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes of each text with the name of its unit."""
+    for begin, held in named(batches, lower=True):
+        name, place = begin + digest(held), 0
+        for batch, w in held:
+            data, off = body(w)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([name] * w.n_docs, pa.binary()), pa.array(np.arange(place, place + w.n_docs), pa.int32()),
+                    batch.column("id").slice(w.row, w.n_docs), pa.array(np.diff(w.first), pa.int64()),
+                    pa.array([data[a:b].tobytes() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)], pa.binary()),
+                ],
+                names=["unit", "place", "id", "words", "body"],
+            )
+            place += w.n_docs
+        release()
 
 
-def _summed(buckets: int):
+def values_of(whole: np.ndarray, answers: pa.Table, depth: int, buckets: int, near: list[tuple], unseen: float) -> np.ndarray:
+    """Log10 chance of the symbol of each distinct run of a unit."""
+    levels = Levels(whole, depth, buckets)
+    held: dict[tuple[int, int], tuple[int, bytes]] = {
+        (r["depth"], r["bucket"]): (r["n"], r["values"]) for r in answers.to_pylist()
+    }
+    value, back = np.full(len(whole), np.nan), np.zeros(len(whole))
+    for k in range(depth, -1, -1):
+        if k <= NEAR:
+            got = coded(levels.run[k], k, *near[k])
+            if not k:  # the root knows all symbols
+                got = np.where(got < 0, got, unseen)
+        else:
+            listed = np.zeros(len(levels.run[k]))
+            for a, b in runs(levels.bucket[k]):
+                n, raw = held.get((k, int(levels.bucket[k][a])), (b - a, None))
+                if n != b - a:
+                    raise RuntimeError("the texts were not the same when read again; write them to a table before scoring")
+                if raw is not None:
+                    listed[a:b] = np.frombuffer(zlib.decompress(raw), "<f4")
+            got = np.empty(len(listed))
+            got[levels.order[k]] = listed
+        mine = np.repeat(got, np.diff(np.append(levels.new[k], len(whole))))
+        open_ = np.isnan(value)
+        value = np.where(open_ & (mine < 0), back + mine, value)
+        back = np.where(open_ & (mine > 0), back - mine, back)
+    return value
+
+
+def _summed(depth: int, buckets: int, near):
     """Log10 chance of each text of a unit, from those of its runs."""
 
     def run(laid: pa.Table, answers: pa.Table) -> pa.Table:
-        size = np.diff(np.concatenate([[0], np.cumsum(pc.binary_length(laid["body"]).to_numpy())])) + 1
+        size = pc.binary_length(laid["body"]).to_numpy().astype(np.int64)
         ends = np.cumsum(size)
         cuts = np.unique(np.concatenate([[0], np.searchsorted(ends, np.arange(1 << 20, int(ends[-1]) if len(ends) else 0, 1 << 20)), [len(size)]]))
         held = []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            pad, end = bytes(DEPTH), b"\0"
-            s = np.frombuffer(b"".join(pad + x + end for x in laid["body"].slice(a, b - a).to_pylist()), np.uint8).astype(np.int64)
-            n = size[a:b]
-            at = np.arange(int(n.sum())) + np.repeat(DEPTH * np.arange(1, b - a + 1), n)
-            held.append((np.unique(sum(s[at - k] << (BITS * k) for k in range(DEPTH + 1)), return_inverse=True), n))
-        runs = np.unique(np.concatenate([u for (u, _), _ in held])) if held else np.zeros(0, np.int64)
-        order = np.argsort(bucket_of(runs >> BITS, buckets), kind="stable")
-        answers = answers.sort_by("bucket")
-        found = np.frombuffer(b"".join(answers["values"].to_pylist()), "<f4")
-        if held and len(found) != len(runs):
-            raise ValueError("the texts changed between two reads")
-        value = np.empty(len(runs))
-        if held:
-            value[order] = found
+            data = np.frombuffer(b"".join(laid["body"].slice(a, b - a).to_pylist()), np.uint8)
+            code, first = text_runs(data, np.concatenate([[0], np.cumsum(size[a:b])]), depth)
+            held.append((*np.unique(code, return_inverse=True), first))
         parts = []
-        for (u, where), n in held:
-            mine = value[np.searchsorted(runs, u)][where]
-            parts.append(np.add.reduceat(mine, np.concatenate([[0], np.cumsum(n)[:-1]])))
+        if held:
+            whole = distinct(np.concatenate([u for u, _, _ in held]))
+            value = values_of(whole, answers, depth, buckets, *near.value)
+            for u, where, first in held:
+                parts.append(np.add.reduceat(value[np.searchsorted(whole, u)][where], first[:-1]))
         del held
         release()
         score = pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
@@ -421,29 +441,60 @@ def _added(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Ite
     )
 
 
-def score(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(
+    docs: DataFrame, folds: int = 10, depth: int = DEPTH, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """For each document: ``id_col``, ``held_out``, ``n_tokens``, ``n_known``,
     ``train_tokens``, ``base_score`` and ``score``, the last two log10."""
+    if not NEAR < depth <= 6:
+        raise ValueError(f"{NEAR} < depth <= 6 is needed")
+    with bounded_batches(docs.sparkSession):
+        return _score(docs, folds, depth, least, id_col, text_col)
+
+
+def chances(texts: DataFrame, depth: int, least: int, buckets: int) -> tuple[DataFrame, tuple]:
+    """Answers to all units, and what every worker knows: the states of the
+    shortest contexts and the root's chance of a symbol that it never saw."""
+    messages = stored(texts.select("text", "train").mapInArrow(_messages(depth, buckets), MESSAGE))
+    shares = frequent(messages, depth, least)
+    rows = stored(model(shares, states(shares), buckets))
+    near = rows.filter(F.col("depth") <= NEAR).toPandas()
+    parts = [near[near["depth"] == k].sort_values("run") for k in range(NEAR + 1)]
+    known = [tuple(p[c].to_numpy() for c in ("run", "seen", "back")) for p in parts]
+    places = shares[0].agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    unseen = math.log10(0.5 / (places + 0.5 * SYMBOLS))
+    asked = messages.filter(F.col("depth") > NEAR)
+    deep = rows.filter(F.col("depth") > NEAR).mapInArrow(_with_bucket(buckets), MODEL)
+    answers = asked.groupBy("depth", "bucket").cogroup(deep.groupBy("depth", "bucket")).applyInArrow(_answers, ANSWER)
+    return answers, (known, unseen)
+
+
+def _with_bucket(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            depth, code = batch.column("depth").to_numpy(), batch.column("run").to_numpy()
+            bucket = np.zeros(len(code), np.int64)
+            for k in np.unique(depth).tolist():
+                bucket[depth == k] = bucket_of(code[depth == k], k, buckets)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("depth"), pa.array(bucket, pa.int32()), *batch.columns[1:]], names=["depth", "bucket", "run", "seen", "back"]
+            )
+
+    return run
+
+
+def _score(docs: DataFrame, folds: int, depth: int, least: int, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
-    bounded_batches(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (~held_out(F.col(id_col), folds)).alias("train"))
     n, trained = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("train").cast("long")), F.lit(0))).first()
     buckets = max(LEAST_BUCKETS, n // TEXTS_A_BUCKET)
-    read = texts.select("text", "train")
-    symbol = alphabet(read)
-    found = cut(states(read, symbol))
-    shallow = spark.sparkContext.broadcast(found.filter(F.col("depth") < NEAR).toArrow())
-    deep = found.filter(F.col("depth") >= NEAR).withColumn("bucket", bucket_column(F.col("context"), buckets))
-    runs = read.select("text").mapInArrow(_asked_runs(buckets, symbol), "bucket int, unit binary, runs binary")
-    chance = (
-        runs.groupBy("bucket").cogroup(deep.groupBy("bucket"))
-        .applyInArrow(_answered(symbol, shallow), "unit binary, bucket int, values binary")
-    )
-    asked = read.mapInArrow(
+    chance, near = chances(texts, depth, least, buckets)
+    known = spark.sparkContext.broadcast(near)
+    asked = texts.select("text", "train").mapInArrow(
         _occurrences(buckets), "bucket int, unit binary, texts int, words binary, learned binary, times binary, docs binary"
     )
-    answers = cut(
+    answers = stored(
         asked.groupBy("bucket").applyInArrow(_sums, "unit binary, places binary, base binary, known binary, tokens long, kinds long")
     )
     tokens, kinds = answers.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
@@ -452,10 +503,10 @@ def score(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", text_col: st
         answers.filter("unit is not null").select("unit", "places", "base", "known").groupBy("unit")
         .applyInArrow(_added, "unit binary, place int, base double, known long")
     )
-    laid = texts.select("id", "text").mapInArrow(_laid_out(symbol), f"unit binary, place int, id {kind}, words long, body binary")
+    laid = texts.select("id", "text").mapInArrow(_laid_out, f"unit binary, place int, id {kind}, words long, body binary")
     scored = (
         laid.groupBy("unit").cogroup(chance.groupBy("unit"))
-        .applyInArrow(_summed(buckets), f"unit binary, place int, id {kind}, words long, score double")
+        .applyInArrow(_summed(depth, buckets, known), f"unit binary, place int, id {kind}, words long, score double")
     )
     both = scored.join(per_text, ["unit", "place"], "left")
     # a text with words must have found its sums again

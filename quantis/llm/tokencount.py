@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantis.llm.wordbatch import texts, utf8
+from quantis.llm.work import kept
 
 # The pre-split of byte-level BPE tokenizers.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -137,6 +138,7 @@ class Merges:
         return total + self.count_plain(text[at:] if at else text)
 
 
+@kept
 @lru_cache(maxsize=4)
 def merges(path: str) -> Merges:
     """One table for each worker process and tokenizer file."""

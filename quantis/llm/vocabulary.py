@@ -7,6 +7,7 @@ so that a word of a third of all tokens costs one entry a task.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,16 @@ def take_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
     return data[np.repeat(start - first[:-1], size) + np.arange(first[-1])], first
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned numbers of up to 64 bits as compressed planes of one byte."""
+    raw = values.astype("<u8").view(np.uint8).reshape(-1, 8)
+    return zlib.compress(np.ascontiguousarray(raw.T).tobytes(), 1)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
 class Vocabulary:
     """Distinct words of the slices added so far."""
 
@@ -102,4 +113,4 @@ def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return u, total
 
 
-__all__ = ["Vocabulary", "runs", "summed", "take_spans", "word_hash"]
+__all__ = ["Vocabulary", "packed", "runs", "summed", "take_spans", "unpacked", "word_hash"]

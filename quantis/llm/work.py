@@ -3,42 +3,58 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from quantis.session import ensure_checkpoint_dir
+
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder, from ``spark.checkpoint.dir``.
-
-    Only a local master without that setting (tests) gets a scratch folder;
-    a cluster without it is an error, because executors could not share one.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return sc.getCheckpointDir()
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d is None:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        d = tempfile.mkdtemp(prefix="quantis-llm-")
-    sc.setCheckpointDir(d)
-    return d
+    """The cluster's shared checkpoint folder, from ``spark.checkpoint.dir``."""
+    return ensure_checkpoint_dir(spark)
 
 
 #: Rows of an Arrow batch of whole texts.
 BATCH_ROWS = 2_000
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Bounds the Arrow batches that carry whole texts to Python, so that a
-    batch, its copy in the JVM and the arrays over it stay small beside an
-    executor's heap.  A setting of the user's own is kept."""
+@contextmanager
+def bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """While it is open, Arrow batches that carry whole texts to Python are
+    bounded, so that a batch, its copy in the JVM and the arrays over it stay
+    small beside an executor's heap.  A setting of the user's own is kept, and
+    the session is left as it was."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key, None) is None:
+    own = spark.conf.get(key, None) is not None and spark.conf.get(key) != "10000"
+    if not own:
         spark.conf.set(key, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        if not own:
+            spark.conf.unset(key)
+
+
+#: What workers keep from task to task, such as tokenizers.
+_KEPT: list[Callable[[], None]] = []
+
+
+def kept(cached):
+    """Registers a cached function, so that ``forget`` can empty it."""
+    _KEPT.append(cached.cache_clear)
+    return cached
+
+
+def forget() -> None:
+    """Empties what earlier stages left in this worker: a stage that needs
+    none of it calls this before it starts."""
+    for clear in _KEPT:
+        clear()
+    release()
 
 
 def release() -> None:

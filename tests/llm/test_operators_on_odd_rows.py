@@ -153,67 +153,10 @@ def test_pruning_keeps_pairs_at_the_limit():
 # 3 language model
 
 
-def brute_base(rows):
-    text = [(r[0], [*(w for w in words((r[1] or "").translate(LOWER))), None]) for r in rows]
-    out = [zlib.crc32(str(i if i is not None else "").encode()) % 10 == 0 for i, _ in text]
-    c = collections.Counter(t for (_, ts), o in zip(text, out) if not o for t in ts)
-    n, v = sum(c.values()), len(c)
-    d = math.log10(n + 0.1 * (v + 1))
-    return [(i, o, len(t), sum(c[x] > 0 for x in t), n, sum(math.log10(c[x] + 0.1) - d for x in t)) for (i, t), o in zip(text, out)]
-
-
-@pytest.mark.parametrize("table", ["odd", "clashing"])
-def test_language_model(request, odd_rows, table):
-    got = collected(suffixtree.score(request.getfixturevalue(table)))
-    expect = brute_base(odd_rows)
-    key = lambda r: (r[0] is None, r[0] or 0, r[2], r[5])
-    for g, e in zip(sorted(got, key=key), sorted(expect, key=key), strict=True):
-        assert g[:5] == e[:5] and g[5] == pytest.approx(e[5], rel=1e-9)
-        assert math.isfinite(g[6]) and g[6] < 0
-
-
 def test_language_model_empty(empty):
     assert collected(suffixtree.score(empty)) == []
 
 
-def test_language_model_is_a_distribution_and_learns(spark):
-    rng = np.random.default_rng(2)
-    syllables = ["ka", "lo", "mi", "the", "ing", "re"]
-    rows = [(i, " ".join("".join(rng.choice(syllables, rng.integers(3, 7))) for _ in range(200))) for i in range(300)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    read = df.select("text", F.lit(True).alias("train"))
-    symbol = suffixtree.alphabet(read)
-    tree = suffixtree.grown(suffixtree.states(read, symbol).toArrow(), symbol)
-    assert np.allclose((10 ** tree.score.astype(float)).sum(axis=1), 1, atol=1e-5)
-    assert len(tree.child) > 20
-    # words are 3-6 of 6 syllables: log10 chance of about -(4.5 * 0.78 + 0.6) a word at best
-    held = df.transform(suffixtree.score).filter("held_out").agg(F.sum("score"), F.sum("n_tokens")).first()
-    assert -4.35 < held[0] / held[1] < -3.5
-
-
-def test_rare_contexts_stay_states_however_large_the_corpus_is(spark):
-    rare = [(i, "zq " * 2) for i in range(8)]
-    rows = [(100 + i, "ab ba " * 20000) for i in range(60)] + rare  # zq: 16 of 7.2 million places
-    read = spark.createDataFrame(rows, "doc_id long, text string").select("text", F.lit(True).alias("train"))
-    symbol = suffixtree.alphabet(read)
-    table = suffixtree.states(read, symbol).toArrow()
-    assert (1, int(symbol[ord("z")])) in set(zip(table["depth"].to_pylist(), table["context"].to_pylist(), strict=True))
-
-
-def test_bucketed_scores_are_those_of_the_whole_tree(spark):
-    rng = np.random.default_rng(5)
-    rows = [(i, " ".join("".join(rng.choice(["ka", "lo", "mi", "the"], 3)) for _ in range(50))) for i in range(60)] + [(90, ""), (91, None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    read = df.select("text", (~suffixtree.held_out(F.col("doc_id"))).alias("train"))
-    symbol = suffixtree.alphabet(read)
-    tree = suffixtree.grown(suffixtree.states(read, symbol).toArrow(), symbol)
-    got = {r["doc_id"]: r["score"] for r in suffixtree.score(df).collect()}
-    for i, t in rows:
-        s = [0] * 6 + [int(symbol[c]) for c in (t or "").encode()] + [0]
-        runs = np.array([sum(s[p - k] << (suffixtree.BITS * k) for k in range(7)) for p in range(6, len(s))])
-        assert got[i] == pytest.approx(float(suffixtree.chances(runs, tree).astype(float).sum()), rel=1e-6)
-
-
 def test_language_model_beats_the_base_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     held = suffixtree.score(docs).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
