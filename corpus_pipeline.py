@@ -4,6 +4,15 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each result as Parquet in the shared checkpoint folder and rereads it as the
 next stage's documents.  All stages but the last return the columns of
 documents, and whatever further columns the documents have pass through them.
+
+Defined cases, in every stage: null, empty and very long texts are rows like
+any other.  The classifier scores null and empty texts as texts without words;
+near-duplicates leave documents without words alone, and keep one row of each
+class (of rows that share an id, the one with the least set); personal data is
+looked for in texts that are there, a null text stays null; the mix takes no
+copy of a document without words, null sources count as one, and equal rows
+are drawn alike; null and empty texts are encoded to no tokens.  Null ids
+stay.  A table without rows passes through all stages.
 """
 
 from __future__ import annotations
@@ -15,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantis.llm import bpe, mixing, neardup, pii, quality
-from quantis.llm.work import checkpoint_dir
+from quantis.llm.work import bounded_batches, checkpoint_dir
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +71,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies every stage to the whole documents table."""
     folder = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        out = f"{folder}/{i}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(out)
-        docs = spark.read.parquet(out)
+    with bounded_batches(spark):
+        for i, (name, stage) in enumerate(STAGES):
+            out = f"{folder}/{i}-{name}"
+            stage(spark, docs, sf_dir).write.parquet(out)
+            docs = spark.read.parquet(out)
     return docs
