@@ -1,9 +1,9 @@
 """Phrase collocations from sorted count streams (operator 13).
 
 Counting goes by length.  Words are numbered within *units* (texts of one
-task, about ``UNIT_BYTES``); a unit's distinct words of each language are
-summed over all units by Spark, and the frequent ones get ids, which go back
-to the units.  A phrase of k + 1 words can only be frequent if both its parts
+task, about ``UNIT_BYTES``); a unit's distinct words of each language go
+to buckets, which sum them over all units, give the frequent ones ids and
+answer the units.  A phrase of k + 1 words can only be frequent if both its parts
 of k words are, so the units count pairs of neighbouring frequent parts and
 send them, sorted and compressed, to buckets, which sum them, name the
 frequent ones and answer; and so on.  No place is counted that cannot matter,
@@ -33,20 +33,24 @@ gives an empty result.  Only text and language are read.
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quantis.llm.vocabulary import packed, runs, take_spans, unpacked
-from quantis.llm.wordbatch import LOWER_AZ, PLACE, U64, mix, slices, texts, utf8
-from quantis.llm.work import cut, release, stored
+from quantis.llm.wordbatch import LOWER_AZ, PLACE, U64, bytes_hash, mix, slices, texts, utf8
+from quantis.llm.work import bounded_batches, cut, release, stored
 
 UNIT_BYTES = 8 << 20
+#: Parts of a language that are ranked apart first.
+SALTS = 32
 
 # What ends a piece, and what ends a word.
 BREAKS = np.zeros(256, bool)
@@ -54,13 +58,16 @@ BREAKS[list(b".,;:!?\x0a\x0b\x0c\x0d")] = True
 GAPS = BREAKS.copy()
 GAPS[[0x20, 0x09]] = True
 
-LEVEL = "unit string, lang string, place int, words array<string>, held array<int>, at binary, numbers binary"
+#: A unit's places (lang null), and its words of each language and bucket.
+LEVEL = "unit string, bucket int, lang string, first int, words binary, held binary, total long, at binary, numbers binary"
+#: Frequent words of a bucket (unit null), and its answer to each unit.
+WORD_SUMS = "lang string, word string, n long, id long, unit string, places binary, ids binary"
 #: A unit's places (bucket null), and its pairs for each bucket.
 STEP = "unit string, bucket int, first int, lefts binary, rights binary, held binary, at binary, numbers binary"
 #: Frequent pairs of a bucket (unit null), and its answer to each unit.
 SUMS = "left long, right long, n long, id long, unit string, places binary, ids binary"
-#: Distinct pairs of a unit for each bucket's sum, and fewest buckets.
-PAIRS_A_BUCKET, LEAST_BUCKETS = 2_000_000, 64
+#: Bytes of the corpus for each bucket, and fewest buckets: a bucket sums at most the words of as many bytes.
+BYTES_A_BUCKET, LEAST_BUCKETS = 10_000_000, 64
 
 
 def piece_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -80,71 +87,117 @@ def piece_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return start, end, doc, first
 
 
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each language of a unit, with its distinct words and their
-    counts, and one with the unit's words by place.  Places of neighbours in a
-    piece are one apart, others at least two."""
-    none = {name: None for name in ("lang", "place", "words", "held", "at", "numbers")}
-    schema = pa.schema(
-        [("unit", pa.string()), ("lang", pa.string()), ("place", pa.int32()), ("words", pa.list_(pa.string())),
-         ("held", pa.list_(pa.int32())), ("at", pa.binary()), ("numbers", pa.binary())]
-    )
+LEVEL_KINDS = (pa.string(), pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
+
+
+def _unit_rows(parts: list, buckets: int) -> Iterator[tuple]:
+    """A row for each bucket and language of a unit, with its distinct words
+    and their counts, and one with the unit's words by place.  Places of
+    neighbours in a piece are one apart, others at least two."""
+    name, none = uuid.uuid4().hex, None
+    words = pa.chunked_array([p[0] for p in parts]).dictionary_encode().combine_chunks()
+    number = words.indices.to_numpy().astype(np.int64)
+    data, off = utf8(words.dictionary)
+    langs: dict[str, int] = {}
+    lang = np.concatenate([np.array([langs.setdefault(x, len(langs)) for x in p[1]], np.int64)[p[2]] for p in parts])
+    first = np.concatenate([p[3] for p in parts])
+    n = len(off) - 1
+    key, where, held = np.unique(lang * n + number, return_inverse=True, return_counts=True)
+    salt = np.array([zlib.crc32(x.encode()) for x in langs], U64)
+    bucket = (mix(bytes_hash(data, off[:-1], off[1:])[key % n] + salt[key // n]) % U64(buckets)).astype(np.int64)
+    order = np.lexsort((key, bucket))
+    key, held, bucket = key[order], held[order], bucket[order]
+    moved = np.empty(len(order), np.int64)
+    moved[order] = np.arange(len(order))
+    at = np.arange(len(first)) + np.cumsum(first)
+    yield name, none, none, none, none, none, none, packed(np.diff(at, prepend=0)), packed(moved[where])
+    # every word with a space after it
+    body, begin = take_spans(np.append(data, np.uint8(0x20)), off[key % n], off[key % n + 1] + 1)
+    body[begin[1:] - 1] = 0x20
+    names = list(langs)
+    for a, b in runs(bucket * len(names) + key // n):
+        spelled = zlib.compress(body[begin[a] : begin[b] - 1].tobytes(), 1)
+        yield name, int(bucket[a]), names[key[a] // n], a, spelled, packed(held[a:b]), int(held[a:b].sum()), none, none
+
+
+def _units(buckets: int):
+    def batch(parts: list) -> pa.RecordBatch:
+        columns = zip(*_unit_rows(parts, buckets), strict=True)
+        names = [x.split(" ")[0] for x in LEVEL.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, LEVEL_KINDS, strict=True)], names=names)
 
-    def rows(parts: list) -> pa.RecordBatch:
-        name = uuid.uuid4().hex
-        words = pa.chunked_array([p[0] for p in parts]).dictionary_encode().combine_chunks()
-        spelled, number = words.dictionary, words.indices.to_numpy().astype(np.int64)
-        langs: dict[str, int] = {}
-        lang = np.concatenate([np.array([langs.setdefault(x, len(langs)) for x in p[1]], np.int64)[p[2]] for p in parts])
-        first = np.concatenate([p[3] for p in parts])
-        key, where, held = np.unique(lang * len(spelled) + number, return_inverse=True, return_counts=True)
-        out = []
-        for name_of, i in langs.items():
-            a, b = np.searchsorted(key, [i * len(spelled), (i + 1) * len(spelled)])
-            if b > a:
-                some = spelled.take(pa.array(key[a:b] % len(spelled)))
-                out.append(none | {"unit": name, "lang": name_of, "place": int(a), "words": some, "held": held[a:b]})
-        at = np.arange(len(first)) + np.cumsum(first)
-        out.append(none | {"unit": name, "at": packed(np.diff(at, prepend=0)), "numbers": packed(where)})
-        columns = []
-        for f in schema:
-            values = [r[f.name] for r in out]
-            if pa.types.is_list(f.type):
-                n = [0 if v is None else len(v) for v in values]
-                flat = [pa.array(v, f.type.value_type) if isinstance(v, np.ndarray) else v.cast(f.type.value_type) for v in values if v is not None]
-                body = pa.concat_arrays(flat) if flat else pa.array([], f.type.value_type)
-                columns.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()), body))
-            else:
-                columns.append(pa.array(values, f.type))
-        return pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    parts, size = [], 0
-    for batch in batches:
-        data, off = utf8(texts(batch.column("text")))
-        langs = batch.column("lang").to_pylist()
-        for a, b in slices(off):
-            d, o = LOWER_AZ[data[off[a] : off[b]]], off[a : b + 1] - off[a]
-            start, end, doc, first = piece_words(d, o)
-            body, at = take_spans(d, start, end)
-            words = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(at.astype(np.int64)), pa.py_buffer(body))
-            parts.append((words, langs[a:b], doc, first))
-            size += len(d)
-            if size >= UNIT_BYTES:
-                yield rows(parts)
-                parts, size = [], 0
-    if parts:
-        yield rows(parts)
-    release()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch_ in batches:
+            data, off = utf8(texts(batch_.column("text")))
+            langs = batch_.column("lang").to_pylist()
+            for a, b in slices(off):
+                d, o = LOWER_AZ[data[off[a] : off[b]]], off[a : b + 1] - off[a]
+                start, end, doc, first = piece_words(d, o)
+                if not len(start):
+                    continue
+                body, at = take_spans(d, start, end)
+                words = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(at.astype(np.int64)), pa.py_buffer(body))
+                parts.append((words, langs[a:b], doc, first))
+                size += len(d)
+                if size >= UNIT_BYTES:
+                    yield batch(parts)
+                    parts, size = [], 0
+        if parts:
+            yield batch(parts)
+        release()
+
+    return run
+
+
+def answers_to(units: list[str], first: list[int], ends: np.ndarray, found: np.ndarray) -> list[tuple[str, bytes, bytes]]:
+    """For each unit's list (by its first place in the unit, and its end in
+    ``found``): the places that got an id, and these ids."""
+    out = []
+    for name, begin, a, b in zip(units, first, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+        hit = np.flatnonzero(found[a:b] >= 0)
+        if len(hit):
+            out.append((name, packed(begin + hit), packed(found[a:b][hit])))
+    return out
+
+
+def summed_table(columns: list[np.ndarray | pa.Array], answers: list[tuple], names: list[str]) -> pa.Table:
+    """Rows of frequent phrases, then rows of answers."""
+    n, m = len(columns[0]), len(answers)
+    whole = [pa.concat_arrays([c if isinstance(c, pa.Array) else pa.array(c, pa.int64()), pa.nulls(m, c.type if isinstance(c, pa.Array) else pa.int64())]) for c in columns]
+    kinds = (pa.string(), pa.binary(), pa.binary())
+    whole += [pa.array([None] * n + [a[k] for a in answers], t) for k, t in enumerate(kinds)]
+    return pa.table(whole, names=[*names, "unit", "places", "ids"])
+
+
+def _word_sums(least: int):
+    """Frequent words of a bucket by language, with counts and ids, and for
+    each unit the places of its frequent words with their ids."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        lists, langs = [], table["lang"].to_pylist()
+        for lang, raw in zip(langs, table["words"].to_pylist(), strict=True):
+            words = pa.array(zlib.decompress(raw).decode().split(" "), pa.large_string())
+            # a word holds no space, so the first one ends it
+            lists.append(pc.binary_join_element_wise(words, pa.scalar(lang, pa.large_string()), pa.scalar(" ", pa.large_string())))
+        ends = np.cumsum([len(x) for x in lists])
+        held = np.concatenate([unpacked(x) for x in table["held"].to_pylist()])
+        coded = pa.chunked_array(lists).dictionary_encode().combine_chunks()
+        number = coded.indices.to_numpy().astype(np.int64)
+        total = np.bincount(number, weights=held).astype(np.int64)
+        many = np.flatnonzero(total >= least)
+        id_of = np.full(len(total), -1, np.int64)
+        id_of[many] = (np.int64(key[0].as_py()) << 32) + np.arange(len(many))
+        named = [x.split(" ", 1) for x in coded.dictionary.take(pa.array(many)).to_pylist()]
+        columns = [pa.array([x[1] for x in named], pa.string()), pa.array([x[0] for x in named], pa.string()), total[many], id_of[many]]
+        return summed_table(columns, answers_to(table["unit"].to_pylist(), table["first"].to_pylist(), ends, id_of[number]), ["lang", "word", "n", "id"])
+
+    return run
 
 
 def answered_rows(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Places in a unit's list, ascending, and the ids that they got."""
-    if "ids" in answers.column_names:
-        place = [unpacked(x) for x in answers["places"].to_pylist()]
-        ids = [unpacked(x) for x in answers["ids"].to_pylist()]
-        place, ids = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (place, ids))
-    else:
-        place, ids = answers["place"].to_numpy().astype(np.int64), answers["id"].to_numpy()
+    place, ids = (np.concatenate([unpacked(x) for x in answers[c].to_pylist()]) for c in ("places", "ids"))
     order = np.argsort(place)
     return place[order], ids[order]
 
@@ -191,10 +244,6 @@ def _longer(buckets: int):
 def _bucket_sums(least: int):
     """Frequent pairs of a bucket with their counts and ids, and for each unit
     the places of its frequent pairs with their ids."""
-    schema = pa.schema(
-        [("left", pa.int64()), ("right", pa.int64()), ("n", pa.int64()), ("id", pa.int64()), ("unit", pa.string()),
-         ("places", pa.binary()), ("ids", pa.binary())]
-    )
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         left = [np.cumsum(unpacked(x)) for x in table["lefts"].to_pylist()]
@@ -211,19 +260,8 @@ def _bucket_sums(least: int):
         found = np.empty(len(order), np.int64)
         found[order] = np.repeat(id_of, np.diff(np.append(new, len(order))))
         at = order[new[many]]
-        n, units, first, ends = len(many), table["unit"].to_pylist(), table["first"].to_pylist(), np.cumsum(size)
-        answers = []
-        for name, begin, a, b in zip(units, first, (ends - size).tolist(), ends.tolist(), strict=True):
-            hit = np.flatnonzero(found[a:b] >= 0)
-            if len(hit):
-                answers.append((name, packed(begin + hit), packed(found[a:b][hit])))
-        whole = lambda x: pa.array(np.concatenate([x, np.zeros(len(answers), np.int64)]), pa.int64(), mask=np.arange(n + len(answers)) >= n)
-        columns = [[None] * n + [x[k] for x in answers] for k in range(3)]
-        return pa.table(
-            [whole(left[at]), whole(right[at]), whole(total[many]), whole(ids)]
-            + [pa.array(c, f.type) for c, f in zip(columns, list(schema)[4:], strict=True)],
-            schema=schema,
-        )
+        answers = answers_to(table["unit"].to_pylist(), table["first"].to_pylist(), np.cumsum(size), found)
+        return summed_table([left[at], right[at], total[many], ids], answers, ["left", "right", "n", "id"])
 
     return run
 
@@ -233,21 +271,18 @@ def frequent_phrases(docs: DataFrame, longest: int, least: int, text_col: str, l
     that occurs at least ``least`` times; the phrase without words holds its
     language's number of words."""
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
-    units = stored(docs.select(F.col(text_col).alias("text"), lang.alias("lang")).mapInArrow(_units, LEVEL))
-    by_lang = units.filter("lang is not null")
-    everything = by_lang.groupBy("lang").agg(F.sum(F.aggregate("held", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n"))
-    asked = by_lang.select("unit", "lang", "place", F.posexplode(F.arrays_zip("words", "held")).alias("i", "of")).select(
-        "unit", "lang", (F.col("place") + F.col("i")).alias("place"), F.col("of.words").alias("word"), F.col("of.held").alias("held")
-    )
-    counted = asked.groupBy("lang", "word").agg(F.sum("held").alias("n")).filter(F.col("n") >= least)
-    known = stored(counted.select("lang", F.array("word").alias("words"), "n", F.monotonically_increasing_id().alias("id")))
+    rows = docs.select(F.col(text_col).alias("text"), lang.alias("lang"))
+    # a word and the gap after it take two bytes at least; what they usually take is enough to size the buckets
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = max(LEAST_BUCKETS, size // BYTES_A_BUCKET)
+    units = stored(rows.mapInArrow(_units(buckets), LEVEL))
+    asked = units.filter("lang is not null")
+    everything = asked.groupBy("lang").agg(F.sum("total").alias("n"))
+    sums = stored(asked.select("bucket", "unit", "lang", "first", "words", "held").groupBy("bucket").applyInArrow(_word_sums(least), WORD_SUMS))
+    known = sums.filter("unit is null").select("lang", F.array("word").alias("words"), "n", "id")
     found = [everything.select("lang", F.array().cast("array<string>").alias("words"), "n"), known.select("lang", "words", "n")]
-    answers = asked.join(known.select("lang", F.col("words")[0].alias("word"), "id"), ["lang", "word"])
+    answers = sums.filter("unit is not null").select(F.col("unit").alias("of"), "places", "ids")
     at = units.filter("lang is null").select("unit", "at", "numbers")
-    answers = answers.select(F.col("unit").alias("of"), "place", "id")
-    # a unit has at most as many distinct pairs as words
-    words = everything.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    buckets = max(LEAST_BUCKETS, words // PAIRS_A_BUCKET)
     for _ in range(2, longest + 1):
         step = stored(at.groupBy("unit").cogroup(answers.groupBy("of")).applyInArrow(_longer(buckets), STEP))
         asked = step.filter("bucket is not null").select("bucket", "unit", "first", "lefts", "rights", "held")
@@ -406,6 +441,11 @@ def phrases(
 ) -> DataFrame:
     """``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n`` and ``score``
     of the ``top`` best phrases of each language."""
+    with bounded_batches(docs.sparkSession):
+        return _phrases(docs, longest, least, percent, top, text_col, lang_col)
+
+
+def _phrases(docs: DataFrame, longest: int, least: int, percent: int, top: int, text_col: str, lang_col: str) -> DataFrame:
     spark = docs.sparkSession
     stream, above = laid_out(frequent_phrases(docs, longest, least, text_col, lang_col))
     forward = cut(stream.mapInArrow(_forward(spark.sparkContext.broadcast(above), percent), FORWARD))
@@ -416,7 +456,11 @@ def phrases(
     marks = forward.filter("mark").select("lang", "words").union(scored.filter("mark").select("lang", "words"))
     left = scored.filter("not mark").join(F.broadcast(marks), ["lang", "words"], "left_anti")
     named = left.select("lang", F.array_join("words", " ").alias("phrase"), "a", "l", "r", "n", "score")
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    # the plain comparison lets Spark keep the best of every task before the shuffle
+    # the best of each of some parts of a language, so that its last task ranks SALTS * top rows at most
+    best = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    dealt = named.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    place = F.row_number().over(W.partitionBy("lang", "salt").orderBy(*best))
+    named = dealt.withColumn("place", place).filter(F.col("place") <= top)
+    order = W.partitionBy("lang").orderBy(*best)
     ranked = named.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
