@@ -3,15 +3,17 @@
 References are learned from the whole corpus, one for each language of at
 least ``LEAST_WORDS`` words: the shares of character classes, and the shares
 of its ``COMMON`` most frequent words, all other words together being one bin.
-Those of *large* languages, which hold a thousandth of all words (so at most a
-thousand), are broadcast; those of the others are joined to their documents.
-A document's own histograms are compared with its language's reference and
-those of all large languages by Jensen-Shannon divergence (base 2, from 0 to
-1); the least of each kind counts, so a wrong label does no harm.  A document
-whose language has no reference gets divergences of 0.  A document is rejected if it fails a base rule (too few words, too
-many words in repeated windows), or if it has at least ``min_words`` words
-and one of the divergences passes its limit.  Shorter documents have too much
-noise in their histograms for a verdict and are kept.
+A document's own histograms are compared with its language's reference by
+Jensen-Shannon divergence (base 2, from 0 to 1), so its verdict depends on no
+other language.  A document whose language has no reference gets divergences
+of 0.  A document is rejected if it fails a base rule (too few words, too many
+words in repeated windows), or if it has at least ``min_words`` words and one
+of the divergences passes its limit.  Shorter documents have too much noise in
+their histograms for a verdict and are kept.
+
+References of languages with a thousandth of all words (at most a thousand)
+are broadcast to the workers; those of the others are joined to their
+documents.  That changes the way they travel, not what they judge.
 
 Defined cases: null and empty texts have no words and fail the base rule; a
 null language is a language of its own; documents of languages below
@@ -273,53 +275,50 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (part(p) + part(np.broadcast_to(q, p.shape))) / 2
 
 
-def divergences(w: Words, hist: np.ndarray, ref: References, large: np.ndarray, own: list) -> tuple[np.ndarray, np.ndarray]:
-    """Least divergence of each document from the large languages' references
-    and its language's ``own`` one: classes, words; 0 if its language is not
-    ``large`` and has none."""
+def divergences(w: Words, hist: np.ndarray, ref: References, lang: np.ndarray, own: list) -> tuple[np.ndarray, np.ndarray]:
+    """Divergence of each document from its language's reference: classes,
+    words.  ``lang`` is its place in ``ref`` (-1: not there), ``own`` a packed
+    reference that came with the document; without either the result is 0."""
     n = np.diff(w.first)
-    by_class, by_word = np.full(w.n_docs, np.inf), np.full(w.n_docs, np.inf)
+    by_class, by_word = np.zeros(w.n_docs), np.zeros(w.n_docs)
     h, doc = word_hash(lowered(w)), w.doc
 
-    def compare(some: np.ndarray, classes: np.ndarray, words: list[np.ndarray], shares: list[np.ndarray]) -> None:
+    def compare(some: np.ndarray, q: np.ndarray, known: np.ndarray, share: np.ndarray) -> None:
         rows = np.flatnonzero(some)
         number = np.cumsum(some) - 1
         mine = some[doc]
         heard, place = h[mine], number[doc[mine]]
-        p = hist[rows] / hist[rows].sum(axis=1, keepdims=True)
-        for q, known, share in zip(classes, words, shares, strict=True):
-            by_class[rows] = np.minimum(by_class[rows], divergence(p, q))
-            order = np.argsort(known)
-            at = np.minimum(np.searchsorted(known[order], heard), len(known) - 1)
-            bin_ = np.where(known[order][at] == heard, order[at], len(known))
-            counts = np.bincount(place * len(share) + bin_, minlength=len(rows) * len(share)).reshape(len(rows), -1)
-            by_word[rows] = np.minimum(by_word[rows], divergence(counts / n[rows, None], share))
-
-    has_own = np.array([raw is not None for raw in own], bool)
-    some = (n > 0) & (large | has_own)
-    if some.any():
-        compare(some, ref.classes, ref.words, ref.shares)
+        by_class[rows] = divergence(hist[rows] / hist[rows].sum(axis=1, keepdims=True), q)
+        order = np.argsort(known)
+        at = np.minimum(np.searchsorted(known[order], heard), len(known) - 1)
+        bin_ = np.where(known[order][at] == heard, order[at], len(known))
+        counts = np.bincount(place * len(share) + bin_, minlength=len(rows) * len(share)).reshape(len(rows), -1)
+        by_word[rows] = divergence(counts / n[rows, None], share)
+
+    for k in np.unique(lang[(lang >= 0) & (n > 0)]).tolist():
+        compare((lang == k) & (n > 0), ref.classes[k], ref.words[k], ref.shares[k])
     groups: dict[bytes, list[int]] = {}
-    for i in np.flatnonzero(some & has_own).tolist():
-        groups.setdefault(own[i], []).append(i)
+    for i in np.flatnonzero((lang < 0) & (n > 0)).tolist():
+        if own[i] is not None:
+            groups.setdefault(own[i], []).append(i)
     for raw, rows in groups.items():
         mine = np.zeros(w.n_docs, bool)
         mine[rows] = True
-        classes, words, shares = unpacked(raw)
-        compare(mine, classes[None], [words], [shares])
-    return np.where(some, by_class, 0.0), np.where(some, by_word, 0.0)
+        compare(mine, *unpacked(raw))
+    return by_class, by_word
 
 
 def _profile(window: int, ref):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            large = np.array([x in ref.value.langs for x in batch.column("lang").to_pylist()], bool)
+            place = {x: k for k, x in enumerate(ref.value.langs)}
+            lang = np.array([place.get(x, -1) for x in batch.column("lang").to_pylist()], np.int64)
             own = batch.column("own").to_pylist()
             for w in split_words(batch.column("text")):
                 h, hist = word_hash(w), class_histogram(w)
                 space = per_document(IS_SPACE[w.data], w.offsets)
                 points = per_document((w.data & 0xC0) != 0x80, w.offsets)
-                by_class, by_word = divergences(w, hist, ref.value, large[w.row : w.row + w.n_docs], own[w.row : w.row + w.n_docs])
+                by_class, by_word = divergences(w, hist, ref.value, lang[w.row : w.row + w.n_docs], own[w.row : w.row + w.n_docs])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").slice(w.row, w.n_docs)]
                     + [
