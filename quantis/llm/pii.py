@@ -13,7 +13,8 @@ their own.  Spark then scores the graph of patterns and instances in rounds:
 * an instance's score is 1 for a seed, otherwise 1 - product(1 - confidence)
   over its patterns.
 
-Candidates whose score reaches the limit after the last round are added as
+Scores only rise from round to round, and the rounds go on until they do so no
+more.  Candidates whose score then reaches the limit are added as
 spans of their best kind, if they pass that kind's check (digits, Luhn sum);
 so are occurrences of seeds that the base patterns missed, such as a number
 that runs into other digits.  Base spans always stay.  Words that stand beside
@@ -33,6 +34,7 @@ are passed through by ``redact`` whatever their names, and not read by
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -63,7 +65,9 @@ CANDIDATE = (
     r"|(?<![A-Za-z0-9])[A-Za-z]*+[0-9][A-Za-z0-9]{5,}"
 )
 PART_OF_IP = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:[.]|$)){4}$"
-ROUNDS, SUPPORT, LIMIT, PRIOR = 3, 3, 0.8, 1.0
+SUPPORT, LIMIT, PRIOR = 3, 0.8, 1.0
+#: Rounds end when no score rises by more than this; beyond so many rounds a warning says that some still do.
+QUIET, ROUNDS = 1e-3, 40
 
 
 def row_key(id_col: str, text_col: str) -> Column:
@@ -93,54 +97,77 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _word(text: Column) -> Column:
+    return F.lower(F.regexp_replace(text, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
+
+
+#: The first word of a text.
+FIRST_WORD = r"^[\x20\x09-\x0D]*+([^\x20\x09-\x0D]++)"
+
+
 def matches(texts: DataFrame, pattern: str) -> DataFrame:
     """Leftmost non-overlapping matches of each text (key, text): key, start,
-    stop, match."""
+    stop, match, and the words before and after it.
+
+    The words are cut from the gaps between the matches, each with the match
+    beyond it, so a text costs time in proportion to its length however many
+    matches it has."""
     found = texts.withColumn("match", F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).filter(F.size("match") > 0)
-    between = F.slice(F.split("text", pattern, -1), F.lit(1), F.size("match"))
-    parts = found.select("key", F.posexplode(F.arrays_zip(between.alias("gap"), F.col("match"))).alias("i", "part"))
-    before = W.partitionBy("key").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
+    found = found.withColumn("gap", F.split("text", pattern, -1))
+
+    def part(match: Column, i: Column) -> Column:
+        gap, none = F.get("gap", i), F.lit("")
+        before = F.concat(F.when(i > 0, F.get("match", i - 1)).otherwise(none), gap)
+        after = F.concat(F.get("gap", i + 1), F.coalesce(F.get("match", i + 1), none))
+        left = F.reverse(F.regexp_extract(F.reverse(before), FIRST_WORD, 1))
+        return F.struct(
+            F.length(gap).alias("gap"), match.alias("match"), _word(left).alias("left"), _word(F.regexp_extract(after, FIRST_WORD, 1)).alias("right")
+        )
+
+    parts = found.select("key", F.posexplode(F.transform("match", part)).alias("i", "part"))
+    so_far = W.partitionBy("key").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
     size = F.length("part.match")
-    stop = F.sum(F.length("part.gap") + size).over(before)
-    return parts.select("key", (stop - size).alias("start"), stop.alias("stop"), F.col("part.match").alias("match"))
+    stop = F.sum(F.col("part.gap") + size).over(so_far)
+    return parts.select("key", (stop - size).alias("start"), stop.alias("stop"), "part.match", "part.left", "part.right")
 
 
 def base_spans(texts: DataFrame) -> DataFrame:
-    """key, kind, start, stop and match of the valid matches of every kind."""
+    """The valid matches of every kind, with their ``kind``."""
     kinds = [
         matches(texts, PATTERNS[k]).withColumn("kind", F.lit(k)).filter(_valid(k, F.col("match"))) for k in KINDS
     ]
     return reduce(DataFrame.union, kinds)
 
 
-def _word(text: Column) -> Column:
-    return F.lower(F.regexp_replace(text, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
-
-
-def with_patterns(spans: DataFrame, texts: DataFrame, reach: int = 60) -> DataFrame:
+def with_patterns(spans: DataFrame) -> DataFrame:
     """Adds the lexical patterns of each span: the word before and the word
-    after it, looked for within ``reach`` code points, and its shape."""
-    here = spans.join(texts, "key")
-    before = F.substring("text", F.greatest(F.col("start") - reach, F.lit(0)) + 1, F.least(F.col("start"), F.lit(reach)))
-    after = F.substring("text", F.col("stop") + 1, F.lit(reach))
-    left = _word(F.regexp_extract(before, r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1))
-    right = _word(F.regexp_extract(after, r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)", 1))
+    after it, and its shape."""
     shape = F.regexp_replace(F.regexp_replace("match", "[0-9]", "9"), "[A-Za-z]", "a")
-    pattern = F.array(F.concat(F.lit("before "), left), F.concat(F.lit("after "), right), F.concat(F.lit("shape "), shape))
-    return here.withColumn("patterns", F.filter(pattern, lambda p: ~p.isin("before ", "after "))).drop("text")
+    pattern = F.array(F.concat(F.lit("before "), "left"), F.concat(F.lit("after "), "right"), F.concat(F.lit("shape "), shape))
+    return spans.withColumn("patterns", F.filter(pattern, lambda p: ~p.isin("before ", "after "))).drop("left", "right")
+
+
+def without_overlaps(found: DataFrame, spans: DataFrame) -> DataFrame:
+    """Matches that share no place with a span of their text.
+
+    A match overlaps a span that begins before its end if the furthest end of
+    all such spans lies beyond its start: a running maximum over the text's
+    places, instead of comparing every match with every span."""
+    ends = spans.select("key", F.col("start").alias("at"), F.lit(1).alias("span"), F.col("stop").alias("reach"))
+    asked = found.select("*", F.col("stop").alias("at"), F.lit(0).alias("span"))
+    both = asked.unionByName(ends, allowMissingColumns=True)
+    before = W.partitionBy("key").orderBy("at", "span").rowsBetween(W.unboundedPreceding, 0)
+    marked = both.withColumn("reach", F.max("reach").over(before)).filter("span = 0")
+    return marked.filter(F.coalesce(F.col("reach") <= F.col("start"), F.lit(True))).select(*found.columns)
 
 
 def discover(
     spans: DataFrame, texts: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, limit: float = LIMIT, prior: float = PRIOR
 ) -> DataFrame:
     """Spans (key, kind, start, stop) of unseen identifiers."""
-    inside = spans.select(F.col("key").alias("k"), F.col("start").alias("a"), F.col("stop").alias("b"))
-    others = matches(texts, CANDIDATE)
-    apart = others.join(
-        inside, (F.col("key") == F.col("k")) & (F.col("start") < F.col("b")) & (F.col("stop") > F.col("a")), "left_anti"
-    )
-    seeds = with_patterns(spans.select("key", "start", "stop", "match", "kind"), texts)
-    unseen = with_patterns(apart.withColumn("kind", F.lit(None).cast("string")), texts)
+    apart = without_overlaps(matches(texts, CANDIDATE), spans)
+    seeds = with_patterns(spans)
+    unseen = with_patterns(apart.withColumn("kind", F.lit(None).cast("string")))
     marked = cut(seeds.unionByName(unseen).withColumn("instance", F.lower("match")))
     edges = cut(marked.select("instance", "kind", F.explode("patterns").alias("pattern")).distinct())
     # a seed of several kinds counts for each of them
@@ -150,8 +177,13 @@ def discover(
     )
     links = cut(edges.select("instance", "pattern").distinct())
     sizes = links.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    scores = cut(fixed)
-    for _ in range(rounds):
+    scores, rise = cut(fixed), 1.0
+    for number in range(rounds + 1):
+        if rise <= QUIET:
+            break
+        if number == rounds:
+            warnings.warn(f"scores still rise after {rounds} rounds: identifiers that only further rounds reach are not found", stacklevel=2)
+            break
         confidence = (
             links.join(scores, "instance").groupBy("pattern", "kind")
             .agg(F.sum("score").alias("sum"), F.sum((F.col("score") >= limit).cast("int")).alias("sure"))
@@ -162,7 +194,9 @@ def discover(
             loose.join(confidence, "pattern").groupBy("instance", "kind")
             .agg((1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999999)))))).alias("score"))
         )
-        scores = cut(fixed.union(found))
+        before, scores = scores.withColumnRenamed("score", "was"), cut(fixed.union(found))
+        gained = scores.join(before, ["instance", "kind"], "left").agg(F.max(F.col("score") - F.coalesce("was", F.lit(0.0))))
+        rise = gained.first()[0] or 0.0
     best = (  # with the seeds, for occurrences that the base missed
         scores.groupBy("instance")
         .agg(F.max(F.struct("score", "kind")).alias("top")).filter(F.col("top.score") >= limit)
