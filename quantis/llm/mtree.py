@@ -23,9 +23,10 @@ a third of all rows share is no load.
 Defined cases: rows whose id or vector is null, or whose vector is empty or
 holds a null or non-finite component, take no part; repeated rows of one id
 and vector count once; a query never finds its own id; vectors of different
-lengths are not compared; an empty table gives an empty result.  Components
-should stay below 2**20 in size, so that products are exact.  Only id and
-vector are read.
+lengths are not compared; an empty table gives an empty result.  Scores are
+exact integers: floating-point products only bound them, with a slack for their
+rounding.  A component whose scaled value, or a result whose score, leaves the
+range of a long raises.  Only id and vector are read.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -110,31 +111,45 @@ class Page:
     leaf: bool
     parents: np.ndarray
     radii: np.ndarray
+    exact: np.ndarray
     vectors: np.ndarray
+    lengths: np.ndarray
     children: np.ndarray
     ids: np.ndarray
     ids_first: np.ndarray
 
 
+def exact_score(a: np.ndarray, b: np.ndarray) -> int:
+    """Inner product of integer vectors, whatever its size."""
+    if float(np.abs(a.astype(np.float64)) @ np.abs(b.astype(np.float64))) < 2.0**62:
+        return int(a @ b)
+    return sum(x * y for x, y in zip(a.tolist(), b.tolist(), strict=True))
+
+
 class Tree:
     """One tree's pages, ready to be searched."""
 
     def __init__(self, table: pa.Table, dim: int):
         rows = sorted(table.to_pylist(), key=lambda r: r["page"])
-        self.largest = rows[0]["largest"]
-        self.pages = [
-            Page(
-                r["leaf"], np.frombuffer(r["parents"]), np.frombuffer(r["radii"]),
-                np.frombuffer(r["vectors"], np.int64).reshape(-1, dim).astype(np.float64), np.frombuffer(r["children"], np.int32),
-                np.frombuffer(r["ids"], np.int64), np.frombuffer(r["ids_first"], np.int32),
+        self.largest, self.dim, self.pages = rows[0]["largest"], dim, []
+        for r in rows:
+            exact = np.frombuffer(r["vectors"], np.int64).reshape(-1, dim)
+            vectors = exact.astype(np.float64)
+            self.pages.append(
+                Page(
+                    r["leaf"], np.frombuffer(r["parents"]), np.frombuffer(r["radii"]), exact, vectors, np.sqrt((vectors * vectors).sum(axis=1)),
+                    np.frombuffer(r["children"], np.int32), np.frombuffer(r["ids"], np.int64), np.frombuffer(r["ids_first"], np.int32),
+                )
             )
-            for r in rows
-        ]
 
-    def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
-        """The k best (score, id) for a query, its own id left out."""
-        length = float(query @ query) + self.largest
-        slack = 1e-9 * (1 + length) ** 0.5
+    def search(self, asked: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
+        """The k best (score, id) for an integer query, its own id left out."""
+        query = asked.astype(np.float64)
+        square = float(query @ query)
+        length = square + self.largest
+        # rounding of a product, relative to both lengths, and of a distance, which is the root of one
+        doubt = (self.dim + 4) * 2.0**-51
+        slack = 4 * (doubt * (1 + length)) ** 0.5
         hits: list[tuple[int, int]] = []  # heap of (score, -id): the worst on top
         reach = np.inf
         heap: list[tuple[float, int, float]] = [(0.0, 0, -1.0)]
@@ -151,9 +166,10 @@ class Tree:
                 continue
             score = page.vectors[at] @ query
             if page.leaf:
-                floor = hits[0][0] if len(hits) == k else -np.inf
-                for j in np.flatnonzero(score >= floor):
-                    e, s = at[j], int(score[j])
+                floor = float(hits[0][0]) if len(hits) == k else -np.inf
+                near = score + doubt * (1 + page.lengths[at] * square**0.5) >= floor - doubt * abs(floor) if len(hits) == k else np.ones(len(at), bool)
+                for e in at[near].tolist():
+                    s = exact_score(page.exact[e], asked)
                     for i in page.ids[page.ids_first[e] : page.ids_first[e + 1]].tolist():
                         if i == own:
                             continue
@@ -164,7 +180,7 @@ class Tree:
                         else:
                             break
                 if len(hits) == k:
-                    reach = max(0.0, length - 2 * hits[0][0]) ** 0.5 + slack
+                    reach = max(0.0, length - 2 * float(hits[0][0])) ** 0.5 + 3 * slack
             else:
                 to = np.sqrt(np.maximum(0, length - 2 * score))
                 bound = np.maximum(0, to - page.radii[at])
@@ -178,9 +194,11 @@ def _search(k: int):
         found: dict[str, list] = {"query_id": [], "vec_id": [], "score": [], "query": []}
         if len(pages) and len(queries):
             tree, dim = Tree(pages, key[0].as_py()), key[0].as_py()
-            vectors = queries["vector"].combine_chunks().flatten().to_numpy().reshape(-1, dim).astype(np.float64)
+            vectors = queries["vector"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
             for own, number, vector in zip(queries["id"].to_pylist(), queries["query"].to_pylist(), vectors, strict=True):
                 for score, i in tree.search(vector, own, k):
+                    if not -(1 << 63) <= score < 1 << 63:
+                        raise OverflowError(f"the score of vectors {own} and {i} leaves the range of a long")
                     for name, value in zip(found, (own, i, score, number), strict=True):
                         found[name].append(value)
         return pa.table({name: pa.array(values, pa.int64()) for name, values in found.items()})
@@ -191,11 +209,17 @@ def _search(k: int):
 def usable(rows: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """Ids and scaled integer vectors of the rows that take part."""
     x = F.col("raw")
+
+    def scaled(v: Column) -> Column:
+        y = F.floor(v * scale)
+        outside = F.abs(v * scale) >= 2.0**63
+        return F.when(outside, F.raise_error(F.lit("a scaled component leaves the range of a long")).cast("long")).otherwise(y.cast("long"))
+
     good = x.isNotNull() & (F.size(x) > 0) & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     return (
         rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("raw"))
         .filter(F.col("id").isNotNull() & good)
-        .select("id", F.transform("raw", lambda v: F.floor(v * scale).cast("long")).alias("vector"), F.size("raw").alias("dim"))
+        .select("id", F.transform("raw", scaled).alias("vector"), F.size("raw").alias("dim"))
     )
 
 
