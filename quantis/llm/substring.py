@@ -228,7 +228,10 @@ def _entries(window: int, anchor: int, buckets: int, sketch):
             row, place, anc, win = (np.concatenate(x) for x in (rows, places, anchors, wins))
             many, lead = repeats(anc, win)
             keys = batch.column("key")
-            hit, known = _range_rows(row[many], place[many])
+            # equal rows have one key and the same repeats: one of them tells
+            key_of = batch.column("key").dictionary_encode().indices.to_numpy().astype(np.int64)
+            told = np.unique(key_of, return_index=True)[1][key_of] == np.arange(len(key_of))
+            hit, known = _range_rows(row[many & told[row]], place[many & told[row]])
             yield pa.RecordBatch.from_pydict(
                 {
                     "bucket": pa.array(hit % buckets, pa.int32()), "key": keys.take(pa.array(hit)),
@@ -339,7 +342,8 @@ def remove_repeats(
     sketch = spark.sparkContext.broadcast(bits)
     entries = keyed.select("key", "text").mapInArrow(_entries(window, anchor, buckets, sketch), ENTRIES)
     found = entries.groupBy("bucket").applyInArrow(_resolve, "key binary, ranges binary")
-    per_key = found.groupBy(F.col("key").alias("found_key")).agg(F.collect_list("ranges").alias("found"))
+    # batches that hold several copies of a row tell the same ranges of it: a set keeps them once
+    per_key = found.groupBy(F.col("key").alias("found_key")).agg(F.collect_set("ranges").alias("found"))
     joined_docs = keyed.join(per_key.hint("shuffle_hash"), F.col("key") == F.col("found_key"), "left")
     ready = joined_docs.select("id", "text", F.coalesce("found", F.array().cast("array<binary>")).alias("ranges"))
     kind = docs.schema[id_col].dataType.simpleString()

@@ -114,3 +114,23 @@ def test_one_row_of_each_class_with_clashing_columns(clashing, odd_rows):
     ids = collections.Counter(r["doc_id"] for r in kept.collect())
     plain = collections.Counter(r["doc_id"] for r in neardup.one_of_each(clashing.select("doc_id", "text")).collect())
     assert ids == plain
+
+
+def test_equal_rows_take_linear_time(spark):
+    """Copies of one row tell their repeats once a batch and set them once a row."""
+    import time
+
+    from quantis.llm import substring
+
+    text = " ".join(f"word{i}" for i in range(60))
+
+    def seconds(n):
+        df = spark.range(n, numPartitions=4).selectExpr("7L AS doc_id", f"'{text}' AS text").union(spark.createDataFrame([(8, "a b c")]))
+        t = time.perf_counter()
+        out = substring.remove_repeats(df).groupBy("n_words", "n_removed", "kept").count().collect()
+        assert sorted(map(tuple, out)) == [(3, 0, "a b c", 1), (60, 60, "", n)]
+        return time.perf_counter() - t
+
+    seconds(100)
+    few, many = seconds(32_000), seconds(64_000)
+    assert many < 2 * few + 2
