@@ -46,7 +46,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -167,9 +166,10 @@ def _messages(depth: int, buckets: int):
 
 
 def _totals(least: int):
-    """Training counts of a bucket's runs, with those of their contexts; of
-    contexts that occur at least ``least`` times, where they are whole here."""
-    schema = pa.schema([("depth", pa.int32()), ("run", pa.int64()), ("n", pa.int64()), ("total", pa.int64())])
+    """Training counts of a bucket's runs, with those of their contexts and
+    the number of symbols seen after them; of contexts that occur at least
+    ``least`` times, where they are whole here."""
+    schema = pa.schema([("depth", pa.int32()), ("run", pa.int64()), ("n", pa.int64()), ("total", pa.int64()), ("m", pa.int32())])
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         k = key[0].as_py()
@@ -180,12 +180,14 @@ def _totals(least: int):
             return schema.empty_table()
         order = np.argsort(code)
         code, n = counted(code[order], n[order])
-        total = pa.nulls(len(code), pa.int64())
+        total, m = pa.nulls(len(code), pa.int64()), pa.nulls(len(code), pa.int32())
         if k > NEAR:
             _, where = np.unique(context_of(code, k), return_inverse=True)
             sums = np.bincount(where, weights=n).astype(np.int64)[where]
-            code, n, total = code[sums >= least], n[sums >= least], pa.array(sums[sums >= least])
-        return pa.table([pa.array(np.full(len(code), k), pa.int32()), pa.array(code), pa.array(n), total], schema=schema)
+            kept = sums >= least
+            total, m = pa.array(sums[kept]), pa.array(np.bincount(where)[where][kept], pa.int32())
+            code, n = code[kept], n[kept]
+        return pa.table([pa.array(np.full(len(code), k), pa.int32()), pa.array(code), pa.array(n), total, m], schema=schema)
 
     return run
 
@@ -195,18 +197,19 @@ def context_column(k: int) -> Column:
 
 
 def frequent(messages: DataFrame, depth: int, least: int) -> list[DataFrame]:
-    """For each context length: run, n, context and its total, of the contexts
-    that occur at least ``least`` times (the empty one always)."""
+    """For each context length: run, n, the context's total and its number m
+    of next symbols, of the contexts that occur at least ``least`` times (the
+    empty one always)."""
     sums = stored(
-        messages.groupBy("depth", "bucket").applyInArrow(_totals(least), "depth int, run long, n long, total long")
+        messages.groupBy("depth", "bucket").applyInArrow(_totals(least), "depth int, run long, n long, total long, m int")
     )
     found = []
     for k in range(depth + 1):
-        level = sums.filter(F.col("depth") == k).withColumn("context", context_column(k)).select("run", "n", "context", "total")
+        level = sums.filter(F.col("depth") == k).select("run", "n", "total", "m")
         if k <= NEAR:  # at most 256 contexts
-            totals = level.groupBy("context").agg(F.sum("n").alias("all"))
-            level = level.join(F.broadcast(totals), "context").filter(F.col("all") >= (least if k else 0))
-            level = level.select("run", "n", "context", F.col("all").alias("total"))
+            totals = level.groupBy(context_column(k).alias("context")).agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
+            level = level.join(F.broadcast(totals), context_column(k) == F.col("context")).filter(F.col("all") >= (least if k else 0))
+            level = level.select("run", "n", F.col("all").alias("total"), F.col("kinds").cast("int").alias("m"))
         found.append(level)
     return found
 
@@ -216,13 +219,13 @@ def states(shares: list[DataFrame]) -> DataFrame:
     kept = []
     for k in range(1, len(shares)):
         expected = shares[k - 1].select(F.col("run").alias("short"), (F.col("n") / F.col("total")).alias("expected"))
-        both = shares[k].withColumn("short", F.shiftright("run", 8)).join(expected, "short")
-        gain = both.groupBy("context").agg(
-            F.sum(F.col("n") * F.log2(F.col("n") / F.col("total") / F.col("expected"))).alias("gain"),
-            F.count(F.lit(1)).alias("m"), F.first("total").alias("total"),
-        )
-        far = gain.filter(F.col("gain") > (F.col("m") - 1) / 2 * F.log2("total") + 1).select(F.lit(k).alias("depth"), "context")
-        kept.append(far)
+        both = shares[k].join(expected, F.shiftright("run", 8) == F.col("short"))
+        bits = F.col("n") * F.log2(F.col("n") / F.col("total") / F.col("expected"))
+        cost = (F.col("m") - 1) / 2 * F.log2("total") + 1
+        # the cost of a context is spread over its symbols, so one sum is all that is grouped
+        gain = both.select(context_column(k).alias("context"), (bits - cost / F.col("m")).alias("over"))
+        far = gain.groupBy("context").agg(F.sum("over").alias("over")).filter(F.col("over") > 0)
+        kept.append(far.select(F.lit(k).alias("depth"), "context"))
     far = stored(reduce(DataFrame.union, kept))
     # a state and its shorter contexts
     each = F.explode(F.sequence(F.lit(0), F.col("depth") - 1)).alias("less")
@@ -243,12 +246,11 @@ def model(shares: list[DataFrame], retained: DataFrame, buckets: int) -> DataFra
     parts = [level.select(F.lit(0).alias("depth"), "run", F.log10("p").alias("seen"), F.lit(0.0).alias("back"))]
     for k in range(1, len(shares)):
         mine = retained.filter(F.col("depth") == k).select("context")
-        rows = shares[k].join(mine, "context", "left_semi")
-        kinds = rows.groupBy("context").agg(F.count(F.lit(1)).alias("m"))
+        rows = shares[k].join(mine, context_column(k) == F.col("context"), "left_semi")
         short = level.select(F.col("run").alias("short"), F.col("p").alias("before"))
         whole = F.col("total") + F.col("m")
         level = stored(
-            rows.join(kinds, "context").withColumn("short", F.shiftright("run", 8)).join(short, "short")
+            rows.join(short, F.shiftright("run", 8) == F.col("short"))
             .select("run", ((F.col("n") + F.col("m") * F.col("before")) / whole).alias("p"), (F.col("m") / whole).alias("weight"))
         )
         parts.append(level.select(F.lit(k).alias("depth"), "run", F.log10("p").alias("seen"), F.log10("weight").alias("back")))
@@ -292,20 +294,21 @@ def _answers(asked: pa.Table, table: pa.Table) -> pa.Table:
 
 
 def _laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bytes of each text with the name of its unit."""
+    """Bytes of the texts of each slice of a unit, compressed, with their ids,
+    sizes and numbers of words."""
     for begin, held in named(batches, lower=True):
-        name, place = begin + digest(held), 0
-        for batch, w in held:
+        name = begin + digest(held)
+        for k, (batch, w) in enumerate(held):
             data, off = body(w)
+            ids = batch.column("id").slice(w.row, w.n_docs)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([name] * w.n_docs, pa.binary()), pa.array(np.arange(place, place + w.n_docs), pa.int32()),
-                    batch.column("id").slice(w.row, w.n_docs), pa.array(np.diff(w.first), pa.int64()),
-                    pa.array([data[a:b].tobytes() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)], pa.binary()),
+                    pa.array([name], pa.binary()), pa.array([k], pa.int32()), pa.ListArray.from_arrays(pa.array([0, w.n_docs], pa.int32()), ids),
+                    pa.array([packed(np.diff(w.first))], pa.binary()), pa.array([packed(np.diff(off))], pa.binary()),
+                    pa.array([zlib.compress(data.tobytes(), 1)], pa.binary()),
                 ],
-                names=["unit", "place", "id", "words", "body"],
+                names=["unit", "slice", "ids", "words", "sizes", "body"],
             )
-            place += w.n_docs
         release()
 
 
@@ -342,13 +345,11 @@ def _summed(depth: int, buckets: int, near):
     """Log10 chance of each text of a unit, from those of its runs."""
 
     def run(laid: pa.Table, answers: pa.Table) -> pa.Table:
-        size = pc.binary_length(laid["body"]).to_numpy().astype(np.int64)
-        ends = np.cumsum(size)
-        cuts = np.unique(np.concatenate([[0], np.searchsorted(ends, np.arange(1 << 20, int(ends[-1]) if len(ends) else 0, 1 << 20)), [len(size)]]))
+        laid = laid.sort_by("slice")
         held = []
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            data = np.frombuffer(b"".join(laid["body"].slice(a, b - a).to_pylist()), np.uint8)
-            code, first = text_runs(data, np.concatenate([[0], np.cumsum(size[a:b])]), depth)
+        for sizes, raw in zip(laid["sizes"].to_pylist(), laid["body"].to_pylist(), strict=True):
+            data = np.frombuffer(zlib.decompress(raw), np.uint8)
+            code, first = text_runs(data, np.concatenate([[0], np.cumsum(unpacked(sizes))]), depth)
             held.append((*np.unique(code, return_inverse=True), first))
         parts = []
         if held:
@@ -356,10 +357,17 @@ def _summed(depth: int, buckets: int, near):
             value = values_of(whole, answers, depth, buckets, *near.value)
             for u, where, first in held:
                 parts.append(np.add.reduceat(value[np.searchsorted(whole, u)][where], first[:-1]))
+        words = np.concatenate([np.zeros(0, np.int64), *map(unpacked, laid["words"].to_pylist())])
+        ids = laid["ids"].combine_chunks().flatten()
         del held
         release()
-        score = pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
-        return laid.select(["unit", "place", "id", "words"]).append_column("score", score)
+        return pa.table(
+            {
+                "unit": pa.array([laid["unit"][0].as_py()] * len(ids) if len(ids) else [], pa.binary()),
+                "place": pa.array(np.arange(len(ids)), pa.int32()), "id": ids, "words": pa.array(words, pa.int64()),
+                "score": pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64()),
+            }
+        )
 
     return run
 
@@ -503,7 +511,9 @@ def _score(docs: DataFrame, folds: int, depth: int, least: int, id_col: str, tex
         answers.filter("unit is not null").select("unit", "places", "base", "known").groupBy("unit")
         .applyInArrow(_added, "unit binary, place int, base double, known long")
     )
-    laid = texts.select("id", "text").mapInArrow(_laid_out, f"unit binary, place int, id {kind}, words long, body binary")
+    laid = texts.select("id", "text").mapInArrow(
+        _laid_out, f"unit binary, slice int, ids array<{kind}>, words binary, sizes binary, body binary"
+    )
     scored = (
         laid.groupBy("unit").cogroup(chance.groupBy("unit"))
         .applyInArrow(_summed(depth, buckets, known), f"unit binary, place int, id {kind}, words long, score double")
