@@ -38,12 +38,33 @@ def memo(spark: SparkSession, key: tuple, build):
     return c[key]
 
 
+#: Settings that change the types that a Parquet footer is read as.
+_TYPE_SETTINGS = ("spark.sql.parquet.inferTimestampNTZ.enabled", "spark.sql.parquet.binaryAsString", "spark.sql.parquet.int96AsTimestamp")
+
+
+def table_schema(spark: SparkSession, path: str) -> StructType:
+    """Schema of a Parquet table, from its footers once as long as the table
+    stays the same: it is known again by the path's modification time and
+    length, which cost one look at the file system instead of a Spark job."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    status = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
+    known = getattr(spark, "_quantis_schemas", None)
+    if known is None:
+        known = spark._quantis_schemas = {}
+    mark = (status.getModificationTime(), status.getLen(), *(spark.conf.get(c, None) for c in _TYPE_SETTINGS))
+    # a store that keeps no times of its folders tells 0: nothing is known of them
+    if not mark[0] or known.get(path, (None, None))[0] != mark:
+        known[path] = mark, spark.read.parquet(path).schema
+    return known[path][1]
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """``<base>/<name>.parquet`` (a file or a directory of parts).
 
-    The relation is memoised until :func:`clear_plans`."""
+    The relation is memoised until :func:`clear_plans`, so its files are
+    listed for every query; its schema is kept while the table is unchanged."""
     path = f"{base.rstrip('/')}/{name}.parquet"
-    return memo(spark, ("read", path), lambda: spark.read.parquet(path))
+    return memo(spark, ("read", path), lambda: spark.read.schema(table_schema(spark, path)).parquet(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> DataFrame:

@@ -193,3 +193,19 @@ def test_command_line_report(spark):
     with open(os.path.join(out, "county=Asia", part[0])) as fh:
         recs = [(r["sub_county"], r["keph_level"], r["facility_name"]) for r in csv.DictReader(fh)]
     assert recs and recs == sorted(recs)
+
+
+def test_a_schema_is_read_again_when_the_table_changes(spark, tmp_path):
+    from quantis.sources import clear_plans, read_table
+
+    path = str(tmp_path / "things.parquet")
+    spark.createDataFrame([(1,)], "a int").write.parquet(path)
+    assert read_table(spark, str(tmp_path), "things").dtypes == [("a", "int")]
+    clear_plans(spark)
+    spark.sparkContext.setJobGroup("known schema", "")
+    assert rows(read_table(spark, str(tmp_path), "things").limit(0)) == []
+    clear_plans(spark)
+    spark.createDataFrame([("x", 2.5)], "a string, b double").write.mode("overwrite").parquet(path)
+    assert rows(read_table(spark, str(tmp_path), "things")) == [("x", 2.5)]
+    clear_plans(spark)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
