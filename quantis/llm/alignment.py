@@ -54,7 +54,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from quantis.llm.tokencount import byte_symbols
 from quantis.llm.vocabulary import take_spans
 from quantis.llm.wordbatch import slices, texts, utf8
-from quantis.llm.work import kept, release, stored
+from quantis.llm.work import bounded_batches, kept, release, stored
 
 UNIT_BYTES, SLICE_BYTES = 8 << 20, 1 << 20
 #: Products that a block of rows makes at a time.
@@ -427,7 +427,8 @@ def _units(path_a: str, path_b: str):
                 ],
                 names=["unit", "docs", "pairs", "held", "cells", "columns", "times"],
             )
-        release()
+            del u, docs, found, doc, pair, times, figures, columns, struct, held, ids
+            release()
 
     return run
 
@@ -461,12 +462,13 @@ def report(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     struct = f"id:{kind}," + ",".join(f"{c}:{'string' if t == pa.string() else 'bigint'}" for c, t in DOC)
-    units = stored(
-        rows.mapInArrow(
-            _units(path_a, path_b),
-            f"unit string, docs array<struct<{struct}>>, pairs array<bigint>, held array<int>, cells binary, columns binary, times binary",
+    with bounded_batches(docs.sparkSession):
+        units = stored(
+            rows.mapInArrow(
+                _units(path_a, path_b),
+                f"unit string, docs array<struct<{struct}>>, pairs array<bigint>, held array<int>, cells binary, columns binary, times binary",
+            )
         )
-    )
     asked = units.select("unit", F.posexplode(F.arrays_zip("pairs", "held")).alias("place", "of"))
     asked = asked.select("unit", "place", F.col("of.pairs").alias("pair"), F.col("of.held").alias("held"))
     counts = stored(asked.groupBy("pair").agg(F.sum("held").alias("count")))
