@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 
 from quantis.llm.vocabulary import take_spans
-from quantis.llm.wordbatch import U64, Words, split_words, word_hash
+from quantis.llm.wordbatch import U64, Words, split_words, texts, utf8, word_hash
 
 UNIT_BYTES = 8 << 20
 
@@ -58,13 +58,18 @@ def numbered(slices: list[tuple[pa.RecordBatch, Words]]) -> np.ndarray:
 
 
 def named(batches: Iterator[pa.RecordBatch], lower: bool = False) -> Iterator[tuple[bytes, list[tuple[pa.RecordBatch, Words]]]]:
-    """Place in the task and texts of each unit (column ``text``)."""
+    """Place in the task and texts of each unit (column ``text``).  A unit ends
+    with the text that fills it, whatever batches the texts come in."""
     context = TaskContext.get()
     held, size, n = [], 0, 0
     for batch in batches:
-        for w in split_words(batch.column("text"), lower):
-            held.append((batch, w))
-            size += len(w.data)
+        off, a = utf8(texts(batch.column("text")))[1], 0
+        while a < len(batch):
+            b = min(max(a + 1, int(np.searchsorted(off, off[a] + UNIT_BYTES - size))), len(batch))
+            part = batch.slice(a, b - a)
+            held.extend((part, w) for w in split_words(part.column("text"), lower))
+            size += int(off[b] - off[a])
+            a = b
             if size >= UNIT_BYTES:
                 yield f"{context.partitionId() if context else 0}-{n}-".encode(), held
                 held, size, n = [], 0, n + 1

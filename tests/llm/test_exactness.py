@@ -134,3 +134,22 @@ def test_equal_rows_take_linear_time(spark):
     seconds(100)
     few, many = seconds(32_000), seconds(64_000)
     assert many < 2 * few + 2
+
+
+def test_units_do_not_depend_on_batches(monkeypatch):
+    """Two reads of one table may bring it in batches of other sizes."""
+    from quantis.llm import units
+
+    rng = random.Random(2)
+    rows = pa.table({"id": list(range(400)), "text": [" ".join(rng.choices("abcdef", k=rng.randrange(0, 90))) or None for _ in range(400)]})
+    monkeypatch.setattr(units, "UNIT_BYTES", 900)
+
+    def found(size):
+        out = []
+        for name, held in units.named(iter(rows.to_batches(max_chunksize=size))):
+            ids = [i for part, w in held for i in part.column("id").slice(w.row, w.n_docs).to_pylist()]
+            out.append((name + units.digest(held), ids))
+        return out
+
+    assert found(1) == found(7) == found(400) and len(found(7)) > 10
+    assert [i for _, ids in found(7) for i in ids] == list(range(400))
