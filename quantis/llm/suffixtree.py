@@ -53,7 +53,8 @@ from quantis.llm.substring import joined
 from quantis.llm.units import digest, named, units
 from quantis.llm.vocabulary import packed, runs, unpacked
 from quantis.llm.wordbatch import PLACE, U64, Words, distinct, mix
-from quantis.llm.work import bounded_batches, cut, release, stored
+from quantis.llm.work import bounded_batches, release
+from quantis.llm.work import stored_alone as stored
 
 DEPTH, LEAST = 6, 10
 #: Longest contexts whose states every worker holds: at most 257 of them, with 256 next symbols each.

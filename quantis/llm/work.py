@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -75,6 +76,16 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_alone(df: DataFrame) -> DataFrame:
+    """``stored``, and the shuffle files that made it are given up: Spark
+    deletes them when the driver's collectors find that nothing refers to them,
+    which long chains of tables would otherwise wait for."""
+    out = stored(df)
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return out
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are written to the shared folder, so
     later reads neither recompute the plan nor depend on one executor."""
