@@ -68,11 +68,11 @@ def release() -> None:
         pass
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """The rows as a table in the shared folder: compressed, read by column,
     and independent of the executors that made them."""
     path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -80,7 +80,7 @@ def stored_alone(df: DataFrame) -> DataFrame:
     """``stored``, and the shuffle files that made it are given up: Spark
     deletes them when the driver's collectors find that nothing refers to them,
     which long chains of tables would otherwise wait for."""
-    out = stored(df)
+    out = stored(df, "zstd")
     gc.collect()
     df.sparkSession._jvm.System.gc()
     return out
