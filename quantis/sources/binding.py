@@ -13,8 +13,7 @@ unclassified items, unmatched facilities and unknown codes that the reports
 must handle.  Every source row is kept: a key that must not match is
 misspelled, as in the data that the override lists repair, never left out.
 
-Scale: the fact joins are written dimension-first (customer -> nation ->
-region collapses to one facility table before it meets orders), nation and
+Scale: orders meet their customers before they meet lineitem, nation and
 region are broadcast (25 and 5 rows by definition), and every other join is
 left to the optimizer and AQE: at 100 TB ``orders``, ``customer`` and
 ``part`` are shuffled, not broadcast.
@@ -96,13 +95,15 @@ def tab_expr(p_size: Column) -> Column:
     return F.concat(n.cast("string"), F.lit("."), F.element_at(names, n.cast("int")))
 
 
+def keph_level() -> Column:
+    return F.concat(F.lit("KEPH Level "), (F.col("c_custkey") % 5 + 2).cast("string"))
+
+
 @_memoized
 def _customers(spark: SparkSession, base: str) -> DataFrame:
     """Customer (facility) attributes computed once per customer."""
     c = read_table(spark, base, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    return c.withColumn(
-        "keph_level", F.concat(F.lit("KEPH Level "), (F.col("c_custkey") % 5 + 2).cast("string"))
-    )
+    return c.withColumn("keph_level", keph_level())
 
 
 @_memoized
@@ -138,31 +139,33 @@ def _parts(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _fact(spark: SparkSession, base: str, divergent: bool | None) -> DataFrame:
-    """Fact-first star join: lineitem meets each dimension in turn;
-    ``divergent`` selects the counties of one schema, None keeps all.
-
-    Written this way every join compares the fact with one dimension, so
-    the optimizer's size check sees the dimension's own size (a pre-joined
-    dimension chain is estimated as the product of its inputs and would
-    never qualify).  Locally the dimensions are broadcast and lineitem
-    streams; at 100 TB orders / customer / part exceed the threshold and are
-    sort-merge joined, while nation x region (25 rows) is always broadcast.
+    """Star join of the facts; ``divergent`` selects the counties of one
+    schema, None keeps all.
+
+    Orders meet their facility first, as orders are a fraction of the lines:
+    lineitem is then dealt by order and by part, and never by customer, and
+    the orders of other counties are dropped before they are dealt (nation x
+    region, 25 rows, is always broadcast).  Orders grow with the lines, so
+    that join is a shuffled one at every size, without a sort; a task holds
+    its share of the orders.  Customers and parts are broadcast as long as
+    they are small, each compared by its own size (a pre-joined dimension
+    chain is estimated as the product of its inputs).
     """
     li = read_table(spark, base, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_returnflag", "l_linestatus",
     )
     o = read_table(spark, base, "orders").select("o_orderkey", "o_custkey")
-    c = _customers(spark, base)
+    c = read_table(spark, base, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     in_tn = F.col("r_name") == F.lit(DIVERGENT_REGION)
     geo = _geo(spark, base)
     if divergent is not None:
         geo = geo.where(in_tn if divergent else ~in_tn)
     p = _parts(spark, base)
-    f = li.join(o, li.l_orderkey == o.o_orderkey)
-    f = f.join(c, f.o_custkey == c.c_custkey)
-    f = f.join(F.broadcast(geo), f.c_nationkey == geo.n_nationkey)
-    return f.join(p, f.l_partkey == p.p_partkey)
+    o = o.join(c, o.o_custkey == c.c_custkey).drop("o_custkey")
+    o = o.join(F.broadcast(geo), o.c_nationkey == geo.n_nationkey)
+    f = li.join(o.hint("shuffle_hash"), li.l_orderkey == o.o_orderkey)
+    return f.join(p, f.l_partkey == p.p_partkey).withColumn("keph_level", keph_level())
 
 
 def _common(f: DataFrame) -> dict[str, Column]:

@@ -88,6 +88,35 @@ def test_no_single_partition_stage_over_fact_rows(spark, name):
         below = lines[i + 1 : i + 4]
         assert any("Aggregate" in ln and ("__b" in ln or "__range" in ln) for ln in below), below
 
+def line_exchanges(p: str) -> list[list[str]]:
+    """The exchanges above each scan of lineitem."""
+    lines = p.splitlines()
+    scans = [i for i, ln in enumerate(lines) if "FileScan parquet" in ln and "l_orderkey" in ln]
+    return [[a for a in ancestors(lines, i) if a.startswith("Exchange hashpartitioning")] for i in scans]
+
+
+@pytest.mark.parametrize("name", ["all_counties_two_sources", "all_counties"])
+def test_lines_are_dealt_by_order_part_and_class_only(spark, name):
+    """Where no side can be broadcast, orders find their facility before they
+    meet the lines, which are never dealt by customer."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        found = line_exchanges(plan(QUERIES[name](spark, SF_SMALL)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert found
+    for above in found:
+        assert len(above) <= 3 and not any("custkey" in a for a in above), above
+
+
+@pytest.mark.parametrize("name", ["all_counties_two_sources", "all_counties", "resolve_ven_inner", "resolve_ven_left"])
+def test_orders_meet_lines_by_a_shuffle_at_every_size(spark, name):
+    found = line_exchanges(plan(QUERIES[name](spark, SF_SMALL)))
+    assert found and all(any("l_orderkey" in a for a in above) for above in found)
+
 
 def test_hot_key_join_is_split_by_aqe(spark):
     """One key holds a third of the fact rows and the dimension is too large
