@@ -123,10 +123,8 @@ def resolve_ven(forecasts: DataFrame, new_cat: DataFrame, how: str = "left") ->
     # rows with a VEN match nothing: their key is their own hash, which is never 0
     own = F.xxhash64(*[F.col(f"`{c}`") for c in forecasts.columns]).bitwiseOR(F.lit(1))
     spread = forecasts.withColumn("__spread", F.when(F.col("ven").isNull(), F.lit(0).cast("long")).otherwise(own))
-    open_ = {k: F.when(F.col("ven").isNull(), F.col(k)) for k in keys()}
-    asked = spread.withColumns({f"__open{i}": v for i, v in enumerate(open_.values())})
-    on = [(f"__open{i}", k) for i, k in enumerate(keys())] + ["__spread"]
-    j = null_safe_join(asked, nc, on, "left").drop("__spread", *[f"__open{i}" for i in range(len(open_))])
+    # the number comes first, so sorts seldom compare strings
+    j = null_safe_join(spread, nc, ["__spread", *keys()], "left").drop("__spread")
     if how == "inner":
         j = j.where(F.col("ven").isNotNull() | F.col("__hit").isNotNull())
     elif how != "left":

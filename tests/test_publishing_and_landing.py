@@ -204,6 +204,17 @@ def test_resolved_rows_are_spread_when_the_list_is_too_long(spark, no_broadcast)
     assert out.columns == [S.ITEM, "tab", "ven", "n"]
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_resolved_rows_carry_their_item_once(spark, no_broadcast, how):
+    """Item and tab are the longest texts of a row: its join key is no copy of them."""
+    df = spark.createDataFrame([("i", "t", None)], f"{S.ITEM} string, tab string, ven string")
+    new = spark.createDataFrame([("i", "t", "E", None)], S.NEW_CATEGORIZATION)
+    out = C.resolve_ven(df, new, how)
+    dealt = [ln for ln in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Project" in ln and "__spread" in ln and "xxhash64" in ln]
+    assert dealt and all("CASE" in ln and ln.count("CASE") == 1 for ln in dealt), dealt
+    assert rows(out) == [("i", "t", "E")]
+
+
 def test_null_keys_of_resolved_rows_match_nothing(spark, no_broadcast):
     df = spark.createDataFrame([(None, "t", "V"), (None, "t", None), ("i", None, None)], f"{S.ITEM} string, tab string, ven string")
     new = spark.createDataFrame([(None, "t", "N", None), (None, None, "E", None)], S.NEW_CATEGORIZATION)
