@@ -42,6 +42,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -53,7 +54,7 @@ from quantis.llm.substring import joined
 from quantis.llm.units import digest, named, units
 from quantis.llm.vocabulary import packed, runs, unpacked
 from quantis.llm.wordbatch import PLACE, U64, Words, distinct, mix
-from quantis.llm.work import bounded_batches, release
+from quantis.llm.work import bounded_batches, passing_folder, release
 from quantis.llm.work import stored_alone as stored
 
 DEPTH, LEAST = 6, 10
@@ -106,24 +107,39 @@ def bucket_of(run: np.ndarray, k: int, buckets: int) -> np.ndarray:
     return (mix(key.astype(U64) * U64(PLACE) + U64(k + 1)) % U64(buckets)).astype(np.int64)
 
 
+@dataclass
+class Level:
+    """Distinct runs of one depth, and how messages list them: by bucket, then
+    by run."""
+
+    run: np.ndarray
+    new: np.ndarray  # first of the whole runs that each stands for
+    order: np.ndarray
+    bucket: np.ndarray
+
+
 class Levels:
-    """Distinct runs of a unit at every depth, and how its messages list them:
-    by bucket, then by run."""
+    """Distinct runs of a unit at every depth.  A depth is made when it is asked
+    for: all of them would take many times the memory of the unit's texts."""
 
     def __init__(self, whole: np.ndarray, depth: int, buckets: int):
-        self.run: list[np.ndarray] = []
-        self.new: list[np.ndarray] = []  # first of the whole runs that each stands for
-        self.order: list[np.ndarray] = []
-        self.bucket: list[np.ndarray] = []
-        for k in range(depth + 1):
-            short = whole >> (8 * (depth - k))
-            new = np.flatnonzero(np.concatenate([[True], short[1:] != short[:-1]])) if len(short) else np.zeros(0, np.int64)
-            self.run.append(short[new])
-            self.new.append(new)
-            bucket = bucket_of(short[new], k, buckets)
-            order = np.argsort(bucket, kind="stable")
-            self.order.append(order)
-            self.bucket.append(bucket[order])
+        self.whole, self.depth, self.buckets = whole, depth, buckets
+
+    def at(self, k: int) -> Level:
+        short = self.whole >> (8 * (self.depth - k))
+        new = np.flatnonzero(np.concatenate([[True], short[1:] != short[:-1]])) if len(short) else np.zeros(0, np.int64)
+        short = short[new]
+        bucket = bucket_of(short, k, self.buckets).astype("<u2" if self.buckets < 1 << 16 else "<i4")
+        order = np.argsort(bucket, kind="stable")
+        return Level(short, new, order, bucket[order])
+
+    @property
+    def run(self) -> list[np.ndarray]:
+        return [self.at(k).run for k in range(self.depth + 1)]
+
+    @property
+    def bucket(self) -> list[np.ndarray]:
+        return [self.at(k).bucket for k in range(self.depth + 1)]
 
 
 def counted(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,27 +156,35 @@ def _messages(depth: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for place, held in named(batches, lower=True):
-            parts = []
-            for batch, w in held:
+            name, parts = place + digest(held), []
+            while held:  # a slice is given back when its runs are known
+                batch, w = held.pop()
                 code, first = text_runs(*body(w), depth)
                 train = batch.column("train").slice(w.row, w.n_docs).to_numpy(zero_copy_only=False)
-                key = np.sort((code << 1) | np.repeat(train.astype(np.int64), np.diff(first)))
-                parts.append(counted(key >> 1, key & 1))
-            code, learned = (np.concatenate(x) for x in zip(*parts, strict=True))
+                key = (code << 1) | np.repeat(train.astype(np.int64), np.diff(first))
+                del batch, w, code, first, train
+                key.sort()
+                parts.append(counted(key >> 1, (key & 1).astype(np.int32)))
+                del key
+            code, learned = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+            del parts
             order = np.argsort(code, kind="stable")
             code, learned = counted(code[order], learned[order])
-            levels = Levels(code, depth, buckets)
-            name, rows = place + digest(held), []
+            del order
+            levels, rows = Levels(code, depth, buckets), []
             for k in range(depth + 1):
-                count, order = np.add.reduceat(learned, levels.new[k])[levels.order[k]], levels.order[k]
-                code = levels.run[k][order]
-                for a, b in runs(levels.bucket[k]):
-                    rows.append((k, int(levels.bucket[k][a]), name, packed(np.diff(code[a:b], prepend=0)), packed(count[a:b])))
+                level = levels.at(k)
+                count, code = np.add.reduceat(learned, level.new)[level.order], level.run[level.order]
+                for a, b in runs(level.bucket):
+                    rows.append((k, int(level.bucket[a]), name, packed(np.diff(code[a:b], prepend=0)), packed(count[a:b])))
+                del level, count, code
+            del levels, learned
             kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
                 names=["depth", "bucket", "unit", "runs", "learned"],
             )
+            del rows
             release()
 
     return run
@@ -197,12 +221,13 @@ def context_column(k: int) -> Column:
     return F.col("run").bitwiseAND(F.lit((1 << (8 * k)) - 1))
 
 
-def frequent(messages: DataFrame, depth: int, least: int) -> list[DataFrame]:
+def frequent(messages: DataFrame, depth: int, least: int, folder: str | None = None) -> list[DataFrame]:
     """For each context length: run, n, the context's total and its number m
     of next symbols, of the contexts that occur at least ``least`` times (the
     empty one always)."""
     sums = stored(
-        messages.groupBy("depth", "bucket").applyInArrow(_totals(least), "depth int, run long, n long, total long, m int")
+        messages.groupBy("depth", "bucket").applyInArrow(_totals(least), "depth int, run long, n long, total long, m int"),
+        folder,
     )
     found = []
     for k in range(depth + 1):
@@ -215,7 +240,7 @@ def frequent(messages: DataFrame, depth: int, least: int) -> list[DataFrame]:
     return found
 
 
-def states(shares: list[DataFrame]) -> DataFrame:
+def states(shares: list[DataFrame], folder: str | None = None) -> DataFrame:
     """Depth and context of the retained contexts."""
     kept = []
     for k in range(1, len(shares)):
@@ -227,20 +252,20 @@ def states(shares: list[DataFrame]) -> DataFrame:
         gain = both.select(context_column(k).alias("context"), (bits - cost / F.col("m")).alias("over"))
         far = gain.groupBy("context").agg(F.sum("over").alias("over")).filter(F.col("over") > 0)
         kept.append(far.select(F.lit(k).alias("depth"), "context"))
-    far = stored(reduce(DataFrame.union, kept))
+    far = stored(reduce(DataFrame.union, kept), folder)
     # a state and its shorter contexts
     each = F.explode(F.sequence(F.lit(0), F.col("depth") - 1)).alias("less")
     shorter = far.select("depth", "context", each).select(
         (F.col("depth") - F.col("less")).alias("depth"), F.expr("shiftright(context, 8 * less)").alias("context")
     )
-    return stored(shorter.distinct())
+    return stored(shorter.distinct(), folder)
 
 
 #: A state's next symbol: log10 chance of the run, and log10 weight of the shorter context's chances.
 MODEL = "depth int, bucket int, run long, seen double, back double"
 
 
-def model(shares: list[DataFrame], retained: DataFrame, buckets: int) -> DataFrame:
+def model(shares: list[DataFrame], retained: DataFrame, folder: str | None = None) -> DataFrame:
     """Smoothed chances of the symbols seen after each state."""
     total = F.col("total") + 0.5 * SYMBOLS
     level = shares[0].select("run", ((F.col("n") + 0.5) / total).alias("p"))
@@ -252,7 +277,8 @@ def model(shares: list[DataFrame], retained: DataFrame, buckets: int) -> DataFra
         whole = F.col("total") + F.col("m")
         level = stored(
             rows.join(short, F.shiftright("run", 8) == F.col("short"))
-            .select("run", ((F.col("n") + F.col("m") * F.col("before")) / whole).alias("p"), (F.col("m") / whole).alias("weight"))
+            .select("run", ((F.col("n") + F.col("m") * F.col("before")) / whole).alias("p"), (F.col("m") / whole).alias("weight")),
+            folder,
         )
         parts.append(level.select(F.lit(k).alias("depth"), "run", F.log10("p").alias("seen"), F.log10("weight").alias("back")))
     return reduce(DataFrame.union, parts)
@@ -321,21 +347,23 @@ def values_of(whole: np.ndarray, answers: pa.Table, depth: int, buckets: int, ne
     }
     value, back = np.full(len(whole), np.nan), np.zeros(len(whole))
     for k in range(depth, -1, -1):
+        level = levels.at(k)
         if k <= NEAR:
-            got = coded(levels.run[k], k, *near[k])
+            got = coded(level.run, k, *near[k])
             if not k:  # the root knows all symbols
                 got = np.where(got < 0, got, unseen)
         else:
-            listed = np.zeros(len(levels.run[k]))
-            for a, b in runs(levels.bucket[k]):
-                n, raw = held.get((k, int(levels.bucket[k][a])), (b - a, None))
+            listed = np.zeros(len(level.run))
+            for a, b in runs(level.bucket):
+                n, raw = held.get((k, int(level.bucket[a])), (b - a, None))
                 if n != b - a:
                     raise RuntimeError("the texts were not the same when read again; write them to a table before scoring")
                 if raw is not None:
                     listed[a:b] = np.frombuffer(zlib.decompress(raw), "<f4")
             got = np.empty(len(listed))
-            got[levels.order[k]] = listed
-        mine = np.repeat(got, np.diff(np.append(levels.new[k], len(whole))))
+            got[level.order] = listed
+        mine = np.repeat(got, np.diff(np.append(level.new, len(whole))))
+        del level, got
         open_ = np.isnan(value)
         value = np.where(open_ & (mine < 0), back + mine, value)
         back = np.where(open_ & (mine > 0), back - mine, back)
@@ -351,7 +379,9 @@ def _summed(depth: int, buckets: int, near):
         for sizes, raw in zip(laid["sizes"].to_pylist(), laid["body"].to_pylist(), strict=True):
             data = np.frombuffer(zlib.decompress(raw), np.uint8)
             code, first = text_runs(data, np.concatenate([[0], np.cumsum(unpacked(sizes))]), depth)
-            held.append((*np.unique(code, return_inverse=True), first))
+            u, where = np.unique(code, return_inverse=True)
+            held.append((u, where.astype(np.int32), first))
+            del data, code, where
         parts = []
         if held:
             whole = distinct(np.concatenate([u for u, _, _ in held]))
@@ -398,6 +428,8 @@ def _occurrences(buckets: int):
                     "docs": pa.array([doc[off[a] : off[b]].tobytes() for _, a, b in rows], pa.binary()),
                 }
             )
+            del u, doc, order, n, learned, off, rows, train
+            release()
 
     return run
 
@@ -463,19 +495,24 @@ def score(
 
 def chances(texts: DataFrame, depth: int, least: int, buckets: int) -> tuple[DataFrame, tuple]:
     """Answers to all units, and what every worker knows: the states of the
-    shortest contexts and the root's chance of a symbol that it never saw."""
-    messages = stored(texts.select("text", "train").mapInArrow(_messages(depth, buckets), MESSAGE))
-    shares = frequent(messages, depth, least)
-    rows = stored(model(shares, states(shares), buckets))
-    near = rows.filter(F.col("depth") <= NEAR).toPandas()
-    parts = [near[near["depth"] == k].sort_values("run") for k in range(NEAR + 1)]
-    known = [tuple(p[c].to_numpy() for c in ("run", "seen", "back")) for p in parts]
-    places = shares[0].agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    unseen = math.log10(0.5 / (places + 0.5 * SYMBOLS))
-    asked = messages.filter(F.col("depth") > NEAR)
-    deep = rows.filter(F.col("depth") > NEAR).mapInArrow(_with_bucket(buckets), MODEL)
-    answers = asked.groupBy("depth", "bucket").cogroup(deep.groupBy("depth", "bucket")).applyInArrow(_answers, ANSWER)
-    return answers, (known, unseen)
+    shortest contexts and the root's chance of a symbol that it never saw.
+
+    The answers are written, so the messages, the tables of the tree and the
+    shuffles that brought them together do not stay on disk beside what
+    follows."""
+    with passing_folder(texts.sparkSession) as folder:
+        messages = stored(texts.select("text", "train").mapInArrow(_messages(depth, buckets), MESSAGE), folder)
+        shares = frequent(messages, depth, least, folder)
+        rows = model(shares, states(shares, folder), folder)
+        near = rows.filter(F.col("depth") <= NEAR).toPandas()
+        parts = [near[near["depth"] == k].sort_values("run") for k in range(NEAR + 1)]
+        known = [tuple(p[c].to_numpy() for c in ("run", "seen", "back")) for p in parts]
+        places = shares[0].agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        unseen = math.log10(0.5 / (places + 0.5 * SYMBOLS))
+        asked = messages.filter(F.col("depth") > NEAR).select("depth", "bucket", "unit", "runs")
+        deep = rows.filter(F.col("depth") > NEAR).mapInArrow(_with_bucket(buckets), MODEL)
+        answers = asked.groupBy("depth", "bucket").cogroup(deep.groupBy("depth", "bucket")).applyInArrow(_answers, ANSWER)
+        return stored(answers), (known, unseen)
 
 
 def _with_bucket(buckets: int):

@@ -88,4 +88,7 @@ def digest(slices: list[tuple[pa.RecordBatch, Words]]) -> bytes:
 def units(batches: Iterator[pa.RecordBatch], buckets: int, lower: bool = False) -> Iterator[Unit]:
     """Units of a task's texts (column ``text``)."""
     for name, slices in named(batches, lower):
-        yield Unit(name, slices, buckets)
+        unit = Unit(name, slices, buckets)
+        del slices
+        yield unit
+        del unit  # not held while the next one is read

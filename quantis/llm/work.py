@@ -68,24 +68,41 @@ def release() -> None:
         pass
 
 
-def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
-    """The rows as a table in the shared folder: compressed, read by column,
-    and independent of the executors that made them."""
-    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+def stored(df: DataFrame, compression: str = "snappy", folder: str | None = None) -> DataFrame:
+    """The rows as a table in the shared folder (or in ``folder``, which is one
+    below it): compressed, read by column, and independent of the executors
+    that made them."""
+    path = f"{folder or checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stored_alone(df: DataFrame) -> DataFrame:
-    """``stored``, and the shuffle files that made it are given up: Spark
-    deletes them when the driver's collectors find that nothing refers to them,
-    which long chains of tables would otherwise wait for."""
-    out = stored(df, "zstd")
+def give_up_shuffles(spark: SparkSession) -> None:
+    """Spark deletes shuffle files when the driver's collectors find that
+    nothing refers to them, which long chains of tables would otherwise wait
+    for."""
     gc.collect()
-    df.sparkSession._jvm.System.gc()
+    spark._jvm.System.gc()
+
+
+def stored_alone(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """``stored``, and the shuffle files that made it are given up."""
+    out = stored(df, "zstd", folder)
+    give_up_shuffles(df.sparkSession)
     return out
 
 
+@contextmanager
+def passing_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for tables that nothing reads any more when it is closed."""
+    path = f"{checkpoint_dir(spark)}/passing-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are written to the shared folder, so
     later reads neither recompute the plan nor depend on one executor."""

@@ -2,7 +2,9 @@
 
 import collections
 import math
+import os
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -10,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quantis.llm import suffixtree
+from quantis.session import ensure_checkpoint_dir
 from tests.llm.conftest import LOWER, words
 from tests.llm.test_operators_on_odd_rows import collected
 
@@ -124,3 +127,20 @@ def test_training_nothing_gives_equal_chances(spark):
     assert out["held_out"] and out["score"] == pytest.approx(3 * math.log10(1 / 256))
 
 
+def test_a_depth_of_a_units_runs_is_made_at_a_time():
+    whole = np.unique(np.random.default_rng(2).integers(0, 1 << 56, 400_000))
+    levels = suffixtree.Levels(whole, 6, 64)
+    tracemalloc.start()
+    for k in range(7):
+        levels.at(k)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * whole.nbytes
+
+
+def test_tables_of_the_tree_do_not_stay_beside_the_answers(spark):
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    out = suffixtree.score(spark.createDataFrame([(i, "the cat sat " * 9) for i in range(40)], "doc_id long, text string"))
+    assert len(set(os.listdir(folder)) - before) == 2  # the answers for runs and for words
+    assert out.count() == 40
