@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from quantis.llm.substring import binary_rows, binary_values
 from quantis.llm.units import Unit, units
 from quantis.llm.vocabulary import take_spans
-from quantis.llm.work import kept, release
+from quantis.llm.work import forget, kept, release
 
 #: Bytes of decoded text in an Arrow batch, about.
 TEXT_BYTES = 16 << 20
@@ -122,6 +122,8 @@ def _distinct(buckets: int):
                     "first": pa.array([r[1] for r in rows], pa.int32()), "words": pa.array([r[2] for r in rows], pa.binary()),
                 }
             )
+            del u, rows
+            release()
 
     return run
 
@@ -130,6 +132,8 @@ def _positions(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for u in units(batches, buckets):
             yield from unit_texts(u)
+            del u
+            release()
 
     return run
 
@@ -159,30 +163,67 @@ def _encode_words(path: str):
     return run
 
 
-def _replace(texts: pa.Table, words: pa.Table) -> pa.Table:
-    """Ids of a unit's texts: word numbers replaced by their words' ids."""
-    words = words.sort_by("first")
-    sizes = [np.frombuffer(zlib.decompress(b), "<u4") for b in words["sizes"].to_pylist()]
-    expected = np.cumsum([0] + [len(s) for s in sizes])[:-1]
-    size = np.concatenate([np.zeros(0, "<u4"), *sizes]).astype(np.int64)
-    ids = np.frombuffer(b"".join(map(zlib.decompress, words["ids"].to_pylist())), "<u4")
-    off = np.concatenate([[0], np.cumsum(size)])
-    out = []
-    for row in range(len(texts)):
-        planes = texts["planes"][row].as_py()
-        raw = np.frombuffer(zlib.decompress(texts["numbers"][row].as_py()), np.uint8).reshape(planes, -1)
-        number = sum(raw[k].astype(np.int64) << (8 * k) for k in range(planes))
-        if not np.array_equal(expected, words["first"].to_numpy()) or (len(number) and number.max() >= len(size)):
-            raise RuntimeError("the texts were not the same when read again; write them to a table before encoding")
-        body, place = take_spans(ids, off[number], off[number + 1])
-        ends = np.cumsum(np.frombuffer(texts["sizes"][row].as_py(), "<u4"), dtype=np.int64)
-        out.append(pa.table({"id": texts["ids"][row].values, "ids": binary_rows(body, place[np.concatenate([[0], ends])])}))
-    return pa.concat_tables(out)
+def _replace(pieces=None):
+    """Ids of a unit's texts: word numbers replaced by their words' ids.  With
+    the vocabulary's pieces the ids are arrays, and the texts they decode to
+    come with them."""
+
+    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
+        forget()  # the tokenizers of the stage before
+        words = words.sort_by("first")
+        sizes = [np.frombuffer(zlib.decompress(b), "<u4") for b in words["sizes"].to_pylist()]
+        expected = np.cumsum([0] + [len(s) for s in sizes])[:-1]
+        size = np.concatenate([np.zeros(0, "<u4"), *sizes]).astype(np.int64)
+        ids = np.frombuffer(b"".join(map(zlib.decompress, words["ids"].to_pylist())), "<u4")
+        off = np.concatenate([[0], np.cumsum(size)])
+        out = []
+        for row in range(len(texts)):
+            planes = texts["planes"][row].as_py()
+            raw = np.frombuffer(zlib.decompress(texts["numbers"][row].as_py()), np.uint8).reshape(planes, -1)
+            number = sum(raw[k].astype(np.int64) << (8 * k) for k in range(planes))
+            if not np.array_equal(expected, words["first"].to_numpy()) or (len(number) and number.max() >= len(size)):
+                raise RuntimeError("the texts were not the same when read again; write them to a table before encoding")
+            body, place = take_spans(ids, off[number], off[number + 1])
+            ends = np.cumsum(np.frombuffer(texts["sizes"][row].as_py(), "<u4"), dtype=np.int64)
+            at = place[np.concatenate([[0], ends])]
+            found = {"id": texts["ids"][row].values}
+            if pieces is None:
+                found["ids"] = binary_rows(body, at)
+            else:
+                found["ids"] = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(body.astype(np.int32)))
+                found["decoded"] = pa.array([text_of(body[a:b], pieces.value) for a, b in zip(at[:-1], at[1:], strict=True)], pa.string())
+            out.append(pa.table(found))
+        del words, sizes, size, ids, off
+        release()
+        return pa.concat_tables(out)
+
+    return run
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", packed: bool = False) -> DataFrame:
     """``id_col`` and ``ids`` of each document: an array of int, or if
     ``packed`` little-endian unsigned 32-bit integers as binary."""
+    places, answers, kind = _units_and_words(docs, path, id_col, text_col)
+    found = places.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(_replace(), f"id {kind}, ids binary")
+    if not packed:
+        found = found.mapInArrow(_unpack, f"id {kind}, ids array<int>")
+    return found.withColumnRenamed("id", id_col)
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one: ``id_col``, ``ids`` (array of int) and
+    ``decoded``.  The worker that puts a unit's ids together decodes them, so a
+    task needs one worker where the two need two, and the ids go to Python and
+    back once."""
+    places, answers, kind = _units_and_words(docs, path, id_col, text_col)
+    table = docs.sparkSession.sparkContext.broadcast(pieces(path))
+    found = places.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(_replace(table), f"id {kind}, ids array<int>, decoded string")
+    return found.withColumnRenamed("id", id_col)
+
+
+def _units_and_words(docs: DataFrame, path: str, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, str]:
+    """Texts of each unit as word numbers, the ids of its words, and the type
+    of the texts' ids."""
     check_kind(path)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
@@ -190,10 +231,13 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     asked = narrow.mapInArrow(_distinct(buckets), "bucket int, unit binary, first int, words binary")
     answers = asked.groupBy("bucket").applyInArrow(_encode_words(path), "unit binary, first int, sizes binary, ids binary")
     places = narrow.mapInArrow(_positions(buckets), f"unit binary, ids array<{kind}>, sizes binary, planes int, numbers binary")
-    found = places.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(_replace, f"id {kind}, ids binary")
-    if not packed:
-        found = found.mapInArrow(_unpack, f"id {kind}, ids array<int>")
-    return found.withColumnRenamed("id", id_col)
+    return places, answers, kind
+
+
+def text_of(ids: np.ndarray, pieces: tuple[np.ndarray, np.ndarray]) -> str:
+    """Pieces of the ids, joined by a space."""
+    data, off = pieces
+    return take_spans(data, off[ids], off[ids + 1])[0][:-1].tobytes().decode()
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,9 +247,8 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:1], ids, *batch.columns[2:]], names=batch.schema.names)
 
 
-def _decode(table, unpack: bool):
+def _decode(table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, off = table.value
         for whole in batches:
             step = max(1, len(whole) * TEXT_BYTES // (1 + 4 * whole.column("ids").nbytes))
             for a in range(0, len(whole), step):  # decoded texts are several times as long
@@ -213,31 +256,26 @@ def _decode(table, unpack: bool):
                 for x in batch.column("ids"):
                     raw = x.as_py()
                     ids = np.frombuffer(raw, "<u4") if isinstance(raw, bytes) else np.array(raw or [], np.int64)
-                    out.append(take_spans(data, off[ids], off[ids + 1])[0][:-1].tobytes().decode())
-                if unpack:
-                    batch = next(_unpack(iter([batch])))
+                    out.append(text_of(ids, table.value))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "decoded"])
         release()
 
     return run
 
 
-def decode(encoded: DataFrame, path: str, unpack: bool = False) -> DataFrame:
+def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Adds ``decoded``, the pieces of the column ``ids`` joined by a space
-    (these tokenizers have no decoder of their own); ``unpack`` turns packed
-    ids into arrays of int.  The vocabulary's pieces (about a megabyte) are
-    broadcast; workers need no tokenizer."""
+    (these tokenizers have no decoder of their own).  The vocabulary's pieces
+    (about a megabyte) are broadcast; workers need no tokenizer."""
     table = encoded.sparkSession.sparkContext.broadcast(pieces(path))
     kinds = {f.name: f.dataType.simpleString() for f in encoded.schema.fields}
-    if unpack:
-        kinds["ids"] = "array<int>"
     schema = ", ".join(f"`{name}` {kind}" for name, kind in kinds.items())
-    return encoded.mapInArrow(_decode(table, unpack), f"{schema}, decoded string")
+    return encoded.mapInArrow(_decode(table), f"{schema}, decoded string")
 
 
 def encoded_rows(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, source, ``ids`` (array of int), ``n_tokens`` and ``decoded`` of
     each document."""
     named = docs.select(F.struct("doc_id", "source").alias("row"), F.col("text").alias("text"))
-    out = decode(encode(named, path, "row", "text", packed=True), path, unpack=True)
+    out = round_trip(named, path, "row", "text")
     return out.select("row.doc_id", "row.source", "ids", F.size("ids").cast("long").alias("n_tokens"), "decoded")
