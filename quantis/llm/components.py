@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantis.llm.work import cut
+from quantis.llm.work import cut, give_up_shuffles
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -43,6 +43,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     now = now.filter("u != v")
     while not _are_stars(now):
         now = cut(_small_star(_large_star(now)))
+        give_up_shuffles(edges.sparkSession)  # a round's small files are many where tasks are
     ends = now.select(F.col("u").alias("node"), F.col("v").alias("label"))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     alone = nodes.filter("u = v").select(F.col("u").alias("node"), F.col("v").alias("label"))

@@ -42,7 +42,7 @@ from pyspark.sql.types import StructType
 
 from quantis.llm.components import components
 from quantis.llm.wordbatch import U64, Words, distinct, mix, run_hash, sequence_hash, split_words, word_hash
-from quantis.llm.work import bounded_batches, cut, forget, release
+from quantis.llm.work import bounded_batches, cut, forget, give_up_shuffles, release
 
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
@@ -302,9 +302,10 @@ def part_links(clusters: DataFrame, labels: DataFrame, texts: DataFrame, shingle
         "node", F.col("cluster"), F.coalesce("label", "node").alias("label")
     )
     sizes = named.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
-    top = sizes.groupBy("cluster").agg(
+    # written, so that the join deals the documents through an exchange of its own and a large cluster can be split
+    top = cut(sizes.groupBy("cluster").agg(
         F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts")
-    ).filter("parts > 1")
+    ).filter("parts > 1"))
     rows = named.join(
         top.select(
             "cluster", F.col("top.label").alias("largest"),
@@ -344,6 +345,7 @@ def _classes(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     pairs = candidates(nodes)
     wanted = pairs.select("node").union(pairs.select(F.col("centre").alias("node"))).distinct()
     found = candidate_texts(texts, nodes, wanted, shingle)
+    give_up_shuffles(docs.sparkSession)
     near = cut(star_links(pairs, found, shingle, percent))
     clusters = components(pairs, "centre", "node").select("node", F.col("label").alias("cluster"))
     between = cut(part_links(clusters, components(near, "a", "b"), found, shingle, percent))
