@@ -49,3 +49,10 @@ def test_a_large_cluster_can_be_split_where_parts_meet_it(spark):
     plan = plan_of(neardup.part_links(clusters, labels, texts, 4, 80))
     # the table of largest parts is read, not made under the join
     assert "max(struct(n" not in plan
+
+
+def test_every_round_of_components_gives_up_its_shuffles(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr("quantis.llm.components.give_up_shuffles", calls.append)
+    components(spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "a long, b long"), "a", "b")
+    assert calls
