@@ -5,11 +5,14 @@ lower case), one space between words, and an end.  Every byte is a symbol.
 
 * Counting: a *unit* (texts of one task, about 8 MB) sorts its runs of ``depth``
   context symbols and the next one.  The symbol is written first and its
-  context newest first, so one sort orders the runs of every depth.  Each depth's
-  distinct runs, with their counts in training texts, go to buckets by a hash of
-  the context, as sorted and compressed lists, and the buckets add them up.  A
-  context's load is one entry for each of its next symbols from each unit, and
-  contexts are spread evenly however frequent their newest symbols are.
+  context newest first, so one sort orders the runs of every depth.  Distinct
+  runs, with their counts in training texts, go to buckets as sorted and
+  compressed lists, and the buckets add them up.  The depths travel in pairs, six
+  with five and four with three: the bucket is a hash of the shorter context, so the
+  longer runs of a bucket hold all of its shorter ones, which no list repeats.  A
+  shorter context's load is one entry for each of its next symbols and older ones
+  from each unit, and contexts are spread evenly however frequent their newest
+  symbols are.
 * Retention: a context stays a candidate if it occurs at least ``least``
   times, whatever the size of the corpus, so the tree grows with the input.
   It becomes a state if its next-symbol distribution diverges from that of
@@ -50,10 +53,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quantis.llm.substring import joined
 from quantis.llm.units import digest, named, units
 from quantis.llm.vocabulary import packed, runs, unpacked
-from quantis.llm.wordbatch import PLACE, U64, Words, distinct, mix
+from quantis.llm.wordbatch import IS_SPACE, PLACE, U64, Words, mix
 from quantis.llm.work import bounded_batches, passing_folder, release
 from quantis.llm.work import stored_alone as stored
 
@@ -64,6 +66,8 @@ SYMBOLS = 256
 #: Ends a text, and stands before it: a line feed is no part of any word.
 END = 0x0A
 LEAST_BUCKETS, TEXTS_A_BUCKET = 64, 4_000
+#: Texts whose runs are sorted together: a run of seven bytes leaves one for the text.
+TEXTS = 256
 
 
 def held_out(id_: Column, folds: int = 10) -> Column:
@@ -79,32 +83,51 @@ def text_runs(data: np.ndarray, off: np.ndarray, depth: int) -> tuple[np.ndarray
     highest one, then its context, newest first.  So sorted runs are sorted
     at every depth, and shifting bytes out shortens the context."""
     n = np.diff(off)
-    size = n + depth + 1
-    first = np.concatenate([[0], np.cumsum(size)])
-    s = np.full(first[-1], END, np.int64)
-    s[np.arange(len(data)) + np.repeat(first[:-1] + depth - off[:-1], n)] = data
-    places = np.concatenate([[0], np.cumsum(n + 1)])
-    at = np.arange(places[-1]) + np.repeat(depth * np.arange(1, len(n) + 1), n + 1)
-    run = s[at]
-    for k in range(1, depth + 1):
-        run = (run << 8) | s[at - k]
-    return run, places
+    first = np.concatenate([[0], np.cumsum(n + depth + 1)])
+    place = np.ones(first[-1], bool)
+    place[(first[:-1, None] + np.arange(depth)).ravel()] = False
+    written = place.copy()
+    written[first[1:] - 1] = False
+    s = np.full(first[-1] + 7, END, np.uint8)
+    s[7:][written] = data
+    # eight bytes up to a place, read as one number, have the last byte highest
+    back = np.ndarray(first[-1], "<u8", s, strides=(1,))
+    return (back >> np.uint64(8 * (7 - depth))).view(np.int64)[place], np.concatenate([[0], np.cumsum(n + 1)])
 
 
 def body(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Words of each text, joined by one space."""
-    return joined(w, np.ones(len(w.start), bool))
+    """Words of each text, joined by one space, and the texts' offsets."""
+    n = np.diff(w.first)
+    later = np.ones(len(w.start), bool)  # all but the first word of a text
+    later[w.first[:-1][n > 0]] = False
+    between = w.start[later] - 1
+    data, mask = w.data.copy(), ~IS_SPACE[w.data]
+    data[between] = 0x20
+    mask[between] = True
+    upto = np.concatenate([[0], np.cumsum(w.end - w.start)])[w.first]
+    return data[mask], np.concatenate([[0], np.cumsum(np.diff(upto) + np.maximum(n - 1, 0))])
 
 
 def context_of(run: np.ndarray, k: int) -> np.ndarray:
     return run & ((1 << (8 * k)) - 1)
 
 
-def bucket_of(run: np.ndarray, k: int, buckets: int) -> np.ndarray:
-    """Bucket of runs of depth ``k``: by the whole context, or by the run where
-    every worker holds the states."""
-    key = run if k <= NEAR else context_of(run, k)
-    return (mix(key.astype(U64) * U64(PLACE) + U64(k + 1)) % U64(buckets)).astype(np.int64)
+def listed_with(k: int, depth: int) -> int:
+    """Depth whose lists hold the runs of depth ``k``."""
+    return k + 1 if NEAR < k < depth and (depth - k) % 2 else k
+
+
+def served(head: int, depth: int) -> list[int]:
+    """Depths whose runs the lists of a depth hold."""
+    return [k for k in range(head, max(head - 2, -1), -1) if listed_with(k, depth) == head]
+
+
+def bucket_of(run: np.ndarray, k: int, depth: int, buckets: int) -> np.ndarray:
+    """Bucket of runs of depth ``k``: by the shortest whole context that their
+    lists serve, or by the run where every worker holds the states."""
+    least = served(listed_with(k, depth), depth)[-1]
+    key = run if k <= NEAR else context_of(run >> (8 * (k - least)), least)
+    return (mix(key.astype(U64) * U64(PLACE) + U64(least + 1)) % U64(buckets)).astype(np.int64)
 
 
 @dataclass
@@ -129,7 +152,7 @@ class Levels:
         short = self.whole >> (8 * (self.depth - k))
         new = np.flatnonzero(np.concatenate([[True], short[1:] != short[:-1]])) if len(short) else np.zeros(0, np.int64)
         short = short[new]
-        bucket = bucket_of(short, k, self.buckets).astype("<u2" if self.buckets < 1 << 16 else "<i4")
+        bucket = bucket_of(short, k, self.depth, self.buckets).astype("<u2" if self.buckets < 1 << 16 else "<i4")
         order = np.argsort(bucket, kind="stable")
         return Level(short, new, order, bucket[order])
 
@@ -142,6 +165,12 @@ class Levels:
         return [self.at(k).bucket for k in range(self.depth + 1)]
 
 
+def shortened(code: np.ndarray, by: int) -> np.ndarray:
+    """Distinct sorted codes without their oldest ``by`` symbols."""
+    short = code >> (8 * by)
+    return short[np.concatenate([[True], short[1:] != short[:-1]])] if by and len(short) else short
+
+
 def counted(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct sorted codes with the sums of their counts."""
     new = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
@@ -152,7 +181,8 @@ MESSAGE = "depth int, bucket int, unit binary, runs binary, learned binary"
 
 
 def _messages(depth: int, buckets: int):
-    """A unit's distinct runs of every depth with their training counts."""
+    """A unit's distinct runs with their training counts, of the depths that
+    serve all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for place, held in named(batches, lower=True):
@@ -173,6 +203,8 @@ def _messages(depth: int, buckets: int):
             del order
             levels, rows = Levels(code, depth, buckets), []
             for k in range(depth + 1):
+                if listed_with(k, depth) != k:
+                    continue
                 level = levels.at(k)
                 count, code = np.add.reduceat(learned, level.new)[level.order], level.run[level.order]
                 for a, b in runs(level.bucket):
@@ -190,29 +222,33 @@ def _messages(depth: int, buckets: int):
     return run
 
 
-def _totals(least: int):
+def _totals(least: int, depth: int):
     """Training counts of a bucket's runs, with those of their contexts and
     the number of symbols seen after them; of contexts that occur at least
     ``least`` times, where they are whole here."""
     schema = pa.schema([("depth", pa.int32()), ("run", pa.int64()), ("n", pa.int64()), ("total", pa.int64()), ("m", pa.int32())])
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        k = key[0].as_py()
+        head, found = key[0].as_py(), []
         code = np.concatenate([np.cumsum(unpacked(x)) for x in table["runs"].to_pylist()])
         n = np.concatenate([unpacked(x) for x in table["learned"].to_pylist()])
         code, n = code[n > 0], n[n > 0]
         if not len(code):
             return schema.empty_table()
-        order = np.argsort(code)
-        code, n = counted(code[order], n[order])
-        total, m = pa.nulls(len(code), pa.int64()), pa.nulls(len(code), pa.int32())
-        if k > NEAR:
-            _, where = np.unique(context_of(code, k), return_inverse=True)
-            sums = np.bincount(where, weights=n).astype(np.int64)[where]
-            kept = sums >= least
-            total, m = pa.array(sums[kept]), pa.array(np.bincount(where)[where][kept], pa.int32())
-            code, n = code[kept], n[kept]
-        return pa.table([pa.array(np.full(len(code), k), pa.int32()), pa.array(code), pa.array(n), total, m], schema=schema)
+        order = np.argsort(code, kind="stable")
+        longest, times = counted(code[order], n[order])
+        del order
+        for k in served(head, depth):
+            code, n = counted(longest >> (8 * (head - k)), times)
+            total, m = pa.nulls(len(code), pa.int64()), pa.nulls(len(code), pa.int32())
+            if k > NEAR:
+                _, where = np.unique(context_of(code, k), return_inverse=True)
+                sums = np.bincount(where, weights=n).astype(np.int64)[where]
+                kept = sums >= least
+                total, m = pa.array(sums[kept]), pa.array(np.bincount(where)[where][kept], pa.int32())
+                code, n = code[kept], n[kept]
+            found.append(pa.table([pa.array(np.full(len(code), k), pa.int32()), pa.array(code), pa.array(n), total, m], schema=schema))
+        return pa.concat_tables(found)
 
     return run
 
@@ -226,7 +262,7 @@ def frequent(messages: DataFrame, depth: int, least: int, folder: str | None = N
     of next symbols, of the contexts that occur at least ``least`` times (the
     empty one always)."""
     sums = stored(
-        messages.groupBy("depth", "bucket").applyInArrow(_totals(least), "depth int, run long, n long, total long, m int"),
+        messages.groupBy("depth", "bucket").applyInArrow(_totals(least, depth), "depth int, run long, n long, total long, m int"),
         folder,
     )
     found = []
@@ -262,7 +298,7 @@ def states(shares: list[DataFrame], folder: str | None = None) -> DataFrame:
 
 
 #: A state's next symbol: log10 chance of the run, and log10 weight of the shorter context's chances.
-MODEL = "depth int, bucket int, run long, seen double, back double"
+MODEL = "head int, bucket int, depth int, run long, seen double, back double"
 
 
 def model(shares: list[DataFrame], retained: DataFrame, folder: str | None = None) -> DataFrame:
@@ -303,21 +339,28 @@ def coded(asked: np.ndarray, k: int, run: np.ndarray, seen: np.ndarray, back: np
 ANSWER = "unit binary, depth int, bucket int, n int, values binary"
 
 
-def _answers(asked: pa.Table, table: pa.Table) -> pa.Table:
+def _answers(depth: int):
     """Values of a bucket's runs, for the units that hold any of its states."""
     schema = pa.schema([("unit", pa.binary()), ("depth", pa.int32()), ("bucket", pa.int32()), ("n", pa.int32()), ("values", pa.binary())])
-    if not len(asked) or not len(table):
-        return schema.empty_table()
-    k, bucket = asked["depth"][0].as_py(), asked["bucket"][0].as_py()
-    codes = [np.cumsum(unpacked(x)) for x in asked["runs"].to_pylist()]
-    ends = np.cumsum([0] + [len(c) for c in codes])
-    value = coded(np.concatenate(codes), k, *(table[c].to_numpy() for c in ("run", "seen", "back"))).astype("<f4")
-    rows = [
-        (unit, k, bucket, b - a, zlib.compress(value[a:b].tobytes(), 1))
-        for unit, a, b in zip(asked["unit"].to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True) if value[a:b].any()
-    ]
-    release()
-    return pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=schema)
+
+    def run(asked: pa.Table, table: pa.Table) -> pa.Table:
+        if not len(asked) or not len(table):
+            return schema.empty_table()
+        head, bucket, rows = asked["depth"][0].as_py(), asked["bucket"][0].as_py(), []
+        names, whole = asked["unit"].to_pylist(), [np.cumsum(unpacked(x)) for x in asked["runs"].to_pylist()]
+        mine, columns = table["depth"].to_numpy(), [table[c].to_numpy() for c in ("run", "seen", "back")]
+        for k in served(head, depth):
+            codes = [shortened(c, head - k) for c in whole]
+            ends = np.cumsum([0] + [len(c) for c in codes])
+            value = coded(np.concatenate(codes), k, *(c[mine == k] for c in columns)).astype("<f4")
+            rows += [
+                (unit, k, bucket, b - a, zlib.compress(value[a:b].tobytes(), 1))
+                for unit, a, b in zip(names, ends[:-1].tolist(), ends[1:].tolist(), strict=True) if value[a:b].any()
+            ]
+        release()
+        return pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=schema)
+
+    return run
 
 
 def _laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,19 +418,36 @@ def _summed(depth: int, buckets: int, near):
 
     def run(laid: pa.Table, answers: pa.Table) -> pa.Table:
         laid = laid.sort_by("slice")
-        held = []
+        held, parts = [], []
         for sizes, raw in zip(laid["sizes"].to_pylist(), laid["body"].to_pylist(), strict=True):
             data = np.frombuffer(zlib.decompress(raw), np.uint8)
             code, first = text_runs(data, np.concatenate([[0], np.cumsum(unpacked(sizes))]), depth)
-            u, where = np.unique(code, return_inverse=True)
-            held.append((u, where.astype(np.int32), first))
-            del data, code, where
-        parts = []
+            for a in range(0, len(first) - 1, TEXTS):
+                b = min(a + TEXTS, len(first) - 1)
+                key = code[first[a] : first[b]].view(U64) << U64(8)
+                key |= np.repeat(np.arange(b - a, dtype=U64), np.diff(first[a : b + 1]))
+                key.sort()
+                text = (key & U64(TEXTS - 1)).astype(np.uint8)
+                key >>= U64(8)
+                new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                held.append((key[new].view(np.int64), np.diff(np.append(new, len(key))).astype(np.int32), text, b - a))
+                del key, new, text
+            del data, code
         if held:
-            whole = distinct(np.concatenate([u for u, _, _ in held]))
-            value = values_of(whole, answers, depth, buckets, *near.value)
-            for u, where, first in held:
-                parts.append(np.add.reduceat(value[np.searchsorted(whole, u)][where], first[:-1]))
+            found = np.concatenate([u for u, _, _, _ in held])
+            order = np.argsort(found, kind="stable")  # merges sorted runs
+            found = found[order]
+            new = np.concatenate([[True], found[1:] != found[:-1]])
+            where = np.empty(len(found), np.int32)
+            where[order] = np.cumsum(new, dtype=np.int32) - 1
+            found = found[new]
+            del order, new
+            value, at = values_of(found, answers, depth, buckets, *near.value), 0
+            for u, times, text, n in held:  # a text's runs are added up in their order, so equal texts have equal sums
+                mine = np.repeat(value[where[at : at + len(u)]], times)
+                parts.append(np.bincount(text, weights=mine, minlength=n))
+                at += len(u)
+            del found, where, value
         words = np.concatenate([np.zeros(0, np.int64), *map(unpacked, laid["words"].to_pylist())])
         ids = laid["ids"].combine_chunks().flatten()
         del held
@@ -412,11 +472,13 @@ def _occurrences(buckets: int):
             shift = np.concatenate([[0], np.cumsum([w.n_docs for _, w in u.slices])])
             doc = np.concatenate([w.doc + s for (_, w), s in zip(u.slices, shift[:-1], strict=True)])
             train = np.concatenate([batch.column("train").slice(w.row, w.n_docs).to_numpy(zero_copy_only=False) for batch, w in u.slices])
-            order = np.argsort(u.word, kind="stable")
             n = np.bincount(u.word, minlength=len(u.hash))
             learned = np.bincount(u.word, weights=train[doc], minlength=len(u.hash)).astype("<u4")
             off, width = np.concatenate([[0], np.cumsum(n)]), "<u2" if shift[-1] < 1 << 16 else "<u4"
-            doc = doc[order].astype(width)
+            key = (u.word.astype(np.int64) << 32) | doc
+            key.sort()  # by word, and then by text
+            doc = (key & 0xFFFFFFFF).astype(width)
+            del key
             rows = list(u.by_bucket())
             yield pa.RecordBatch.from_pydict(
                 {
@@ -428,7 +490,7 @@ def _occurrences(buckets: int):
                     "docs": pa.array([doc[off[a] : off[b]].tobytes() for _, a, b in rows], pa.binary()),
                 }
             )
-            del u, doc, order, n, learned, off, rows, train
+            del u, doc, n, learned, off, rows, train
             release()
 
     return run
@@ -510,20 +572,21 @@ def chances(texts: DataFrame, depth: int, least: int, buckets: int) -> tuple[Dat
         places = shares[0].agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         unseen = math.log10(0.5 / (places + 0.5 * SYMBOLS))
         asked = messages.filter(F.col("depth") > NEAR).select("depth", "bucket", "unit", "runs")
-        deep = rows.filter(F.col("depth") > NEAR).mapInArrow(_with_bucket(buckets), MODEL)
-        answers = asked.groupBy("depth", "bucket").cogroup(deep.groupBy("depth", "bucket")).applyInArrow(_answers, ANSWER)
+        deep = rows.filter(F.col("depth") > NEAR).mapInArrow(_with_bucket(depth, buckets), MODEL)
+        answers = asked.groupBy("depth", "bucket").cogroup(deep.groupBy("head", "bucket")).applyInArrow(_answers(depth), ANSWER)
         return stored(answers), (known, unseen)
 
 
-def _with_bucket(buckets: int):
+def _with_bucket(depth: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            depth, code = batch.column("depth").to_numpy(), batch.column("run").to_numpy()
-            bucket = np.zeros(len(code), np.int64)
-            for k in np.unique(depth).tolist():
-                bucket[depth == k] = bucket_of(code[depth == k], k, buckets)
+            level, code = batch.column("depth").to_numpy(), batch.column("run").to_numpy()
+            head, bucket = np.zeros(len(code), np.int32), np.zeros(len(code), np.int64)
+            for k in np.unique(level).tolist():
+                head[level == k] = listed_with(k, depth)
+                bucket[level == k] = bucket_of(code[level == k], k, depth, buckets)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("depth"), pa.array(bucket, pa.int32()), *batch.columns[1:]], names=["depth", "bucket", "run", "seen", "back"]
+                [pa.array(head), pa.array(bucket, pa.int32()), *batch.columns], names=["head", "bucket", "depth", "run", "seen", "back"]
             )
 
     return run

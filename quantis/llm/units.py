@@ -1,6 +1,6 @@
 """Units: runs of one task's texts with numbered distinct words.
 
-A unit is named by its place (task and position) and a digest of its words,
+A unit is named by its place (task and position) and a digest of its texts,
 so that a second pass over the same table makes the same units, and one over
 other rows makes units of other names.
 """
@@ -27,7 +27,7 @@ class Unit:
     def __init__(self, name: bytes, slices: list[tuple[pa.RecordBatch, Words]], buckets: int):
         self.slices = slices
         h = np.concatenate([word_hash(w) for _, w in slices])
-        self.name = name + hashlib.md5(h.tobytes()).digest()
+        self.name = name + digest(slices)
         where = numbered(slices)
         first = np.empty(int(where.max()) + 1 if len(where) else 0, np.int64)
         first[where[::-1]] = np.arange(len(where))[::-1]
@@ -78,11 +78,13 @@ def named(batches: Iterator[pa.RecordBatch], lower: bool = False) -> Iterator[tu
 
 
 def digest(slices: list[tuple[pa.RecordBatch, Words]]) -> bytes:
-    """Of the words of a unit, as in its name."""
-    found = hashlib.md5()
+    """Of the texts of a unit and their sizes, wherever its slices end, as in
+    its name."""
+    data, sizes = hashlib.md5(), hashlib.md5()
     for _, w in slices:
-        found.update(word_hash(w).tobytes())
-    return found.digest()
+        data.update(w.data)
+        sizes.update(np.diff(w.offsets).tobytes())
+    return hashlib.md5(data.digest() + sizes.digest()).digest()
 
 
 def units(batches: Iterator[pa.RecordBatch], buckets: int, lower: bool = False) -> Iterator[Unit]:

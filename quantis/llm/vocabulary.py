@@ -26,13 +26,19 @@ def take_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Unsigned numbers of up to 64 bits as compressed planes of one byte."""
-    raw = values.astype("<u8").view(np.uint8).reshape(-1, 8)
-    return zlib.compress(np.ascontiguousarray(raw.T).tobytes(), 1)
+    """Unsigned numbers of up to 64 bits as compressed planes of one byte, as
+    many as the largest one needs, which the first byte tells."""
+    raw = values.astype("<u8")
+    planes = max(1, (int(raw.max(initial=0)).bit_length() + 7) // 8)
+    raw = raw.view(np.uint8).reshape(-1, 8)[:, :planes]
+    return bytes([planes]) + zlib.compress(np.ascontiguousarray(raw.T).tobytes(), 1)
 
 
 def unpacked(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(8, -1).T).view("<i8").ravel()
+    planes = np.frombuffer(zlib.decompress(memoryview(raw)[1:]), np.uint8).reshape(raw[0], -1)
+    values = np.zeros((planes.shape[1], 8), np.uint8)
+    values[:, : raw[0]] = planes.T
+    return values.view("<i8").ravel()
 
 
 class Vocabulary:

@@ -8,6 +8,7 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +123,28 @@ def test_no_bucket_gets_the_runs_of_a_frequent_context():
         assert np.bincount(levels.bucket[k]).max() < 2 * len(levels.run[k]) / 64
 
 
+@pytest.mark.parametrize("depth", [2, 3, 4, 5, 6])
+def test_lists_of_longer_runs_hold_the_shorter_ones(depth):
+    heads = {suffixtree.listed_with(k, depth) for k in range(depth + 1)}
+    assert sorted(k for h in heads for k in suffixtree.served(h, depth)) == list(range(depth + 1))
+    whole = np.unique(np.random.default_rng(3).integers(0, 1 << 8 * (depth + 1), 5_000))
+    for h in heads:
+        long = suffixtree.shortened(whole, depth - h)
+        for k in suffixtree.served(h, depth):
+            short = long >> (8 * (h - k))
+            assert (suffixtree.bucket_of(long, h, depth, 64) == suffixtree.bucket_of(short, k, depth, 64)).all()
+
+
+def test_a_units_lists_are_less_than_twice_its_texts():
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices("etaoinshrdlu", k=rng.randrange(2, 9))) for _ in range(4_000)]
+    texts = [" ".join(rng.choices(vocabulary, k=400)) for _ in range(400)]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "train": [True] * len(texts)})
+    sent = list(suffixtree._messages(6, 64)(iter([batch])))
+    assert {k for b in sent for k in b["depth"].to_pylist()} == {0, 1, 2, 4, 6}
+    assert sum(b.nbytes for b in sent) < 2 * sum(map(len, texts))  # of random words; 3.0 when every depth had its list
+
+
 def test_training_nothing_gives_equal_chances(spark):
     out = suffixtree.score(spark.createDataFrame([(None, "ab")], "doc_id long, text string")).first()
     assert out["held_out"] and out["score"] == pytest.approx(3 * math.log10(1 / 256))
