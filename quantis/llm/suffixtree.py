@@ -29,10 +29,10 @@ lower case), one space between words, and an end.  Every byte is a symbol.
   to ``NEAR`` symbols (at most 257) are broadcast.  The unit's texts are added up
   from these answers.
 
-The unigram base needs every word's count, which no task could hold.  Texts
-are taken in units; a unit sends each distinct word, with its training count
-and the texts it occurs in, to the word's bucket, and the buckets answer with
-sums for each text.
+The unigram base needs every word's count, which no task could hold.  A unit
+sends each distinct word, with its training count, to the word's bucket; the
+buckets answer with the counts of the whole corpus, and the unit adds them up for
+its texts together with the chances.
 
 Defined cases: null and empty texts are scored as an end alone; a null id is
 taken as the empty text when rows are held out (it is held out); with no
@@ -53,9 +53,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quantis.llm.units import digest, named, units
+from quantis.llm.units import digest, named
 from quantis.llm.vocabulary import packed, runs, unpacked
-from quantis.llm.wordbatch import IS_SPACE, PLACE, U64, Words, mix
+from quantis.llm.wordbatch import IS_SPACE, PLACE, U64, Words, mix, split_words, word_hash
 from quantis.llm.work import bounded_batches, passing_folder, release
 from quantis.llm.work import stored_alone as stored
 
@@ -150,7 +150,7 @@ class Levels:
 
     def at(self, k: int) -> Level:
         short = self.whole >> (8 * (self.depth - k))
-        new = np.flatnonzero(np.concatenate([[True], short[1:] != short[:-1]])) if len(short) else np.zeros(0, np.int64)
+        new = firsts(short)
         short = short[new]
         bucket = bucket_of(short, k, self.depth, self.buckets).astype("<u2" if self.buckets < 1 << 16 else "<i4")
         order = np.argsort(bucket, kind="stable")
@@ -165,15 +165,14 @@ class Levels:
         return [self.at(k).bucket for k in range(self.depth + 1)]
 
 
-def shortened(code: np.ndarray, by: int) -> np.ndarray:
-    """Distinct sorted codes without their oldest ``by`` symbols."""
-    short = code >> (8 * by)
-    return short[np.concatenate([[True], short[1:] != short[:-1]])] if by and len(short) else short
+def firsts(code: np.ndarray) -> np.ndarray:
+    """Places of the first of equal neighbours."""
+    return np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
 
 
 def counted(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct sorted codes with the sums of their counts."""
-    new = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    new = firsts(code)
     return code[new], np.add.reduceat(n, new)
 
 
@@ -336,7 +335,9 @@ def coded(asked: np.ndarray, k: int, run: np.ndarray, seen: np.ndarray, back: np
     return np.where(run[hit] == asked, seen[hit], out)
 
 
+#: Values for a unit's runs of a depth in a bucket, or counts of its words.
 ANSWER = "unit binary, depth int, bucket int, n int, values binary"
+WORDS = -1
 
 
 def _answers(depth: int):
@@ -349,10 +350,17 @@ def _answers(depth: int):
         head, bucket, rows = asked["depth"][0].as_py(), asked["bucket"][0].as_py(), []
         names, whole = asked["unit"].to_pylist(), [np.cumsum(unpacked(x)) for x in asked["runs"].to_pylist()]
         mine, columns = table["depth"].to_numpy(), [table[c].to_numpy() for c in ("run", "seen", "back")]
+        begin = np.cumsum([0] + [len(c) for c in whole])
         for k in served(head, depth):
-            codes = [shortened(c, head - k) for c in whole]
-            ends = np.cumsum([0] + [len(c) for c in codes])
-            value = coded(np.concatenate(codes), k, *(c[mine == k] for c in columns)).astype("<f4")
+            short = [c >> (8 * (head - k)) for c in whole]
+            new = [firsts(c) for c in short]
+            ends = np.cumsum([0] + [len(x) for x in new])
+            value = coded(np.concatenate([c[x] for c, x in zip(short, new, strict=True)]), k, *(c[mine == k] for c in columns)).astype("<f4")
+            if k == head:
+                unseen = value >= 0
+            else:  # a shorter run whose longer ones were all seen after states is not asked for
+                at = np.concatenate([x + b for x, b in zip(new, begin[:-1], strict=True)])
+                value[~np.logical_or.reduceat(unseen, at)] = 0
             rows += [
                 (unit, k, bucket, b - a, zlib.compress(value[a:b].tobytes(), 1))
                 for unit, a, b in zip(names, ends[:-1].tolist(), ends[1:].tolist(), strict=True) if value[a:b].any()
@@ -382,12 +390,21 @@ def _laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
 
 
-def values_of(whole: np.ndarray, answers: pa.Table, depth: int, buckets: int, near: list[tuple], unseen: float) -> np.ndarray:
+Held = dict[tuple[int, int], tuple[int, bytes]]
+
+
+def answered(held: Held, k: int, bucket: np.ndarray) -> Iterator[tuple[int, int, bytes | None]]:
+    """Ranges of a sorted list of buckets, and what each of them answered."""
+    for a, b in runs(bucket):
+        n, raw = held.get((k, int(bucket[a])), (b - a if k != WORDS else -1, None))
+        if n != b - a:
+            raise RuntimeError("the texts were not the same when read again; write them to a table before scoring")
+        yield a, b, raw
+
+
+def values_of(whole: np.ndarray, held: Held, depth: int, buckets: int, near: list[tuple], unseen: float) -> np.ndarray:
     """Log10 chance of the symbol of each distinct run of a unit."""
     levels = Levels(whole, depth, buckets)
-    held: dict[tuple[int, int], tuple[int, bytes]] = {
-        (r["depth"], r["bucket"]): (r["n"], r["values"]) for r in answers.to_pylist()
-    }
     value, back = np.full(len(whole), np.nan), np.zeros(len(whole))
     for k in range(depth, -1, -1):
         level = levels.at(k)
@@ -397,10 +414,7 @@ def values_of(whole: np.ndarray, answers: pa.Table, depth: int, buckets: int, ne
                 got = np.where(got < 0, got, unseen)
         else:
             listed = np.zeros(len(level.run))
-            for a, b in runs(level.bucket):
-                n, raw = held.get((k, int(level.bucket[a])), (b - a, None))
-                if n != b - a:
-                    raise RuntimeError("the texts were not the same when read again; write them to a table before scoring")
+            for a, b, raw in answered(held, k, level.bucket):
                 if raw is not None:
                     listed[a:b] = np.frombuffer(zlib.decompress(raw), "<f4")
             got = np.empty(len(listed))
@@ -413,137 +427,141 @@ def values_of(whole: np.ndarray, answers: pa.Table, depth: int, buckets: int, ne
     return value
 
 
+def by_bucket(word: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order by bucket, then by hash, of distinct sorted words, and the buckets
+    so ordered."""
+    bucket = (word % U64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return order, bucket[order]
+
+
+def numbered(code: np.ndarray, kind: str | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct sorted codes, and the place of each code among them."""
+    order = np.argsort(code, kind=kind)
+    code = code[order]
+    new = np.concatenate([np.ones(min(1, len(code)), bool), code[1:] != code[:-1]])
+    where = np.empty(len(code), np.int32)
+    where[order] = np.cumsum(new, dtype=np.int32) - 1
+    return code[new], where
+
+
+def _chances(laid: list[tuple[np.ndarray, np.ndarray]], held: Held, depth: int, buckets: int, near: tuple) -> np.ndarray:
+    """Log10 chance of each text of a unit, given as bytes and offsets."""
+    sorted_, parts, at = [], [], 0
+    for data, off in laid:
+        code, first = text_runs(data, off, depth)
+        for a in range(0, len(first) - 1, TEXTS):
+            b = min(a + TEXTS, len(first) - 1)
+            key = code[first[a] : first[b]].view(U64) << U64(8)
+            key |= np.repeat(np.arange(b - a, dtype=U64), np.diff(first[a : b + 1]))
+            key.sort()
+            text = (key & U64(TEXTS - 1)).astype(np.uint8)
+            key >>= U64(8)
+            new = firsts(key)
+            sorted_.append((key[new].view(np.int64), np.diff(np.append(new, len(key))).astype(np.int32), text, b - a))
+            del key, new, text
+        del code
+    whole, where = numbered(np.concatenate([u for u, _, _, _ in sorted_]), "stable")  # merges sorted runs
+    value = values_of(whole, held, depth, buckets, *near)
+    for u, times, text, n in sorted_:  # a text's runs are added up in their order, so equal texts have equal sums
+        parts.append(np.bincount(text, weights=np.repeat(value[where[at : at + len(u)]], times), minlength=n))
+        at += len(u)
+    return np.concatenate(parts)
+
+
+def _bases(laid: list[tuple[np.ndarray, np.ndarray]], held: Held, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each text of a unit: the sum of log10(c + 0.1) over its words, and
+    how many of them have a training count c."""
+    texts = [pa.LargeStringArray.from_buffers(len(off) - 1, pa.py_buffer(off), pa.py_buffer(data)) for data, off in laid]
+    words = [w for column in texts for w in split_words(column)]
+    word, where = numbered(np.concatenate([word_hash(w) for w in words]))
+    order, bucket = by_bucket(word, buckets)
+    listed = np.zeros(len(word), np.int64)
+    for a, b, raw in answered(held, WORDS, bucket):
+        listed[a:b] = unpacked(raw)
+    c = np.empty(len(word), np.int64)
+    c[order] = listed
+    value, known, at, parts = np.log10(c + 0.1), c > 0, 0, []
+    for w in words:
+        mine = where[at : at + len(w.start)]
+        parts.append([np.bincount(w.doc, weights=x[mine], minlength=w.n_docs) for x in (value, known)])
+        at += len(mine)
+    base, seen = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return base, seen.astype(np.int64)
+
+
 def _summed(depth: int, buckets: int, near):
-    """Log10 chance of each text of a unit, from those of its runs."""
+    """Base and log10 chance of each text of a unit, from the answers for its
+    words and runs."""
 
     def run(laid: pa.Table, answers: pa.Table) -> pa.Table:
         laid = laid.sort_by("slice")
-        held, parts = [], []
-        for sizes, raw in zip(laid["sizes"].to_pylist(), laid["body"].to_pylist(), strict=True):
-            data = np.frombuffer(zlib.decompress(raw), np.uint8)
-            code, first = text_runs(data, np.concatenate([[0], np.cumsum(unpacked(sizes))]), depth)
-            for a in range(0, len(first) - 1, TEXTS):
-                b = min(a + TEXTS, len(first) - 1)
-                key = code[first[a] : first[b]].view(U64) << U64(8)
-                key |= np.repeat(np.arange(b - a, dtype=U64), np.diff(first[a : b + 1]))
-                key.sort()
-                text = (key & U64(TEXTS - 1)).astype(np.uint8)
-                key >>= U64(8)
-                new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-                held.append((key[new].view(np.int64), np.diff(np.append(new, len(key))).astype(np.int32), text, b - a))
-                del key, new, text
-            del data, code
-        if held:
-            found = np.concatenate([u for u, _, _, _ in held])
-            order = np.argsort(found, kind="stable")  # merges sorted runs
-            found = found[order]
-            new = np.concatenate([[True], found[1:] != found[:-1]])
-            where = np.empty(len(found), np.int32)
-            where[order] = np.cumsum(new, dtype=np.int32) - 1
-            found = found[new]
-            del order, new
-            value, at = values_of(found, answers, depth, buckets, *near.value), 0
-            for u, times, text, n in held:  # a text's runs are added up in their order, so equal texts have equal sums
-                mine = np.repeat(value[where[at : at + len(u)]], times)
-                parts.append(np.bincount(text, weights=mine, minlength=n))
-                at += len(u)
-            del found, where, value
-        words = np.concatenate([np.zeros(0, np.int64), *map(unpacked, laid["words"].to_pylist())])
+        held: Held = {(r["depth"], r["bucket"]): (r["n"], r["values"]) for r in answers.to_pylist()}
+        texts = [
+            (np.frombuffer(zlib.decompress(raw), np.uint8), np.concatenate([[0], np.cumsum(unpacked(sizes))]))
+            for sizes, raw in zip(laid["sizes"].to_pylist(), laid["body"].to_pylist(), strict=True)
+        ]
         ids = laid["ids"].combine_chunks().flatten()
-        del held
+        words = np.concatenate([np.zeros(0, np.int64), *map(unpacked, laid["words"].to_pylist())])
+        base, known, score = np.zeros(0), np.zeros(0, np.int64), np.zeros(0)
+        if len(ids):
+            base, known = _bases(texts, held, buckets)
+            score = _chances(texts, held, depth, buckets, near.value)
+        del held, texts
         release()
-        return pa.table(
-            {
-                "unit": pa.array([laid["unit"][0].as_py()] * len(ids) if len(ids) else [], pa.binary()),
-                "place": pa.array(np.arange(len(ids)), pa.int32()), "id": ids, "words": pa.array(words, pa.int64()),
-                "score": pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64()),
-            }
-        )
+        return pa.table({"id": ids, "words": pa.array(words, pa.int64()), "base": base, "known": known, "score": score})
 
     return run
 
 
-def _occurrences(buckets: int):
-    """For each bucket of a unit: its distinct words' hashes, training counts
-    and occurrences, and the text of each occurrence."""
+def _learned(buckets: int):
+    """For each bucket of a unit: its distinct words' hashes and training
+    counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for u in units(batches, buckets, lower=True):
-            shift = np.concatenate([[0], np.cumsum([w.n_docs for _, w in u.slices])])
-            doc = np.concatenate([w.doc + s for (_, w), s in zip(u.slices, shift[:-1], strict=True)])
-            train = np.concatenate([batch.column("train").slice(w.row, w.n_docs).to_numpy(zero_copy_only=False) for batch, w in u.slices])
-            n = np.bincount(u.word, minlength=len(u.hash))
-            learned = np.bincount(u.word, weights=train[doc], minlength=len(u.hash)).astype("<u4")
-            off, width = np.concatenate([[0], np.cumsum(n)]), "<u2" if shift[-1] < 1 << 16 else "<u4"
-            key = (u.word.astype(np.int64) << 32) | doc
-            key.sort()  # by word, and then by text
-            doc = (key & 0xFFFFFFFF).astype(width)
-            del key
-            rows = list(u.by_bucket())
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "bucket": pa.array([r[0] for r in rows], pa.int32()), "unit": pa.array([u.name] * len(rows), pa.binary()),
-                    "texts": pa.array([int(shift[-1])] * len(rows), pa.int32()),
-                    "words": pa.array([u.hash[a:b].tobytes() for _, a, b in rows], pa.binary()),
-                    "learned": pa.array([learned[a:b].tobytes() for _, a, b in rows], pa.binary()),
-                    "times": pa.array([n[a:b].astype("<u4").tobytes() for _, a, b in rows], pa.binary()),
-                    "docs": pa.array([doc[off[a] : off[b]].tobytes() for _, a, b in rows], pa.binary()),
-                }
+        for place, held in named(batches, lower=True):
+            name, parts = place + digest(held), []
+            while held:
+                batch, w = held.pop()
+                h, train = word_hash(w), batch.column("train").slice(w.row, w.n_docs).to_numpy(zero_copy_only=False)
+                parts.append((h, h[np.repeat(train, np.diff(w.first))]))
+                del batch, w
+            word = np.unique(np.concatenate([h for h, _ in parts]))
+            trained, times = np.unique(np.concatenate([h for _, h in parts]), return_counts=True)
+            del parts
+            n = np.zeros(len(word), np.int64)
+            n[np.searchsorted(word, trained)] = times
+            order, bucket = by_bucket(word, buckets)
+            word, n = word[order], n[order]
+            rows = [(int(bucket[a]), name, word[a:b].tobytes(), packed(n[a:b])) for a, b in runs(bucket)]
+            del word, n, order, bucket, trained, times
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
+                names=["bucket", "unit", "words", "learned"],
             )
-            del u, doc, n, learned, off, rows, train
+            del rows
             release()
 
     return run
 
 
-def _sums(table: pa.Table) -> pa.Table:
-    """Corpus counts of a bucket's words; for each unit the sums of log10(c +
-    0.1) and of known words by text, and one row with the bucket's totals."""
-    rows = table.to_pylist()
-    words = np.concatenate([np.frombuffer(r["words"], "<u8") for r in rows])
-    u, where = np.unique(words, return_inverse=True)
-    c = np.bincount(where, weights=np.concatenate([np.frombuffer(r["learned"], "<u4") for r in rows]), minlength=len(u))
-    unit, place, base, known, at = [], [], [], [], 0
-    for r in rows:
-        times = np.frombuffer(r["times"], "<u4")
-        mine = c[where[at : at + len(times)]]
-        at += len(times)
-        doc = np.frombuffer(r["docs"], "<u2" if r["texts"] < 1 << 16 else "<u4")
-        value = np.bincount(doc, weights=np.repeat(np.log10(mine + 0.1), times), minlength=r["texts"])
-        seen = np.bincount(doc, weights=np.repeat(mine > 0, times), minlength=r["texts"])
-        unit.append(r["unit"])
-        place.append(np.unique(doc).astype("<u4").tobytes())
-        base.append(value[np.unique(doc)].tobytes())
-        known.append(seen[np.unique(doc)].astype("<u4").tobytes())
-    n = len(rows)
+def _counts(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Corpus counts of a bucket's words, for each unit those of its words, and
+    one row with the bucket's totals."""
+    words = [np.frombuffer(x, "<u8") for x in table["words"].to_pylist()]
+    u, where = np.unique(np.concatenate(words), return_inverse=True)
+    c = np.bincount(where, weights=np.concatenate([unpacked(x) for x in table["learned"].to_pylist()]), minlength=len(u)).astype(np.int64)
+    ends, n = np.cumsum([0] + [len(x) for x in words]).tolist(), len(words)
     return pa.table(
         {
-            "unit": pa.array([None, *unit], pa.binary()), "places": pa.array([None, *place], pa.binary()),
-            "base": pa.array([None, *base], pa.binary()), "known": pa.array([None, *known], pa.binary()),
+            "unit": pa.array([None, *table["unit"].to_pylist()], pa.binary()), "depth": pa.array([WORDS] * (n + 1), pa.int32()),
+            "bucket": pa.array([key[0].as_py()] * (n + 1), pa.int32()), "n": pa.array([0, *map(len, words)], pa.int32()),
+            "values": pa.array([None, *(packed(c[where[a:b]]) for a, b in zip(ends[:-1], ends[1:], strict=True))], pa.binary()),
             "tokens": pa.array([int(c.sum())] + [0] * n, pa.int64()), "kinds": pa.array([int((c > 0).sum())] + [0] * n, pa.int64()),
         }
     )
 
 
-def _added(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of all buckets for each text of a unit."""
-    base, known = np.zeros(0), np.zeros(0, np.int64)
-    for batch in batches:
-        for r in batch.to_pylist():
-            at = np.frombuffer(r["places"], "<u4")
-            if len(at) and at.max() >= len(base):
-                more = int(at.max()) + 1 - len(base)
-                base, known = np.append(base, np.zeros(more)), np.append(known, np.zeros(more, np.int64))
-            base[at] += np.frombuffer(r["base"])
-            known[at] += np.frombuffer(r["known"], "<u4")
-    yield pa.RecordBatch.from_pydict(
-        {
-            "unit": pa.array([key[0].as_py()] * len(base), pa.binary()), "place": pa.array(np.arange(len(base)), pa.int32()),
-            "base": pa.array(base), "known": pa.array(known, pa.int64()),
-        }
-    )
-
-
 def score(
     docs: DataFrame, folds: int = 10, depth: int = DEPTH, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -600,34 +618,22 @@ def _score(docs: DataFrame, folds: int, depth: int, least: int, id_col: str, tex
     buckets = max(LEAST_BUCKETS, n // TEXTS_A_BUCKET)
     chance, near = chances(texts, depth, least, buckets)
     known = spark.sparkContext.broadcast(near)
-    asked = texts.select("text", "train").mapInArrow(
-        _occurrences(buckets), "bucket int, unit binary, texts int, words binary, learned binary, times binary, docs binary"
-    )
-    answers = stored(
-        asked.groupBy("bucket").applyInArrow(_sums, "unit binary, places binary, base binary, known binary, tokens long, kinds long")
-    )
-    tokens, kinds = answers.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
+    asked = texts.select("text", "train").mapInArrow(_learned(buckets), "bucket int, unit binary, words binary, learned binary")
+    counts = stored(asked.groupBy("bucket").applyInArrow(_counts, f"{ANSWER}, tokens long, kinds long"))
+    tokens, kinds = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
     tokens, kinds = tokens + trained, kinds + (trained > 0)
-    per_text = (
-        answers.filter("unit is not null").select("unit", "places", "base", "known").groupBy("unit")
-        .applyInArrow(_added, "unit binary, place int, base double, known long")
-    )
+    answers = chance.union(counts.filter("unit is not null").select(*chance.columns))
     laid = texts.select("id", "text").mapInArrow(
         _laid_out, f"unit binary, slice int, ids array<{kind}>, words binary, sizes binary, body binary"
     )
     scored = (
-        laid.groupBy("unit").cogroup(chance.groupBy("unit"))
-        .applyInArrow(_summed(depth, buckets, known), f"unit binary, place int, id {kind}, words long, score double")
-    )
-    both = scored.join(per_text, ["unit", "place"], "left")
-    # a text with words must have found its sums again
-    base = F.when((F.col("words") > 0) & F.col("base").isNull(), F.raise_error(F.lit("the texts changed between two reads"))).otherwise(
-        F.coalesce("base", F.lit(0.0))
+        laid.groupBy("unit").cogroup(answers.groupBy("unit"))
+        .applyInArrow(_summed(depth, buckets, known), f"id {kind}, words long, base double, known long, score double")
     )
     n_tokens = F.col("words") + 1
-    return both.select(
+    return scored.select(
         F.col("id").alias(id_col), held_out(F.col("id"), folds).alias("held_out"), n_tokens.alias("n_tokens"),
-        (F.coalesce("known", F.lit(0)) + int(trained > 0)).cast("long").alias("n_known"),
+        (F.col("known") + int(trained > 0)).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (base + math.log10(trained + 0.1) - n_tokens * math.log10(tokens + 0.1 * (kinds + 1))).alias("base_score"), "score",
+        (F.col("base") + math.log10(trained + 0.1) - n_tokens * math.log10(tokens + 0.1 * (kinds + 1))).alias("base_score"), "score",
     )

@@ -129,7 +129,7 @@ def test_lists_of_longer_runs_hold_the_shorter_ones(depth):
     assert sorted(k for h in heads for k in suffixtree.served(h, depth)) == list(range(depth + 1))
     whole = np.unique(np.random.default_rng(3).integers(0, 1 << 8 * (depth + 1), 5_000))
     for h in heads:
-        long = suffixtree.shortened(whole, depth - h)
+        long = np.unique(whole >> (8 * (depth - h)))
         for k in suffixtree.served(h, depth):
             short = long >> (8 * (h - k))
             assert (suffixtree.bucket_of(long, h, depth, 64) == suffixtree.bucket_of(short, k, depth, 64)).all()
@@ -145,6 +145,23 @@ def test_a_units_lists_are_less_than_twice_its_texts():
     assert sum(b.nbytes for b in sent) < 2 * sum(map(len, texts))  # of random words; 3.0 when every depth had its list
 
 
+def test_a_unit_sends_its_words_once_however_many_texts_hold_them():
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices(["ab", "cd", "ef", "gh", "ij", "klm"], k=50)) for _ in range(20)]
+
+    def sent(n):
+        batch = pa.RecordBatch.from_pydict({"text": texts * n, "train": [True, False] * (len(texts) * n // 2)})
+        return list(suffixtree._learned(64)(iter([batch])))
+
+    assert sum(b.nbytes for b in sent(20)) < 2 * sum(b.nbytes for b in sent(1))
+
+
+def test_counts_of_other_texts_are_refused():
+    laid = [(np.frombuffer(b"ab cd", np.uint8), np.array([0, 5]))]
+    with pytest.raises(RuntimeError):
+        suffixtree._bases(laid, {}, 64)
+
+
 def test_training_nothing_gives_equal_chances(spark):
     out = suffixtree.score(spark.createDataFrame([(None, "ab")], "doc_id long, text string")).first()
     assert out["held_out"] and out["score"] == pytest.approx(3 * math.log10(1 / 256))
