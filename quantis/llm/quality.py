@@ -39,11 +39,13 @@ from pyspark.sql import functions as F
 
 from quantis.llm.rules import SYMBOLS, class_histogram, doubled, duplicate_lines, per_document
 from quantis.llm.wordbatch import Words, run_hash, split_words, word_hash
-from quantis.llm.work import forget, release
+from quantis.llm.work import forget, give_up_shuffles, release
 
 #: Rows of either kind that a model is fitted on.
 SAMPLE = 20_000
 BATCH = 2_048
+#: Rows of a design that are made at a time.
+ROWS = 1_024
 FEATURES = (
     "log words", "bytes a word", "other", "lower", "upper", "digit", "white space", "punctuation", "symbol", "non-ascii",
     "equal neighbours", "repeated pairs", "repeated fours", "symbol words", "words ending in a symbol", "words ending in !",
@@ -93,8 +95,11 @@ class Model:
     prior: float = 0.5
 
     def design(self, x: np.ndarray) -> np.ndarray:
-        hinges = np.maximum(0, x[:, :, None] - self.knots) / self.scale
-        return np.hstack([np.ones((len(x), 1)), np.minimum(hinges, 5).reshape(len(x), -1)])
+        out = np.ones((len(x), 1 + self.knots.size))
+        for a in range(0, len(x), ROWS):  # what is made on the way stays small beside the result
+            hinges = np.maximum(0, x[a : a + ROWS, :, None] - self.knots) / self.scale
+            out[a : a + ROWS, 1:] = np.minimum(hinges, 5).reshape(len(hinges), -1)
+        return out
 
     def score(self, x: np.ndarray) -> np.ndarray:
         if self.weights is None:
@@ -205,7 +210,11 @@ def learn(
     x, positive = x[order], positive[order]
     shuffled = np.random.Generator(np.random.PCG64(7)).permutation(len(x))
     x, positive = x[shuffled], positive[shuffled]
-    return fit(x[positive], x[~positive])
+    del table, order, shuffled
+    give_up_shuffles(docs.sparkSession)  # those of the sample; the fit takes the driver's memory next
+    model = fit(x[positive], x[~positive])
+    release()
+    return model
 
 
 def _score(model):

@@ -3,10 +3,12 @@
 import contextlib
 import io
 import time
+import tracemalloc
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from quantis.llm import neardup
+from quantis.llm import neardup, quality
 from quantis.llm.components import components
 from quantis.llm.work import give_up_shuffles
 
@@ -56,3 +58,13 @@ def test_every_round_of_components_gives_up_its_shuffles(spark, monkeypatch):
     monkeypatch.setattr("quantis.llm.components.give_up_shuffles", calls.append)
     components(spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "a long, b long"), "a", "b")
     assert calls
+
+
+def test_a_design_is_made_beside_little_else():
+    x = np.random.default_rng(4).random((20_000, 17))
+    model = quality.Model(np.linspace(0, 1, 11) * np.ones((17, 1)), np.ones((17, 1)))
+    tracemalloc.start()
+    size = model.design(x).nbytes
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.3 * size
