@@ -63,8 +63,19 @@ def _hierarchy(spark: SparkSession, base: str) -> DataFrame:
     return G.flatten_hierarchy(ou, G.resolve_county_id(ou, B.ROOT_ID))
 
 
+def _lookup(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A lookup table written below the checkpoint folder.  What joins and
+    distincts make of it is estimated at the product of its inputs, and every
+    fact row is dealt for a join that turns out to need none; the size of a
+    written table is known when the join is planned."""
+    path = _scratch(spark, "lookup")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _assigned(spark: SparkSession, base: str) -> DataFrame:
-    return G.assign_ward(B.forecasts(spark, base), _hierarchy(spark, base), B.ward_overrides(spark, base))
+    hierarchy, overrides = (_lookup(spark, x) for x in (_hierarchy(spark, base), B.ward_overrides(spark, base)))
+    return G.assign_ward(B.forecasts(spark, base), hierarchy, overrides)
 
 
 def _tn_titled(spark: SparkSession, base: str) -> DataFrame:

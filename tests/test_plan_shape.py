@@ -212,3 +212,15 @@ def test_county_summary_joins_no_classification(spark):
 def test_run_ids_read_the_fact_twice_at_most(spark):
     p = plan(QUERIES["item_run_ids"](spark, SF_SMALL))
     assert len([ln for ln in p.splitlines() if "FileScan parquet" in ln and "l_orderkey" in ln]) <= 2
+
+
+def test_facts_are_not_dealt_for_small_ward_lookups(spark):
+    """What the hierarchy is estimated at is a product; its written size is known."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "256k")
+    try:
+        lines = plan(QUERIES["assign_ward"](spark, SF_SMALL)).splitlines()
+    finally:
+        spark.conf.unset(key)
+    fact = [i for i, ln in enumerate(lines) if "FileScan parquet" in ln and "l_orderkey" in ln]
+    assert fact and not any("Exchange" in a and "facility_name" in a for i in fact for a in ancestors(lines, i))
