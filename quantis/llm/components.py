@@ -10,14 +10,23 @@ own, and AQE can split a node that holds a third of them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantis.llm.work import cut, give_up_shuffles
 
 
+def _both_ways(edges: DataFrame) -> DataFrame:
+    """Every edge from either end, in one reading: node, other, and whether
+    the other is the lesser."""
+    def way(node: str, other: str, down: int) -> Column:
+        return F.struct(F.col(node).alias("node"), F.col(other).alias("other"), F.lit(down).alias("down"))
+
+    return edges.select(F.inline(F.array(way("u", "v", 1), way("v", "u", 0))))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = _both_ways(edges).select(F.col("node").alias("u"), F.col("other").alias("v"))
     least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
@@ -29,8 +38,9 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def _are_stars(edges: DataFrame) -> bool:
-    deep = edges.join(edges.select(F.col("u").alias("v")).distinct(), "v", "left_semi")
-    return edges.groupBy("u").count().filter("count > 1").isEmpty() and deep.isEmpty()
+    """Whether each node has a single edge down, or only edges up."""
+    ends = _both_ways(edges).groupBy("node").agg(F.sum("down").alias("down"), F.count(F.lit(1)).alias("n"))
+    return ends.filter("down > 1 or (down = 1 and n > 1)").isEmpty()
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -42,7 +52,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     nodes = now
     now = now.filter("u != v")
     while not _are_stars(now):
-        now = cut(_small_star(_large_star(now)))
+        now = cut(_small_star(cut(_large_star(now))))  # a small star reads its edges twice
         give_up_shuffles(edges.sparkSession)  # a round's small files are many where tasks are
     ends = now.select(F.col("u").alias("node"), F.col("v").alias("label"))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()

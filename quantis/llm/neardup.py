@@ -42,7 +42,7 @@ from pyspark.sql.types import StructType
 
 from quantis.llm.components import components
 from quantis.llm.wordbatch import U64, Words, distinct, mix, run_hash, sequence_hash, split_words, word_hash
-from quantis.llm.work import bounded_batches, cut, forget, give_up_shuffles, release
+from quantis.llm.work import bounded_batches, cut, cut_alone, forget, give_up_shuffles, release
 
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
@@ -348,11 +348,11 @@ def _classes(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     give_up_shuffles(docs.sparkSession)
     near = cut(star_links(pairs, found, shingle, percent))
     clusters = components(pairs, "centre", "node").select("node", F.col("label").alias("cluster"))
-    between = cut(part_links(clusters, components(near, "a", "b"), found, shingle, percent))
+    between = cut_alone(part_links(clusters, components(near, "a", "b"), found, shingle, percent))
     labels = components(near.union(between), "a", "b")
     labelled = signed.drop("sign").join(labels, "node", "left").withColumn("class", F.coalesce("label", "node"))
     # written, so that the join reads it through an exchange of its own and a hot class can be split
-    names = cut(labelled.filter("class is not null").groupBy("class").agg(F.min("id").alias("name")))
+    names = cut_alone(labelled.filter("class is not null").groupBy("class").agg(F.min("id").alias("name")))
     out = labelled.join(names, "class", "left")
     return out.select(
         F.col("id").alias(id_col), "n_shingles",
@@ -370,13 +370,13 @@ def one_of_each(
     of such documents all stay."""
     found = classes(docs, shingle, percent, id_col, text_col)
     members = found.filter(F.col("class").isNotNull())
-    first = cut(members.groupBy("class").agg(F.min(id_col).alias("chosen")))
+    first = cut_alone(members.groupBy("class").agg(F.min(id_col).alias("chosen")))
     # the class's first id with its set; a class of null ids alone is represented by its least set
     named = members.join(first, "class").filter(F.col(id_col).eqNullSafe(F.col("chosen")))
     sized = named.groupBy("class", "node").agg(F.count(F.lit(1)).alias("rows"), F.first("chosen").alias("chosen"))
     winners = sized.groupBy("class").agg(F.min(F.struct("node", "rows", "chosen")).alias("w")).select("w.*")
     several = found.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col(id_col).alias("repeated"))
-    winners = cut(winners.join(several, F.col("chosen").eqNullSafe(F.col("repeated")), "left").select(
+    winners = cut_alone(winners.join(several, F.col("chosen").eqNullSafe(F.col("repeated")), "left").select(
         "node", "chosen", (F.col("repeated").isNull() & F.col("chosen").isNotNull() & (F.col("rows") == 1)).alias("alone")
     ))
     return _rows_of(docs, winners, shingle, id_col, text_col)

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quantis.llm.work import cut
+from quantis.llm.work import cut, cut_alone
 
 # Kinds in the order of results, with their patterns.  A match
 # can only begin where a run of its first characters begins (or where the
@@ -168,16 +168,17 @@ def discover(
     apart = without_overlaps(matches(texts, CANDIDATE), spans)
     seeds = with_patterns(spans)
     unseen = with_patterns(apart.withColumn("kind", F.lit(None).cast("string")))
-    marked = cut(seeds.unionByName(unseen).withColumn("instance", F.lower("match")))
+    marked = cut_alone(seeds.unionByName(unseen).withColumn("instance", F.lower("match")))
     edges = cut(marked.select("instance", "kind", F.explode("patterns").alias("pattern")).distinct())
+    # what every round reads is made once, and a round's shuffles go with it: their small files are many where tasks are
     # a seed of several kinds counts for each of them
-    fixed = marked.filter("kind is not null").select("instance", "kind", F.lit(1.0).alias("score")).distinct()
-    loose = edges.filter("kind is null").select("instance", "pattern").join(
-        fixed.select("instance").distinct(), "instance", "left_anti"
+    fixed = cut(marked.filter("kind is not null").select("instance", "kind", F.lit(1.0).alias("score")).distinct())
+    loose = cut(
+        edges.filter("kind is null").select("instance", "pattern").join(fixed.select("instance").distinct(), "instance", "left_anti")
     )
     links = cut(edges.select("instance", "pattern").distinct())
-    sizes = links.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    scores, rise = cut(fixed), 1.0
+    sizes = cut_alone(links.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")))
+    scores, rise = fixed, 1.0
     for number in range(rounds + 1):
         if rise <= QUIET:
             break
@@ -194,7 +195,7 @@ def discover(
             loose.join(confidence, "pattern").groupBy("instance", "kind")
             .agg((1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999999)))))).alias("score"))
         )
-        before, scores = scores.withColumnRenamed("score", "was"), cut(fixed.union(found))
+        before, scores = scores.withColumnRenamed("score", "was"), cut_alone(fixed.union(found))
         gained = scores.join(before, ["instance", "kind"], "left").agg(F.max(F.col("score") - F.coalesce("was", F.lit(0.0))))
         rise = gained.first()[0] or 0.0
     best = (  # with the seeds, for occurrences that the base missed
@@ -212,9 +213,9 @@ def spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     stop and whether the base found it."""
     some = docs.filter(F.col(text_col).rlike(NEEDED)).select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
     texts = cut(some.dropDuplicates(["key"]))
-    base = cut(base_spans(texts))
+    base = cut_alone(base_spans(texts))
     more = discover(base, texts)
-    return cut(
+    return cut_alone(
         base.select("key", "kind", "start", "stop", F.lit(True).alias("base"))
         .union(more.select("key", "kind", "start", "stop", F.lit(False).alias("base")))
     )

@@ -108,3 +108,10 @@ def cut(df: DataFrame) -> DataFrame:
     later reads neither recompute the plan nor depend on one executor."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cut_alone(df: DataFrame) -> DataFrame:
+    """``cut``, and the shuffle files that made it are given up."""
+    out = cut(df)
+    give_up_shuffles(df.sparkSession)
+    return out

@@ -8,8 +8,8 @@ import tracemalloc
 import numpy as np
 from pyspark.sql import functions as F
 
-from quantis.llm import neardup, quality
-from quantis.llm.components import components
+from quantis.llm import neardup, pii, quality
+from quantis.llm.components import _are_stars, components
 from quantis.llm.work import give_up_shuffles
 
 
@@ -44,6 +44,24 @@ def test_rounds_of_components_leave_no_shuffle_files(spark):
     assert found.select("label").distinct().count() == 1
 
 
+def test_steps_and_rounds_of_personal_data_give_up_their_shuffles(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr("quantis.llm.work.give_up_shuffles", calls.append)
+    texts = [(i, f"write to user{i}@example.org or call +44 20 7946 0{i:03d} now") for i in range(6)]
+    found = pii.spans(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id", "text")
+    assert len(calls) >= 5  # base, instances, patterns, one round at least, result
+    assert found.filter("base").count() == 12
+
+
+def test_stars_are_told_from_other_edges(spark):
+    def stars(*edges):
+        return _are_stars(spark.createDataFrame(edges, "u long, v long"))
+
+    assert stars((2, 1), (3, 1), (5, 4))
+    assert not stars((2, 1), (3, 2))  # a path
+    assert not stars((3, 1), (3, 2))  # two edges down
+
+
 def test_a_large_cluster_can_be_split_where_parts_meet_it(spark):
     clusters = spark.createDataFrame([(i.to_bytes(2, "big"), b"c") for i in range(300)], "node binary, cluster binary")
     labels = spark.createDataFrame([(i.to_bytes(2, "big"), b"a" if i % 3 else b"b") for i in range(300)], "node binary, label binary")
