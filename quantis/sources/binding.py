@@ -95,15 +95,19 @@ def tab_expr(p_size: Column) -> Column:
     return F.concat(n.cast("string"), F.lit("."), F.element_at(names, n.cast("int")))
 
 
-def keph_level() -> Column:
-    return F.concat(F.lit("KEPH Level "), (F.col("c_custkey") % 5 + 2).cast("string"))
+def level_number() -> Column:
+    return F.col("c_custkey") % 5 + 2
+
+
+def keph_level(number: Column) -> Column:
+    return F.concat(F.lit("KEPH Level "), number.cast("string"))
 
 
 @_memoized
 def _customers(spark: SparkSession, base: str) -> DataFrame:
     """Customer (facility) attributes computed once per customer."""
     c = read_table(spark, base, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    return c.withColumn("keph_level", keph_level())
+    return c.withColumn("keph_level", keph_level(level_number()))
 
 
 @_memoized
@@ -145,9 +149,9 @@ def _fact(spark: SparkSession, base: str, divergent: bool | None) -> DataFrame:
     Orders meet their facility first, as orders are a fraction of the lines:
     lineitem is then dealt by order and by part, and never by customer, and
     the orders of other counties are dropped before they are dealt (nation x
-    region, 25 rows, is always broadcast).  Orders grow with the lines, so
-    that join is a shuffled one at every size, without a sort; a task holds
-    its share of the orders.  Customers and parts are broadcast as long as
+    region, 25 rows, is always broadcast).  Orders grow with the lines, so that join is a shuffled one
+    at every size, without a sort; a task holds its share of the orders.  The
+    level's number travels instead of the customer's key.  Customers and parts are broadcast as long as
     they are small, each compared by its own size (a pre-joined dimension
     chain is estimated as the product of its inputs).
     """
@@ -156,16 +160,17 @@ def _fact(spark: SparkSession, base: str, divergent: bool | None) -> DataFrame:
         "l_discount", "l_returnflag", "l_linestatus",
     )
     o = read_table(spark, base, "orders").select("o_orderkey", "o_custkey")
-    c = read_table(spark, base, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    c = read_table(spark, base, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", level_number().alias("level"))
     in_tn = F.col("r_name") == F.lit(DIVERGENT_REGION)
     geo = _geo(spark, base)
     if divergent is not None:
         geo = geo.where(in_tn if divergent else ~in_tn)
     p = _parts(spark, base)
-    o = o.join(c, o.o_custkey == c.c_custkey).drop("o_custkey")
+    o = o.join(c, o.o_custkey == c.c_custkey).drop("o_custkey", "c_custkey")
     o = o.join(F.broadcast(geo), o.c_nationkey == geo.n_nationkey)
     f = li.join(o.hint("shuffle_hash"), li.l_orderkey == o.o_orderkey)
-    return f.join(p, f.l_partkey == p.p_partkey).withColumn("keph_level", keph_level())
+    f = f.join(p, f.l_partkey == p.p_partkey)
+    return f.withColumn("keph_level", keph_level(F.col("level")))
 
 
 def _common(f: DataFrame) -> dict[str, Column]:

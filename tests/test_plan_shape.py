@@ -112,6 +112,26 @@ def test_lines_are_dealt_by_order_part_and_class_only(spark, name):
         assert len(above) <= 3 and not any("custkey" in a for a in above), above
 
 
+def above_lines(spark, name: str) -> list[str]:
+    """The operators above the first scan of lineitem where nothing is small."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        lines = plan(QUERIES[name](spark, SF_SMALL)).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    return ancestors(lines, next(i for i, ln in enumerate(lines) if "FileScan parquet" in ln and "l_orderkey" in ln))
+
+
+@pytest.mark.parametrize("name", ["all_counties", "resolve_ven_left"])
+def test_lines_are_dealt_by_part_without_the_customers_key(spark, name):
+    above = above_lines(spark, name)
+    by_part = next(i for i, a in enumerate(above) if a.startswith("Exchange hashpartitioning(l_partkey"))
+    assert "c_custkey" not in above[by_part - 1], above[by_part - 1]
+
+
 @pytest.mark.parametrize("name", ["all_counties_two_sources", "all_counties", "resolve_ven_inner", "resolve_ven_left"])
 def test_orders_meet_lines_by_a_shuffle_at_every_size(spark, name):
     found = line_exchanges(plan(QUERIES[name](spark, SF_SMALL)))
