@@ -149,7 +149,9 @@ def _fact(spark: SparkSession, base: str, divergent: bool | None) -> DataFrame:
     Orders meet their facility first, as orders are a fraction of the lines:
     lineitem is then dealt by order and by part, and never by customer, and
     the orders of other counties are dropped before they are dealt (nation x
-    region, 25 rows, is always broadcast).  Orders grow with the lines, so that join is a shuffled one
+    region, 25 rows, is always broadcast).  Where all counties are
+    kept, the lines are dealt with the nation's key alone and get the names
+    at the end.  Orders grow with the lines, so that join is a shuffled one
     at every size, without a sort; a task holds its share of the orders.  The
     level's number travels instead of the customer's key.  Customers and parts are broadcast as long as
     they are small, each compared by its own size (a pre-joined dimension
@@ -167,9 +169,12 @@ def _fact(spark: SparkSession, base: str, divergent: bool | None) -> DataFrame:
         geo = geo.where(in_tn if divergent else ~in_tn)
     p = _parts(spark, base)
     o = o.join(c, o.o_custkey == c.c_custkey).drop("o_custkey", "c_custkey")
-    o = o.join(F.broadcast(geo), o.c_nationkey == geo.n_nationkey)
+    if divergent is not None:
+        o = o.join(F.broadcast(geo), o.c_nationkey == geo.n_nationkey)
     f = li.join(o.hint("shuffle_hash"), li.l_orderkey == o.o_orderkey)
     f = f.join(p, f.l_partkey == p.p_partkey)
+    if divergent is None:
+        f = f.join(F.broadcast(geo), f.c_nationkey == geo.n_nationkey)
     return f.withColumn("keph_level", keph_level(F.col("level")))
 
 

@@ -125,6 +125,13 @@ def above_lines(spark, name: str) -> list[str]:
     return ancestors(lines, next(i for i, ln in enumerate(lines) if "FileScan parquet" in ln and "l_orderkey" in ln))
 
 
+def test_lines_of_all_counties_get_their_names_after_they_are_dealt_by_part(spark):
+    above = above_lines(spark, "all_counties")
+    by_part = [i for i, a in enumerate(above) if a.startswith("Exchange hashpartitioning(l_partkey")]
+    named = [i for i, a in enumerate(above) if "BroadcastHashJoin [c_nationkey" in a]
+    assert by_part and named and named[0] > by_part[0]
+
+
 @pytest.mark.parametrize("name", ["all_counties", "resolve_ven_left"])
 def test_lines_are_dealt_by_part_without_the_customers_key(spark, name):
     above = above_lines(spark, name)
